@@ -24,8 +24,8 @@ def canonical_text(col: Column, dtype: T.DataType) -> Column:
         return F.to_json(col)
     if isinstance(dtype, T.BinaryType):
         return F.hex(col)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(col.cast("timestamp")).cast("string")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(col).cast("string")
     return col.cast("string")
 
 

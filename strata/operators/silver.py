@@ -47,35 +47,31 @@ def without_existing(df: DataFrame, target: DataFrame, keys: Sequence[str]) -> D
     return df.join(existing, condition, "left_anti")
 
 
-def with_conform_errors(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast to the declared schema and list, per row, what does not fit (empty list = valid)."""
+def conform_errors(df: DataFrame, schema: T.StructType) -> Column:
+    """What in a row does not fit the declared schema, field by field; an empty list means it fits."""
     errors: list[Column] = []
-    casts: dict[str, Column] = {}
     for field in schema.fields:
         if field.name not in df.columns:
-            casts[field.name] = F.lit(None).cast(field.dataType)
             if not field.nullable:
                 errors.append(F.lit(f"{field.name} is missing"))
             continue
         raw = F.col(f"`{field.name}`")
-        cast = raw.try_cast(field.dataType)
-        casts[field.name] = cast
-        errors.append(F.when(raw.isNotNull() & cast.isNull(),
+        errors.append(F.when(raw.isNotNull() & raw.try_cast(field.dataType).isNull(),
                              F.lit(f"{field.name} is not {field.dataType.simpleString()}")))
         if not field.nullable:
             errors.append(F.when(raw.isNull(), F.lit(f"{field.name} is required")))
-    listed = F.array_compact(F.array(*errors)) if errors else F.array().cast("array<string>")
-    return df.select("*", listed.alias("conform_errors")).withColumns(casts)
+    return F.array_compact(F.array(*errors)) if errors else F.array().cast("array<string>")
 
 
 def conform(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Rows that fit the declared schema, and the original rows that do not, with their reasons."""
-    checked = with_conform_errors(df, schema)
-    valid = checked.filter(F.size("conform_errors") == 0).select(*[f.name for f in schema.fields])
-    reasons = with_conform_errors(df.withColumns({f"_raw_{c}": F.col(f"`{c}`") for c in df.columns}), schema)
-    rejected = reasons.filter(F.size("conform_errors") > 0).select(
-        *[F.col(f"_raw_{c}").alias(c) for c in df.columns], "conform_errors")
-    return valid, rejected
+    """Rows cast to the declared schema, and the untouched rows that do not fit, with their reasons."""
+    checked = df.withColumn("conform_errors", conform_errors(df, schema))
+    typed = [
+        (F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType))
+        .alias(f.name)
+        for f in schema.fields
+    ]
+    return checked.filter(F.size("conform_errors") == 0).select(*typed), checked.filter(F.size("conform_errors") > 0)
 
 
 def standardize(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
