@@ -22,13 +22,10 @@ def parse(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def serialize(df: DataFrame, alias: str = "value") -> DataFrame:
-    """The envelope as JSON text, with the payload as an object and not as quoted text."""
-    shell = F.to_json(F.struct(*[F.col(c) for c in ev.ENVELOPE_COLUMNS if c != "payload"]))
-    body = F.when(F.try_parse_json(F.col("payload")).isNotNull(), F.col("payload")).otherwise(
-        F.to_json(F.array("payload")).substr(F.lit(2), F.length(F.to_json(F.array("payload"))) - 2))
-    text = F.concat(shell.substr(F.lit(1), F.length(shell) - 1), F.lit(',"payload":'),
-                    F.coalesce(body, F.lit("null")), F.lit("}"))
-    return df.withColumn(alias, text)
+    """The envelope as JSON text. A payload that is JSON goes in as JSON, any other text as a JSON string."""
+    payload = F.coalesce(F.try_parse_json("payload"), F.parse_json(_quoted(F.col("payload"))))
+    others = [F.col(c) for c in ev.ENVELOPE_COLUMNS if c != "payload"]
+    return df.withColumn(alias, F.to_json(F.struct(*others, payload.alias("payload"))))
 
 
 def validate(df: DataFrame) -> DataFrame:
@@ -111,16 +108,15 @@ def trim_payload_json(payload: Column) -> Column:
     Only values that are JSON strings change: numbers, nested objects and arrays are written back as they were.
     """
     fields = F.from_json(payload, "map<string,variant>")
-    names = F.map_keys(fields)
-    parts = F.transform(names, lambda k: F.concat(
-        F.to_json(F.array(k)).substr(F.lit(2), F.length(F.to_json(F.array(k))) - 2), F.lit(":"),
+    members = F.transform(F.map_keys(fields), lambda k: F.concat(_quoted(k), F.lit(":"), F.coalesce(
         F.when(F.schema_of_variant(fields[k]) == "STRING",
-               _quoted(trim_unicode(F.try_variant_get(fields[k], "$", "string"))))
-        .otherwise(F.coalesce(F.to_json(fields[k]), F.lit("null")))))
-    rebuilt = F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))
-    return F.when(F.json_object_keys(payload).isNotNull(), rebuilt).otherwise(payload)
+               _quoted(trim_unicode(F.try_variant_get(fields[k], "$", "string")))),
+        F.to_json(fields[k]), F.lit("null"))))
+    rebuilt = F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
+    return F.when(ev.is_json_object(payload), rebuilt).otherwise(payload)
 
 
 def _quoted(text: Column) -> Column:
-    wrapped = F.to_json(F.array(text))
-    return wrapped.substr(F.lit(2), F.length(wrapped) - 2)
+    """Text as a JSON string literal."""
+    listed = F.to_json(F.array(text))
+    return listed.substr(F.lit(2), F.length(listed) - 2)

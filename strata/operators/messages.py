@@ -6,7 +6,7 @@ A log has the columns of the Kafka source: ``key``, ``value`` (binary), ``topic`
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -107,7 +107,8 @@ def offset_range(df: DataFrame, ranges: DataFrame) -> DataFrame:
 def next_batch(df: DataFrame, positions: DataFrame | None = None, limit: int = 500) -> DataFrame:
     """The next ``limit`` messages of each partition, from ``position`` (0 when a partition has none).
 
-    ``row_number() <= limit`` keeps at most ``limit`` rows per partition in each map task before the shuffle.
+    ``row_number() <= limit`` keeps at most ``limit`` rows per partition in each map task before the shuffle (up
+    to ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000; raise it for a larger ``limit``).
     """
     log = df
     if positions is not None:
@@ -130,12 +131,9 @@ def commit_positions(processed: DataFrame, group: str) -> DataFrame:
 
 
 def consumer_lag(df: DataFrame, commits: DataFrame) -> DataFrame:
-    """Messages still to read per group and partition; a partition without a commit counts from position 0."""
-    marks = watermarks(df)
-    groups = commits.select("group_id").distinct()
-    # Groups and partitions are both catalogue-sized; an equi-join on a constant pairs them up.
-    wanted = marks.withColumn("_one", F.lit(1)).join(groups.withColumn("_one", F.lit(1)), "_one").drop("_one")
-    joined = wanted.join(commits, ["group_id", "topic", "partition"], "left")
+    """Messages still to read, for every partition of the topics a group reads; no commit means position 0."""
+    subscribed = commits.select("group_id", "topic").distinct()
+    joined = watermarks(df).join(subscribed, "topic").join(commits, ["group_id", "topic", "partition"], "left")
     position = F.coalesce("position", F.lit(0))
     return joined.select("group_id", "topic", "partition", position.alias("position"), "latest",
                          (F.col("latest") - position).alias("lag"))
@@ -155,8 +153,11 @@ def compact(df: DataFrame) -> DataFrame:
     return latest.filter(F.col("value").isNotNull())
 
 
-def retain(df: DataFrame, topics: DataFrame, as_of: Column) -> DataFrame:
-    """Messages no older than their topic's ``retention_ms`` at ``as_of``; unlisted topics keep everything."""
-    joined = df.join(topics.select("topic", "retention_ms"), "topic", "left")
-    oldest = as_of - F.make_dt_interval(secs=(F.col("retention_ms") / 1000).cast("decimal(18,6)"))
-    return joined.filter(F.col("retention_ms").isNull() | (F.col("timestamp") >= oldest)).drop("retention_ms")
+def retain(df: DataFrame, retention_ms: Mapping[str, int], as_of: Column) -> DataFrame:
+    """Messages no older than their topic's retention at ``as_of``; unlisted topics keep everything."""
+    if not retention_ms:
+        return df
+    limits = F.create_map(*[F.lit(x) for pair in retention_ms.items() for x in pair])
+    limit = F.try_element_at(limits, F.col("topic"))
+    oldest = as_of - F.make_dt_interval(secs=(limit / 1000).cast("decimal(18,6)"))
+    return df.filter(limit.isNull() | (F.col("timestamp") >= oldest))

@@ -66,3 +66,20 @@ def write_log(df: DataFrame, servers: str) -> None:
 def stream_to_log(df: DataFrame, servers: str, checkpoint: str) -> DataStreamWriter:
     return df.select("topic", "key", "value", "headers").writeStream.format("kafka").option(
         "kafka.bootstrap.servers", servers).option("checkpointLocation", checkpoint)
+
+
+# Retention of the platform's topics in milliseconds.
+TOPIC_RETENTION_MS = {
+    "raw-events": 604800000,
+    "cdc-streams": 2592000000,
+    "api-events": 604800000,
+    "mcp-requests": 259200000,
+    "dead-letter-queue": 2592000000,
+    "bronze-events": 7776000000,
+    "silver-events": 63072000000,
+    "gold-events": 220752000000,
+    "data-quality-results": 2592000000,
+    "lineage-events": 2592000000,
+    "agent-requests": 604800000,
+    "agent-responses": 604800000,
+}
