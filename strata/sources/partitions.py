@@ -1,0 +1,81 @@
+"""Tables whose partitioning changes over time: old files stay where they are, new files use the new layout."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, types as T
+
+from strata.sources.layers import partition_name, with_partitions
+
+_SPECS = T.StructType([
+    T.StructField("spec_id", T.IntegerType()),
+    T.StructField("position", T.IntegerType()),
+    T.StructField("field", T.StringType()),
+    T.StructField("transform", T.StringType()),
+])
+
+
+def partition_specs(spark: SparkSession, path: str) -> DataFrame:
+    """Every partition field of every layout the table has had."""
+    return spark.read.schema(_SPECS).parquet(f"{path}/specs")
+
+
+def _write_spec(spark: SparkSession, path: str, spec_id: int, spec: list[tuple[str, str]], data: T.StructType) -> None:
+    rows = [(spec_id, i, f, t) for i, (f, t) in enumerate(spec)]
+    # An empty file first: a layout is readable before anything was written in it.
+    spark.createDataFrame([], data).write.mode("overwrite").parquet(f"{path}/empty/spec={spec_id}")
+    spark.createDataFrame(rows, _SPECS).coalesce(1).write.mode("append").parquet(f"{path}/specs")
+
+
+def create(spark: SparkSession, path: str, schema: T.StructType, spec: list[tuple[str, str]]) -> None:
+    _write_spec(spark, path, 0, spec, schema)
+
+
+def _layouts(spark: SparkSession, path: str) -> dict[int, list[tuple[str, str]]]:
+    """Layouts by id. Table metadata: a few rows per layout change."""
+    out: dict[int, list[tuple[str, str]]] = {}
+    for row in partition_specs(spark, path).orderBy("spec_id", "position").collect():
+        out.setdefault(row["spec_id"], []).append((row["field"], row["transform"]))
+    return out
+
+
+def add_partition_field(spark: SparkSession, path: str, field: str, transform: str) -> None:
+    """From now on also partition by ``transform(field)``; nothing is rewritten."""
+    layouts = _layouts(spark, path)
+    latest = max(layouts)
+    if (field, transform) in layouts[latest]:
+        raise ValueError(f"the table is partitioned by {transform}({field}) already")
+    schema = spark.read.parquet(f"{path}/empty/spec={latest}").schema
+    _write_spec(spark, path, latest + 1, [*layouts[latest], (field, transform)], schema)
+
+
+def append(df: DataFrame, path: str) -> None:
+    """Append in the newest layout."""
+    layouts = _layouts(df.sparkSession, path)
+    latest = max(layouts)
+    names = [partition_name(*s) for s in layouts[latest]]
+    with_partitions(df, layouts[latest]).write.mode("append").partitionBy(*names).parquet(f"{path}/data/spec={latest}")
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """All layouts as one table; a partition column an old layout lacks is NULL there."""
+    out: DataFrame | None = None
+    written = _written(spark, path)
+    for spec_id, spec in _layouts(spark, path).items():
+        empty = spark.read.parquet(f"{path}/empty/spec={spec_id}")
+        if spec_id in written:
+            schema = with_partitions(empty, spec).schema
+            frame = spark.read.schema(schema).parquet(f"{path}/data/spec={spec_id}")
+        else:
+            frame = with_partitions(empty, spec)
+        out = frame if out is None else out.unionByName(frame, allowMissingColumns=True)
+    return out
+
+
+def _written(spark: SparkSession, path: str) -> set[int]:
+    """Layouts that hold data."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(f"{path}/data")
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return set()
+    return {int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(root)}
