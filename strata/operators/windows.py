@@ -96,7 +96,7 @@ def ranks(
         place, small, extra = F.col("row_number") - 1, F.floor(c["total"] / tiles), c["total"] % tiles
         wide = extra * (small + 1)
         out = out.withColumn("ntile", F.when(place < wide, F.floor(place / (small + 1)) + 1)
-                             .otherwise(extra + F.floor((place - wide) / small) + 1).cast("bigint"))
+                             .otherwise(extra + F.floor(F.try_divide(place - wide, small)) + 1).cast("bigint"))
     return _finish(out)
 
 
@@ -122,9 +122,8 @@ def neighbours(
             F.sort_array(F.collect_list(F.struct("_rn", *names))).alias("_edge"))
         nearest = Window.partitionBy(*keys).orderBy(toward("_split")).rowsBetween(1, count)
         # Buckets hold at least one row, so ``count`` buckets hold at least ``count`` rows, nearest first.
-        borrowed = per_bucket.select(
-            *[F.col(k).alias(f"_k_{k}") for k in keys], "_split",
-            F.explode(F.slice(F.flatten(F.collect_list("_edge").over(nearest)), 1, count)).alias("_r"))
+        borrowed = per_bucket.withColumn("_near", F.flatten(F.collect_list("_edge").over(nearest))).select(
+            "_split", F.explode(F.slice("_near", 1, count)).alias("_r"))
         out = out.unionByName(borrowed.select("_split", F.lit(0).alias("_row"), *[F.col(f"_r.{n}") for n in names]))
     window = Window.partitionBy(*keys, "_split").orderBy(*order_by)
     return _finish(out.withColumns({n: make(window) for n, make in columns.items()}))

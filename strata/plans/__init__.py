@@ -5,6 +5,7 @@ from __future__ import annotations
 from strata.plans import (  # noqa: F401  (importing a module registers its queries)
     event_log,
     layers,
+    tables,
 )
 from strata.plans.registry import ORACLES, QUERIES
 

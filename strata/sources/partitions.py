@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from strata.sources.layers import partition_name, with_partitions
 
@@ -20,10 +20,12 @@ def partition_specs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _write_spec(spark: SparkSession, path: str, spec_id: int, spec: list[tuple[str, str]], data: T.StructType) -> None:
-    rows = [(spec_id, i, f, t) for i, (f, t) in enumerate(spec)]
+    fields = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(f).alias("field"), F.lit(t).alias("transform"))
+                       for i, (f, t) in enumerate(spec)])
     # An empty file first: a layout is readable before anything was written in it.
-    spark.createDataFrame([], data).write.mode("overwrite").parquet(f"{path}/empty/spec={spec_id}")
-    spark.createDataFrame(rows, _SPECS).coalesce(1).write.mode("append").parquet(f"{path}/specs")
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in data.fields]
+    spark.range(0, 1, 1, 1).select(*nulls).write.mode("overwrite").parquet(f"{path}/empty/spec={spec_id}")
+    spark.range(0, 1, 1, 1).select(F.lit(spec_id).alias("spec_id"), F.inline(fields)).write.mode("append").parquet(f"{path}/specs")
 
 
 def create(spark: SparkSession, path: str, schema: T.StructType, spec: list[tuple[str, str]]) -> None:

@@ -44,8 +44,47 @@ def extend(visible: Sequence[tuple[int, int]], commit_id: int) -> list[tuple[int
     return [*visible, (commit_id, commit_id)]
 
 
-def _in_ranges(column: str, ranges: Sequence[tuple[int, int]]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(column).between(lo, hi) for lo, hi in ranges])
+Ranges = Sequence[tuple[int, int]]
+
+
+def _ranges(commit: Row) -> list[tuple[int, int]]:
+    return [(r["first"], r["last"]) for r in commit["visible"]]
+
+
+def _schema(commit: Row) -> T.StructType:
+    return T.StructType.fromJson(json.loads(commit["schema_json"]))
+
+
+def _intersect(a: Ranges, b: Ranges) -> list[tuple[int, int]]:
+    return [(max(i, k), min(j, m)) for i, j in a for k, m in b if max(i, k) <= min(j, m)]
+
+
+def _subtract(a: Ranges, b: Ranges) -> list[tuple[int, int]]:
+    out = list(a)
+    for k, m in b:
+        out = [part for i, j in out for part in ((i, min(j, k - 1)), (max(i, m + 1), j)) if part[0] <= part[1]]
+    return out
+
+
+def _in_ranges(column: str, ranges: Ranges) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(column).between(lo, hi) for lo, hi in ranges], F.lit(False))
+
+
+def _ntz(at: datetime) -> Column:
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def commit_row(
+    spark: SparkSession, commit_id: int, parent_id: int | None, visible: Ranges, op: str, committed_at: datetime,
+    schema_json: str | None = None,
+) -> DataFrame:
+    """One row of table metadata, made in the JVM."""
+    ranges = [F.struct(F.lit(a).cast("bigint").alias("first"), F.lit(b).cast("bigint").alias("last"))
+              for a, b in visible]
+    return spark.range(0, 1, 1, 1).select(
+        F.lit(commit_id).cast("bigint").alias("commit_id"), F.lit(parent_id).cast("bigint").alias("parent_id"),
+        _ntz(committed_at).alias("committed_at"), F.lit(op).alias("op"), F.array(*ranges).alias("visible"),
+        F.lit(schema_json).cast("string").alias("schema_json"))
 
 
 @dataclass(frozen=True)
@@ -71,7 +110,7 @@ class History:
 
     def version_at(self, at: datetime) -> Row:
         """The newest version at or before a time, among all versions, also ones rolled back since."""
-        stamp = F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+        stamp = _ntz(at)
         found = self.commits.filter(F.col("committed_at") <= stamp)
         return self._commit(found.orderBy(F.desc("committed_at"), F.desc("commit_id")), f"at or before {at}")
 
@@ -84,12 +123,13 @@ class History:
             F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("timestamp"), "op", "parent_id",
         ).orderBy("timestamp_ms", "snapshot_id")
 
-    def _state(self, commit: Row) -> DataFrame:
-        ranges = [(r["first"], r["last"]) for r in commit["visible"]]
+    def _state(self, commit: Row, rows: DataFrame | None = None) -> DataFrame:
+        """Rows of a version, or those of ``rows`` that the version has not closed."""
+        ranges = _ranges(commit)
         # One row per closed hash: a hash closed many times must not multiply the join.
         closed = self.closes.filter(_in_ranges("commit_id", ranges)).groupBy(
             F.col("record_hash").alias("_hash")).agg(F.max("commit_id").alias("_closed_by"))
-        rows = self.rows.filter(_in_ranges("commit_id", ranges))
+        rows = self.rows.filter(_in_ranges("commit_id", ranges)) if rows is None else rows
         return rows.join(closed, (F.col("record_hash") == F.col("_hash"))
                          & (F.col("_closed_by") > F.col("commit_id")), "left_anti")
 
@@ -107,25 +147,33 @@ class History:
     def rolled_back(self, commit_id: int, committed_at: datetime) -> History:
         """An old version made current again by a new, empty commit; the history stays."""
         target, new_id = self.version(commit_id), self.head()["commit_id"] + 1
-        visible = extend([(r["first"], r["last"]) for r in target["visible"]], new_id)
-        spark = self.commits.sparkSession
-        row = spark.createDataFrame(
-            [(new_id, commit_id, committed_at, "rollback", visible, target["schema_json"])], COMMITS)
+        visible = extend(_ranges(target), new_id)
+        row = commit_row(self.commits.sparkSession, new_id, commit_id, visible, "rollback", committed_at,
+                         target["schema_json"])
         return History(self.rows, self.closes, self.commits.unionByName(row))
 
     def changes(self, first: int, last: int) -> DataFrame:
         """Rows added and removed between two versions, by content; ``change`` is 'added' or 'removed'.
 
-        Both states are counted per row hash first, so rows that occur often cost one entry.
+        Commits both versions see are read only for rows that one of them has closed since. What is left is
+        counted per row hash before the two sides meet, so rows that occur often cost one entry.
         """
         data = [c for c in self.rows.columns if c not in ("commit_id", "record_hash")]
-        counted = [
-            state.groupBy("record_hash").agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in data])
-            .select("record_hash", F.lit(sign).alias("sign"), "n", *data)
-            for state, sign in ((self.at(first), -1), (self.at(last), 1))
-        ]
-        net = counted[0].union(counted[1]).groupBy("record_hash").agg(
-            F.sum(F.col("n") * F.col("sign")).alias("n"), *[F.first(c).alias(c) for c in data])
+        old, new = self.version(first), self.version(last)
+        common = _intersect(_ranges(old), _ranges(new))
+        sides = []
+        for commit, sign in ((old, -1), (new, 1)):
+            own = _subtract(_ranges(commit), common)
+            parts = [self.rows.filter(_in_ranges("commit_id", own))]
+            if common:
+                recent = _subtract(_ranges(old), common) + _subtract(_ranges(new), common)
+                touched = self.closes.filter(_in_ranges("commit_id", recent)).select("record_hash").distinct()
+                shared = self.rows.filter(_in_ranges("commit_id", common))
+                parts.append(shared.join(touched, "record_hash", "left_semi").select(*self.rows.columns))
+            state = self._state(commit, reduce(DataFrame.union, parts))
+            sides.append(state.withColumn("_sign", F.lit(sign)))
+        net = sides[0].unionByName(sides[1]).groupBy("record_hash").agg(
+            F.sum("_sign").alias("n"), *[F.first(c).alias(c) for c in data])
         change = F.when(F.col("n") > 0, F.lit("added")).otherwise(F.lit("removed"))
         return net.filter("n <> 0").select(change.alias("change"), F.abs("n").alias("copies"), *data)
 
@@ -134,14 +182,12 @@ class History:
 
         Rows no kept version can see go, and so do rows that a commit seen by every kept version closed.
         """
-        stamp = F.lit(before.isoformat(sep=" ")).cast("timestamp_ntz")
+        stamp = _ntz(before)
         head = self.head()["commit_id"]
         kept = self.commits.filter((F.col("committed_at") >= stamp) | (F.col("commit_id") == head))
         # Table metadata: one short list of ranges per kept version.
-        seen = [[(r["first"], r["last"]) for r in c["visible"]] for c in kept.select("visible").collect()]
-        common = seen[0]
-        for ranges in seen[1:]:
-            common = [(max(a, c), min(b, d)) for a, b in common for c, d in ranges if max(a, c) <= min(b, d)]
+        seen = [_ranges(c) for c in kept.select("visible").collect()]
+        common = reduce(_intersect, seen)
         anywhere = sorted({r for ranges in seen for r in ranges})
         rows = self.rows.filter(_in_ranges("commit_id", anywhere))
         closes = self.closes.filter(_in_ranges("commit_id", anywhere))
@@ -170,7 +216,7 @@ class VersionedTable:
     ) -> VersionedTable:
         """An empty table: commit 0."""
         table = cls(spark, path)
-        empty = spark.createDataFrame([], schema)
+        empty = spark.range(0, 1, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
         table._write_rows(empty, 0)
         table._write_closes(empty.select(F.lit(None).cast("string").alias("record_hash")), 0)
         table._commit(0, None, [(0, 0)], "create", committed_at, schema)
@@ -206,10 +252,9 @@ class VersionedTable:
         count = history.current().agg(F.count(F.lit(1)).alias("row_count"))
         versions = history.commits.agg(F.count(F.lit(1)).alias("snapshot_count"),
                                        F.max("commit_id").alias("current_snapshot"))
-        # Three one-row frames side by side.
-        one = F.lit(1)
-        return (count.withColumn("_k", one).join(files.withColumn("_k", one), "_k")
-                .join(versions.withColumn("_k", one), "_k").drop("_k"))
+        names = [*count.columns, *files.columns, *versions.columns]
+        stacked = count.unionByName(files, allowMissingColumns=True).unionByName(versions, allowMissingColumns=True)
+        return stacked.agg(*[F.max(n).alias(n) for n in names])
 
     # -- writing
 
@@ -222,8 +267,8 @@ class VersionedTable:
 
     def _commit(self, commit_id: int, parent_id: int | None, visible: list[tuple[int, int]], op: str,
                 committed_at: datetime, schema: T.StructType) -> int:
-        row = self.spark.createDataFrame([(commit_id, parent_id, committed_at, op, visible, schema.json())], COMMITS)
-        row.drop("commit_id").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/commit_id={commit_id}")
+        row = commit_row(self.spark, commit_id, parent_id, visible, op, committed_at, schema.json())
+        row.drop("commit_id").write.mode("overwrite").parquet(f"{self.path}/commits/commit_id={commit_id}")
         return commit_id
 
     def _parent(self, commit_id: int | None) -> tuple[Row, int, bool]:
@@ -288,14 +333,6 @@ class VersionedTable:
         return VersionedTable(self.spark, path)
 
 
-def _schema(commit: Row) -> T.StructType:
-    return T.StructType.fromJson(json.loads(commit["schema_json"]))
-
-
-def _ranges(commit: Row) -> list[tuple[int, int]]:
-    return [(r["first"], r["last"]) for r in commit["visible"]]
-
-
 def _merged(parent: Row, schema: T.StructType) -> T.StructType:
     """The parent's schema, plus columns that are new in this batch."""
     known = _schema(parent)
