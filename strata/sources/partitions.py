@@ -24,7 +24,7 @@ def _write_spec(spark: SparkSession, path: str, spec_id: int, spec: list[tuple[s
                        for i, (f, t) in enumerate(spec)])
     # An empty file first: a layout is readable before anything was written in it.
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in data.fields]
-    spark.range(0, 1, 1, 1).select(*nulls).write.mode("overwrite").parquet(f"{path}/empty/spec={spec_id}")
+    spark.range(0, 0, 1, 1).select(*nulls).write.mode("overwrite").parquet(f"{path}/empty/spec={spec_id}")
     spark.range(0, 1, 1, 1).select(F.lit(spec_id).alias("spec_id"), F.inline(fields)).write.mode("append").parquet(f"{path}/specs")
 
 

@@ -216,7 +216,7 @@ class VersionedTable:
     ) -> VersionedTable:
         """An empty table: commit 0."""
         table = cls(spark, path)
-        empty = spark.range(0, 1, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+        empty = spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
         table._write_rows(empty, 0)
         table._write_closes(empty.select(F.lit(None).cast("string").alias("record_hash")), 0)
         table._commit(0, None, [(0, 0)], "create", committed_at, schema)

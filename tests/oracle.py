@@ -98,8 +98,8 @@ def compare(spark: SparkSession, con: duckdb.DuckDBPyConnection, key: str, sf_di
     if len(a) != len(b):
         problems.append(f"rows {len(a)} != {len(b)}")
     if a != b:
-        only_a = [x for x in a if x not in set(b)][:2]
-        only_b = [x for x in b if x not in set(a)][:2]
+        in_a, in_b = set(a), set(b)
+        only_a, only_b = [x for x in a if x not in in_b][:2], [x for x in b if x not in in_a][:2]
         problems.append(f"values differ\n   spark {only_a}\n   duck  {only_b}")
     if not a:
         problems.append("no rows")
