@@ -13,6 +13,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from strata.operators.silver import deduplicate
 
 METRICS = ("cosine", "dot", "euclid")
 
@@ -40,8 +43,6 @@ def upsert(collection: DataFrame, updates: DataFrame, dim: int, order_by: Sequen
 
     Rows without an id get the md5 of their vector.
     """
-    from strata.operators.silver import deduplicate
-
     new_id = F.coalesce(F.col(id_col).cast("string"), F.md5(F.to_json(vector_col)))
     named = updates.withColumns({vector_col: checked_vector(F.col(vector_col), dim),
                                  id_col: new_id.cast(collection.schema[id_col].dataType)})
@@ -52,8 +53,9 @@ def upsert(collection: DataFrame, updates: DataFrame, dim: int, order_by: Sequen
 def _scores(block: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
     """Scores (queries x rows); larger is better, distances come out negative."""
     if metric == "euclid":
-        square = (queries ** 2).sum(1)[:, None] + (block ** 2).sum(1)[None, :] - 2.0 * queries @ block.T
-        near = square < 1e-6
+        sizes = (queries ** 2).sum(1)[:, None] + (block ** 2).sum(1)[None, :]
+        square = sizes - 2.0 * queries @ block.T
+        near = square < 1e-6 * sizes
         if near.any():  # the expanded form loses digits for near-equal vectors
             q, r = np.nonzero(near)
             square[q, r] = ((queries[q] - block[r]) ** 2).sum(1)
@@ -74,24 +76,27 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 def _top_in_task(
     ids: Sequence, queries: np.ndarray, metric: str, k: int, id_col: str, vector_col: str, keep: list[str],
-    threshold: float | None,
+    schema: T.StructType, threshold: float | None,
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Scan function: best k rows of a task for every query of the block."""
     dim = queries.shape[1]
+    names = [f.name for f in schema.fields]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: list[pd.DataFrame | None] = [None] * len(ids)
+        # No row below a query's floor can enter its best k.
         floor = np.full(len(ids), -np.inf if threshold is None else threshold)
         for batch in batches:
             batch = batch.filter(batch.column(vector_col).is_valid())
             for start in range(0, batch.num_rows, _ROW_BLOCK):
                 part = batch.slice(start, _ROW_BLOCK)
                 scores = _scores(_matrix(part.column(vector_col), dim), queries, metric)
+                if part.num_rows > k:
+                    floor = np.maximum(floor, np.partition(scores, -k, axis=1)[:, -k])
+                passing = scores >= floor[:, None]
                 payload = part.select(keep)
-                for q in range(len(ids)):
-                    hits = np.nonzero(scores[q] >= floor[q])[0]
-                    if not len(hits):
-                        continue
+                for q in np.nonzero(passing.any(axis=1))[0]:
+                    hits = np.nonzero(passing[q])[0]
                     rows = payload.take(pa.array(hits)).to_pandas()
                     rows["_score"] = scores[q][hits]
                     merged = rows if best[q] is None else pd.concat([best[q], rows], ignore_index=True)
@@ -99,9 +104,11 @@ def _top_in_task(
                     best[q] = merged
                     if len(merged) == k:
                         floor[q] = max(floor[q], merged["_score"].iloc[-1])
-        frames = [b.assign(_query=ids[q]) for q, b in enumerate(best) if b is not None]
-        if frames:
-            yield from pa.Table.from_pandas(pd.concat(frames, ignore_index=True), preserve_index=False).to_batches()
+        for q, rows in enumerate(best):
+            if rows is not None:
+                table = pa.Table.from_pandas(rows.assign(_query=ids[q])[names], schema=to_arrow_schema(schema),
+                                             preserve_index=False)
+                yield from table.to_batches()
 
     return scan
 
@@ -111,7 +118,7 @@ def _task_tops(df: DataFrame, ids: Sequence, query_type: T.DataType, queries: np
     keep = [id_col, *[c for c in payload if c != id_col]]
     schema = T.StructType([*[df.schema[c] for c in keep], T.StructField("_score", T.DoubleType()),
                            T.StructField("_query", query_type)])
-    scan = _top_in_task(ids, queries, metric, k, id_col, vector_col, keep, threshold)
+    scan = _top_in_task(ids, queries, metric, k, id_col, vector_col, keep, schema, threshold)
     return df.select(vector_col, *keep).mapInArrow(scan, schema)
 
 

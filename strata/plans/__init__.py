@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from strata.plans import (  # noqa: F401  (importing a module registers its queries)
     event_log,
+    governance,
     layers,
+    search,
     tables,
 )
 from strata.plans.registry import ORACLES, QUERIES
