@@ -7,6 +7,7 @@ from strata.plans import (  # noqa: F401  (importing a module registers its quer
     governance,
     layers,
     search,
+    sql,
     tables,
 )
 from strata.plans.registry import ORACLES, QUERIES
