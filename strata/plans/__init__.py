@@ -8,6 +8,7 @@ from strata.plans import (  # noqa: F401  (importing a module registers its quer
     layers,
     search,
     sql,
+    streams,
     tables,
 )
 from strata.plans.registry import ORACLES, QUERIES

@@ -69,11 +69,11 @@ def payload_text() -> Column:
     )
 
 
-def envelopes_of(events: DataFrame) -> DataFrame:
-    """Envelope columns plus ``src_id``, ``ts`` and ``user_id``; works on streams as well."""
+def envelopes_of(events: DataFrame, *extra: str) -> DataFrame:
+    """Envelope columns plus ``src_id``, ``ts``, ``user_id`` and ``extra``; works on streams as well."""
     shaped = events.withColumn("etype", F.expr(TYPE))
     return shaped.select(
-        F.col("event_id").alias("src_id"), "ts", "user_id", "value",
+        F.col("event_id").alias("src_id"), "ts", "user_id", "value", *extra,
         F.expr(EVENT_ID).alias("event_id"),
         F.col("etype").alias("event_type"),
         F.when(F.expr(BAD_TIME), F.lit("not-a-time")).otherwise(ev.iso_text(F.col("ts"))).alias("event_timestamp"),

@@ -99,7 +99,7 @@ def commit_batches(
 def read_committed(spark: SparkSession, path: str, name: str) -> DataFrame:
     """Rows of finished batches. The list of finished batches is metadata and small."""
     done = spark.read.parquet(f"{path}/commits").select("batch_id").distinct()
-    return spark.read.parquet(f"{path}/{name}").join(F.broadcast(done), "batch_id", "left_semi").drop("batch_id")
+    return spark.read.parquet(f"{path}/{name}").join(done, "batch_id", "left_semi").drop("batch_id")
 
 
 def route_batches(failed_at: Column) -> Callable[[DataFrame], dict[str, DataFrame]]:
