@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from strata.functions import events as ev
 from strata.functions.text import trim_unicode
+from strata.operators.plan import computed_once
 
 
 def parse(df: DataFrame, value: str = "value") -> DataFrame:
@@ -13,12 +14,12 @@ def parse(df: DataFrame, value: str = "value") -> DataFrame:
 
     Missing metadata becomes an empty map, a missing version ``1.0``; unreadable text stays in ``_corrupt_record``.
     """
-    parsed = df.withColumn("_event", ev.parse_envelope(F.col(value)))
-    fields = {n: F.col(f"_event.{n}") for n in ev.ENVELOPE_COLUMNS}
-    fields["metadata"] = F.coalesce(fields["metadata"], ev.empty_map())
-    fields["schema_version"] = F.coalesce(fields["schema_version"], F.lit(ev.SCHEMA_VERSION))
-    fields[ev.CORRUPT] = F.col(f"_event.{ev.CORRUPT}")
-    return parsed.withColumns(fields).drop("_event")
+    fields = [*ev.ENVELOPE_COLUMNS, ev.CORRUPT]
+    parsed = computed_once(df.drop(*fields), ev.parse_envelope(F.col(value)))
+    return parsed.withColumns({
+        "metadata": F.coalesce("metadata", ev.empty_map()),
+        "schema_version": F.coalesce("schema_version", F.lit(ev.SCHEMA_VERSION)),
+    })
 
 
 def serialize(df: DataFrame, alias: str = "value") -> DataFrame:
@@ -30,14 +31,14 @@ def serialize(df: DataFrame, alias: str = "value") -> DataFrame:
 
 def validate(df: DataFrame) -> DataFrame:
     """Add ``errors``: what is wrong with each envelope, in a fixed order."""
-    return df.withColumn("errors", ev.envelope_errors())
+    return computed_once(df.drop("errors"), F.struct(ev.envelope_errors().alias("errors")))
 
 
 def typed(df: DataFrame, event_type: str) -> DataFrame:
     """Events of one type with their payload as typed columns."""
-    of_type = df.filter(F.col("event_type") == event_type)
-    return of_type.withColumn("_p", ev.parse_payload(F.col("payload"), event_type)).select(
-        "event_id", "event_timestamp", "source_system", "_p.*")
+    of_type = df.filter(F.col("event_type") == event_type).select(
+        "event_id", "event_timestamp", "source_system", "payload")
+    return computed_once(of_type, ev.parse_payload(F.col("payload"), event_type)).drop("payload")
 
 
 def route(df: DataFrame, topic: str | None = None) -> DataFrame:
@@ -107,13 +108,11 @@ def trim_payload_json(payload: Column) -> Column:
 
     Only values that are JSON strings change: numbers, nested objects and arrays are written back as they were.
     """
-    fields = F.from_json(payload, "map<string,variant>")
-    members = F.transform(F.map_keys(fields), lambda k: F.concat(_quoted(k), F.lit(":"), F.coalesce(
-        F.when(F.schema_of_variant(fields[k]) == "STRING",
-               _quoted(trim_unicode(F.try_variant_get(fields[k], "$", "string")))),
-        F.to_json(fields[k]), F.lit("null"))))
-    rebuilt = F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
-    return F.when(ev.is_json_object(payload), rebuilt).otherwise(payload)
+    trimmed = F.transform_values(
+        F.from_json(payload, "map<string,variant>"),
+        lambda _, v: F.when(F.to_json(v).startswith('"'),
+                            trim_unicode(F.try_variant_get(v, "$", "string")).cast("variant")).otherwise(v))
+    return F.when(ev.is_json_object(payload), F.to_json(trimmed)).otherwise(payload)
 
 
 def _quoted(text: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from strata.cluster import checkpointed
+from strata.operators.plan import computed_once
 
 # Event type and job namespace of a tracked transformation.
 COMPLETE = "COMPLETE"
@@ -38,9 +39,9 @@ def run_event(
 
 def edges(log: DataFrame, value: str = "value") -> DataFrame:
     """Distinct dataset-to-dataset edges of the finished runs in an event log."""
-    event = log.select(F.from_json(value, RUN_EVENT).alias("e")).filter(F.col("e.eventType") == COMPLETE)
+    event = computed_once(log.select(value), F.from_json(value, RUN_EVENT)).filter(F.col("eventType") == COMPLETE)
     # Runs repeat: keep one row per input and output list before they are paired up.
-    lists = event.select("e.inputs", "e.outputs").distinct()
+    lists = event.select("inputs", "outputs").distinct()
     pairs = lists.select(F.explode("inputs").alias("i"), "outputs").select("i", F.explode("outputs").alias("o"))
     node = lambda side: F.concat_ws(".", f"{side}.namespace", f"{side}.name")
     return pairs.select(node("i").alias("source"), node("o").alias("target")).distinct()

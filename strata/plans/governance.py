@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from strata.cluster import checkpointed
 from strata.operators import lineage, opsmetrics, protect, quality
 from strata.operators.quality import Rule
 from strata.plans.inputs import ENVELOPES_SQL, log
@@ -227,7 +228,7 @@ def lineage_graph_counts(spark: SparkSession, sf: str) -> DataFrame:
 """)
 def lineage_impact(spark: SparkSession, sf: str) -> DataFrame:
     """Everything downstream of every raw source."""
-    edges = lineage.edges(lineage_log(spark, sf))
+    edges = checkpointed(lineage.edges(lineage_log(spark, sf)))
     starts = edges.filter(F.col("source").startswith("bronze")).select("source")
     return lineage.impact(edges, starts)
 
