@@ -26,8 +26,12 @@ REQUIRED_FIELDS = ("event_id", "event_type", "event_timestamp", "source_system")
 PAYLOAD_ERROR = "payload must be a dictionary"
 TIMESTAMP_ERROR = "event_timestamp must be valid ISO 8601 format"
 
-ISO_PATTERN = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
-               r"([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.,][0-9]+)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?$")
+# ISO 8601 as dates are read: extended or compact, calendar or week date, then any one character and a time of day.
+_EXTENDED_TIME = r"([01][0-9]|2[0-3])(:[0-5][0-9](:[0-5][0-9]([.,][0-9]+)?)?)?"
+_COMPACT_TIME = r"([01][0-9]|2[0-3])([0-5][0-9]([0-5][0-9]([.,][0-9]+)?)?)?"
+_TIME = f"({_EXTENDED_TIME}|{_COMPACT_TIME})"
+CALENDAR_PATTERN = f"^([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{8}})(.{_TIME}([+-]{_TIME})?)?$"
+WEEK_PATTERN = f"^([0-9]{{4}}-W[0-9]{{2}}(-[1-7])?|[0-9]{{4}}W[0-9]{{2}}[1-7]?)(.{_TIME}([+-]{_TIME})?)?$"
 
 ENVELOPE = T.StructType([
     T.StructField("event_id", T.StringType()),
@@ -90,9 +94,15 @@ def is_json_object(text: Column) -> Column:
 
 
 def is_iso_timestamp(text: Column) -> Column:
-    """ISO 8601 date or date-time. The pattern alone lets month 13 through, the cast alone lets ``2024`` through."""
-    return F.coalesce(text.rlike(ISO_PATTERN) & F.replace(text, F.lit(","), F.lit(".")).try_cast("timestamp")
-                      .isNotNull(), F.lit(False))
+    """ISO 8601 date or date-time. The patterns fix the form and the time; the calendar decides about the date."""
+    whole = F.replace(text, F.lit("Z"), F.lit("+00:00"))
+    day = F.regexp_replace(F.left(whole, F.lit(10)), "^([0-9]{4})-?([0-9]{2})-?([0-9]{2}).*$", "$1-$2-$3")
+    calendar = whole.rlike(CALENDAR_PATTERN) & (F.left(day, F.lit(4)) != "0000") & day.try_cast("date").isNotNull()
+    # The 28th of December is always in the last week of its year.
+    last_week = F.weekofyear(F.concat(F.left(whole, F.lit(4)), F.lit("-12-28")).try_cast("date"))
+    week = F.regexp_extract(whole, "W([0-9]{2})", 1).try_cast("int")
+    by_week = whole.rlike(WEEK_PATTERN) & (F.left(whole, F.lit(4)) != "0000") & week.between(1, last_week)
+    return F.coalesce(calendar | by_week, F.lit(False))
 
 
 def envelope_errors(prefix: str = "") -> Column:

@@ -26,6 +26,8 @@ def exact_avg(col: Column | str, scale: int = 2) -> Column:
 def _aggregate(column: str, function: str, dtype: T.DataType, scale: int | None) -> Column:
     col = F.col(f"`{column}`")
     exact = scale is not None and isinstance(dtype, (T.DoubleType, T.FloatType))
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        col = F.when(~F.isnan(col), col)
     if function == "sum":
         return F.coalesce(exact_sum(col, scale) if exact else F.sum(col), F.lit(0))
     if function == "count":
@@ -47,7 +49,7 @@ def aggregate(
 ) -> DataFrame:
     """Group and aggregate, one function per column; the output keeps the column's name.
 
-    Rows with a NULL key are dropped and a sum over no values is 0. ``scale`` sums doubles as decimals with that
+    Rows with a NULL or NaN key are dropped, NaN values count as missing, and a sum over no values is 0. ``scale`` sums doubles as decimals with that
     many places. Partial aggregation runs before the shuffle, so hot keys cost one row per map task.
     """
     types = {f.name: f.dataType for f in df.schema.fields}

@@ -38,8 +38,11 @@ def deduplicate(
 
 
 def without_existing(df: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in the target yet. NULL keys are compared as equal."""
-    existing = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
+    """Rows whose key is not in the target yet. NULL keys are compared as equal.
+
+    The target's keys are made distinct first: a key it holds very often is one row per map task in the shuffle.
+    """
+    existing = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys]).distinct()
     match = [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys]
     condition = match[0]
     for m in match[1:]:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -15,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from strata.cluster import checkpointed
 from strata.operators.silver import deduplicate
 
 METRICS = ("cosine", "dot", "euclid")
@@ -22,6 +24,7 @@ METRICS = ("cosine", "dot", "euclid")
 # A block of queries travels to every task: 512 queries of 1536 doubles are 6 MB.
 QUERY_BLOCK = 512
 _ROW_BLOCK = 4096
+_PASSES_PER_CHECKPOINT = 16
 
 
 def metric_name(metric: str) -> str:
@@ -147,7 +150,8 @@ def search_many(
     """The ``limit`` best vectors for every query, with ``rank``.
 
     Queries travel to the scan tasks in blocks of at most about ``block``; more queries than that mean more passes
-    over the vectors, each for its own share of the queries, and never a larger block or a pairing shuffle.
+    over the vectors, each for its own share of the queries, and never a larger block or a pairing shuffle. After
+    every few passes the finished shares are checkpointed, so the plan stays short however many queries there are.
     """
     name = metric_name(metric)
     wanted = queries.filter(F.col(query_vector).isNotNull()).select(
@@ -155,23 +159,24 @@ def search_many(
     count = wanted.count()
     passes = max(1, math.ceil(count / block))
     share = F.pmod(F.xxhash64("_query"), F.lit(passes))
-    tops: DataFrame | None = None
+    window = Window.partitionBy("_query").orderBy(F.desc("_score"), id_col)
+    shares: list[DataFrame] = []
     for i in range(passes):
         # At most about ``block`` rows by construction: the queries of this pass.
         rows = wanted.filter(share == i).collect() if passes > 1 else wanted.collect()
         if not rows:
             continue
         matrix = np.asarray([r["_vector"] for r in rows], dtype=np.float64)
-        part = _task_tops(df, [r["_query"] for r in rows], queries.schema[query_id].dataType, matrix, name, limit, id_col,
+        tops = _task_tops(df, [r["_query"] for r in rows], queries.schema[query_id].dataType, matrix, name, limit, id_col,
                           vector_col, [], None)
-        tops = part if tops is None else tops.union(part)
-    if tops is None:
-        empty = wanted.limit(0).select(F.col("_query").alias(query_id))
-        return empty.select(query_id, F.lit(None).cast(df.schema[id_col].dataType).alias(f"match_{id_col}"),
-                            F.lit(0.0).alias("score"), F.lit(0).alias("rank"))
-    window = Window.partitionBy("_query").orderBy(F.desc("_score"), id_col)
+        shares.append(tops.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= limit))
+        if len(shares) == _PASSES_PER_CHECKPOINT:
+            shares = [checkpointed(reduce(DataFrame.union, shares))]
+    if not shares:
+        shares.append(df.limit(0).select(id_col, F.lit(0.0).alias("_score"), F.lit(None).cast(
+            queries.schema[query_id].dataType).alias("_query"), F.lit(0).alias("rank")))
     score = -F.col("_score") if name == "euclid" else F.col("_score")
-    return tops.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= limit).select(
+    return reduce(DataFrame.union, shares).select(
         F.col("_query").alias(query_id), F.col(id_col).alias(f"match_{id_col}"), score.alias("score"), "rank")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.functions import events as ev
 from strata.operators import events, messages
+from strata.operators.plan import computed_once
 from strata.plans.inputs import ENVELOPES_SQL, envelope_json, envelopes, envelopes_of, log
 from strata.plans.registry import ntz, register, table
 from strata.sources.kafka import TOPIC_RETENTION_MS
@@ -40,16 +41,14 @@ def event_parse(spark: SparkSession, sf: str) -> DataFrame:
     FROM ({ENVELOPES_SQL})
 """)
 def event_serialize(spark: SparkSession, sf: str) -> DataFrame:
-    out = events.serialize(envelopes(spark, sf), "json")
-
-    def field(path: str):
-        return F.get_json_object("json", path)
-
-    return out.select(
-        "src_id", field("$.event_id").alias("event_id"), field("$.event_type").alias("event_type"),
-        field("$.event_timestamp").alias("event_timestamp"), field("$.metadata.trace").alias("trace"),
-        field("$.schema_version").alias("schema_version"), field("$.payload.amount").cast("double").alias("amount"),
-        field("$.payload.resource").alias("resource"), field("$.payload[1]").alias("second_item"))
+    out = events.serialize(envelopes(spark, sf), "json").select("src_id", "json")
+    read = F.from_json("json", "event_id STRING, event_type STRING, event_timestamp STRING, "
+                               "metadata STRUCT<trace: STRING>, schema_version STRING, payload STRING")
+    return computed_once(out, read).select(
+        "src_id", "event_id", "event_type", "event_timestamp", F.col("metadata.trace").alias("trace"), "schema_version",
+        F.get_json_object("payload", "$.amount").cast("double").alias("amount"),
+        F.get_json_object("payload", "$.resource").alias("resource"),
+        F.get_json_object("payload", "$[1]").alias("second_item"))
 
 
 @register("event_validate", f"SELECT src_id, errors FROM ({ENVELOPES_SQL})")

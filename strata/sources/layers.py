@@ -85,16 +85,16 @@ def write_layer(
 ) -> None:
     """Write a table in its layer's codec, in directories by the layer's transform of ``time_column``.
 
-    Rows are not shuffled by partition value first: a day that holds most of the batch would go to one task.
-    ``maxRecordsPerFile`` keeps files bounded.
+    The rebalance hint gathers each directory's rows into files of the advised partition size and splits a
+    directory that holds most of the batch over many tasks.
     """
     profile = LAYERS[layer]
     writer = df
     names: list[str] = []
     if time_column:
         spec = [(time_column, transform or profile.transform)]
-        writer = with_partitions(df, spec)
         names = [partition_name(*spec[0])]
+        writer = with_partitions(df, spec).hint("rebalance", *names)
     out = writer.write.mode(mode).option("compression", profile.codec).option("maxRecordsPerFile", 20_000_000)
     out.option("partitionOverwriteMode", "dynamic").partitionBy(*names).parquet(path)
 
