@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from strata.cluster import RECOMMENDED_CONF  # noqa: E402
+from strata.cluster import RECOMMENDED_CONF, clear_scratch  # noqa: E402
 from strata.plans import QUERIES  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -55,6 +55,7 @@ def main() -> None:
     print(json.dumps({
         "metric": "total_seconds", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times,
         "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"), "cpus": int(CPUS), **rates}))
+    clear_scratch(spark)
     spark.stop()
 
 

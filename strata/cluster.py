@@ -44,8 +44,19 @@ def work_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared work folder."""
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in this application's part of the shared work folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{work_dir(spark)}/strata-{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application put there; frames that read it are of no use afterwards."""
+    sc = spark.sparkContext
+    root = sc._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(sc._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -7,18 +7,23 @@ so only k rows per task and query are ever shuffled, and the vectors are not.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from strata.cluster import checkpointed
 from strata.operators.silver import deduplicate
 
+# Tasks receive the scan functions of this module by value, so executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 METRICS = ("cosine", "dot", "euclid")
 
 # A block of queries travels to every task: 512 queries of 1536 doubles are 6 MB.

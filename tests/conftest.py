@@ -10,6 +10,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from strata.cluster import clear_scratch  # noqa: E402
 from tests.oracle import session  # noqa: E402
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -20,6 +21,7 @@ def spark():
     s = session("4")
     s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strata-test-"))
     yield s
+    clear_scratch(s)
     s.stop()
 
 

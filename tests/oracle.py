@@ -14,7 +14,7 @@ import time
 import duckdb
 from pyspark.sql import SparkSession
 
-from strata.cluster import RECOMMENDED_CONF
+from strata.cluster import RECOMMENDED_CONF, clear_scratch
 from strata.plans import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
@@ -117,6 +117,7 @@ def main(keys: list[str]) -> int:
         failed += bool(problems)
         mark = "FAIL" if problems else ("ok" if key in ORACLES else "ok (rows only)")
         print(f"{mark:5} {key:28} {time.time() - started:6.2f}s", *problems, sep="  ", flush=True)
+    clear_scratch(spark)
     print(f"{len(keys or QUERIES) - failed} ok, {failed} failed")
     return 1 if failed else 0
 

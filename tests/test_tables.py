@@ -8,7 +8,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from strata.cluster import scratch_path, work_dir
+from strata.cluster import clear_scratch, scratch_path, work_dir
 from strata.sources import layers, partitions
 from strata.sources.versions import UnknownVersion, VersionedTable, extend, latest_state
 from tests.conftest import rows
@@ -232,7 +232,7 @@ class FakeSession:
 
     def __init__(self, master: str, **conf: str) -> None:
         self.master, self.settings, self.folder = master, conf, None
-        self.conf, self.sparkContext = self, self
+        self.conf, self.sparkContext, self.applicationId = self, self, "app-1"
 
     def get(self, key, default=None):
         return self.settings.get(key.replace(".", "_"), default)
@@ -244,12 +244,18 @@ class FakeSession:
         self.folder = folder
 
 
-def test_work_folder_comes_from_the_session(spark):
+def test_work_folder_comes_from_the_session():
     named = FakeSession("spark://h:7077", spark_checkpoint_dir="hdfs://nn/work/")
     assert work_dir(named) == "hdfs://nn/work" and named.folder == "hdfs://nn/work/"
-    assert scratch_path(named, "x").startswith("hdfs://nn/work/x-")
+    assert scratch_path(named, "x").startswith("hdfs://nn/work/strata-app-1/x-")
     assert scratch_path(named, "x") != scratch_path(named, "x")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         work_dir(FakeSession("spark://h:7077"))
     assert work_dir(FakeSession("local[2]"))
-    assert work_dir(spark) == spark.sparkContext.getCheckpointDir()
+
+
+def test_scratch_tables_can_be_cleared(spark):
+    path = scratch_path(spark, "x")
+    spark.range(1).write.parquet(path)
+    clear_scratch(spark)
+    assert not os.path.exists(path.removeprefix("file:"))
