@@ -53,11 +53,11 @@ def decode(df: DataFrame, value_format: str = "json") -> DataFrame:
     if value_format == "json":
         error = F.coalesce(error, F.when(text.isNotNull() & F.try_parse_json(text).isNull(),
                                          F.lit("value is not JSON")))
-    names = F.transform("headers", lambda h: h["key"])
-    # A header sent twice keeps its last value.
+    names = F.col("headers.key")
+    # A header sent twice keeps its last value; most messages send none twice.
     last = F.filter("headers", lambda h, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), h["key"]))
-    header_map = F.map_from_entries(
-        F.transform(last, lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value"))))
+    unique = F.when(F.size(F.array_distinct(names)) < F.size(names), last).otherwise(F.col("headers"))
+    header_map = F.map_from_arrays(unique["key"], unique["value"]).cast("map<string,string>")
     columns = {
         "key": F.col("key").cast("string"),
         "headers": F.coalesce(header_map, F.create_map().cast("map<string,string>")),

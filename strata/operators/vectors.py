@@ -14,9 +14,10 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
-from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 
 from strata.cluster import checkpointed
 from strata.operators.silver import deduplicate
@@ -67,12 +68,15 @@ def _scores(block: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
         if near.any():  # the expanded form loses digits for near-equal vectors
             q, r = np.nonzero(near)
             square[q, r] = ((queries[q] - block[r]) ** 2).sum(1)
-        return -np.sqrt(np.maximum(square, 0.0))
-    dots = queries @ block.T
-    if metric == "dot":
-        return dots
-    norms = np.linalg.norm(queries, axis=1)[:, None] * np.linalg.norm(block, axis=1)[None, :]
-    return np.divide(dots, norms, out=np.zeros_like(dots), where=norms > 0)
+        scores = -np.sqrt(np.maximum(square, 0.0))
+    else:
+        scores = queries @ block.T
+        if metric == "cosine":
+            norms = np.linalg.norm(queries, axis=1)[:, None] * np.linalg.norm(block, axis=1)[None, :]
+            scores = np.divide(scores, norms, out=np.zeros_like(scores), where=norms > 0)
+    # Equal vectors may differ in the last bits by their place in a block; 40 bits are kept so that they tie.
+    bits = np.ascontiguousarray(scores).view(np.int64)
+    return ((bits + (1 << 11)) & ~np.int64((1 << 12) - 1)).view(np.float64)
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -83,40 +87,54 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def _top_in_task(
-    ids: Sequence, queries: np.ndarray, metric: str, k: int, id_col: str, vector_col: str, keep: list[str],
-    schema: T.StructType, threshold: float | None,
+    ids: pa.Array, queries: np.ndarray, metric: str, k: int, id_col: str, vector_col: str, keep: list[str],
+    schema: pa.Schema, threshold: float | None,
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Scan function: best k rows of a task for every query of the block."""
+    """Scan function: best k rows of a task for every query of the block.
+
+    The best so far are one table with the query's number and the score. Every block of vectors adds the rows that
+    reach the query's floor, its k-th best score, and the table is cut back to k rows per query.
+    """
     dim = queries.shape[1]
-    names = [f.name for f in schema.fields]
+    order = [("_q", "ascending"), ("_score", "descending"), (id_col, "ascending")]
+
+    def cut(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
+        """First k rows per query, and each row's place within its query."""
+        table = table.take(pc.sort_indices(table, sort_keys=order))
+        q = table.column("_q").to_numpy()
+        place = np.arange(len(q)) - np.searchsorted(q, q)
+        return table.filter(pa.array(place < k)), place[place < k]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: list[pd.DataFrame | None] = [None] * len(ids)
-        # No row below a query's floor can enter its best k.
+        best: pa.Table | None = None
         floor = np.full(len(ids), -np.inf if threshold is None else threshold)
         for batch in batches:
             batch = batch.filter(batch.column(vector_col).is_valid())
             for start in range(0, batch.num_rows, _ROW_BLOCK):
                 part = batch.slice(start, _ROW_BLOCK)
+                part = part.take(pc.sort_indices(part.column(id_col)))
                 scores = _scores(_matrix(part.column(vector_col), dim), queries, metric)
                 if part.num_rows > k:
                     floor = np.maximum(floor, np.partition(scores, -k, axis=1)[:, -k])
                 passing = scores >= floor[:, None]
-                payload = part.select(keep)
-                for q in np.nonzero(passing.any(axis=1))[0]:
-                    hits = np.nonzero(passing[q])[0]
-                    rows = payload.take(pa.array(hits)).to_pandas()
-                    rows["_score"] = scores[q][hits]
-                    merged = rows if best[q] is None else pd.concat([best[q], rows], ignore_index=True)
-                    merged = merged.sort_values(["_score", id_col], ascending=[False, True], kind="stable").head(k)
-                    best[q] = merged
-                    if len(merged) == k:
-                        floor[q] = max(floor[q], merged["_score"].iloc[-1])
-        for q, rows in enumerate(best):
-            if rows is not None:
-                table = pa.Table.from_pandas(rows.assign(_query=ids[q])[names], schema=to_arrow_schema(schema),
-                                             preserve_index=False)
-                yield from table.to_batches()
+                # Many equal scores at the floor: the rows are in id order, so a stable sort finds the k to keep.
+                for q in np.nonzero(passing.sum(axis=1) > 2 * k)[0]:
+                    first = np.argsort(-scores[q], kind="stable")[:k]
+                    passing[q] = False
+                    passing[q, first] = True
+                    passing[q] &= scores[q] >= floor[q]
+                q, row = np.nonzero(passing)
+                if not len(q):
+                    continue
+                found = pa.Table.from_batches([part.select(keep)]).take(pa.array(row))
+                found = found.append_column("_score", pa.array(scores[q, row])).append_column("_q", pa.array(q))
+                best, place = cut(found if best is None else pa.concat_tables([best, found]))
+                full = best.filter(pa.array(place == k - 1))
+                full_q = full.column("_q").to_numpy()
+                floor[full_q] = np.maximum(floor[full_q], full.column("_score").to_numpy())
+        if best is not None:
+            named = best.append_column("_query", ids.take(best.column("_q").combine_chunks()))
+            yield from named.select(schema.names).cast(schema).combine_chunks().to_batches()
 
     return scan
 
@@ -126,7 +144,10 @@ def _task_tops(df: DataFrame, ids: Sequence, query_type: T.DataType, queries: np
     keep = [id_col, *[c for c in payload if c != id_col]]
     schema = T.StructType([*[df.schema[c] for c in keep], T.StructField("_score", T.DoubleType()),
                            T.StructField("_query", query_type)])
-    scan = _top_in_task(ids, queries, metric, k, id_col, vector_col, keep, schema, threshold)
+    if k < 1:
+        return df.select(*keep, F.lit(0.0).alias("_score"), F.lit(None).cast(query_type).alias("_query")).limit(0)
+    scan = _top_in_task(pa.array(ids, type=to_arrow_type(query_type)), queries, metric, k, id_col, vector_col, keep,
+                        to_arrow_schema(schema), threshold)
     return df.select(vector_col, *keep).mapInArrow(scan, schema)
 
 
@@ -168,12 +189,12 @@ def search_many(
     shares: list[DataFrame] = []
     for i in range(passes):
         # At most about ``block`` rows by construction: the queries of this pass.
-        rows = wanted.filter(share == i).collect() if passes > 1 else wanted.collect()
-        if not rows:
+        rows = (wanted.filter(share == i) if passes > 1 else wanted).toArrow().combine_chunks()
+        if not rows.num_rows:
             continue
-        matrix = np.asarray([r["_vector"] for r in rows], dtype=np.float64)
-        tops = _task_tops(df, [r["_query"] for r in rows], queries.schema[query_id].dataType, matrix, name, limit, id_col,
-                          vector_col, [], None)
+        asked = rows.column("_vector").chunk(0)
+        tops = _task_tops(df, rows.column("_query").to_pylist(), queries.schema[query_id].dataType,
+                          _matrix(asked, len(asked[0])), name, limit, id_col, vector_col, [], None)
         shares.append(tops.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= limit))
         if len(shares) == _PASSES_PER_CHECKPOINT:
             shares = [checkpointed(reduce(DataFrame.union, shares))]

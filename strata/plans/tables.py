@@ -178,7 +178,7 @@ def read_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """Events after the mark the last run left; the mark is one value."""
     events = table(spark, sf, "events").select("event_id", "ts")
     mark = layers.high_water_mark(events.filter(F.col("ts") < ntz("2024-01-20")), "ts").first()["high_water_mark"]
-    return layers.newer_than(events, "ts", F.lit(mark))
+    return layers.newer_than(events, "ts", mark)
 
 
 @register("retention_purge", """

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from datetime import datetime
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -105,8 +107,13 @@ def retained(df: DataFrame, layer: str, time_column: str, as_of: Column) -> Data
     return df.filter(F.col(time_column) >= as_of - F.make_dt_interval(F.lit(days)))
 
 
-def newer_than(df: DataFrame, column: str, high_water: Column) -> DataFrame:
-    """Rows above the mark of the last run."""
+def newer_than(df: DataFrame, column: str, high_water: Any) -> DataFrame:
+    """Rows above the mark of the last run; without a mark, all rows."""
+    if high_water is None:
+        return df
+    if isinstance(df.schema[column].dataType, T.TimestampNTZType) and isinstance(high_water, datetime):
+        # A Python time would be taken as a moment in the session's time zone.
+        high_water = F.lit(high_water.isoformat(sep=" ")).cast("timestamp_ntz")
     return df.filter(F.col(column) > high_water)
 
 
