@@ -211,7 +211,9 @@ def order_history(spark: SparkSession, sf: str) -> History:
         F.make_timestamp_ntz(commit.cast("int") + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
         .alias("committed_at"), F.lit("append").alias("op"),
         F.array(F.struct(start.alias("first"), commit.alias("last"))).alias("visible"),
-        F.lit(None).cast("string").alias("schema_json"))
+        F.lit(None).cast("string").alias("schema_json"),
+        F.when(commit > start, F.array(F.struct((commit - 1).alias("first"), (commit - 1).alias("last"))))
+        .otherwise(versions.ranges_column([])).alias("touched"))
     back = versions.commit_row(spark, 2002, 1997, [(1995, 1997), (2002, 2002)], "rollback", datetime(2003, 1, 1))
     later = versions.commit_row(spark, 2003, 2002, [(1995, 1997), (2002, 2003)], "append", datetime(2004, 1, 1))
     return History(rows, closes, yearly.unionByName(back).unionByName(later))

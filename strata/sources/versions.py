@@ -3,7 +3,8 @@
 Three frames describe a table: ``rows`` (what each commit added), ``closes`` (hashes of the rows a commit removed)
 and ``commits`` (one small row per commit). Nothing is updated in place. A commit names its parent and the commit
 ids it can see as ranges, so a read of any version is one filter on ``commit_id`` - a directory name on disk -
-and one anti join against the closes.
+and one anti join against the closes. A commit that closes rows also names the commits they came from: rows of all
+other commits are read without the join.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
@@ -20,16 +21,16 @@ from strata.functions.text import record_hash
 from strata.operators.silver import deduplicate
 from strata.sources.layers import file_stats
 
+_RANGES = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())]))
 COMMITS = T.StructType([
     T.StructField("commit_id", T.LongType(), False),
     T.StructField("parent_id", T.LongType()),
     T.StructField("committed_at", T.TimestampNTZType(), False),
     T.StructField("op", T.StringType(), False),
-    T.StructField("visible", T.ArrayType(T.StructType([
-        T.StructField("first", T.LongType()),
-        T.StructField("last", T.LongType()),
-    ]))),
+    T.StructField("visible", _RANGES),
     T.StructField("schema_json", T.StringType()),
+    # Commits whose rows were closed by this one, or by commits forgotten since that this one sees.
+    T.StructField("touched", _RANGES),
 ])
 
 
@@ -47,12 +48,8 @@ def extend(visible: Sequence[tuple[int, int]], commit_id: int) -> list[tuple[int
 Ranges = Sequence[tuple[int, int]]
 
 
-def _ranges(commit: Row) -> list[tuple[int, int]]:
-    return [(r["first"], r["last"]) for r in commit["visible"]]
-
-
-def _schema(commit: Row) -> T.StructType:
-    return T.StructType.fromJson(json.loads(commit["schema_json"]))
+def _ranges(commit: Row, column: str = "visible") -> list[tuple[int, int]]:
+    return [(r["first"], r["last"]) for r in commit[column]]
 
 
 def _intersect(a: Ranges, b: Ranges) -> list[tuple[int, int]]:
@@ -66,6 +63,17 @@ def _subtract(a: Ranges, b: Ranges) -> list[tuple[int, int]]:
     return out
 
 
+def _merge(ranges: Ranges) -> list[tuple[int, int]]:
+    """The same ids in as few ranges as possible."""
+    out: list[tuple[int, int]] = []
+    for first, last in sorted(ranges):
+        if out and first <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(out[-1][1], last))
+        else:
+            out.append((first, last))
+    return out
+
+
 def _in_ranges(column: str, ranges: Ranges) -> Column:
     return reduce(lambda a, b: a | b, [F.col(column).between(lo, hi) for lo, hi in ranges], F.lit(False))
 
@@ -74,17 +82,20 @@ def _ntz(at: datetime) -> Column:
     return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def ranges_column(ranges: Ranges) -> Column:
+    pairs = [F.struct(F.lit(a).cast("bigint").alias("first"), F.lit(b).cast("bigint").alias("last")) for a, b in ranges]
+    return F.array(*pairs).cast(_RANGES)
+
+
 def commit_row(
     spark: SparkSession, commit_id: int, parent_id: int | None, visible: Ranges, op: str, committed_at: datetime,
-    schema_json: str | None = None,
+    schema_json: str | None = None, touched: Ranges = (),
 ) -> DataFrame:
     """One row of table metadata, made in the JVM."""
-    ranges = [F.struct(F.lit(a).cast("bigint").alias("first"), F.lit(b).cast("bigint").alias("last"))
-              for a, b in visible]
     return spark.range(0, 1, 1, 1).select(
         F.lit(commit_id).cast("bigint").alias("commit_id"), F.lit(parent_id).cast("bigint").alias("parent_id"),
-        _ntz(committed_at).alias("committed_at"), F.lit(op).alias("op"), F.array(*ranges).alias("visible"),
-        F.lit(schema_json).cast("string").alias("schema_json"))
+        _ntz(committed_at).alias("committed_at"), F.lit(op).alias("op"), ranges_column(visible).alias("visible"),
+        F.lit(schema_json).cast("string").alias("schema_json"), ranges_column(touched).alias("touched"))
 
 
 @dataclass(frozen=True)
@@ -95,24 +106,29 @@ class History:
     closes: DataFrame
     commits: DataFrame
 
-    def _commit(self, found: DataFrame, wanted: str) -> Row:
-        # One row of table metadata; the data stays on the executors.
-        rows = found.limit(1).collect()
-        if not rows:
-            raise UnknownVersion(f"no version {wanted}")
-        return rows[0]
+    @cached_property
+    def log(self) -> list[Row]:
+        """Table metadata: one small row per commit, oldest first. The data itself stays on the executors."""
+        found = self.commits.select("commit_id", "parent_id", "committed_at", "op", "visible", "touched")
+        return sorted(found.collect(), key=lambda c: c["commit_id"])
 
     def head(self) -> Row:
-        return self._commit(self.commits.orderBy(F.desc("commit_id")), "at all")
+        if not self.log:
+            raise UnknownVersion("the table has no version")
+        return self.log[-1]
 
     def version(self, commit_id: int) -> Row:
-        return self._commit(self.commits.filter(F.col("commit_id") == commit_id), str(commit_id))
+        for commit in self.log:
+            if commit["commit_id"] == commit_id:
+                return commit
+        raise UnknownVersion(f"no version {commit_id}")
 
     def version_at(self, at: datetime) -> Row:
         """The newest version at or before a time, among all versions, also ones rolled back since."""
-        stamp = _ntz(at)
-        found = self.commits.filter(F.col("committed_at") <= stamp)
-        return self._commit(found.orderBy(F.desc("committed_at"), F.desc("commit_id")), f"at or before {at}")
+        found = [c for c in self.log if c["committed_at"] <= at]
+        if not found:
+            raise UnknownVersion(f"no version at or before {at}")
+        return max(found, key=lambda c: (c["committed_at"], c["commit_id"]))
 
     def snapshots(self) -> DataFrame:
         """Version id, time in milliseconds and as ISO text."""
@@ -126,10 +142,17 @@ class History:
     def _state(self, commit: Row, rows: DataFrame | None = None) -> DataFrame:
         """Rows of a version, or those of ``rows`` that the version has not closed."""
         ranges = _ranges(commit)
+        rows = self.rows.filter(_in_ranges("commit_id", ranges)) if rows is None else rows
+        touched = [r for c in self.log if any(a <= c["commit_id"] <= b for a, b in ranges) for r in _ranges(c, "touched")]
+        if not touched:
+            return rows
+        affected = _in_ranges("commit_id", _merge(touched))
+        return rows.filter(~affected).unionByName(self._without_closed(rows.filter(affected), ranges))
+
+    def _without_closed(self, rows: DataFrame, ranges: Ranges) -> DataFrame:
         # One row per closed hash: a hash closed many times must not multiply the join.
         closed = self.closes.filter(_in_ranges("commit_id", ranges)).groupBy(
             F.col("record_hash").alias("_hash")).agg(F.max("commit_id").alias("_closed_by"))
-        rows = self.rows.filter(_in_ranges("commit_id", ranges)) if rows is None else rows
         return rows.join(closed, (F.col("record_hash") == F.col("_hash"))
                          & (F.col("_closed_by") > F.col("commit_id")), "left_anti")
 
@@ -146,10 +169,9 @@ class History:
 
     def rolled_back(self, commit_id: int, committed_at: datetime) -> History:
         """An old version made current again by a new, empty commit; the history stays."""
-        target, new_id = self.version(commit_id), self.head()["commit_id"] + 1
-        visible = extend(_ranges(target), new_id)
-        row = commit_row(self.commits.sparkSession, new_id, commit_id, visible, "rollback", committed_at,
-                         target["schema_json"])
+        new_id = self.head()["commit_id"] + 1
+        visible = extend(_ranges(self.version(commit_id)), new_id)
+        row = commit_row(self.commits.sparkSession, new_id, commit_id, visible, "rollback", committed_at)
         return History(self.rows, self.closes, self.commits.unionByName(row))
 
     def changes(self, first: int, last: int) -> DataFrame:
@@ -182,21 +204,22 @@ class History:
 
         Rows no kept version can see go, and so do rows that a commit seen by every kept version closed.
         """
-        stamp = _ntz(before)
-        head = self.head()["commit_id"]
-        kept = self.commits.filter((F.col("committed_at") >= stamp) | (F.col("commit_id") == head))
-        # Table metadata: one short list of ranges per kept version.
-        seen = [_ranges(c) for c in kept.select("visible").collect()]
+        head = self.head()
+        kept = [c for c in self.log if c["committed_at"] >= before or c is head]
+        forgotten = [c for c in self.log if c not in kept]
+        seen = [_ranges(c) for c in kept]
         common = reduce(_intersect, seen)
-        anywhere = sorted({r for ranges in seen for r in ranges})
+        anywhere = _merge([r for ranges in seen for r in ranges])
         rows = self.rows.filter(_in_ranges("commit_id", anywhere))
         closes = self.closes.filter(_in_ranges("commit_id", anywhere))
         if common:
-            settled = self.closes.filter(_in_ranges("commit_id", common)).groupBy(
-                F.col("record_hash").alias("_hash")).agg(F.max("commit_id").alias("_closed_by"))
-            rows = rows.join(settled, (F.col("record_hash") == F.col("_hash")) & _in_ranges("commit_id", common)
-                             & (F.col("_closed_by") > F.col("commit_id")), "left_anti")
-        return History(rows, closes, kept)
+            settled = _in_ranges("commit_id", common)
+            rows = rows.filter(~settled).unionByName(self._without_closed(rows.filter(settled), common))
+        # What forgotten commits touched is noted on the kept ones.
+        noted = ranges_column(_merge([r for c in forgotten for r in _ranges(c, "touched")]))
+        left = self.commits.filter(F.col("commit_id").isin([c["commit_id"] for c in kept])).withColumn(
+            "touched", F.array_union("touched", noted))
+        return History(rows, closes, left)
 
 
 class VersionedTable:
@@ -218,7 +241,8 @@ class VersionedTable:
         table = cls(spark, path)
         empty = spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
         table._write_rows(empty, 0)
-        table._write_closes(empty.select(F.lit(None).cast("string").alias("record_hash")), 0)
+        table._write_closes(empty.select(F.lit(None).cast("string").alias("record_hash"),
+                                         F.lit(None).cast("bigint").alias("row_commit")), 0)
         table._commit(0, None, [(0, 0)], "create", committed_at, schema)
         return table
 
@@ -227,11 +251,17 @@ class VersionedTable:
     def commits(self) -> DataFrame:
         return self.spark.read.schema(COMMITS).parquet(f"{self.path}/commits")
 
+    def _schema(self, commit_id: int | None = None) -> T.StructType:
+        """The schema as of a commit, or the newest one."""
+        commits = self.commits() if commit_id is None else self.commits().filter(F.col("commit_id") == commit_id)
+        return _schema_of(commits.orderBy(F.desc("commit_id")).first())
+
     def history(self) -> History:
-        schema = _schema(self.commits().orderBy(F.desc("commit_id")).first())
+        schema = self._schema()
         stored = T.StructType([*schema.fields, T.StructField("record_hash", T.StringType()),
                                T.StructField("commit_id", T.LongType())])
-        closes = T.StructType([T.StructField("record_hash", T.StringType()), T.StructField("commit_id", T.LongType())])
+        closes = T.StructType([T.StructField("record_hash", T.StringType()), T.StructField("row_commit", T.LongType()),
+                               T.StructField("commit_id", T.LongType())])
         return History(self.spark.read.schema(stored).parquet(f"{self.path}/rows"),
                        self.spark.read.schema(closes).parquet(f"{self.path}/closes"), self.commits())
 
@@ -266,8 +296,8 @@ class VersionedTable:
         hashes.write.mode("overwrite").parquet(f"{self.path}/closes/commit_id={commit_id}")
 
     def _commit(self, commit_id: int, parent_id: int | None, visible: list[tuple[int, int]], op: str,
-                committed_at: datetime, schema: T.StructType) -> int:
-        row = commit_row(self.spark, commit_id, parent_id, visible, op, committed_at, schema.json())
+                committed_at: datetime, schema: T.StructType, touched: Ranges = ()) -> int:
+        row = commit_row(self.spark, commit_id, parent_id, visible, op, committed_at, schema.json(), touched)
         row.drop("commit_id").write.mode("overwrite").parquet(f"{self.path}/commits/commit_id={commit_id}")
         return commit_id
 
@@ -288,7 +318,7 @@ class VersionedTable:
             return new_id
         self._write_rows(df, new_id)
         return self._commit(new_id, parent["commit_id"], extend(_ranges(parent), new_id), "append", committed_at,
-                            _merged(parent, df.schema))
+                            _with_new_columns(_schema_of(parent), df.schema))
 
     def overwrite(self, df: DataFrame, committed_at: datetime, op: str = "overwrite") -> int:
         """Replace all rows: a commit without parent."""
@@ -300,17 +330,21 @@ class VersionedTable:
         """Delete matching rows; a row whose condition is NULL stays."""
         parent, new_id, _ = self._parent(None)
         # Equal rows match alike, so closing the hash closes every copy; duplicates collapse before the write.
-        matched = self.history().current().filter(condition).select("record_hash").distinct()
+        matched = self.history().current().filter(condition).select(
+            "record_hash", F.col("commit_id").alias("row_commit")).distinct()
         self._write_closes(matched, new_id)
+        written = self.spark.read.parquet(f"{self.path}/closes/commit_id={new_id}")
+        # At most one entry per earlier commit.
+        touched = _merge([(r["row_commit"],) * 2 for r in written.select("row_commit").distinct().collect()])
         return self._commit(new_id, parent["commit_id"], extend(_ranges(parent), new_id), "delete", committed_at,
-                            _schema(parent))
+                            _schema_of(parent), touched)
 
     def rollback(self, commit_id: int, committed_at: datetime) -> int:
         """Make an old version current again."""
         history = self.history()
         target, new_id = history.version(commit_id), history.head()["commit_id"] + 1
         return self._commit(new_id, commit_id, extend(_ranges(target), new_id), "rollback", committed_at,
-                            _schema(target))
+                            self._schema(commit_id))
 
     def compact(self, committed_at: datetime, sort_by: Sequence[str], target_bytes: int = 128 * 1024 * 1024) -> int:
         """Rewrite the current rows into files of about ``target_bytes``, ordered by ``sort_by``.
@@ -333,9 +367,11 @@ class VersionedTable:
         return VersionedTable(self.spark, path)
 
 
-def _merged(parent: Row, schema: T.StructType) -> T.StructType:
-    """The parent's schema, plus columns that are new in this batch."""
-    known = _schema(parent)
+def _schema_of(commit: Row) -> T.StructType:
+    return T.StructType.fromJson(json.loads(commit["schema_json"]))
+
+
+def _with_new_columns(known: T.StructType, schema: T.StructType) -> T.StructType:
     names = set(known.names)
     return T.StructType([*known.fields, *[f for f in schema.fields if f.name not in names]])
 
