@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 
-from strata.cluster import checkpointed
+from strata.cluster import checkpointed, scratch_path
 from strata.operators.silver import deduplicate
 
 # Tasks receive the scan functions of this module by value, so executors need not have the package installed.
@@ -180,27 +180,35 @@ def search_many(
     every few passes the finished shares are checkpointed, so the plan stays short however many queries there are.
     """
     name = metric_name(metric)
-    wanted = queries.filter(F.col(query_vector).isNotNull()).select(
-        F.col(query_id).alias("_query"), F.col(query_vector).cast("array<double>").alias("_vector"))
-    count = wanted.count()
-    passes = max(1, math.ceil(count / block))
-    share = F.pmod(F.xxhash64("_query"), F.lit(passes))
+    id_type = queries.schema[query_id].dataType
+    # Queries that share an id count once, so a share holds about as many queries as planned.
+    wanted = queries.filter(F.col(query_vector).isNotNull()).groupBy(F.col(query_id).alias("_query")).agg(
+        F.min(F.col(query_vector).cast("array<double>")).alias("_vector"))
+    passes = max(1, math.ceil(wanted.count() / block))
+    if passes > 1:
+        # One directory per share: each pass reads its own queries only.
+        path = scratch_path(df.sparkSession, "queries")
+        dealt = wanted.withColumn("_share", F.pmod(F.xxhash64("_query"), F.lit(passes)).cast("int"))
+        dealt.repartition("_share").write.partitionBy("_share").parquet(path)
+        wanted = df.sparkSession.read.parquet(path)
     window = Window.partitionBy("_query").orderBy(F.desc("_score"), id_col)
     shares: list[DataFrame] = []
+    finished: list[DataFrame] = []
     for i in range(passes):
-        # At most about ``block`` rows by construction: the queries of this pass.
-        rows = (wanted.filter(share == i) if passes > 1 else wanted).toArrow().combine_chunks()
+        # About ``block`` rows by construction: the queries of this pass.
+        rows = (wanted.filter(F.col("_share") == i) if passes > 1 else wanted).toArrow().combine_chunks()
         if not rows.num_rows:
             continue
         asked = rows.column("_vector").chunk(0)
-        tops = _task_tops(df, rows.column("_query").to_pylist(), queries.schema[query_id].dataType,
-                          _matrix(asked, len(asked[0])), name, limit, id_col, vector_col, [], None)
+        tops = _task_tops(df, rows.column("_query").to_pylist(), id_type, _matrix(asked, len(asked[0])), name, limit,
+                          id_col, vector_col, [], None)
         shares.append(tops.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= limit))
         if len(shares) == _PASSES_PER_CHECKPOINT:
-            shares = [checkpointed(reduce(DataFrame.union, shares))]
+            finished.append(checkpointed(reduce(DataFrame.union, shares)))
+            shares = []
+    shares = [*finished, *shares]
     if not shares:
-        shares.append(df.limit(0).select(id_col, F.lit(0.0).alias("_score"), F.lit(None).cast(
-            queries.schema[query_id].dataType).alias("_query"), F.lit(0).alias("rank")))
+        shares.append(df.limit(0).select(id_col, F.lit(0.0).alias("_score"), F.lit(None).cast(id_type).alias("_query"), F.lit(0).alias("rank")))
     score = -F.col("_score") if name == "euclid" else F.col("_score")
     return reduce(DataFrame.union, shares).select(
         F.col("_query").alias(query_id), F.col(id_col).alias(f"match_{id_col}"), score.alias("score"), "rank")
@@ -234,7 +242,8 @@ class BucketIndex:
 
     def write(self, path: str) -> None:
         """One directory per bucket, so that a search reads the probed buckets only."""
-        self.bucketed.write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(path)
+        self.bucketed.hint("rebalance", "bucket").write.mode("overwrite").option("compression", "zstd").partitionBy(
+            "bucket").parquet(path)
 
     def stored(self, path: str) -> BucketIndex:
         return BucketIndex(self.centers, self.bucketed.sparkSession.read.parquet(path), self.id_col, self.vector_col)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import base64
+import os
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.cluster import checkpointed
+from strata.functions import events as ev
 from strata.operators import lineage, opsmetrics, protect, quality
 from strata.operators.quality import Rule
-from strata.plans.inputs import ENVELOPES_SQL, log
+from strata.plans.inputs import ENVELOPES_SQL, envelopes, log
 from strata.plans.registry import ntz, register, table
 
 # ---- quality ------------------------------------------------------------------------------------------------
@@ -273,10 +277,11 @@ def mask_pii_in_text(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("encrypt_columns", "SELECT c_custkey, c_name, length(c_name) > 0 AS hidden FROM customer")
 def encrypt_columns(spark: SparkSession, sf: str) -> DataFrame:
-    """Encrypted and decrypted again; ``hidden`` says that the stored text does not show the name."""
+    """Encrypted and decrypted again; ``hidden`` says that the stored text does not show the name.
+
+    A session that was given no key gets a random one for this run.
+    """
     if not spark.conf.get(protect.KEY_CONF, None):
-        import base64
-        import os
         spark.conf.set(protect.KEY_CONF, base64.b64encode(os.urandom(32)).decode())
     customers = table(spark, sf, "customer").select("c_custkey", "c_name", F.col("c_name").alias("plain"))
     stored = protect.encrypt_columns(customers, ["c_name"])
@@ -326,8 +331,6 @@ def message_metrics(spark: SparkSession, sf: str) -> DataFrame:
     complete = F.endswith("value", F.lit(b"}"))
     counted = log(spark, sf).withColumn("status", F.when(complete, "success").otherwise("failure"))
     counts = opsmetrics.message_counts(counted).withColumn("le", F.lit(None).cast("double"))
-    from strata.functions import events as ev
-    from strata.plans.inputs import envelopes
     timed = envelopes(spark, sf).select(ev.topic_for(F.col("event_type")).alias("topic"), "value")
     histogram = opsmetrics.latency_histogram(timed, F.col("value") / 100, ["topic"])
     return counts.unionByName(histogram.withColumn("status", F.lit("latency")))
