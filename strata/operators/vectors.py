@@ -50,13 +50,18 @@ def upsert(collection: DataFrame, updates: DataFrame, dim: int, order_by: Sequen
            vector_col: str = "vector") -> DataFrame:
     """Replace rows by id and add new ones; of several updates with one id the last by ``order_by`` wins.
 
-    Rows without an id get the md5 of their vector.
+    Where ids are text, rows without one get the md5 of their vector; other id types must be given.
     """
-    new_id = F.coalesce(F.col(id_col).cast("string"), F.md5(F.to_json(vector_col)))
-    named = updates.withColumns({vector_col: checked_vector(F.col(vector_col), dim),
-                                 id_col: new_id.cast(collection.schema[id_col].dataType)})
+    id_type = collection.schema[id_col].dataType
+    given = F.col(id_col).cast(id_type)
+    if isinstance(id_type, T.StringType):
+        new_id = F.coalesce(given, F.md5(F.to_json(vector_col)))
+    else:
+        new_id = F.when(given.isNotNull(), given).otherwise(F.raise_error(F.lit(f"{id_col} is missing")))
+    named = updates.withColumns({vector_col: checked_vector(F.col(vector_col), dim), id_col: new_id})
     latest = deduplicate(named, [id_col], order_by).select(*collection.columns)
-    return collection.join(latest.select(id_col), id_col, "left_anti").select(*collection.columns).union(latest)
+    replaced = named.select(id_col).distinct()
+    return collection.join(replaced, id_col, "left_anti").select(*collection.columns).union(latest)
 
 
 def _scores(block: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
@@ -194,16 +199,19 @@ def search_many(
     window = Window.partitionBy("_query").orderBy(F.desc("_score"), id_col)
     shares: list[DataFrame] = []
     finished: list[DataFrame] = []
-    for i in range(passes):
-        # About ``block`` rows by construction: the queries of this pass.
-        rows = (wanted.filter(F.col("_share") == i) if passes > 1 else wanted).toArrow().combine_chunks()
-        if not rows.num_rows:
-            continue
-        asked = rows.column("_vector").chunk(0)
-        tops = _task_tops(df, rows.column("_query").to_pylist(), id_type, _matrix(asked, len(asked[0])), name, limit,
-                          id_col, vector_col, [], None)
-        shares.append(tops.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= limit))
-        if len(shares) == _PASSES_PER_CHECKPOINT:
+    for start in range(0, passes, _PASSES_PER_CHECKPOINT):
+        end = min(start + _PASSES_PER_CHECKPOINT, passes)
+        # A few times ``block`` rows by construction: the queries of the next passes.
+        group = (wanted.filter(F.col("_share").between(start, end - 1)) if passes > 1 else wanted).toArrow()
+        for i in range(start, end):
+            rows = (group.filter(pc.equal(group.column("_share"), i)) if passes > 1 else group).combine_chunks()
+            if not rows.num_rows:
+                continue
+            asked = rows.column("_vector").chunk(0)
+            tops = _task_tops(df, rows.column("_query").to_pylist(), id_type, _matrix(asked, len(asked[0])), name, limit,
+                              id_col, vector_col, [], None)
+            shares.append(tops.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= limit))
+        if end < passes and shares:
             finished.append(checkpointed(reduce(DataFrame.union, shares)))
             shares = []
     shares = [*finished, *shares]

@@ -85,6 +85,9 @@ def test_upsert(spark):
                                 "id string, vector array<double>, tag string, seq int")
     out = {r["tag"]: r for r in vectors.upsert(old, new, 2, ["seq"]).collect()}
     assert set(out) == {"x", "new", "gen"} and out["new"]["vector"] == [3.0, 3.0] and len(out["gen"]["id"]) == 32
+    numbered = old.withColumn("id", F.lit(1).cast("bigint"))
+    with pytest.raises(Exception, match="id is missing"):
+        vectors.upsert(numbered, new.withColumn("id", F.lit(None).cast("bigint")), 2, ["seq"]).collect()
     with pytest.raises(Exception, match="expected 3 dimensions"):
         vectors.upsert(old, new, 3, ["seq"]).collect()
 
