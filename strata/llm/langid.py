@@ -12,11 +12,11 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from strata.llm.sample import bounded_sample
 from strata.llm.textblocks import texts_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -212,17 +212,15 @@ def _label(model: Model, column: pa.Array) -> pa.Array:
          pa.array(votes[best, at] / size)], ["lang", "score", "share"])
 
 
-def train(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str = "lang") -> Model:
+def train(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Model:
     """Fit on at most ``SAMPLE_PER_LANGUAGE`` texts of each language among the rows where ``learn`` holds.
 
-    The sample is that with the lowest text hashes, so it is the same for every layout of the table. Rows with NULL or
-    empty text or NULL language teach nothing; without any language left there is nothing to fit and this raises.
+    Rows with NULL or empty text or NULL language teach nothing; without any language left there is nothing to fit and
+    this raises.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    sample = (docs.where(learn).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-              .where("text is not null and lang is not null and text != ''")
-              .withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_PER_LANGUAGE)
-              .orderBy("lang", "n").toPandas())
+    rows = (docs.where(learn).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+            .where("text is not null and text != ''"))
+    sample = bounded_sample(rows, "lang", "id", SAMPLE_PER_LANGUAGE).select("text", "lang").toPandas()
     if not len(sample):
         raise ValueError("no text with a language to learn from")
     return fit(list(sample["text"]), list(sample["lang"]))

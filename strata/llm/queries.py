@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import chat_queries, langid_queries  # noqa: F401
+from strata.llm import chat_queries, langid_queries, toxicity_queries  # noqa: F401
 from strata.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
