@@ -23,7 +23,7 @@ from strata.llm.textblocks import Words, blocks, mix, words_of
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # The sample that a model learns from: so many texts of each label.
-SAMPLE_PER_LABEL = 3000
+SAMPLE_PER_LABEL = 1500
 # Steps learn from runs of so many words; scoring runs over whole texts.
 SEGMENT = 64
 BUCKETS = 1 << 18
@@ -135,12 +135,25 @@ def _calibrated(calibration: np.ndarray, figures: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(calibration @ figures, -30, 30)))
 
 
+def _read(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Features and text numbers of all words, block by block."""
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], ["text"])
+    features, docs, done = [], [], 0
+    for part in blocks(batch, "text"):
+        words = words_of(part.column("text"), letters=True)
+        features.append(features_of(words))
+        docs.append(words.docs + done)
+        done += part.num_rows
+    if not docs:
+        return np.zeros((1 + len(BEGINNINGS), 0), np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(features, axis=1), np.concatenate(docs)
+
+
 def fit(texts: list[str], labels: list[int], share: float | None = None, epochs: int = 6, batches: int = 12,
         seed: int = 0) -> Model:
     """Train on whole texts; scores are calibrated to the ``share`` of toxic texts, by default that of the sample."""
     toxic = np.array(labels, bool)
-    words = words_of(pa.array(texts, pa.large_string()), letters=True)
-    features, docs = features_of(words), words.docs
+    features, docs = _read(texts)
     truth = _frequent_in(features, docs, toxic) & toxic[docs]
     counts = np.bincount(docs, minlength=len(texts))
     pieces = -(-counts // SEGMENT)
