@@ -34,9 +34,10 @@ from strata.llm.textblocks import blocks
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # A block holds about so many bytes of text, and whole texts only.
-BLOCK_BYTES = 1 << 24
-_SLICE_BYTES = 1 << 21
+BLOCK_BYTES = 6 << 20
+_SLICE_BYTES = 1 << 20
 _ENCODED_AT_ONCE = 10_000
+_IDS_AT_ONCE = 1 << 20
 # Below this character, texts are normalised by lower-casing alone and Python's tables agree with the tokenizer's.
 _SIMPLE = 0x300
 
@@ -275,18 +276,22 @@ def decode(rows: DataFrame, tokenizer: str, ids_col: str = "ids", out_col: str =
     """
     table = pa.array([*piece_table(tokenizer), None], pa.string())
 
+    def texts(column: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+        ids = pc.fill_null(column.flatten(), -1).to_numpy()
+        ids = np.where((ids >= 0) & (ids < len(table) - 1), ids, len(table) - 1)
+        pieces = table.take(pa.array(ids))
+        known = np.asarray(pieces.is_valid())
+        ends = np.concatenate([[0], np.cumsum(known)])[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])]
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pieces.drop_null())
+        return pc.binary_join(lists, " ")
+
     def look_up(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            column = column.cast(pa.large_list(pa.int64()))
-            flat = column.flatten()
-            sizes = np.diff(column.offsets.to_numpy()) * np.asarray(column.is_valid())
-            ids = flat.fill_null(-1).to_numpy()
-            ids = np.where((ids >= 0) & (ids < len(table) - 1), ids, len(table) - 1)
-            pieces = table.take(pa.array(ids))
-            known = np.asarray(pieces.is_valid())
-            ends = np.concatenate([[0], np.cumsum(known)])[np.concatenate([[0], np.cumsum(sizes)])]
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pieces.drop_null())
-            yield pc.binary_join(lists, " ")
+            sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+            group = np.cumsum(sizes, dtype=np.int64) // _IDS_AT_ONCE
+            cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), len(column)]
+            yield pa.concat_arrays([texts(column.slice(a, b - a)) for a, b in zip(cuts, cuts[1:])])
 
     look_up.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return rows.withColumn(out_col, F.arrow_udf(look_up, "string")(F.col(ids_col)))
