@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import bpe_queries, chat_queries, jaccard_queries, langid_queries, toxicity_queries  # noqa: F401
+from strata.llm import bpe_queries, chat_queries, jaccard_queries, langid_queries, quality_queries, toxicity_queries  # noqa: F401
 from strata.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
