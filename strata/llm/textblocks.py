@@ -95,7 +95,8 @@ def blocks(batch: pa.RecordBatch, text_col: str, size: int = BLOCK_BYTES) -> Ite
 
 
 def words_of(column: pa.Array, letters: bool = False) -> Words:
-    """Words in lower case (A-Z): runs of bytes that are no white space, or with ``letters`` of letters and digits."""
+    """Words in lower case: runs of bytes that are no white space, with A-Z lowered, or with ``letters`` runs of letters
+    and digits, with the accented capitals of Latin-1 lowered too."""
     data, offsets = texts_of(column)
     n = len(data)
     if not n:
@@ -110,6 +111,12 @@ def words_of(column: pa.Array, letters: bool = False) -> Words:
     last[:-1] &= ~inside[1:] | edge[1:-1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     # A word's hash is a polynomial of its bytes, taken from running sums over the block.
+    if letters:
+        folded = data.copy()
+        accents = np.flatnonzero(data[:-1] == 0xC3) + 1
+        capital = accents[(data[accents] >= 0x80) & (data[accents] <= 0x9E) & (data[accents] != 0x97)]
+        folded[capital] += 0x20
+        data = folded
     running = np.zeros(n + 1, np.uint64)
     np.cumsum(values[data] * _powers(n, _BASE), out=running[1:])
     hashes = (running[ends] - running[starts]) * _powers(n, _INVERSE)[starts]
