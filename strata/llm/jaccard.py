@@ -38,6 +38,7 @@ _CHUNKS = 64
 # Rounds of checks against central nodes go on while pairs left would be more than so many for each shown token.
 _PAIRS_PER_TOKEN, _ROUNDS = 20, 4
 _MEMBERS = 1 << 23
+_NODE = ["node", "n", "rest", "matches", "central"]
 
 
 def _sets(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -138,12 +139,15 @@ def _prefixes(counts: np.ndarray, shards: int) -> Callable:
                 keys64 = keys[nodes]
                 full = [s for s in range(shards) if ends[s] < ends[s + 1]]
                 pieces = [order[ends[s]:ends[s + 1]] for s in full]
+                last = [None] * len(pieces)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([*full, -1], pa.int32()),
-                     pa.array([_pack(tokens[p]) for p in pieces] + [_pack(np.stack([n, shown, matches]).astype("<i4"))], pa.binary()),
-                     pa.array([_pack(keys64[owner[p]]) for p in pieces] + [_pack(keys64)], pa.binary()),
-                     pa.array([b""] * len(pieces) + [_pack(central.astype("<f8"))], pa.binary())],
-                    ["shard", "tokens", "keys", "central"])
+                     pa.array([_pack(tokens[p]) for p in pieces] + [None], pa.binary()),
+                     pa.array([_pack(keys64[owner[p]]) for p in pieces] + [None], pa.binary()),
+                     pa.array([*last, keys64.tolist()], pa.list_(pa.int64())),
+                     *[pa.array([*last, x.tolist()], pa.list_(pa.int32())) for x in (n, n - shown, matches)],
+                     pa.array([*last, central.tolist()], pa.list_(pa.float64()))],
+                    ["shard", "tokens", "keys", *_NODE])
 
     return run
 
@@ -164,15 +168,6 @@ def _shared(rows: pa.Table) -> pa.Table:
     return pa.table({"token": pa.array(tokens[several].view(np.int64)), "node": pa.array(keys[several])})
 
 
-def _node_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for tokens, keys, central in zip(*(batch.column(c).to_pylist() for c in ("tokens", "keys", "central"))):
-            n, shown, matches = _unpack(tokens, "<i4").reshape(3, -1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_unpack(keys, "<i8")), pa.array(n), pa.array(n - shown), pa.array(matches),
-                 pa.array(_unpack(central, "<f8"))], ["node", "n", "rest", "matches", "central"])
-
-
 def _texts(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(F.col(text_col).cast("string").alias("text")).where("text is not null and text != ''")
 
@@ -190,13 +185,13 @@ def _sizes(keyed: str) -> Callable:
 
 
 def _chosen_sets(members: np.ndarray) -> Callable:
-    """Sets of the nodes that may be members (a bitmap by hash), once in each block."""
+    """Sets of the nodes that may be members (a bitmap by their lowest bits), once in each block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text"):
                 hashes, cuts, sizes, keys = _sets(part)
-                at = (mix(keys.view(np.uint64)) % np.uint64(_MEMBERS)).astype(np.int64)
+                at = keys & (_MEMBERS - 1)
                 wanted = np.flatnonzero((members[at >> 3] >> (at & 7).astype(np.uint8)) & 1 & (sizes > 0))
                 _, first = np.unique(keys[wanted], return_index=True)
                 wanted = np.sort(wanted[first])
@@ -214,14 +209,9 @@ def _chosen_sets(members: np.ndarray) -> Callable:
 def _bitmap(nodes: DataFrame) -> np.ndarray:
     """Bits of fixed number with those of all nodes set, put together in tasks."""
 
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column("node").to_numpy(zero_copy_only=False).view(np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array((mix(keys) % np.uint64(_MEMBERS)).view(np.int64))], ["at"])
-
     out = np.zeros(_MEMBERS // 8, np.uint8)
     size = 1 << 15
-    at = nodes.mapInArrow(bits, "at long")
+    at = nodes.select(F.pmod("node", F.lit(_MEMBERS)).alias("at"))
     for r in at.groupBy(F.floor(F.col("at") / size).alias("part")).agg(
             F.bitmap_construct_agg(F.col("at") % size).alias("bits")).collect():
         out[r.part * size // 8:(r.part + 1) * size // 8] = np.frombuffer(bytes(r.bits), np.uint8)
@@ -257,11 +247,12 @@ def _needed(n_a: Column, n_b: Column, rest_a: Column, rest_b: Column, l_a: Colum
 def links_between(texts: DataFrame) -> DataFrame:
     """Links ``a, b`` between the sets of the texts (column ``text``); implied links may be missing."""
     shards = max(16, 2 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    shown = texts.mapInArrow(_prefixes(shingle_counts(texts), shards),
-                             "shard int, tokens binary, keys binary, central binary")
-    nodes = (shown.where("shard = -1").mapInArrow(_node_rows, "node long, n int, rest int, matches int, central double")
-             .groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "rest", "matches", "central")]))
-    postings = shown.where("shard >= 0").groupBy("shard").applyInArrow(lambda t: _shared(t), "token long, node long")
+    shown = texts.mapInArrow(_prefixes(shingle_counts(texts), shards), (
+        "shard int, tokens binary, keys binary, node array<long>, n array<int>, rest array<int>, matches array<int>,"
+        "central array<double>"))
+    nodes = (shown.where("shard = -1").select(F.explode(F.arrays_zip(*_NODE)).alias("x")).select("x.*")
+             .groupBy("node").agg(*[F.first(c).alias(c) for c in _NODE[1:]]))
+    postings = shown.where("shard >= 0").select("shard", "tokens", "keys").groupBy("shard").applyInArrow(lambda t: _shared(t), "token long, node long")
     postings, path = stored(postings.join(nodes, "node"), "postings")
     links = checkpointed(_connect(texts, postings))
     drop(texts.sparkSession, path)

@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Texts are worked on in blocks of about so many bytes, so that the arrays of a block stay near the processor's cache.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
