@@ -34,27 +34,38 @@ from strata.llm.textblocks import blocks
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # A block holds about so many bytes of text, and whole texts only.
-BLOCK_BYTES = 6 << 20
-_SLICE_BYTES = 1 << 20
-_ENCODED_AT_ONCE = 10_000
-_IDS_AT_ONCE = 1 << 20
+BLOCK_BYTES = 3 << 20
+_SLICE_BYTES = 1 << 18
+_ENCODED_AT_ONCE = 2_000
+_IDS_AT_ONCE = 1 << 18
 # Below this character, texts are normalised by lower-casing alone and Python's tables agree with the tokenizer's.
 _SIMPLE = 0x300
 
 
 class Parts(NamedTuple):
-    """What a task needs of a tokenizer: made from the text of its file, so that executors need not have the file."""
+    """How to split texts into words: made from the text of a tokenizer's file, which executors need not have."""
 
-    tokenizer: object
     special: re.Pattern | None
     fast: re.Pattern
     beyond: re.Pattern
 
 
-def _parts(text: str) -> Parts:
-    from tokenizers import Tokenizer
+_made: dict = {}
+
+
+def _tokenizer(text: str):
+    """The tokenizer, made once in each task that needs it."""
+    if text not in _made:
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        _made[text] = Tokenizer.from_str(text)
+        _made[text].no_truncation()
+        _made[text].no_padding()
+    return _made[text]
+
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+def parts_of(text: str) -> Parts:
     made = json.loads(text)
     steps = made["pre_tokenizer"]["pretokenizers"]
     plain = all(not t[k] for t in made["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized"))
@@ -63,9 +74,6 @@ def _parts(text: str) -> Parts:
             or steps[0]["type"] != "Split" or not steps[0]["invert"] or steps[0]["behavior"] != "Removed"
             or [s["type"] for s in steps[1:]] != ["ByteLevel"] or steps[1]["use_regex"] or steps[1]["add_prefix_space"]):
         raise ValueError("only tokenizers that split lower-case text into words are supported")
-    tokenizer = Tokenizer.from_str(text)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
     chars = [chr(c) for c in range(_SIMPLE)]
     kinds = {r"\p{L}": [c for c in chars if unicodedata.category(c)[0] == "L"],
              r"\p{N}": [c for c in chars if unicodedata.category(c)[0] == "N"],
@@ -74,11 +82,11 @@ def _parts(text: str) -> Parts:
     for name, members in kinds.items():
         pattern = pattern.replace(name, "".join(map(re.escape, members)))
     special = sorted((t["content"] for t in made["added_tokens"]), key=len, reverse=True)
-    return Parts(tokenizer, re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None,
+    return Parts(re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None,
                  re.compile(pattern), re.compile(f"[^\\x00-{chr(_SIMPLE - 1)}]"))
 
 
-def split_words(parts: Parts, text: str) -> list[str]:
+def split_words(parts: Parts, file: str, text: str) -> list[str]:
     """Words of a text as the tokenizer sees them; the strings of special tokens are words of their own."""
     out: list[str] = []
     for i, piece in enumerate(parts.special.split(text) if parts.special else [text]):
@@ -87,8 +95,9 @@ def split_words(parts: Parts, text: str) -> list[str]:
         elif not parts.beyond.search(piece):
             out += parts.fast.findall(piece.lower())
         else:
-            plain = parts.tokenizer.normalizer.normalize_str(piece)
-            at = [span for _, span in parts.tokenizer.pre_tokenizer.pre_tokenize_str(plain)]
+            tokenizer = _tokenizer(file)
+            plain = tokenizer.normalizer.normalize_str(piece)
+            at = [span for _, span in tokenizer.pre_tokenizer.pre_tokenize_str(plain)]
             out += [plain[a:b] for a, b in at]
     return out
 
@@ -119,12 +128,12 @@ class _Block:
         self.bytes = 0
         self.digest = hashlib.blake2b(digest_size=16)
 
-    def add(self, parts: Parts, rows: pa.RecordBatch) -> None:
+    def add(self, parts: Parts, file: str, rows: pa.RecordBatch) -> None:
         self.ids += rows.column(0).to_pylist()
         self.bytes += rows.column(1).nbytes
         for key, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
             self.digest.update(repr(key).encode() + b"\0" + (text or "").encode("utf-8", "surrogatepass") + b"\0")
-            words = split_words(parts, text) if text else []
+            words = split_words(parts, file, text) if text else []
             self.counts.append(len(words))
             self.codes.append(np.fromiter(map(self.numbers.__getitem__, words), np.uint32, len(words)))
 
@@ -141,11 +150,11 @@ class _Block:
         return lists, place
 
 
-def _each_block(text: str, batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
-    parts, block = _parts(text), _Block()
+def _each_block(parts: Parts, text: str, batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
+    block = _Block()
     for batch in batches:
         for rows in blocks(batch, batch.schema.names[1], _SLICE_BYTES):
-            block.add(parts, rows)
+            block.add(parts, text, rows)
             if block.bytes >= BLOCK_BYTES:
                 yield block
                 block = _Block()
@@ -153,11 +162,11 @@ def _each_block(text: str, batches: Iterator[pa.RecordBatch]) -> Iterator[_Block
         yield block
 
 
-def _words(text: str, shards: int) -> Callable:
+def _words(parts: Parts, text: str, shards: int) -> Callable:
     """Rows (block, shard, words) of the distinct words of each block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _each_block(text, batches):
+        for block in _each_block(parts, text, batches):
             lists, _ = block.by_shard(shards)
             packed = [(s, zstandard.ZstdCompressor(level=3).compress("\n".join(ws).encode("utf-8", "surrogatepass")))
                       for s, ws in enumerate(lists) if ws]
@@ -169,11 +178,11 @@ def _words(text: str, shards: int) -> Callable:
     return run
 
 
-def _texts(text: str, shards: int, key_type: pa.DataType) -> Callable:
+def _texts(parts: Parts, text: str, shards: int, key_type: pa.DataType) -> Callable:
     """Rows (block, ids, counts, codes) with the texts of each block as numbers of its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _each_block(text, batches):
+        for block in _each_block(parts, text, batches):
             _, place = block.by_shard(shards)
             codes = np.concatenate(block.codes) if block.codes else np.zeros(0, np.uint32)
             yield pa.RecordBatch.from_arrays(
@@ -188,7 +197,7 @@ def _encode_shard(text: str) -> Callable:
     """Encodes each distinct word of a shard once and answers every block: rows (block, shard, sizes, ids)."""
 
     def run(rows: pa.Table) -> pa.Table:
-        tokenizer = _parts(text).tokenizer
+        tokenizer = _tokenizer(text)
         lists = [zstandard.ZstdDecompressor().decompress(w).decode("utf-8", "surrogatepass").split("\n")
                  for w in rows.column("words").to_pylist()]
         words = sorted({w for ws in lists for w in ws})
@@ -244,15 +253,16 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     """
     with open(tokenizer, encoding="utf-8") as file:
         text = file.read()
+    parts = parts_of(text)
     spark = docs.sparkSession
     shards = max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["key"].dataType
     key_type = to_arrow_type(kind)
-    words = rows.mapInArrow(_words(text, shards), "block string, shard int, words binary")
+    words = rows.mapInArrow(_words(parts, text, shards), "block string, shard int, words binary")
     answers = words.groupBy("shard").applyInArrow(
         _encode_shard(text), "block string, shard int, sizes binary, tokens binary")
-    numbered = rows.mapInArrow(_texts(text, shards, key_type), T.StructType([
+    numbered = rows.mapInArrow(_texts(parts, text, shards, key_type), T.StructType([
         T.StructField("block", T.StringType()), T.StructField("keys", T.ArrayType(kind)),
         T.StructField("counts", T.BinaryType()), T.StructField("codes", T.BinaryType())]))
     out = T.StructType([T.StructField(id_col, kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])
