@@ -18,11 +18,11 @@ def _digest(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """Number and digests of the ids and of the decoded text of each document."""
+def digests(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame:
+    """Number and digests of the ids and of the decoded text of each document, and the ids if asked for."""
     out = decode(encode(docs, tokenizer), tokenizer)
     return out.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        "doc_id", *["ids"] * with_ids, F.size("ids").cast("long").alias("n_tokens"),
         _digest(F.concat_ws(" ", F.col("ids").cast("array<string>"))).alias("ids_sha256"),
         _digest(F.col("decoded")).alias("decoded_sha256"))
 
