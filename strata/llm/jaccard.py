@@ -4,9 +4,9 @@ All shingles are put into one order, rare ones first. Two sets that are similar
 each: a set of ``n`` shows its first ``n - ceil(0.75 n) + l`` tokens, and pairs must share ``l`` of them. Each text
 chooses its own ``l`` by the estimated cost of its candidates, and the sizes of a pair can ask for many more matches.
 
-Texts with equal sets are one node from the beginning. Groups of near copies aren't expanded into pairs: each node is
-first checked against the most central node that it shares tokens with, and only pairs whose ends these links leave
-apart are counted and checked. So every link between nodes is either found or implied by others.
+Texts with equal sets are one node from the beginning. Groups of near copies aren't expanded into pairs: first, each
+node is checked against the most central node that it shares smallest hashes with; after that only pairs whose ends
+these links leave apart are counted and checked. So every link between nodes is either found or implied by others.
 """
 
 from __future__ import annotations
@@ -35,8 +35,11 @@ MOST_MATCHES = 4
 # The order of shingles comes from counts of all shingles in a table of fixed size; any order gives right results.
 COUNTERS = 1 << 20
 _CHUNKS = 64
-# Rounds of checks against central nodes go on while pairs left would be more than so many for each shown token.
-_PAIRS_PER_TOKEN, _ROUNDS = 20, 4
+# A token whose nodes make more pairs than this has them checked against its central node first; all pairs come last.
+_PAIRS_OF_TOKEN, _ROUNDS = 4096, 4
+_FEW = 12
+# Parts of the range of hashes: the smallest hash in each is a key by which central nodes are found.
+_PARTS = 8
 _MEMBERS = 1 << 23
 _NODE = ["node", "n", "rest", "matches", "central"]
 
@@ -95,77 +98,150 @@ def shingle_counts(texts: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def _prefixes(counts: np.ndarray, shards: int) -> Callable:
-    """Blobs by shard with the shown tokens of each node, and the nodes with what later steps need of them."""
-    usual = max(1.0, float(counts.mean()))
+class _Shown:
+    """Nodes of a block with the tokens that they show, and what else is needed of them."""
+
+    def __init__(self, counts: np.ndarray, part: pa.RecordBatch) -> None:
+        hashes, _, sizes, keys = _sets(part)
+        _, first = np.unique(keys, return_index=True)
+        rows = np.sort(first[sizes[first] > 0])
+        docs = np.repeat(np.arange(len(sizes)), sizes)
+        chosen = np.zeros(len(sizes), bool)
+        chosen[rows] = True
+        hashes, docs = hashes[chosen[docs]], docs[chosen[docs]]
+        self.nodes, self.n = keys[rows], sizes[rows]
+        self.sorted, self.begin = hashes, np.cumsum(self.n) - self.n
+        common = counts[(hashes % np.uint64(COUNTERS)).astype(np.int64)]
+        order = np.lexsort((hashes, common, docs))
+        hashes, common = hashes[order], common[order]
+        # Rare tokens cost one look, common ones as many as they have beyond what chance puts on a counter.
+        looks = np.concatenate([[0.0], np.cumsum(np.maximum(1.0, common - max(1.0, float(counts.mean()))))])
+        least = -(-PERCENT * self.n // 100)
+        best, self.matches = np.full(len(rows), np.inf), np.ones(len(rows), np.int64)
+        for l in range(1, MOST_MATCHES + 1):
+            end = self.begin + np.minimum(self.n - least + l, self.n)
+            cost = (looks[end] - looks[self.begin]) * (1 + 4 / l)
+            better = (l <= least) & (cost < best)
+            best[better], self.matches[better] = cost[better], l
+        self.shown = self.n - least + self.matches
+        rank = np.arange(len(hashes)) - np.repeat(self.begin, self.n)
+        self.tokens = hashes[rank < np.repeat(self.shown, self.n)]
+        self.central = np.add.reduceat(np.log2(common + 1.0), self.begin) / self.n if len(rows) else np.zeros(0)
+
+    def smallest(self) -> np.ndarray:
+        """Smallest hash of each node in each part of the range; -1 where it has none there."""
+        owner = np.repeat(np.arange(len(self.n)), self.n)
+        part = (self.sorted >> np.uint64(61)).astype(np.int64)
+        new = np.ones(len(owner), bool)
+        new[1:] = (owner[1:] != owner[:-1]) | (part[1:] != part[:-1])
+        out = np.full((len(self.n), _PARTS), -1, np.int64)
+        out[owner[new], part[new]] = self.sorted[new].view(np.int64)
+        return out
+
+
+def _nodes(counts: np.ndarray) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in blocks(batch, "text"):
+                x = _Shown(counts, part)
+                keys = pa.FixedSizeListArray.from_arrays(pa.array(x.smallest().ravel()), _PARTS).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x.nodes), pa.array(x.n, pa.int32()), pa.array(x.n - x.shown, pa.int32()),
+                     pa.array(x.matches, pa.int32()), pa.array(x.central), keys], [*_NODE, "keys"])
+
+    return run
+
 
+def _tokens(counts: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text"):
-                hashes, cuts, sizes, keys = _sets(part)
-                _, first = np.unique(keys, return_index=True)
-                first = first[sizes[first] > 0]
-                docs = np.repeat(np.arange(len(sizes)), sizes)
-                chosen = np.zeros(len(sizes), bool)
-                chosen[first] = True
-                inside = chosen[docs]
-                hashes, docs = hashes[inside], docs[inside]
-                if not len(hashes):
-                    continue
-                common = counts[(hashes % np.uint64(COUNTERS)).astype(np.int64)]
-                order = np.lexsort((hashes, common, docs))
-                hashes, common, docs = hashes[order], common[order], docs[order]
-                nodes = np.sort(first)
-                n = sizes[nodes]
-                begin = np.cumsum(n) - n
-                # Rare tokens cost one look, common ones as many as they have beyond what chance puts on a counter.
-                cost = np.concatenate([[0.0], np.cumsum(np.maximum(1.0, common - usual))])
-                least = -(-PERCENT * n // 100)
-                best, matches = np.full(len(nodes), np.inf), np.ones(len(nodes), np.int64)
-                for l in range(1, MOST_MATCHES + 1):
-                    shown = n - least + l
-                    looks = cost[begin + np.minimum(shown, n)] - cost[begin]
-                    better = (l <= least) & (looks * (1 + 4 / l) < best)
-                    best[better], matches[better] = (looks * (1 + 4 / l))[better], l
-                shown = n - least + matches
-                rank = np.arange(len(hashes)) - np.repeat(begin, n)
-                use = rank < np.repeat(shown, n)
-                central = np.add.reduceat(np.log2(common + 1.0), begin) / n
-                owner = np.repeat(np.arange(len(nodes)), n)[use]
-                tokens = hashes[use]
-                shard = (tokens >> np.uint64(40)).astype(np.int64) % shards
-                order = np.argsort(shard, kind="stable")
-                ends = np.searchsorted(shard[order], np.arange(shards + 1))
-                keys64 = keys[nodes]
-                full = [s for s in range(shards) if ends[s] < ends[s + 1]]
-                pieces = [order[ends[s]:ends[s + 1]] for s in full]
-                last = [None] * len(pieces)
+                x = _Shown(counts, part)
+                cuts = np.concatenate([[0], np.cumsum(x.shown)])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([*full, -1], pa.int32()),
-                     pa.array([_pack(tokens[p]) for p in pieces] + [None], pa.binary()),
-                     pa.array([_pack(keys64[owner[p]]) for p in pieces] + [None], pa.binary()),
-                     pa.array([*last, keys64.tolist()], pa.list_(pa.int64())),
-                     *[pa.array([*last, x.tolist()], pa.list_(pa.int32())) for x in (n, n - shown, matches)],
-                     pa.array([*last, central.tolist()], pa.list_(pa.float64()))],
-                    ["shard", "tokens", "keys", *_NODE])
+                    [pa.array(x.nodes), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(x.tokens.view(np.int64)))],
+                    ["node", "tokens"])
 
     return run
 
 
-def _shared(rows: pa.Table) -> pa.Table:
-    """Tokens of a shard that two nodes or more show, with these nodes."""
-    tokens = np.concatenate([_unpack(t, "<u8") for t in rows.column("tokens").to_pylist()])
-    keys = np.concatenate([_unpack(k, "<i8") for k in rows.column("keys").to_pylist()])
-    order = np.lexsort((keys, tokens))
-    tokens, keys = tokens[order], keys[order]
-    new = np.ones(len(tokens), bool)
-    new[1:] = (tokens[1:] != tokens[:-1]) | (keys[1:] != keys[:-1])
-    tokens, keys = tokens[new], keys[new]
-    same = tokens[1:] == tokens[:-1]
-    several = np.zeros(len(tokens), bool)
-    several[1:] |= same
-    several[:-1] |= same
-    return pa.table({"token": pa.array(tokens[several].view(np.int64)), "node": pa.array(keys[several])})
+def _dealt(shards: int) -> Callable:
+    """Blobs by shard of the tokens that nodes show, with the nodes and, where links gave them one, their labels."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("tokens")
+            tokens = column.flatten().to_numpy().view(np.uint64)
+            owner = np.repeat(np.arange(batch.num_rows), column.value_lengths().to_numpy())
+            nodes, labels = (batch.column(c).to_numpy() for c in ("node", "label"))
+            central = batch.column("central").to_numpy().astype(np.float32)
+            shard = (tokens >> np.uint64(40)).astype(np.int64) % shards
+            order = np.argsort(shard, kind="stable")
+            cuts = np.searchsorted(shard[order], np.arange(shards + 1))
+            rows = []
+            for s in np.flatnonzero(cuts[1:] > cuts[:-1]):
+                own = order[cuts[s]:cuts[s + 1]]
+                who, times = np.unique(owner[own], return_counts=True)
+                rows.append((int(s), _pack(tokens[own]), _pack(times.astype("<i4")), _pack(nodes[who]),
+                             _pack(labels[who]), _pack(central[who])))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 6)]],
+                ["shard", "tokens", "times", "nodes", "labels", "central"])
+
+    return run
+
+
+def _candidates(last: bool) -> Callable:
+    """Pairs of nodes with different labels that show the same tokens of a shard, and how many. Where a token has too
+    many, and it isn't the last round, its nodes are paired with the most central one alone and counted as tries."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        def read(name: str, kind: str) -> list[np.ndarray]:
+            return [_unpack(x, kind) for x in rows.column(name).to_pylist()]
+
+        times = np.concatenate(read("times", "<i4"))
+        tokens = np.concatenate(read("tokens", "<u8"))
+        node, label = (np.repeat(np.concatenate(read(c, "<i8")), times) for c in ("nodes", "labels"))
+        label = np.where(label == 0, node, label)
+        central = np.repeat(np.concatenate(read("central", "<f4")), times)
+        order = np.lexsort((node, label, tokens))
+        tokens, node, label, central = tokens[order], node[order], label[order], central[order]
+        new = np.ones(len(tokens) + 1, bool)
+        new[1:-1] = tokens[1:] != tokens[:-1]
+        cuts = np.flatnonzero(new)
+        sides, tries = ([[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]] for _ in range(2))
+        several = label[cuts[:-1]] != label[cuts[1:] - 1]
+        size = np.diff(cuts)
+        few = np.repeat(size <= _FEW, size)
+        for step in range(1, _FEW):  # short lists all at once
+            at = np.flatnonzero(few[:-step] & (tokens[:-step] == tokens[step:]) & (label[:-step] != label[step:]))
+            sides[0].append(node[at])
+            sides[1].append(node[at + step])
+        several &= size > _FEW
+        for a, b in zip(cuts[:-1][several], cuts[1:][several]):
+            names, first, size = np.unique(label[a:b], return_index=True, return_counts=True)
+            major = names[size.argmax()]
+            minor = np.flatnonzero(label[a:b] != major) + a
+            if len(minor) * (b - a) > _PAIRS_OF_TOKEN and not last:
+                top = a + np.lexsort((node[a:b], central[a:b]))[-1]
+                other = np.flatnonzero(label[a:b] != label[top]) + a
+                tries[0].append(node[other])
+                tries[1].append(np.full(len(other), node[top]))
+                continue
+            for m in minor:  # each pair once: with the major ones, and with minor ones behind it
+                other = np.flatnonzero((label[a:b] != label[m]) & ((label[a:b] == major) | (node[a:b] > node[m]))) + a
+                sides[0].append(np.full(len(other), node[m]))
+                sides[1].append(node[other])
+        out = []
+        for (x, y), kind in ((sides, False), (tries, True)):
+            x, y = np.concatenate(x), np.concatenate(y)
+            if not kind:
+                x, y = np.minimum(x, y), np.maximum(x, y)
+            pairs, counts = np.unique(np.stack([x, y], axis=1), axis=0, return_counts=True) if len(x) else (np.zeros((0, 2), np.int64), np.zeros(0, np.int64))
+            out.append(pa.table({"a": pairs[:, 0], "b": pairs[:, 1], "shared": counts.astype(np.int64), "tried": np.full(len(counts), kind)}))
+        return pa.concat_tables(out)
+
+    return run
 
 
 def _texts(docs: DataFrame, text_col: str) -> DataFrame:
@@ -231,70 +307,54 @@ def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return checkpointed(both.where(100 * inside >= PERCENT * union).select("a", "b"))
 
 
-def _labelled(postings: DataFrame, links: DataFrame | None) -> DataFrame:
-    if links is None:
-        return postings.withColumn("label", F.col("node"))
-    roots = components(links).withColumnRenamed("root", "label")
-    return postings.join(roots, "node", "left").withColumn("label", F.coalesce("label", "node"))
-
-
 def _needed(n_a: Column, n_b: Column, rest_a: Column, rest_b: Column, l_a: Column, l_b: Column) -> Column:
     """Shown tokens that a similar pair shares at least: all its common tokens but those behind the shown ones."""
     common = F.ceil(F.lit(PERCENT) * (n_a + n_b) / (100 + PERCENT))
     return F.greatest(F.least(l_a, l_b).cast("long"), common - F.greatest(rest_a, rest_b))
 
 
-def links_between(texts: DataFrame) -> DataFrame:
-    """Links ``a, b`` between the sets of the texts (column ``text``); implied links may be missing."""
-    shards = max(16, 2 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    shown = texts.mapInArrow(_prefixes(shingle_counts(texts), shards), (
-        "shard int, tokens binary, keys binary, node array<long>, n array<int>, rest array<int>, matches array<int>,"
-        "central array<double>"))
-    nodes = (shown.where("shard = -1").select(F.explode(F.arrays_zip(*_NODE)).alias("x")).select("x.*")
-             .groupBy("node").agg(*[F.first(c).alias(c) for c in _NODE[1:]]))
-    postings = shown.where("shard >= 0").select("shard", "tokens", "keys").groupBy("shard").applyInArrow(lambda t: _shared(t), "token long, node long")
-    postings, path = stored(postings.join(nodes, "node"), "postings")
-    links = checkpointed(_connect(texts, postings))
-    drop(texts.sparkSession, path)
-    return links
+def _central(nodes: DataFrame) -> DataFrame:
+    """Each node with the central node that it shares most smallest hashes with, two at least or all it has."""
+    keyed = nodes.select("node", "n", "central", F.explode(F.array_distinct("keys")).alias("key")).where("key != -1")
+    first = keyed.groupBy("key").agg(F.max(F.struct("central", "node")).alias("first"), F.count(F.lit(1)).alias("size"))
+    first = first.where("size > 1").select("key", F.col("first.node").alias("b"))
+    shared = keyed.join(first, "key").where("node != b").groupBy(F.col("node").alias("a"), "b").agg(
+        F.count(F.lit(1)).alias("shared"), F.first("n").alias("n")).where("shared >= least(2, n)")
+    return shared.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
 
 
-def _connect(texts: DataFrame, postings: DataFrame) -> DataFrame:
-    links = None
+def links_between(texts: DataFrame) -> DataFrame:
+    """Links ``a, b`` between the sets of the texts (column ``text``); implied links may be missing."""
+    spark = texts.sparkSession
+    shards = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    counts = shingle_counts(texts)
+    nodes = texts.mapInArrow(_nodes(counts), (
+        "node long, n int, rest int, matches int, central double, keys array<long>"))
+    nodes, path = stored(nodes.groupBy("node").agg(*[F.first(c).alias(c) for c in (*_NODE[1:], "keys")]), "nodes")
+    links = _verified(texts, _central(nodes))
+    size = nodes.select("node", "n", "rest", "matches")
     for turn in range(_ROUNDS + 1):
-        marked = _labelled(postings, links)
-        # The most frequent label of a token's nodes needs no pairs of its own.
-        per_label = marked.groupBy("token", "label").agg(
-            F.count(F.lit(1)).alias("k"), F.max(F.struct("central", "node")).alias("top"))
-        lists = per_label.groupBy("token").agg(
-            F.max(F.struct("k", "label", "top")).alias("major"), F.sum("k").alias("size"),
-            F.max(F.struct("top.central", "top.node", "label")).alias("first"), F.count(F.lit(1)).alias("labels"))
-        lists = checkpointed(lists.where("labels > 1").select(
-            "token", F.col("major.label").alias("major"), F.col("major.top.node").alias("major_node"), "size", (F.col("size") - F.col("major.k")).alias("others"),
-            F.col("first.node").alias("first"), F.col("first.label").alias("first_label")))
-        left, tokens = lists.agg(F.sum(F.col("others") * F.col("size")), F.sum("size")).first()
-        if not left:
-            return links if links is not None else postings.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-        if left <= _PAIRS_PER_TOKEN * tokens or turn == _ROUNDS:
+        labels = components(links).withColumnRenamed("root", "label")
+        tokens = texts.mapInArrow(_tokens(counts), "node long, tokens array<long>")
+        tokens = (tokens.groupBy("node").agg(F.first("tokens").alias("tokens")).join(nodes.select("node", "central"), "node")
+                  .join(labels, "node", "left").select("node", "tokens", "central", F.coalesce("label", F.lit(0)).alias("label")))
+        found = checkpointed(
+            tokens.mapInArrow(_dealt(shards), "shard int, tokens binary, times binary, nodes binary, labels binary, central binary")
+            .groupBy("shard").applyInArrow(_candidates(turn == _ROUNDS), "a long, b long, shared long, tried boolean")
+            .groupBy("a", "b", "tried").agg(F.sum("shared").alias("shared")))
+        pairs = found.where("not tried")
+        for end in ("a", "b"):
+            pairs = pairs.join(size.select(F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("n", "rest", "matches")]), end)
+        pairs = pairs.where(
+            (100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")) & (F.col("shared") >= _needed(
+                F.col("n_a"), F.col("n_b"), F.col("rest_a"), F.col("rest_b"), F.col("matches_a"), F.col("matches_b"))))
+        tries = found.where("tried").groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
+        done = tries.isEmpty()
+        links = checkpointed(links.union(_verified(texts, pairs.select("a", "b").union(tries) if not done else pairs.select("a", "b"))))
+        if done:
             break
-        # Every node against the central node that it shares most tokens with, by other rules from round to round.
-        centre, its = ("first", "first_label") if turn % 2 == 0 else ("major_node", "major")
-        tries = marked.join(lists, "token").where(F.col("label") != F.col(its)).groupBy(
-            F.col("node").alias("a"), F.col(centre).alias("b")).count()
-        best = tries.groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b"))
-        found = _verified(texts, best)
-        links = found if links is None else checkpointed(links.union(found))
-    marked = marked.join(lists.select("token", "major"), "token")
-    minor = marked.where("label != major").select(
-        "token", *[F.col(c).alias("x_" + c) for c in ("node", "label", "n", "rest", "matches")])
-    pairs = marked.join(minor, "token").where(
-        (F.col("label") != F.col("x_label")) & ((F.col("label") == F.col("major")) | (F.col("node") > F.col("x_node")))
-        & (100 * F.least("n", "x_n") >= PERCENT * F.greatest("n", "x_n")))
-    pairs = pairs.groupBy(F.least("node", "x_node").alias("a"), F.greatest("node", "x_node").alias("b")).agg(
-        F.count(F.lit(1)).alias("shared"), F.first(_needed(
-            F.col("n"), F.col("x_n"), F.col("rest"), F.col("x_rest"), F.col("matches"), F.col("x_matches"))).alias("needed"))
-    found = _verified(texts, pairs.where("shared >= needed").select("a", "b"))
-    return found if links is None else links.union(found)
+    drop(spark, path)
+    return links
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

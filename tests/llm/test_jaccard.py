@@ -61,9 +61,9 @@ def families(rng, sizes, edits):
     return out
 
 
-@pytest.mark.parametrize("pairs_per_token", [0, 20])
-def test_families_equal_brute_force(spark, monkeypatch, pairs_per_token):
-    monkeypatch.setattr(jaccard, "_PAIRS_PER_TOKEN", pairs_per_token)
+@pytest.mark.parametrize("pairs_of_token", [0, 4096])
+def test_families_equal_brute_force(spark, monkeypatch, pairs_of_token):
+    monkeypatch.setattr(jaccard, "_PAIRS_OF_TOKEN", pairs_of_token)
     texts = families(random.Random(5), [40, 7, 2, 2, 1, 1, 30], 4)
     texts |= {1000: None, 1001: "", 1002: " \n", 1003: "a b", 1004: "A  b", 1005: "a b c d e", 1006: "x " * 60000,
               1007: "x x x x x x", 1008: "ö Ö"}
