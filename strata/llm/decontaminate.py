@@ -221,7 +221,9 @@ def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
         rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == turn).orderBy("item", "text").toPandas()
         index = build(list(rows["item"]), list(rows["text"]), to_arrow_type(kind))
 
-        said = F.arrow_udf(_looker(index), f"array<struct<item:{name},similarity:double,start:int,end:int>>")(text_col)
+        kind_of = f"array<struct<item:{name},similarity:double,start:int,end:int>>"
+        # Not deterministic, so that the optimizer never evaluates it twice.
+        said = F.arrow_udf(_looker(index), kind_of).asNondeterministic()(text_col)
         found = said if passes == 1 else F.concat(found, said)
     return docs.withColumn(out_col, found)
 

@@ -237,7 +237,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
             yield _label(model, column)
 
     label.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    said = F.arrow_udf(label, _KINDS)(text_col)
+    said = F.arrow_udf(label, _KINDS).asNondeterministic()(text_col)
     sure = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     out = docs.withColumn("_said", said)
     return out.withColumns({

@@ -255,7 +255,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", page_cols: tupl
             yield pa.concat_arrays(parts)
 
     judge.__annotations__ = {"columns": Iterator[tuple[pa.Array, ...]], "return": Iterator[pa.Array]}
-    said = F.arrow_udf(judge, _RESULT)(F.col(text_col), *[F.col(c) for c in page_cols])
+    said = F.arrow_udf(judge, _RESULT).asNondeterministic()(F.col(text_col), *[F.col(c) for c in page_cols])
     out = docs.withColumn("_said", said)
     return out.withColumns({
         "score": F.col("_said.score"), "text_score": F.col("_said.text_score"),

@@ -267,7 +267,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             parts = [_score(model, part.column("text")) for part in blocks(batch, "text", 1 << 22)]
             yield pa.concat_arrays(parts) if parts else _score(model, column)
 
-    said = F.arrow_udf(tag, _RESULT)(text_col)
+    said = F.arrow_udf(tag, _RESULT).asNondeterministic()(text_col)
     out = docs.withColumn("_said", said)
     return out.withColumns({
         "score": F.col("_said.score"), "predicted": (F.col("_said.score") >= THRESHOLD).cast("int"),
