@@ -18,7 +18,7 @@ from strata.operators import bronze, messages  # noqa: E402
 from strata.operators.vectors import search, search_many, upsert  # noqa: E402
 from strata.plans import QUERIES  # noqa: E402
 from strata.plans.inputs import log_of  # noqa: E402
-from strata.sources.versions import VersionedTable  # noqa: E402
+from strata.sources import tables  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -64,7 +64,7 @@ def measure_rates(spark: SparkSession, times: dict[str, float]) -> dict[str, flo
 
     lines, events, vectors = spread(read("lineitem")), spread(read("events")), spread(read("embeddings"))
     landed = datetime(2024, 1, 1)
-    stored = VersionedTable.create(spark, scratch_path(spark, "bench"), lines.schema, landed)
+    stored = scratch_path(spark, "bench")
     messages_in = checkpointed(log_of(events))
     query = vectors.limit(1).first()["embedding"]
     collection = vectors.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
@@ -73,7 +73,7 @@ def measure_rates(spark: SparkSession, times: dict[str, float]) -> dict[str, flo
     return {
         "bronze_write_rows_per_sec": rate(n_lines, lambda: bronze.ingest(lines, landed)[0].write.mode("overwrite").parquet(
             scratch_path(spark, "bronze"))),
-        "table_append_rows_per_sec": rate(n_lines, lambda: stored.append(lines, landed)),
+        "table_append_rows_per_sec": rate(n_lines, lambda: tables.write(lines, stored)),
         "messages_encoded_per_sec": rate(n_events, lambda: drop(
             messages.encode(events, ["event_id", "event_type", "value"], "user_id", ["event_type"]))),
         "messages_decoded_per_sec": rate(n_events, lambda: drop(messages.decode(messages_in))),

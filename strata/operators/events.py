@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strata.functions import events as ev
@@ -53,10 +55,17 @@ def enrich(df: DataFrame, ingested_at: Column) -> DataFrame:
 
 def wrap_raw(
     df: DataFrame, data: Column, source_system: str, stamped_at: Column,
-    event_type: str = "raw_data", event_id: Column | None = None,
+    event_type: str = "raw_data", event_id: Column | None = None, position: Sequence[Column] = (),
 ) -> DataFrame:
-    """Arbitrary JSON data as an event, unchecked. Without an id the md5 of the data is the id."""
-    generated = F.md5(data)
+    """Arbitrary JSON data as an event, unchecked.
+
+    Without an id, the md5 of the data and of its ``position`` in the source (topic, partition and offset, or file and
+    row) is the id: records with equal data stay apart, and a repeated read gives the same ids.
+    """
+    if event_id is None and not position:
+        raise ValueError("give event_id, or the position of the data in its source")
+    generated = F.md5(F.to_json(F.struct(data.alias("data"), *[p.alias(f"p{i}") for i, p in enumerate(position)]),
+                                {"ignoreNullFields": "false"})) if position else F.lit(None).cast("string")
     return df.select(
         (F.coalesce(event_id.cast("string"), generated) if event_id is not None else generated).alias("event_id"),
         F.lit(event_type).alias("event_type"),

@@ -11,16 +11,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 AGGREGATES = ("sum", "count", "avg", "mean", "min", "max")
 
 
-def exact_sum(col: Column | str, scale: int = 2) -> Column:
-    """Sum of money-like doubles in decimals: the same answer in whatever order partitions arrive."""
+def exact_sum(col: Column | str, scale: int) -> Column:
+    """Sum of doubles that have ``scale`` places: the same answer in whatever order partitions arrive.
+
+    Up to 28 digits; a larger value raises. Further places are rounded, so the scale must be that of the data.
+    """
     c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast(T.DecimalType(18, scale))).cast("double")
+    return F.sum(c.cast(T.DecimalType(28, scale))).cast("double")
 
 
-def exact_avg(col: Column | str, scale: int = 2) -> Column:
+def exact_avg(col: Column | str, scale: int) -> Column:
     """Mean with an exact numerator."""
     c = F.col(col) if isinstance(col, str) else col
-    return exact_sum(c, scale) / F.count(c)
+    return F.try_divide(exact_sum(c, scale), F.count(c))
 
 
 def _aggregate(column: str, function: str, dtype: T.DataType, scale: int | None) -> Column:

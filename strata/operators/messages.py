@@ -78,13 +78,24 @@ def partition_by_key(df: DataFrame, key: str, partitions: int) -> DataFrame:
     return df.withColumn("partition", bucket_of(F.col(key), partitions))
 
 
-def ordered_for_write(df: DataFrame, tasks: int) -> DataFrame:
-    """Rows laid out for sending: ordered by offset within a partition.
+def ordered_for_write(df: DataFrame, tasks: int, spread: int = 1) -> DataFrame:
+    """Rows laid out for sending: one task sends a partition, in order of its offsets.
 
-    Ranges over (topic, partition, offset) split a partition that holds most of the log over several tasks.
+    ``spread`` deals the keys of each partition to so many tasks, for a partition that holds most of the log: the order
+    is then kept per key, as messages of a key always stay in one task.
     """
     order = ["topic", "partition", "offset"]
-    return df.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    share = F.pmod(F.xxhash64("key"), F.lit(spread))
+    return df.repartition(tasks, "topic", "partition", share).sortWithinPartitions(*order)
+
+
+# Positions and ranges have a row per partition of a topic; up to so many of them go to all tasks.
+_PARTITIONS = 100_000
+
+
+def _per_partition(rows: DataFrame) -> DataFrame:
+    """Broadcast where there are few enough, so that the log is not shuffled on its few partitions."""
+    return F.broadcast(rows) if rows.limit(_PARTITIONS + 1).count() <= _PARTITIONS else rows
 
 
 def select_topics(df: DataFrame, topics: Sequence[str] | None = None, pattern: str | None = None) -> DataFrame:
@@ -97,25 +108,31 @@ def select_topics(df: DataFrame, topics: Sequence[str] | None = None, pattern: s
 
 def offset_range(df: DataFrame, ranges: DataFrame) -> DataFrame:
     """Replay: messages with ``from_offset <= offset < to_offset`` of their partition; NULL is an open end."""
-    out = df.join(ranges, ["topic", "partition"])
+    out = df.join(_per_partition(ranges), ["topic", "partition"])
     return out.filter(
         (F.col("from_offset").isNull() | (F.col("offset") >= F.col("from_offset")))
         & (F.col("to_offset").isNull() | (F.col("offset") < F.col("to_offset")))
     ).drop("from_offset", "to_offset")
 
 
+_SHARES = 16
+
+
 def next_batch(df: DataFrame, positions: DataFrame | None = None, limit: int = 500) -> DataFrame:
     """The next ``limit`` messages of each partition, from ``position`` (0 when a partition has none).
 
-    ``row_number() <= limit`` keeps at most ``limit`` rows per partition in each map task before the shuffle (up
-    to ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000; raise it for a larger ``limit``).
+    A partition is cut to ``limit`` rows in shares of its offsets first, so the task that picks the batch never sees
+    more than ``_SHARES`` times that many.
     """
     log = df
     if positions is not None:
-        log = df.join(positions, ["topic", "partition"], "left").filter(
+        log = df.join(_per_partition(positions), ["topic", "partition"], "left").filter(
             F.col("offset") >= F.coalesce("position", F.lit(0))).drop("position")
-    window = Window.partitionBy("topic", "partition").orderBy("offset")
-    return log.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") <= limit).drop("_rn")
+    log = log.withColumn("_share", F.pmod(F.xxhash64("offset"), F.lit(_SHARES)))
+    for by in (["topic", "partition", "_share"], ["topic", "partition"]):
+        place = F.row_number().over(Window.partitionBy(*by).orderBy("offset"))
+        log = log.withColumn("_rn", place).filter(F.col("_rn") <= limit).drop("_rn")
+    return log.drop("_share")
 
 
 def watermarks(df: DataFrame) -> DataFrame:

@@ -6,9 +6,9 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from strata.sources.layers import file_stats
+from strata.sources.tables import file_stats
 
 # Upper bounds of the latency histogram in seconds.
 LATENCY_BUCKETS = (0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0, 2.0, 5.0)
@@ -47,11 +47,29 @@ def latency_histogram(log: DataFrame, latency: Column, by: Sequence[str],
     return wide.select(*by, F.inline(F.array(*rows)))
 
 
-def storage_metrics(tables: Mapping[str, DataFrame], layer: str) -> DataFrame:
-    """Rows, bytes and files of every table; rows are counted from file footers."""
+def message_report(log: DataFrame, latency: Column, buckets: Sequence[float] = LATENCY_BUCKETS) -> DataFrame:
+    """Messages by topic and status, and per topic a latency histogram with status ``latency``, from one scan.
+
+    The log is reduced to one row per topic and status first; both answers are made from those few rows.
+    """
+    counts = [F.count_if(latency <= F.lit(b)).alias(f"_b{i}") for i, b in enumerate(buckets)]
+    small = log.groupBy("topic", "status").agg(F.count(F.lit(1)).alias("messages"), F.count(latency).alias("_all"), *counts)
+    whole = small.groupBy("topic").agg(
+        F.collect_list(F.struct("status", "messages")).alias("_status"), F.sum("_all").alias("_all"),
+        *[F.sum(f"_b{i}").alias(f"_b{i}") for i in range(len(buckets))])
+    rows = [F.struct(F.lit("latency").alias("status"), F.lit(b).cast("double").alias("le"), F.col(f"_b{i}").alias("messages"))
+            for i, b in enumerate(buckets)]
+    rows.append(F.struct(F.lit("latency").alias("status"), F.lit(None).cast("double").alias("le"), F.col("_all").alias("messages")))
+    states = F.transform("_status", lambda s: F.struct(s["status"].alias("status"), F.lit(None).cast("double").alias("le"),
+                                                       s["messages"].alias("messages")))
+    return whole.select("topic", F.inline(F.concat(F.array(*rows), states)))
+
+
+def storage_metrics(spark: SparkSession, tables: Mapping[str, str], layer: str) -> DataFrame:
+    """Rows, bytes and files of every table, by name and path."""
     out: DataFrame | None = None
-    for name, frame in tables.items():
-        row = file_stats(frame).select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count",
+    for name, path in tables.items():
+        row = file_stats(spark, path).select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count",
                                        "size_bytes", "file_count")
         out = row if out is None else out.unionByName(row)
     return out

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from strata.functions import text
 
-KEY_CONF = "spark.strata.encryption.key"
+KEYS = "key_id string, key binary"
 
 
 def mask_columns(df: DataFrame, columns: Sequence[str], mask_char: str = "*", visible_chars: int = 3) -> DataFrame:
@@ -19,22 +19,26 @@ def mask_text_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: text.mask_pii_in_text(F.col(c)) for c in columns})
 
 
-def _key(df: DataFrame, conf: str):
-    key = df.sparkSession.conf.get(conf, None)
-    if not key:
-        raise ValueError(f"set {conf} to the base64 text of a 16, 24 or 32 byte key")
-    return F.unbase64(F.lit(key))
+def _with_keys(df: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows with the key that their ``key_id`` names. Keys travel as rows, so no plan, page or event log shows one."""
+    return df.join(keys.select(F.col("key_id"), F.col("key").alias("_key")), "key_id", "left").withColumn(
+        "_key", F.coalesce("_key", F.raise_error(F.concat(F.lit("no key "), F.coalesce("key_id", F.lit("NULL")))).cast("binary")))
 
 
-def encrypt_columns(df: DataFrame, columns: Sequence[str], conf: str = KEY_CONF) -> DataFrame:
-    """AES-GCM with a random nonce, as base64 text; the key comes from the session. NULL stays NULL."""
-    key = _key(df, conf)
-    return df.withColumns({c: F.base64(F.aes_encrypt(F.col(c), key, F.lit("GCM"))) for c in columns})
+def encrypt_columns(df: DataFrame, columns: Sequence[str], keys: DataFrame, key_id: str) -> DataFrame:
+    """AES-GCM with a random nonce, as base64 text, and ``key_id`` beside it. NULL stays NULL; an unknown key raises.
 
+    ``keys`` has ``key_id`` and ``key`` (16, 24 or 32 bytes), one row each, from a path that only this job may read.
+    """
+    out = _with_keys(df.withColumn("key_id", F.lit(key_id)), keys)
+    return out.withColumns({c: F.base64(F.aes_encrypt(F.col(c), F.col("_key"), F.lit("GCM"))) for c in columns}).drop("_key")
 
-def decrypt_columns(df: DataFrame, columns: Sequence[str], conf: str = KEY_CONF) -> DataFrame:
-    key = _key(df, conf)
-    return df.withColumns({c: F.aes_decrypt(F.unbase64(F.col(c)), key, F.lit("GCM")).cast("string") for c in columns})
+
+def decrypt_columns(df: DataFrame, columns: Sequence[str], keys: DataFrame) -> DataFrame:
+    """Decrypt by the key that each row names, so rows of old and new keys can stand side by side."""
+    out = _with_keys(df, keys)
+    return out.withColumns({c: F.aes_decrypt(F.unbase64(F.col(c)), F.col("_key"), F.lit("GCM")).cast("string")
+                            for c in columns}).drop("_key", "key_id")
 
 
 def pseudonymize_columns(df: DataFrame, columns: Sequence[str] | Mapping[str, str], salt: str | None = None) -> DataFrame:

@@ -1,4 +1,4 @@
-"""SQL over the layers' tables, with bound parameters and a row cap inside the plan."""
+"""SQL over the layers' tables, with bound parameters."""
 
 from __future__ import annotations
 
@@ -7,16 +7,14 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-DEFAULT_ROWS = 100
-
 
 def sql_query(
     spark: SparkSession, query: str, tables: Mapping[str, DataFrame] | None = None,
-    params: Mapping[str, Any] | None = None, limit: int | None = DEFAULT_ROWS,
+    params: Mapping[str, Any] | None = None, limit: int | None = None,
 ) -> DataFrame:
     """Run SQL text. Tables stand in it as ``{name}`` (or are in the catalog), parameters as ``:name``.
 
-    Parameters are bound, never pasted into the text. ``limit=None`` returns everything.
+    Parameters are bound, never pasted into the text. All rows come back unless ``limit`` caps them.
     """
     out = spark.sql(query, args=dict(params or {}), **dict(tables or {}))
     return out if limit is None else out.limit(limit)

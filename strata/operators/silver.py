@@ -50,8 +50,35 @@ def without_existing(df: DataFrame, target: DataFrame, keys: Sequence[str]) -> D
     return df.join(existing, condition, "left_anti")
 
 
+_DATE = r"^\s*\d{4,6}-\d{1,2}-\d{1,2}"
+
+
+def _fits(raw: Column, source: T.DataType, target: T.DataType) -> Column:
+    """Whether a value keeps its meaning in the target type: it casts, and casts back to what it was.
+
+    Text must name a whole date for dates and times, and nothing but that for dates; decimal text must not lose places.
+    Floating targets may round, as any decimal number in them does.
+    """
+    cast = raw.try_cast(target)
+    fits = cast.isNotNull()
+    if isinstance(source, T.StringType):
+        if isinstance(target, T.DateType):
+            return fits & raw.rlike(_DATE + r"\s*$")
+        if isinstance(target, (T.TimestampType, T.TimestampNTZType)):
+            return fits & raw.rlike(_DATE)
+        if isinstance(target, T.DecimalType):
+            return fits & raw.try_cast(T.DecimalType(38, 18)).eqNullSafe(cast.cast(T.DecimalType(38, 18)))
+        return fits
+    exact = isinstance(source, T.AtomicType) and not isinstance(target, (T.StringType, T.FloatType, T.DoubleType))
+    return fits & cast.try_cast(source).eqNullSafe(raw) if exact and source != target else fits
+
+
 def conform_errors(df: DataFrame, schema: T.StructType) -> Column:
-    """What in a row does not fit the declared schema, field by field; an empty list means it fits."""
+    """What in a row does not fit the declared schema, field by field; an empty list means it fits.
+
+    A value that a cast would change, such as 1.9 in an integer column, does not fit.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
     errors: list[Column] = []
     for field in schema.fields:
         if field.name not in df.columns:
@@ -59,7 +86,7 @@ def conform_errors(df: DataFrame, schema: T.StructType) -> Column:
                 errors.append(F.lit(f"{field.name} is missing"))
             continue
         raw = F.col(f"`{field.name}`")
-        errors.append(F.when(raw.isNotNull() & raw.try_cast(field.dataType).isNull(),
+        errors.append(F.when(raw.isNotNull() & ~F.coalesce(_fits(raw, types[field.name], field.dataType), F.lit(False)),
                              F.lit(f"{field.name} is not {field.dataType.simpleString()}")))
         if not field.nullable:
             errors.append(F.when(raw.isNull(), F.lit(f"{field.name} is required")))
@@ -77,9 +104,14 @@ def conform(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     return checked.filter(F.size("conform_errors") == 0).select(*typed), checked.filter(F.size("conform_errors") > 0)
 
 
-def standardize(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
-    """One rule per column: upper, lower, title, trim, date, timestamp, or ``scale:<factor>`` for units."""
+def standardize(df: DataFrame, rules: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
+    """One rule per column: upper, lower, title, trim, date, timestamp, or ``scale:<factor>`` for units.
+
+    Rows with a date or time that cannot be read come back untouched as the second frame, with their reasons in
+    ``standardize_errors``.
+    """
     out: dict[str, Column] = {}
+    errors: list[Column] = []
     for name, rule in rules.items():
         col = F.col(f"`{name}`")
         if rule == "upper":
@@ -90,15 +122,20 @@ def standardize(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
             out[name] = F.initcap(F.lower(trim_unicode(col)))
         elif rule == "trim":
             out[name] = trim_unicode(col)
-        elif rule == "date":
-            out[name] = trim_unicode(col).try_cast("date")
-        elif rule == "timestamp":
-            out[name] = trim_unicode(col).try_cast("timestamp")
+        elif rule in ("date", "timestamp"):
+            kind = T.DateType() if rule == "date" else T.TimestampType()
+            text = trim_unicode(col.cast("string"))
+            out[name] = text.try_cast(kind)
+            errors.append(F.when(col.isNotNull() & ~F.coalesce(_fits(text, T.StringType(), kind), F.lit(False)),
+                                 F.lit(f"{name} is no {rule}")))
         elif rule.startswith("scale:"):
             out[name] = col * F.lit(float(rule.split(":", 1)[1]))
         else:
             raise ValueError(f"unknown rule {rule!r} for column {name!r}")
-    return df.withColumns(out)
+    checked = df.withColumn("standardize_errors", F.array_compact(F.array(*errors)) if errors
+                            else F.array().cast("array<string>"))
+    good = checked.filter(F.size("standardize_errors") == 0).drop("standardize_errors").withColumns(out)
+    return good, checked.filter(F.size("standardize_errors") > 0)
 
 
 def bronze_to_silver(

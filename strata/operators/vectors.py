@@ -50,12 +50,12 @@ def upsert(collection: DataFrame, updates: DataFrame, dim: int, order_by: Sequen
            vector_col: str = "vector") -> DataFrame:
     """Replace rows by id and add new ones; of several updates with one id the last by ``order_by`` wins.
 
-    Where ids are text, rows without one get the md5 of their vector; other id types must be given.
+    Where ids are text, rows without one get the md5 of all their columns; other id types must be given.
     """
     id_type = collection.schema[id_col].dataType
     given = F.col(id_col).cast(id_type)
     if isinstance(id_type, T.StringType):
-        new_id = F.coalesce(given, F.md5(F.to_json(vector_col)))
+        new_id = F.coalesce(given, F.md5(F.to_json(F.struct("*"))))
     else:
         new_id = F.when(given.isNotNull(), given).otherwise(F.raise_error(F.lit(f"{id_col} is missing")))
     named = updates.withColumns({vector_col: checked_vector(F.col(vector_col), dim), id_col: new_id})
@@ -64,6 +64,12 @@ def upsert(collection: DataFrame, updates: DataFrame, dim: int, order_by: Sequen
     return collection.join(replaced, id_col, "left_anti").select(*collection.columns).union(latest)
 
 
+def unusable(df: DataFrame, vector_col: str = "vector") -> DataFrame:
+    """Rows that searches set aside: no vector, or one with an element that is NULL or not finite."""
+    bad = F.exists(F.col(vector_col).cast("array<double>"), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return df.filter(F.col(vector_col).isNull() | bad)
+
+
 def _scores(block: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
     """Scores (queries x rows); larger is better, distances come out negative."""
     if metric == "euclid":
@@ -118,7 +124,11 @@ def _top_in_task(
             for start in range(0, batch.num_rows, _ROW_BLOCK):
                 part = batch.slice(start, _ROW_BLOCK)
                 part = part.take(pc.sort_indices(part.column(id_col)))
-                scores = _scores(_matrix(part.column(vector_col), dim), queries, metric)
+                matrix = _matrix(part.column(vector_col), dim)
+                whole = np.isfinite(matrix).all(axis=1)
+                if not whole.all():
+                    part, matrix = part.filter(pa.array(whole)), matrix[whole]
+                scores = _scores(matrix, queries, metric)
                 if part.num_rows > k:
                     floor = np.maximum(floor, np.partition(scores, -k, axis=1)[:, -k])
                 passing = scores >= floor[:, None]
@@ -162,9 +172,12 @@ def search(
 ) -> DataFrame:
     """The ``limit`` best vectors with ``score``, best first; ties go to the smaller id.
 
-    ``threshold`` drops worse results: a smallest score, or for euclid a largest distance.
+    ``threshold`` drops worse results: a smallest score, or for euclid a largest distance. Vectors with an element that
+    is NULL or not finite are set aside, see ``unusable``; a query with one raises.
     """
     name = metric_name(metric)
+    if not np.isfinite(np.asarray(query, dtype=np.float64)).all():
+        raise ValueError("the query vector holds a NULL or a number that is not finite")
     bound = None if threshold is None else (-threshold if name == "euclid" else threshold)
     tops = _task_tops(df, [0], T.IntegerType(), np.asarray([query], dtype=np.float64), name, limit, id_col, vector_col,
                       payload, bound)
@@ -187,7 +200,8 @@ def search_many(
     name = metric_name(metric)
     id_type = queries.schema[query_id].dataType
     # Queries that share an id count once, so a share holds about as many queries as planned.
-    wanted = queries.filter(F.col(query_vector).isNotNull()).groupBy(F.col(query_id).alias("_query")).agg(
+    broken = F.exists(F.col(query_vector).cast("array<double>"), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    wanted = queries.filter(F.col(query_vector).isNotNull() & ~F.coalesce(broken, F.lit(False))).groupBy(F.col(query_id).alias("_query")).agg(
         F.min(F.col(query_vector).cast("array<double>")).alias("_vector"))
     passes = max(1, math.ceil(wanted.count() / block))
     if passes > 1:

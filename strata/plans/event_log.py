@@ -116,12 +116,13 @@ def event_enrich(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("event_wrap_raw", f"""
-    SELECT md5(props) AS event_id, 'raw_data' AS event_type, '{NOW}' AS event_timestamp, 'app' AS source_system,
+    SELECT md5('{{"data":' || to_json(props) || ',"p0":' || event_id || '}}') AS event_id, 'raw_data' AS event_type, '{NOW}' AS event_timestamp, 'app' AS source_system,
            props AS payload, 0 AS metadata_keys, '1.0' AS schema_version
     FROM events
 """)
 def event_wrap_raw(spark: SparkSession, sf: str) -> DataFrame:
-    out = events.wrap_raw(table(spark, sf, "events"), F.col("props"), "app", F.lit(NOW))
+    out = events.wrap_raw(table(spark, sf, "events"), F.col("props"), "app", F.lit(NOW),
+                          position=[F.col("event_id")])
     return out.withColumn("metadata_keys", F.size("metadata")).drop("metadata")
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import base64
 import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -277,16 +276,15 @@ def mask_pii_in_text(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("encrypt_columns", "SELECT c_custkey, c_name, length(c_name) > 0 AS hidden FROM customer")
 def encrypt_columns(spark: SparkSession, sf: str) -> DataFrame:
-    """Encrypted and decrypted again; ``hidden`` says that the stored text does not show the name.
+    """Encrypted and decrypted again with one of two keys; ``hidden`` says that the stored text does not show the name.
 
-    A session that was given no key gets a random one for this run.
+    The key table stands for one that is read from a protected path.
     """
-    if not spark.conf.get(protect.KEY_CONF, None):
-        spark.conf.set(protect.KEY_CONF, base64.b64encode(os.urandom(32)).decode())
+    keys = spark.createDataFrame([("old", bytearray(os.urandom(32))), ("new", bytearray(os.urandom(32)))], protect.KEYS)
     customers = table(spark, sf, "customer").select("c_custkey", "c_name", F.col("c_name").alias("plain"))
-    stored = protect.encrypt_columns(customers, ["c_name"])
+    stored = protect.encrypt_columns(customers, ["c_name"], keys, "new")
     hidden = stored.withColumn("hidden", ~F.contains("c_name", F.col("plain")))
-    return protect.decrypt_columns(hidden, ["c_name"]).drop("plain")
+    return protect.decrypt_columns(hidden, ["c_name"], keys).drop("plain")
 
 
 @register("pseudonymize_columns", """
@@ -328,23 +326,21 @@ def ingest_metrics(spark: SparkSession, sf: str) -> DataFrame:
 """)
 def message_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Messages by topic and status, and a latency histogram (the event value stands for the latency)."""
-    complete = F.endswith("value", F.lit(b"}"))
-    counted = log(spark, sf).withColumn("status", F.when(complete, "success").otherwise("failure"))
-    counts = opsmetrics.message_counts(counted).withColumn("le", F.lit(None).cast("double"))
-    timed = envelopes(spark, sf).select(ev.topic_for(F.col("event_type")).alias("topic"), "value")
-    histogram = opsmetrics.latency_histogram(timed, F.col("value") / 100, ["topic"])
-    return counts.unionByName(histogram.withColumn("status", F.lit("latency")))
+    sent = envelopes(spark, sf).select(
+        ev.topic_for(F.col("event_type")).alias("topic"), F.when(F.col("broken"), "failure").otherwise("success").alias("status"),
+        "value")
+    return opsmetrics.message_report(sent, F.col("value") / 100)
 
 
-_STORED = ("customer", "events", "lineitem", "orders", "part", "supplier")
+_STORED = ("benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation",
+           "orders", "pages", "part", "region", "supplier")
 
 
 @register("storage_metrics", " UNION ALL ".join(
     f"SELECT 'bronze' AS layer, '{t}' AS table_name, count(*) AS row_count, true AS has_bytes, true AS has_files FROM {t}"
     for t in _STORED))
 def storage_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    tables = {t: table(spark, sf, t) for t in _STORED}
-    return opsmetrics.storage_metrics(tables, "bronze").select(
+    return opsmetrics.storage_metrics(spark, {t: f"{sf}/{t}.parquet" for t in _STORED}, "bronze").select(
         "layer", "table_name", "row_count", (F.col("size_bytes") > 0).alias("has_bytes"),
         (F.col("file_count") > 0).alias("has_files"))
 

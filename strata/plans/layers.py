@@ -133,31 +133,39 @@ _CUSTOMER_SCHEMA = T.StructType([
     T.StructField("c_custkey", T.LongType(), False),
     T.StructField("balance", T.DoubleType(), True),
     T.StructField("segment", T.StringType(), False),
+    T.StructField("points", T.IntegerType(), True),
+    T.StructField("since", T.TimestampNTZType(), True),
 ])
 
 _LOOSE_CUSTOMERS_SQL = """
     SELECT CASE WHEN c_nationkey = 3 THEN c_name ELSE CAST(c_custkey AS VARCHAR) END AS c_custkey,
            CASE WHEN c_nationkey = 7 THEN 'n/a' ELSE CAST(c_acctbal AS VARCHAR) END AS balance,
-           nullif(c_mktsegment, 'MACHINERY') AS segment
+           nullif(c_mktsegment, 'MACHINERY') AS segment,
+           CASE WHEN c_nationkey = 11 THEN c_custkey + 0.5::DOUBLE ELSE c_custkey::DOUBLE END AS points,
+           CASE WHEN c_nationkey = 13 THEN '2024' ELSE '2024-01-02 03:04:05' END AS since
     FROM customer
 """
 
 
 def _loose_customers(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers as text, some with a key that is no number, a balance that is no number, or no segment."""
+    """Customers with a key or balance that is no number, no segment, a fraction for an integer, or a year for a time."""
     return table(spark, sf, "customer").select(
         F.when(F.col("c_nationkey") == 3, F.col("c_name")).otherwise(F.col("c_custkey").cast("string"))
         .alias("c_custkey"),
         F.when(F.col("c_nationkey") == 7, F.lit("n/a")).otherwise(F.col("c_acctbal").cast("string"))
         .alias("balance"),
         F.expr("nullif(c_mktsegment, 'MACHINERY')").alias("segment"),
+        F.when(F.col("c_nationkey") == 11, F.col("c_custkey") + 0.5).otherwise(F.col("c_custkey").cast("double")).alias("points"),
+        F.when(F.col("c_nationkey") == 13, "2024").otherwise("2024-01-02 03:04:05").alias("since"),
     )
 
 
 @register("conform_schema", f"""
-    SELECT CAST(c_custkey AS BIGINT) AS c_custkey, CAST(balance AS DOUBLE) AS balance, segment
+    SELECT CAST(c_custkey AS BIGINT) AS c_custkey, CAST(balance AS DOUBLE) AS balance, segment,
+           CAST(points AS INTEGER) AS points, CAST(since AS TIMESTAMP) AS since
     FROM ({_LOOSE_CUSTOMERS_SQL}) WHERE TRY_CAST(c_custkey AS BIGINT) IS NOT NULL
       AND (balance IS NULL OR TRY_CAST(balance AS DOUBLE) IS NOT NULL) AND segment IS NOT NULL
+      AND points = floor(points) AND length(since) > 4
 """)
 def conform_schema(spark: SparkSession, sf: str) -> DataFrame:
     return silver.conform(_loose_customers(spark, sf), _CUSTOMER_SCHEMA)[0]
@@ -168,18 +176,22 @@ def conform_schema(spark: SparkSession, sf: str) -> DataFrame:
         CASE WHEN c_custkey IS NOT NULL AND TRY_CAST(c_custkey AS BIGINT) IS NULL THEN 'c_custkey is not bigint' END,
         CASE WHEN c_custkey IS NULL THEN 'c_custkey is required' END,
         CASE WHEN balance IS NOT NULL AND TRY_CAST(balance AS DOUBLE) IS NULL THEN 'balance is not double' END,
-        CASE WHEN segment IS NULL THEN 'segment is required' END) AS reasons
+        CASE WHEN segment IS NULL THEN 'segment is required' END,
+        CASE WHEN points <> floor(points) THEN 'points is not int' END,
+        CASE WHEN length(since) = 4 THEN 'since is not timestamp_ntz' END) AS reasons
     FROM ({_LOOSE_CUSTOMERS_SQL})) WHERE reasons <> ''
 """)
 def conform_rejects(spark: SparkSession, sf: str) -> DataFrame:
     rejected = silver.conform(_loose_customers(spark, sf), _CUSTOMER_SCHEMA)[1]
-    return rejected.select("c_custkey", "balance", "segment", F.array_join("conform_errors", "; ").alias("reasons"))
+    return rejected.select("c_custkey", "balance", "segment", "points", "since", F.array_join("conform_errors", "; ").alias("reasons"))
 
 
 @register("standardize_formats", """
     SELECT c_custkey, upper(c_name) AS c_name, c_mktsegment[1] || lower(c_mktsegment[2:]) AS segment,
-           c_acctbal * 0.01::DOUBLE AS balance, DATE '2024-01-31' - CAST(c_nationkey AS INTEGER) AS opened
-    FROM customer
+           c_acctbal * 0.01::DOUBLE AS balance, DATE '2024-01-31' - CAST(c_nationkey AS INTEGER) AS opened, '' AS errors
+    FROM customer WHERE c_nationkey NOT IN (4, 9)
+    UNION ALL SELECT c_custkey, '  ' || lower(c_name) || chr(9), ' ' || c_mktsegment, c_acctbal, NULL, 'opened is no date'
+    FROM customer WHERE c_nationkey IN (4, 9)
 """)
 def standardize_formats(spark: SparkSession, sf: str) -> DataFrame:
     raw = table(spark, sf, "customer").select(
@@ -187,9 +199,13 @@ def standardize_formats(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("  "), F.lower("c_name"), F.lit("\t")).alias("c_name"),
         F.concat(F.lit(" "), F.col("c_mktsegment")).alias("segment"),
         F.col("c_acctbal").alias("balance"),
-        F.date_sub(F.lit("2024-01-31").cast("date"), F.col("c_nationkey")).cast("string").alias("opened"),
+        F.when(F.col("c_nationkey") == 4, "31.1.2024").when(F.col("c_nationkey") == 9, "2024").otherwise(
+            F.date_sub(F.lit("2024-01-31").cast("date"), F.col("c_nationkey")).cast("string")).alias("opened"),
     )
-    return silver.standardize(raw, {"c_name": "upper", "segment": "title", "balance": "scale:0.01", "opened": "date"})
+    good, rejected = silver.standardize(
+        raw, {"c_name": "upper", "segment": "title", "balance": "scale:0.01", "opened": "date"})
+    return good.withColumn("errors", F.lit("")).unionByName(rejected.withColumns({
+        "opened": F.lit(None).cast("date"), "errors": F.array_join("standardize_errors", "; ")}).drop("standardize_errors"))
 
 
 @register("bronze_to_silver", f"""
@@ -324,7 +340,7 @@ def gold_unique_users_approx(spark: SparkSession, sf: str) -> DataFrame:
 """)
 def gold_kpis(spark: SparkSession, sf: str) -> DataFrame:
     monthly = gold.rollup_time(table(spark, sf, "orders"), "o_orderdate", "month",
-                               [F.count(F.lit(1)).alias("orders"), gold.exact_sum("o_totalprice").alias("revenue")])
+                               [F.count(F.lit(1)).alias("orders"), gold.exact_sum("o_totalprice", 2).alias("revenue")])
     monthly = monthly.withColumn("avg_order_value", F.try_divide("revenue", "orders"))
     return gold.period_over_period(monthly, "period", "revenue")
 
@@ -340,7 +356,7 @@ def gold_kpis(spark: SparkSession, sf: str) -> DataFrame:
 """)
 def customer_360(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.count(F.lit(1)).alias("orders"), gold.exact_sum("o_totalprice").alias("spent"),
+        F.count(F.lit(1)).alias("orders"), gold.exact_sum("o_totalprice", 2).alias("spent"),
         F.max("o_orderdate").alias("last_order"))
     events = table(spark, sf, "events").groupBy(F.col("user_id").alias("c_custkey")).agg(
         F.count(F.lit(1)).alias("events"), F.max("ts").alias("last_event"))

@@ -11,7 +11,7 @@ from strata.plans.registry import register, table
 
 def _sql(spark: SparkSession, sf: str, text: str, *names: str, **params) -> DataFrame:
     """Run text in which ``{orders}`` stands for the orders table."""
-    return run_sql(spark, text, {n: table(spark, sf, n) for n in names}, params, limit=None)
+    return run_sql(spark, text, {n: table(spark, sf, n) for n in names}, params)
 
 
 def _same(key: str, text: str, *names: str) -> None:
@@ -60,16 +60,25 @@ _same("sql_joins", """
          ON s_nationkey = c_nationkey GROUP BY 2
 """, "supplier", "nation", "customer", "orders")
 
-_same("sql_semi_anti", """
+_SEMI_ANTI = """
     SELECT 'exists' AS how, c_custkey FROM {customer} WHERE EXISTS (
         SELECT 1 FROM {orders} WHERE o_custkey = c_custkey AND o_totalprice > 490000)
     UNION ALL SELECT 'not exists', c_custkey FROM {customer} WHERE NOT EXISTS (
         SELECT 1 FROM {orders} WHERE o_custkey = c_custkey AND o_orderstatus = 'F')
     UNION ALL SELECT 'in', c_custkey FROM {customer} WHERE c_nationkey IN (
         SELECT n_nationkey FROM {nation} WHERE n_regionkey = 2)
-    UNION ALL SELECT 'not in', c_custkey FROM {customer} WHERE c_nationkey NOT IN (
-        SELECT n_nationkey FROM {nation} WHERE n_regionkey <> 1)
-""", "customer", "orders", "nation")
+    UNION ALL SELECT 'not in', c_custkey FROM {customer} WHERE """
+
+# What NOT IN asks, as an anti join that needs no broadcast: nothing equal, and no NULL on either side.
+_NOT_IN = """c_nationkey IS NOT NULL
+        AND NOT EXISTS (SELECT 1 FROM {nation} WHERE n_regionkey <> 1 AND n_nationkey = c_nationkey)
+        AND (SELECT count(*) FROM {nation} WHERE n_regionkey <> 1 AND n_nationkey IS NULL) = 0"""
+
+
+@register("sql_semi_anti", _SEMI_ANTI.replace("{", "").replace("}", "")
+          + "c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey <> 1)")
+def sql_semi_anti(spark: SparkSession, sf: str) -> DataFrame:
+    return _sql(spark, sf, _SEMI_ANTI + _NOT_IN, "customer", "orders", "nation")
 
 
 @register("sql_range_join", """
@@ -85,7 +94,7 @@ def sql_range_join(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("p_size") * 10 + 15).cast("double").alias("high"))
     hits = joins.range_join(table(spark, sf, "events").select("event_id", "value"), bands, "value", "low", "high",
                             width=15, salts=4)
-    return hits.groupBy("p_size").agg(F.count(F.lit(1)).alias("events"), gold.exact_sum("value").alias("total"))
+    return hits.groupBy("p_size").agg(F.count(F.lit(1)).alias("events"), gold.exact_sum("value", 2).alias("total"))
 
 
 @register("sql_asof_join", """

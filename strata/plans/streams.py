@@ -67,8 +67,14 @@ def stream_payload_trim(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _CLOSED = "window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"
-_METRICS = """event_type, count(*) AS events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total,
-    CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean"""
+# Values with four places, some of them missing.
+_FINE_SQL = "(SELECT * REPLACE (CASE WHEN event_id % 11 <> 0 THEN value + (event_id % 97) / 10000.0::DOUBLE END AS value) FROM events)"
+_METRICS = """event_type, count(*) AS events, CAST(sum(CAST(value AS DECIMAL(28,4))) AS DOUBLE) AS total,
+    CAST(sum(CAST(value AS DECIMAL(28,4))) AS DOUBLE) / nullif(count(value), 0) AS mean"""
+
+
+def _fine(df: DataFrame) -> DataFrame:
+    return df.withColumn("value", F.when(F.col("event_id") % 11 != 0, F.col("value") + (F.col("event_id") % 97) / 10000.0))
 
 
 def _ntz_windows(df: DataFrame) -> DataFrame:
@@ -78,33 +84,36 @@ def _ntz_windows(df: DataFrame) -> DataFrame:
 @register("stream_tumbling_5min", f"""
     SELECT * FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
                           time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end, {_METRICS}
-                   FROM events GROUP BY ALL) WHERE {_CLOSED}
+                   FROM {_FINE_SQL} GROUP BY ALL) WHERE {_CLOSED}
 """)
 def stream_tumbling_5min(spark: SparkSession, sf: str) -> DataFrame:
     """Windows that the watermark has closed."""
-    return _ntz_windows(_to_parquet(spark, jobs.window_metrics(_timed(spark, sf)), "tumbling"))
+    return _ntz_windows(_to_parquet(spark, jobs.window_metrics(_fine(_timed(spark, sf)), scale=4), "tumbling"))
 
 
 @register("stream_sliding", f"""
     SELECT * FROM (SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, {_METRICS}
                    FROM (SELECT *, unnest([time_bucket(INTERVAL 5 MINUTE, ts),
                                            time_bucket(INTERVAL 5 MINUTE, ts) - INTERVAL 5 MINUTE]) AS window_start
-                         FROM events) GROUP BY window_start, event_type) WHERE {_CLOSED}
+                         FROM {_FINE_SQL}) GROUP BY window_start, event_type) WHERE {_CLOSED}
 """)
 def stream_sliding(spark: SparkSession, sf: str) -> DataFrame:
     """Ten-minute windows every five minutes, those the watermark has closed."""
-    sliding = jobs.window_metrics(_timed(spark, sf), length="10 minutes", slide="5 minutes")
+    sliding = jobs.window_metrics(_fine(_timed(spark, sf)), length="10 minutes", slide="5 minutes", scale=4)
     return _ntz_windows(_to_parquet(spark, sliding, "sliding"))
 
 
 @register("stream_exactly_once_sink", "SELECT event_id, ts, event_type, value FROM events")
 def stream_exactly_once_sink(spark: SparkSession, sf: str) -> DataFrame:
-    """The stream runs, loses its checkpoint and runs again onto the same table; every event is there once."""
-    path = scratch_path(spark, "exactly-once")
-    stream = _stream(spark, sf).select("event_id", "ts", "event_type", "value")
+    """A stream over several files runs file by file, loses its checkpoint, and runs again two files at a time onto the
+    same table; every event is there once."""
+    path, source = scratch_path(spark, "exactly-once"), scratch_path(spark, "exactly-once-files")
+    table(spark, sf, "events").select("event_id", "ts", "event_type", "value").repartition(5, "event_id").write.parquet(source)
+    schema = spark.read.parquet(source).schema
     for attempt in (1, 2):
         checkpoint = scratch_path(spark, f"exactly-once-checkpoint-{attempt}")
-        jobs.run_available(jobs.commit_batches(stream, path, checkpoint, lambda batch: {"events": batch}))
+        stream = jobs.read_stream(spark, source, schema, attempt)
+        jobs.run_available(jobs.commit_batches(stream, path, checkpoint, lambda batch: {"events": batch}, ["event_id"]))
     return jobs.read_committed(spark, path, "events")
 
 
@@ -158,6 +167,6 @@ def stream_quality_monitor(spark: SparkSession, sf: str) -> DataFrame:
 """)
 def anomaly_flags(spark: SparkSession, sf: str) -> DataFrame:
     """Hours whose total is far from the twelve before."""
-    hourly = jobs.window_metrics(table(spark, sf, "events"), length="1 hour")
+    hourly = jobs.window_metrics(table(spark, sf, "events"), length="1 hour", scale=2)
     flagged = jobs.anomaly_flags(hourly, ["event_type"], "window_start", "total", F.to_date("window_start"), bound=2.0)
     return flagged.select("event_type", "window_start", "total", F.round("z", 6).alias("z"), "anomaly")

@@ -9,10 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from strata.cluster import scratch_path
 from strata.functions.text import record_hash
 from strata.plans.registry import ntz, register, table
-from strata.sources import layers, partitions, versions
-from strata.sources.versions import History, VersionedTable
-
-T0, T1, T2, T3 = (datetime(2024, 2, d) for d in (1, 2, 3, 4))
+from strata.sources import layers, tables, versions
+from strata.sources.versions import History
 
 # ---- scans --------------------------------------------------------------------------------------------------
 
@@ -59,25 +57,29 @@ def ingest_files(spark: SparkSession, sf: str) -> DataFrame:
 _EARLY = "o_orderdate < TIMESTAMP_NTZ '1998-01-01 00:00:00'"
 
 
-def _orders_table(spark: SparkSession, sf: str, name: str) -> tuple[VersionedTable, DataFrame]:
-    """Orders appended in two batches: commits 1 (before 1998) and 2."""
+def _orders_table(spark: SparkSession, sf: str, name: str) -> tuple[str, DataFrame]:
+    """Orders appended in two batches, by year of the order."""
     orders = table(spark, sf, "orders")
-    stored = VersionedTable.create(spark, scratch_path(spark, name), orders.schema, T0)
-    stored.append(orders.filter(_EARLY), T1)
-    stored.append(orders.filter(f"NOT ({_EARLY})"), T2)
-    return stored, orders
+    path = scratch_path(spark, name)
+    tables.write(orders.filter(_EARLY), path, [("o_orderdate", "year")])
+    tables.write(orders.filter(f"NOT ({_EARLY})"), path, [("o_orderdate", "year")])
+    return path, orders
 
 
 @register("table_append", "SELECT * FROM orders")
 def table_append(spark: SparkSession, sf: str) -> DataFrame:
-    return _orders_table(spark, sf, "append")[0].read()
+    path, orders = _orders_table(spark, sf, "append")
+    return spark.read.parquet(path).select(orders.columns)
 
 
-@register("table_overwrite", "SELECT * FROM orders WHERE o_orderstatus = 'O'")
+@register("table_overwrite", """
+    SELECT * FROM orders WHERE o_orderstatus = 'O' OR year(o_orderdate) < 2000
+""")
 def table_overwrite(spark: SparkSession, sf: str) -> DataFrame:
-    stored, orders = _orders_table(spark, sf, "overwrite")
-    stored.overwrite(orders.filter("o_orderstatus = 'O'"), T3)
-    return stored.read()
+    """The years from 2000 on are replaced by their open orders; earlier years are not touched."""
+    path, orders = _orders_table(spark, sf, "overwrite")
+    tables.write(orders.filter("o_orderstatus = 'O' AND year(o_orderdate) >= 2000"), path, [("o_orderdate", "year")], "overwrite")
+    return spark.read.parquet(path).select(orders.columns)
 
 
 @register("table_delete_where", """
@@ -85,31 +87,34 @@ def table_overwrite(spark: SparkSession, sf: str) -> DataFrame:
 """)
 def table_delete_where(spark: SparkSession, sf: str) -> DataFrame:
     """Rows for which the condition is NULL stay."""
-    stored, _ = _orders_table(spark, sf, "delete")
-    stored.delete_where("nullif(o_orderpriority, '5-LOW') = '1-URGENT' AND o_totalprice > 100000", T3)
-    return stored.read()
+    path, orders = _orders_table(spark, sf, "delete")
+    new = scratch_path(spark, "deleted")
+    tables.delete_where(spark, path, "nullif(o_orderpriority, '5-LOW') = '1-URGENT' AND o_totalprice > 100000", new)
+    return spark.read.parquet(new).select(orders.columns)
 
 
 @register("table_compact", "SELECT * FROM orders WHERE o_orderstatus <> 'P'")
 def table_compact(spark: SparkSession, sf: str) -> DataFrame:
-    stored, _ = _orders_table(spark, sf, "compact")
-    stored.delete_where("o_orderstatus = 'P'", T3)
-    stored.compact(T3, ["o_orderdate", "o_custkey"])
-    return stored.read()
+    path, orders = _orders_table(spark, sf, "compact")
+    kept, new = scratch_path(spark, "kept"), scratch_path(spark, "compacted")
+    tables.delete_where(spark, path, "o_orderstatus = 'P'", kept)
+    tables.compact(spark, kept, ["o_orderdate", "o_custkey"], new)
+    return spark.read.parquet(new).select(orders.columns)
 
 
 @register("table_stats", """
-    SELECT 'orders' AS table_name, count(*) AS row_count, 3 AS snapshot_count, 2 AS current_snapshot,
-           'bronze' AS layer, 90 AS retention_days, true AS has_bytes
+    SELECT 'orders' AS table_name, count(*) AS row_count, 'bronze' AS layer, 90 AS retention_days,
+           true AS has_bytes, count(DISTINCT year(o_orderdate)) AS directories
     FROM orders
 """)
 def table_stats(spark: SparkSession, sf: str) -> DataFrame:
-    stored, _ = _orders_table(spark, sf, "stats")
+    path, _ = _orders_table(spark, sf, "stats")
     profile = layers.LAYERS["bronze"]
-    return stored.stats().select(
-        F.lit("orders").alias("table_name"), "row_count", F.col("snapshot_count").cast("int").alias("snapshot_count"),
-        F.col("current_snapshot").cast("int").alias("current_snapshot"), F.lit(profile.name).alias("layer"),
-        F.lit(profile.retention_days).alias("retention_days"), (F.col("size_bytes") > 0).alias("has_bytes"))
+    years = spark.read.parquet(path).select(F.count_distinct("o_orderdate_year").alias("directories"))
+    return tables.file_stats(spark, path).select(
+        F.lit("orders").alias("table_name"), "row_count", F.lit(profile.name).alias("layer"),
+        F.lit(profile.retention_days).alias("retention_days"), (F.col("size_bytes") > 0).alias("has_bytes"),
+        F.lit(years.first()["directories"]).cast("long").alias("directories"))
 
 
 @register("partition_transforms", """
@@ -144,12 +149,10 @@ def partition_pruned_read(spark: SparkSession, sf: str) -> DataFrame:
 def partition_add_field(spark: SparkSession, sf: str) -> DataFrame:
     """The first half of the month by day; the second half also by event type."""
     events = table(spark, sf, "events").select("event_id", "event_type", "ts")
-    path = scratch_path(spark, "evolving")
-    partitions.create(spark, path, events.schema, [("ts", "day")])
-    partitions.append(events.filter(F.col("ts") < ntz("2024-01-15")), path)
-    partitions.add_partition_field(spark, path, "event_type", "identity")
-    partitions.append(events.filter(F.col("ts") >= ntz("2024-01-15")), path)
-    return partitions.read(spark, path)
+    layouts = [scratch_path(spark, "by-day"), scratch_path(spark, "by-day-and-type")]
+    tables.write(events.filter(F.col("ts") < ntz("2024-01-15")), layouts[0], [("ts", "day")])
+    tables.write(events.filter(F.col("ts") >= ntz("2024-01-15")), layouts[1], [("ts", "day"), ("event_type", "identity")])
+    return tables.read_layouts(spark, *layouts).withColumn("ts_day", F.col("ts_day").cast("string"))
 
 
 @register("schema_evolve", """

@@ -167,12 +167,3 @@ def read_versions(versions: Sequence[tuple[DataFrame, dict[str, str]]], schema:
     for frame in frames[1:]:
         out = out.unionByName(frame)
     return out
-
-
-def file_stats(df: DataFrame) -> DataFrame:
-    """Rows, bytes and files behind a file scan, from file footers: no column is read."""
-    per_file = df.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path").agg(
-        F.max("file_size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
-    return per_file.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("row_count"),
-                        F.coalesce(F.sum("bytes"), F.lit(0)).alias("size_bytes"),
-                        F.count(F.lit(1)).alias("file_count"))

@@ -9,7 +9,6 @@ other commits are read without the join.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -19,7 +18,6 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, ty
 
 from strata.functions.text import record_hash
 from strata.operators.silver import deduplicate
-from strata.sources.layers import file_stats
 
 _RANGES = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())]))
 COMMITS = T.StructType([
@@ -222,160 +220,6 @@ class History:
         return History(rows, closes, left)
 
 
-class VersionedTable:
-    """A table history on shared storage, with one writer at a time.
-
-    Data of commit N goes to ``rows/commit_id=N`` and ``closes/commit_id=N``; ``commits/commit_id=N`` is written last.
-    Readers trust commits only, so a crashed write is invisible, and repeating it replaces its own directories.
-    """
-
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark = spark
-        self.path = path.rstrip("/")
-
-    @classmethod
-    def create(
-        cls, spark: SparkSession, path: str, schema: T.StructType, committed_at: datetime,
-    ) -> VersionedTable:
-        """An empty table: commit 0."""
-        table = cls(spark, path)
-        empty = spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
-        table._write_rows(empty, 0)
-        table._write_closes(empty.select(F.lit(None).cast("string").alias("record_hash"),
-                                         F.lit(None).cast("bigint").alias("row_commit")), 0)
-        table._commit(0, None, [(0, 0)], "create", committed_at, schema)
-        return table
-
-    # -- reading
-
-    def commits(self) -> DataFrame:
-        return self.spark.read.schema(COMMITS).parquet(f"{self.path}/commits")
-
-    def _schema(self, commit_id: int | None = None) -> T.StructType:
-        """The schema as of a commit, or the newest one."""
-        commits = self.commits() if commit_id is None else self.commits().filter(F.col("commit_id") == commit_id)
-        return _schema_of(commits.orderBy(F.desc("commit_id")).first())
-
-    def history(self) -> History:
-        schema = self._schema()
-        stored = T.StructType([*schema.fields, T.StructField("record_hash", T.StringType()),
-                               T.StructField("commit_id", T.LongType())])
-        closes = T.StructType([T.StructField("record_hash", T.StringType()), T.StructField("row_commit", T.LongType()),
-                               T.StructField("commit_id", T.LongType())])
-        return History(self.spark.read.schema(stored).parquet(f"{self.path}/rows"),
-                       self.spark.read.schema(closes).parquet(f"{self.path}/closes"), self.commits())
-
-    def read(self, commit_id: int | None = None, at: datetime | None = None,
-             columns: Sequence[str] | None = None) -> DataFrame:
-        """The current table, a version, or the table as of a time."""
-        history = self.history()
-        if commit_id is not None:
-            state = history.at(commit_id)
-        else:
-            state = history.at_time(at) if at is not None else history.current()
-        return state.select(*columns) if columns else state.drop("commit_id", "record_hash")
-
-    def stats(self) -> DataFrame:
-        """Rows of the current state, and bytes, files, versions and current version of the table."""
-        history = self.history()
-        files = file_stats(history.rows).drop("row_count")
-        count = history.current().agg(F.count(F.lit(1)).alias("row_count"))
-        versions = history.commits.agg(F.count(F.lit(1)).alias("snapshot_count"),
-                                       F.max("commit_id").alias("current_snapshot"))
-        names = [*count.columns, *files.columns, *versions.columns]
-        stacked = count.unionByName(files, allowMissingColumns=True).unionByName(versions, allowMissingColumns=True)
-        return stacked.agg(*[F.max(n).alias(n) for n in names])
-
-    # -- writing
-
-    def _write_rows(self, df: DataFrame, commit_id: int) -> None:
-        hashed = df.withColumn("record_hash", record_hash(df.schema))
-        hashed.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/rows/commit_id={commit_id}")
-
-    def _write_closes(self, hashes: DataFrame, commit_id: int) -> None:
-        hashes.write.mode("overwrite").parquet(f"{self.path}/closes/commit_id={commit_id}")
-
-    def _commit(self, commit_id: int, parent_id: int | None, visible: list[tuple[int, int]], op: str,
-                committed_at: datetime, schema: T.StructType, touched: Ranges = ()) -> int:
-        row = commit_row(self.spark, commit_id, parent_id, visible, op, committed_at, schema.json(), touched)
-        row.drop("commit_id").write.mode("overwrite").parquet(f"{self.path}/commits/commit_id={commit_id}")
-        return commit_id
-
-    def _parent(self, commit_id: int | None) -> tuple[Row, int, bool]:
-        """Parent commit, id of the new commit, and whether that commit exists already."""
-        commits = self.commits()
-        if commit_id is None:
-            head = commits.orderBy(F.desc("commit_id")).first()
-            return head, head["commit_id"] + 1, False
-        nearby = commits.filter(F.col("commit_id") <= commit_id).orderBy(F.desc("commit_id")).limit(2).collect()
-        done = nearby[0]["commit_id"] == commit_id
-        return nearby[1] if done and len(nearby) > 1 else nearby[0], commit_id, done
-
-    def append(self, df: DataFrame, committed_at: datetime, commit_id: int | None = None) -> int:
-        """Append a batch. With a ``commit_id`` of the caller's, repeating a finished commit changes nothing."""
-        parent, new_id, done = self._parent(commit_id)
-        if done:
-            return new_id
-        self._write_rows(df, new_id)
-        return self._commit(new_id, parent["commit_id"], extend(_ranges(parent), new_id), "append", committed_at,
-                            _with_new_columns(_schema_of(parent), df.schema))
-
-    def overwrite(self, df: DataFrame, committed_at: datetime, op: str = "overwrite") -> int:
-        """Replace all rows: a commit without parent."""
-        _, new_id, _ = self._parent(None)
-        self._write_rows(df, new_id)
-        return self._commit(new_id, None, [(new_id, new_id)], op, committed_at, df.schema)
-
-    def delete_where(self, condition: Column | str, committed_at: datetime) -> int:
-        """Delete matching rows; a row whose condition is NULL stays."""
-        parent, new_id, _ = self._parent(None)
-        # Equal rows match alike, so closing the hash closes every copy; duplicates collapse before the write.
-        matched = self.history().current().filter(condition).select(
-            "record_hash", F.col("commit_id").alias("row_commit")).distinct()
-        self._write_closes(matched, new_id)
-        written = self.spark.read.parquet(f"{self.path}/closes/commit_id={new_id}")
-        # At most one entry per earlier commit.
-        touched = _merge([(r["row_commit"],) * 2 for r in written.select("row_commit").distinct().collect()])
-        return self._commit(new_id, parent["commit_id"], extend(_ranges(parent), new_id), "delete", committed_at,
-                            _schema_of(parent), touched)
-
-    def rollback(self, commit_id: int, committed_at: datetime) -> int:
-        """Make an old version current again."""
-        history = self.history()
-        target, new_id = history.version(commit_id), history.head()["commit_id"] + 1
-        return self._commit(new_id, commit_id, extend(_ranges(target), new_id), "rollback", committed_at,
-                            self._schema(commit_id))
-
-    def compact(self, committed_at: datetime, sort_by: Sequence[str], target_bytes: int = 128 * 1024 * 1024) -> int:
-        """Rewrite the current rows into files of about ``target_bytes``, ordered by ``sort_by``.
-
-        Ranges over the sort columns and the row hash give even files with narrow min/max values, also when one
-        sort value fills most of the table.
-        """
-        state = self.history().current().drop("commit_id")
-        size = file_stats(self.history().rows).first()["size_bytes"]
-        files = max(1, -(-size // target_bytes))
-        order = [*sort_by, "record_hash"]
-        laid_out = state.repartitionByRange(files, *order).sortWithinPartitions(*order).drop("record_hash")
-        return self.overwrite(laid_out, committed_at, "compact")
-
-    def expire(self, before: datetime, path: str) -> VersionedTable:
-        """The table without its old versions, written to a new path; readers of the old path are not disturbed."""
-        kept = self.history().expired(before)
-        for frame, name in ((kept.rows, "rows"), (kept.closes, "closes"), (kept.commits, "commits")):
-            frame.write.mode("overwrite").partitionBy("commit_id").parquet(f"{path}/{name}")
-        return VersionedTable(self.spark, path)
-
-
-def _schema_of(commit: Row) -> T.StructType:
-    return T.StructType.fromJson(json.loads(commit["schema_json"]))
-
-
-def _with_new_columns(known: T.StructType, schema: T.StructType) -> T.StructType:
-    names = set(known.names)
-    return T.StructType([*known.fields, *[f for f in schema.fields if f.name not in names]])
-
-
 def latest_state(
     changes: DataFrame, keys: Sequence[str], order_by: Sequence[str], is_delete: Column,
 ) -> DataFrame:

@@ -1,18 +1,21 @@
 """Streaming jobs: raw events to the clean layer, windowed metrics, sinks that survive replays, monitoring.
 
-Lateness is a choice made here, because append-mode windows need one: events up to ten minutes late count; later
-ones are dropped by the watermark and show up in the query progress as ``numRowsDroppedByWatermark``.
+Append-mode windows need a lateness. Unless told otherwise, events up to ten minutes late count; later ones are dropped
+by the watermark and show up in the query progress as ``numRowsDroppedByWatermark``.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from strata.operators import events, quality
 from strata.operators.gold import exact_sum
+from strata.operators.silver import without_existing
 from strata.operators.windows import neighbours
 
 LATENESS = "10 minutes"
@@ -33,6 +36,7 @@ def read_stream(
 
 def clean_events(
     stream: DataFrame, validated_at: Column, position: Sequence[str | Column] = (), spread: int = 16,
+    lateness: str = LATENESS,
 ) -> DataFrame:
     """Validate envelopes, trim payload strings, stamp, and keep one row per event id.
 
@@ -44,7 +48,7 @@ def clean_events(
     cleansed = valid.withColumns({
         "payload": events.trim_payload_json(F.col("payload")),
         "validation_timestamp": validated_at,
-    }).withWatermark("ts", LATENESS)
+    }).withWatermark("ts", lateness)
     if position:
         dealt = cleansed.withColumn("_share", F.pmod(F.xxhash64(*position), F.lit(spread)))
         cleansed = dealt.dropDuplicatesWithinWatermark(["event_id", "_share"]).drop("_share")
@@ -53,53 +57,84 @@ def clean_events(
 
 def window_metrics(
     stream: DataFrame, time_column: str = "ts", value: str = "value", by: Sequence[str] = ("event_type",),
-    length: str = WINDOW, slide: str | None = None,
+    length: str = WINDOW, slide: str | None = None, scale: int | None = None,
 ) -> DataFrame:
     """Count, sum and mean per window and key; tumbling, or sliding when ``slide`` is given.
 
-    On a stream the time column needs a watermark, and a window comes out once that has passed its end.
+    The mean is over the values that are there; a window without any has no total and no mean. With ``scale``, the
+    number of decimal places of the values, sums do not depend on the order of rows. On a stream the time column needs a watermark, and a window comes out once that has passed its end.
     """
     window = F.window(time_column, length, slide) if slide else F.window(time_column, length)
     grouped = stream.groupBy(window.alias("w"), *by).agg(
-        F.count(F.lit(1)).alias("events"), exact_sum(value).alias("total"))
+        F.count(F.lit(1)).alias("events"), F.count(value).alias("_values"),
+        (F.sum(value) if scale is None else exact_sum(value, scale)).alias("total"))
     return grouped.select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, "events", "total",
-        (F.col("total") / F.col("events")).alias("mean"))
+        F.try_divide("total", "_values").alias("mean"))
 
 
 def commit_batches(
     stream: DataFrame, path: str, checkpoint: str, outputs: Callable[[DataFrame], dict[str, DataFrame]],
+    keys: Sequence[str] = (),
 ) -> DataStreamWriter:
     """Write each batch to one or several tables, each exactly once.
 
-    Batch N goes to ``<path>/<table>/batch_id=N`` and replaces only that directory, and ``<path>/commits/batch_id=N``
-    follows when all tables are written. A batch that is run again after a failure lands on itself; readers use
-    ``read_committed`` and see whole batches only.
+    Batch N of a checkpoint goes to ``<path>/<table>/run=<checkpoint's id>/batch_id=N`` and replaces only that
+    directory, and its entry in ``<path>/commits`` follows when all tables are written. A batch that is run again after
+    a failure lands on itself; readers use ``read_committed`` and see whole batches only.
+
+    A lost checkpoint cuts batches anew, so nothing tells which rows are there already but the rows themselves: with
+    ``keys`` each table leaves out rows whose key another checkpoint has committed; without, the job refuses a folder
+    that another checkpoint has written.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
+        run = json.loads(session.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        others = _commits(session, path).filter(F.col("run") != run)
+        foreign = not others.isEmpty()
+        if foreign and not keys:
+            raise RuntimeError(f"{path} was written with another checkpoint; give keys to continue with this one")
         frames = outputs(batch)
+        if foreign:
+            frames = {name: without_existing(frame, _read(session, path, name, others), keys) for name, frame in frames.items()}
         shared = len(frames) > 1
         if shared:
             batch.persist()
         try:
             for name, frame in frames.items():
                 frame.write.mode("overwrite").option("compression", "zstd").parquet(
-                    f"{path}/{name}/batch_id={batch_id}")
+                    f"{path}/{name}/run={run}/batch_id={batch_id}")
         finally:
             if shared:
                 batch.unpersist()
         session.range(0, 1, 1, 1).select(F.lit(",".join(frames)).alias("tables")).write.mode("overwrite").parquet(
-            f"{path}/commits/batch_id={batch_id}")
+            f"{path}/commits/run={run}/batch_id={batch_id}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
+_COMMITS = "tables string, run string, batch_id long"
+
+
+def _commits(spark: SparkSession, path: str) -> DataFrame:
+    """Checkpoint and number of each finished batch; none while nothing has been written."""
+    try:
+        return spark.read.schema(_COMMITS).parquet(f"{path}/commits").select("run", "batch_id")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _COMMITS).select("run", "batch_id")
+
+
+def _read(spark: SparkSession, path: str, name: str, commits: DataFrame) -> DataFrame:
+    return (spark.read.parquet(f"{path}/{name}").withColumn("run", F.col("run").cast("string"))
+            .join(commits, ["run", "batch_id"], "left_semi").drop("run", "batch_id"))
+
+
 def read_committed(spark: SparkSession, path: str, name: str) -> DataFrame:
     """Rows of finished batches. The list of finished batches is metadata and small."""
-    done = spark.read.parquet(f"{path}/commits").select("batch_id").distinct()
-    return spark.read.parquet(f"{path}/{name}").join(done, "batch_id", "left_semi").drop("batch_id")
+    return _read(spark, path, name, _commits(spark, path))
 
 
 def route_batches(failed_at: Column) -> Callable[[DataFrame], dict[str, DataFrame]]:

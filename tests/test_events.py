@@ -97,7 +97,7 @@ def test_enrich_overrides_and_keeps(spark):
 
 def test_wrap_raw_uses_given_ids(spark):
     df = spark.createDataFrame([("a", '{"x":1}'), (None, '{"x":2}')], "id string, data string")
-    out = events.wrap_raw(df, F.col("data"), "app", F.lit("now"), event_id=F.col("id")).collect()
+    out = events.wrap_raw(df, F.col("data"), "app", F.lit("now"), event_id=F.col("id"), position=[F.col("data")]).collect()
     assert out[0]["event_id"] == "a" and len(out[1]["event_id"]) == 32
     assert out[0]["event_type"] == "raw_data" and out[0]["schema_version"] == "1.0"
 
@@ -194,6 +194,31 @@ def test_layout_for_sending_orders_each_partition(spark):
         seen[key] = r["offset"]
 
 
+def test_spread_layout_keeps_each_key_in_order(spark):
+    from pyspark.sql.functions import spark_partition_id
+    df = log(spark, *[("t", 0, o, b"k%d" % (o % 9), b"1") for o in range(300)])
+    seen = {}
+    for r in messages.ordered_for_write(df, 4, spread=8).withColumn("task", spark_partition_id()).collect():
+        task, last = seen.get(bytes(r["key"]), (r["task"], -1))
+        assert task == r["task"] and last < r["offset"]
+        seen[bytes(r["key"])] = (task, r["offset"])
+    assert len({t for t, _ in seen.values()}) > 1
+
+
+def test_large_polls_are_cut_like_small_ones(spark):
+    df = log(spark, *[("t", o % 2, o, b"k", b"1") for o in range(5000)])
+    got = sorted((r["partition"], r["offset"]) for r in messages.next_batch(df, limit=1500).collect())
+    assert got == [(p, o) for p in (0, 1) for o in range(p, 3000, 2)]
+
+
+def test_wrapped_records_with_equal_data_stay_apart(spark):
+    df = spark.createDataFrame([('{"a":1}', 0), ('{"a":1}', 1)], "data string, at int")
+    wrap = lambda: [r.event_id for r in events.wrap_raw(df, F.col("data"), "s", F.lit("now"), position=[F.col("at")]).collect()]
+    assert len(set(wrap())) == 2 and wrap() == wrap()
+    with pytest.raises(ValueError):
+        events.wrap_raw(df, F.col("data"), "s", F.lit("now"))
+
+
 def test_kafka_options():
     assert kafka.offsets_json({("t", 0): 5, ("t", 1): -2}) == '{"t": {"0": 5, "1": -2}}'
     options = kafka.source_options("h:1", ["a", "b"], starting={("a", 0): 3}, max_per_trigger=500)

@@ -99,13 +99,17 @@ def test_mask_inside_text(spark):
 
 def test_encryption_round_trip(spark):
     df = spark.createDataFrame([("secret",), (None,), ("",)], "s string")
-    spark.conf.unset("spark.test.key")
-    with pytest.raises(ValueError):
-        protect.encrypt_columns(df, ["s"], "spark.test.key")
-    spark.conf.set("spark.test.key", base64.b64encode(b"0123456789abcdef0123456789abcdef").decode())
-    stored = protect.encrypt_columns(df, ["s"], "spark.test.key")
+    key = b"0123456789abcdef0123456789abcdef"
+    keys = spark.createDataFrame([("k1", bytearray(key)), ("k2", bytearray(b"fedcba9876543210"))], protect.KEYS)
+    stored = protect.encrypt_columns(df, ["s"], keys, "k1").union(protect.encrypt_columns(df, ["s"], keys, "k2"))
     assert "secret" not in str(stored.collect())
-    assert rows(protect.decrypt_columns(stored, ["s"], "spark.test.key")) == [(None,), ("",), ("secret",)]
+    back = protect.decrypt_columns(stored, ["s"], keys)
+    assert rows(back) == [(None,), (None,), ("",), ("",), ("secret",), ("secret",)]
+    for frame in (stored, back):
+        plan = frame._jdf.queryExecution().toString()
+        assert not any(k in plan for k in (key.decode(), base64.b64encode(key).decode(), key.hex(), key.hex().upper()))
+    with pytest.raises(Exception, match="no key k3"):
+        protect.encrypt_columns(df, ["s"], keys, "k3").collect()
 
 
 def test_pseudonyms_join_and_salt_matters(spark):
@@ -138,10 +142,10 @@ def test_last_error_is_the_latest_failure(spark):
 
 def test_sql_binds_parameters_and_caps_rows(spark, path):
     df = spark.createDataFrame([(i, f"n{i}") for i in range(150)], "id int, name string")
-    assert sql_query(spark, "SELECT * FROM {t}", {"t": df}).count() == 100
+    assert sql_query(spark, "SELECT * FROM {t}", {"t": df}, limit=100).count() == 100
     assert sql_query(spark, "SELECT * FROM {t} WHERE id < :n", {"t": df}, {"n": 3}).count() == 3
     assert sql_query(spark, "SELECT * FROM {t} WHERE name = :n", {"t": df}, {"n": "x' OR '1'='1"}).count() == 0
-    assert sql_query(spark, "SELECT * FROM {t}", {"t": df}, limit=None).count() == 150
+    assert sql_query(spark, "SELECT * FROM {t}", {"t": df}).count() == 150
     df.write.parquet(path)
     register_table(spark, "silver.people", path)
     try:

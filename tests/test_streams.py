@@ -80,7 +80,7 @@ def test_replay_and_crash_between_writes(spark, tmp_path):
     def outputs(batch):
         if fail["on"] and batch.filter("id = 2").count():
             # The first table of the second batch is written, then the job dies before the commit.
-            batch.write.mode("overwrite").parquet(f"{out}/left/batch_id=1")
+            batch.write.mode("overwrite").parquet(f"{out}/left/run=lost/batch_id=1")
             raise RuntimeError("executor lost")
         return {"left": batch, "right": batch.filter("id > 0")}
 
@@ -93,7 +93,29 @@ def test_replay_and_crash_between_writes(spark, tmp_path):
     for again in range(2):
         assert rows(jobs.read_committed(spark, out, "left"), "id") == [(1,), (2,)]
         assert rows(jobs.read_committed(spark, out, "right"), "id") == [(1,), (2,)]
-        jobs.run_available(jobs.commit_batches(stream(spark, src), out, str(tmp_path / f"new{again}"), outputs))
+        with pytest.raises(Exception, match="another checkpoint"):
+            jobs.run_available(jobs.commit_batches(stream(spark, src), out, str(tmp_path / f"strange{again}"), outputs))
+        jobs.run_available(jobs.commit_batches(stream(spark, src), out, str(tmp_path / f"new{again}"), outputs, ["id"]))
+
+
+def test_a_lost_checkpoint_with_other_cuts_repeats_nothing(spark, tmp_path):
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    spark.range(30).repartition(3).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    for turn, per_batch in enumerate((1, 3, 2)):
+        read = jobs.read_stream(spark, src, schema, per_batch)
+        jobs.run_available(jobs.commit_batches(read, out, str(tmp_path / f"check{turn}"), lambda b: {"t": b}, ["id"]))
+        assert rows(jobs.read_committed(spark, out, "t")) == [(i,) for i in range(30)]
+
+
+def test_window_metrics_keep_small_values_and_missing_ones(spark):
+    data = [(datetime(2024, 1, 1), v, "k") for v in (0.004, 0.004, None, 1e17)] + [(datetime(2024, 1, 1), None, "none")]
+    df = spark.createDataFrame(data, "ts timestamp, value double, event_type string")
+    got = {r.event_type: r for r in jobs.window_metrics(df.filter("value < 1 or value is null")).collect()}
+    assert (got["k"].events, got["k"].total, got["k"].mean) == (3, 0.008, 0.004)
+    assert (got["none"].events, got["none"].total, got["none"].mean) == (1, None, None)
+    exact = {r.event_type: r for r in jobs.window_metrics(df, scale=3).collect()}
+    assert exact["k"].total == pytest.approx(1e17) and exact["k"].events == 4
 
 
 def test_quality_per_batch(spark, tmp_path):

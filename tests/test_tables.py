@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from strata.cluster import clear_scratch, scratch_path, work_dir
-from strata.sources import layers, partitions
-from strata.sources.versions import UnknownVersion, VersionedTable, extend, latest_state
+from strata.functions.text import record_hash
+from strata.sources import layers, tables
+from strata.sources.versions import History, UnknownVersion, commit_row, extend, latest_state
 from tests.conftest import rows
 
 D = [datetime(2024, 1, d) for d in range(1, 20)]
@@ -83,141 +84,102 @@ def test_schema_changes(spark):
 
 def test_file_stats(spark, path):
     spark.range(100).repartition(4).write.parquet(path)
-    got = layers.file_stats(spark.read.parquet(path)).first()
+    got = tables.file_stats(spark, path).first()
     sizes = sum(os.path.getsize(f"{path}/{f}") for f in files(path))
     assert (got["row_count"], got["file_count"], got["size_bytes"]) == (100, 4, sizes)
 
 
-def test_partition_layouts_live_side_by_side(spark, path):
+def test_layouts_live_side_by_side(spark, path):
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("ts", T.TimestampNTZType()), T.StructField("k", T.StringType())])
     df = spark.createDataFrame([(1, D[0], "a"), (2, D[1], "b")], schema)
-    partitions.create(spark, path, schema, [("ts", "day")])
-    assert partitions.read(spark, path).count() == 0
-    partitions.append(df, path)
-    partitions.add_partition_field(spark, path, "k", "identity")
-    assert rows(partitions.read(spark, path), "id", "k_identity") == [(1, None), (2, None)]
-    partitions.append(df, path)
-    assert rows(partitions.read(spark, path), "id", "ts_day", "k_identity") == [
-        (1, "2024-01-01", None), (1, "2024-01-01", "a"), (2, "2024-01-02", None), (2, "2024-01-02", "b")]
-    assert rows(partitions.partition_specs(spark, path)) == [(0, 0, "ts", "day"), (1, 0, "ts", "day"), (1, 1, "k", "identity")]
-    with pytest.raises(ValueError):
-        partitions.add_partition_field(spark, path, "k", "identity")
+    tables.write(df, f"{path}/1", [("ts", "day")])
+    tables.write(df, f"{path}/2", [("ts", "day"), ("k", "identity")])
+    assert rows(tables.read_layouts(spark, f"{path}/1", f"{path}/2"), "id", "k_identity") == [(1, None), (1, "a"), (2, None), (2, "b")]
 
 
-# ---- history
+# ---- tables
+
+def test_write_appends_and_replaces_directories(spark, path):
+    spec = [("v", "identity")]
+    tables.write(frame(spark, (1, "a"), (2, "b")), path, spec)
+    tables.write(frame(spark, (3, "a")), path, spec)
+    assert rows(spark.read.parquet(path), "id") == [(1,), (2,), (3,)]
+    tables.write(frame(spark, (9, "a")), path, spec, "overwrite")
+    assert rows(spark.read.parquet(path), "id") == [(2,), (9,)]
+    tables.write(frame(spark, (5, "z")), f"{path}-plain", mode="overwrite")
+    tables.write(frame(spark, (6, "z")), f"{path}-plain", mode="overwrite")
+    assert rows(spark.read.parquet(f"{path}-plain"), "id") == [(6,)]
+
+
+def test_delete_keeps_rows_without_an_answer(spark, path):
+    tables.write(frame(spark, (1, "a"), (1, "a"), (2, None), (3, "c")), path)
+    tables.delete_where(spark, path, "v = 'a'", f"{path}-new")
+    assert rows(spark.read.parquet(f"{path}-new")) == [(2, None), (3, "c")]
 
-@pytest.fixture
-def table(spark, path):
-    return VersionedTable.create(spark, path, SCHEMA, D[0])
 
+def test_repeated_compaction_keeps_file_sizes(spark, path):
+    data = spark.range(20000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    data.repartition(13).write.parquet(path)
+    size = tables.file_stats(spark, path).first()["size_bytes"]
+    counts = []
+    for turn in range(3):
+        tables.compact(spark, path, ["id"], f"{path}-{turn}", target_bytes=size // 3)
+        path = f"{path}-{turn}"
+        counts.append(tables.file_stats(spark, path).first()["file_count"])
+    assert counts[1] == counts[2] <= counts[0] <= 4 and rows(spark.read.parquet(path)) == rows(data)
+
+
+# ---- history
 
 def test_visible_ranges_stay_short():
     assert extend([(0, 4)], 5) == [(0, 5)]
     assert extend([(0, 2)], 5) == [(0, 2), (5, 5)]
 
 
-def test_history_of_every_operation(spark, table):
-    assert table.read().count() == 0
-    table.append(frame(spark, (1, "a"), (1, "a"), (2, "b")), D[1])          # 1
-    table.append(frame(spark, (3, None)), D[2])                             # 2
-    table.delete_where("id = 1 OR v = 'zz'", D[3])                          # 3: both copies go, NULL stays
-    assert rows(table.read()) == [(2, "b"), (3, None)]
-    table.append(frame(spark, (1, "a")), D[4])                              # 4: back after the delete
-    assert rows(table.read()) == [(1, "a"), (2, "b"), (3, None)]
-    table.rollback(2, D[5])                                                 # 5
-    assert rows(table.read()) == [(1, "a"), (1, "a"), (2, "b"), (3, None)]
-    table.delete_where("id = 2", D[6])                                      # 6
-    table.overwrite(frame(spark, (9, "z")), D[7])                           # 7
-    assert rows(table.read()) == [(9, "z")]
-    states = {v: rows(table.read(commit_id=v)) for v in range(8)}
-    assert states[0] == [] and states[3] == [(2, "b"), (3, None)] and states[4] == [(1, "a"), (2, "b"), (3, None)]
-    assert states[6] == [(1, "a"), (1, "a"), (3, None)]
-    assert rows(table.read(at=datetime(2024, 1, 4, 12))) == states[3]
-    assert rows(table.read(at=D[6])) == states[6]
-    with pytest.raises(UnknownVersion):
-        table.read(commit_id=99)
+@pytest.fixture
+def history(spark):
+    """1: rows a, a, b; 2: row c; 3: closes a; 4: a again; 5: back to 2."""
+    data = [(1, "a", 1), (1, "a", 1), (2, "b", 1), (3, "c", 2), (1, "a", 4)]
+    stored = spark.createDataFrame(data, "id long, v string, commit_id long").withColumn("record_hash", record_hash(SCHEMA))
+    closes = stored.where("commit_id = 1 and id = 1").select("record_hash", F.lit(3).cast("long").alias("commit_id")).distinct()
+    made = [(1, None, [(1, 1)], "append", ()), (2, 1, [(1, 2)], "append", ()), (3, 2, [(1, 3)], "delete", [(1, 1)]),
+            (4, 3, [(1, 4)], "append", ()), (5, 2, [(1, 2), (5, 5)], "rollback", ())]
+    commits = None
+    for n, parent, seen, op, touched in made:
+        row = commit_row(spark, n, parent, seen, op, D[n], None, touched)
+        commits = row if commits is None else commits.unionByName(row)
+    return History(stored, closes, commits)
+
+
+def data_of(df):
+    return rows(df, "id", "v")
+
+
+def test_versions_of_a_history(spark, history):
+    states = {n: data_of(history.at(n)) for n in range(1, 6)}
+    assert states == {1: [(1, "a"), (1, "a"), (2, "b")], 2: [(1, "a"), (1, "a"), (2, "b"), (3, "c")], 3: [(2, "b"), (3, "c")],
+                      4: [(1, "a"), (2, "b"), (3, "c")], 5: [(1, "a"), (1, "a"), (2, "b"), (3, "c")]}
+    assert data_of(history.current()) == states[5] and data_of(history.at_time(datetime(2024, 1, 4, 12))) == states[3]
     with pytest.raises(UnknownVersion):
-        table.read(at=datetime(2000, 1, 1))
-    snapshots = table.history().snapshots().collect()
-    assert [r["op"] for r in snapshots] == ["create", "append", "append", "delete", "append", "rollback", "delete", "overwrite"]
-    assert snapshots[1]["timestamp_ms"] == 1704153600000 and snapshots[1]["timestamp"] == "2024-01-02T00:00:00.000"
-    assert rows(table.read(columns=["v"])) == [("z",)]
-
-
-def test_changes_between_versions(spark, table):
-    table.append(frame(spark, (1, "a"), (1, "a"), (2, "b")), D[1])
-    table.append(frame(spark, (3, "c")), D[2])
-    table.delete_where("id = 1", D[3])
-    table.append(frame(spark, (1, "a")), D[4])
-    history = table.history()
-    assert rows(history.changes(1, 4)) == [("added", 1, 3, "c"), ("removed", 1, 1, "a")]
-    assert rows(history.changes(4, 1)) == [("added", 1, 1, "a"), ("removed", 1, 3, "c")]
-    assert history.changes(2, 2).count() == 0
-    table.overwrite(frame(spark, (2, "b")), D[5])
-    assert rows(table.history().changes(1, 5)) == [("removed", 2, 1, "a")]
-
-
-def test_compact_keeps_rows_and_merges_files(spark, table):
-    for i in range(4):
-        table.append(frame(spark, *[(i * 10 + j, "x") for j in range(10)]).repartition(3), D[i + 1])
-    before = rows(table.read())
-    commit = table.compact(D[6], ["id"])
-    assert rows(table.read()) == before
-    assert len(files(f"{table.path}/rows/commit_id={commit}")) == 1
-    many = table.compact(D[7], ["id"], target_bytes=2000)
-    assert rows(table.read()) == before and len(files(f"{table.path}/rows/commit_id={many}")) > 1
-    assert rows(table.read(commit_id=2)) == before[:20]
-
-
-def test_repeating_a_commit_changes_nothing(spark, table):
-    table.append(frame(spark, (1, "a")), D[1], commit_id=1)
-    table.append(frame(spark, (1, "a")), D[1], commit_id=1)
-    table.append(frame(spark, (2, "b")), D[2], commit_id=2)
-    assert rows(table.read()) == [(1, "a"), (2, "b")]
-
-
-def test_a_write_without_commit_is_invisible_and_repairable(spark, table):
-    table._write_rows(frame(spark, (1, "half")), 1)
-    assert table.read().count() == 0
-    table.append(frame(spark, (1, "whole")), D[1], commit_id=1)
-    assert rows(table.read()) == [(1, "whole")]
-
-
-def test_columns_may_be_added_by_a_later_batch(spark, table):
-    table.append(frame(spark, (1, "a")), D[1])
-    table.append(spark.createDataFrame([(2, "b", 5)], "id long, v string, n int"), D[2])
-    assert rows(table.read()) == [(1, "a", None), (2, "b", 5)]
-    assert table.read(commit_id=1).count() == 1
-
-
-def test_expiry_keeps_reads(spark, table, tmp_path):
-    table.append(frame(spark, (1, "a"), (2, "b")), D[1])
-    table.delete_where("id = 1", D[2])
-    table.append(frame(spark, (3, "c")), D[3])
-    table.append(frame(spark, (4, "d")), D[10])
-    kept = table.expire(D[3], str(tmp_path / "kept"))
-    assert rows(kept.read()) == [(2, "b"), (3, "c"), (4, "d")]
-    assert rows(kept.read(commit_id=3)) == [(2, "b"), (3, "c")]
-    assert rows(kept.history().rows, "id") == [(2,), (3,), (4,)]
+        history.at(99)
     with pytest.raises(UnknownVersion):
-        kept.read(commit_id=1)
-    only_head = table.expire(datetime(2030, 1, 1), str(tmp_path / "head"))
-    assert rows(only_head.read()) == [(2, "b"), (3, "c"), (4, "d")]
+        history.at_time(datetime(2000, 1, 1))
+    snapshots = history.snapshots().collect()
+    assert [r["op"] for r in snapshots] == ["append", "append", "delete", "append", "rollback"]
+    assert snapshots[0]["timestamp_ms"] == 1704153600000 and snapshots[0]["timestamp"] == "2024-01-02T00:00:00.000"
 
 
-def test_expiry_keeps_rows_an_old_branch_still_sees(spark, table, tmp_path):
-    table.append(frame(spark, (1, "a")), D[1])
-    table.delete_where("id = 1", D[5])
-    table.rollback(1, D[6])
-    kept = table.expire(D[5], str(tmp_path / "kept"))
-    assert rows(kept.read(commit_id=2)) == [] and rows(kept.read(commit_id=3)) == [(1, "a")]
+def test_changes_between_versions(spark, history):
+    assert rows(history.changes(1, 4), "change", "copies", "id", "v") == [("added", 1, 3, "c"), ("removed", 1, 1, "a")]
+    assert rows(history.changes(4, 1), "change", "copies", "id", "v") == [("added", 1, 1, "a"), ("removed", 1, 3, "c")]
+    assert history.changes(2, 2).count() == 0 and history.changes(2, 5).count() == 0
 
 
-def test_stats(spark, table):
-    table.append(frame(spark, (1, "a"), (2, "b")), D[1])
-    table.delete_where("id = 1", D[2])
-    got = table.stats().first()
-    assert (got["row_count"], got["snapshot_count"], got["current_snapshot"]) == (1, 3, 2) and got["size_bytes"] > 0
+def test_expiry_keeps_reads(spark, history):
+    kept = history.expired(D[4])
+    assert data_of(kept.at(4)) == [(1, "a"), (2, "b"), (3, "c")] and data_of(kept.current()) == data_of(history.at(2))
+    with pytest.raises(UnknownVersion):
+        kept.at(1)
 
 
 def test_latest_state_drops_deleted_keys(spark):

@@ -120,3 +120,17 @@ def test_embeddings(spark):
 def test_semantic_search(spark):
     df = spark.createDataFrame([(1, "red apples and pears"), (2, "fast cars on roads"), (3, "green apples")], "id int, t string")
     assert vectors.semantic_search(df, "t", "apples red", 2, payload=["t"]).first()["id"] == 1
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "euclid"])
+def test_broken_vectors_do_not_push_out_good_ones(spark, metric):
+    data = [(i, [float(i % 7), 1.0, float(i)]) for i in range(100)]
+    broken = [(500, [float("nan"), 1.0, 1.0]), (501, [None, 1.0, 1.0]), (502, [float("inf"), 1.0, 1.0]), (503, None)]
+    df = spark.createDataFrame(data + broken, "id long, vector array<double>").coalesce(1)
+    good = df.filter("id < 500")
+    for k in (1, 3, 10):
+        got = [r.id for r in vectors.search(df, [1.0, 2.0, 3.0], k, metric).collect()]
+        assert got == [r.id for r in vectors.search(good, [1.0, 2.0, 3.0], k, metric).collect()] and len(got) == k
+    assert sorted(r.id for r in vectors.unusable(df).collect()) == [500, 501, 502, 503]
+    with pytest.raises(ValueError):
+        vectors.search(df, [float("nan"), 1.0, 1.0])
