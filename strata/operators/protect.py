@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from strata.functions import text
+from strata.operators.plan import computed_once
 
 KEYS = "key_id string, key binary"
 
@@ -30,7 +31,8 @@ def encrypt_columns(df: DataFrame, columns: Sequence[str], keys: DataFrame, key_
 
     ``keys`` has ``key_id`` and ``key`` (16, 24 or 32 bytes), one row each, from a path that only this job may read.
     """
-    out = _with_keys(df.withColumn("key_id", F.lit(key_id)), keys)
+    # The id as a value of each row: as a constant it would turn the join into one without a condition.
+    out = _with_keys(computed_once(df, F.struct(F.lit(key_id).alias("key_id"))), keys)
     return out.withColumns({c: F.base64(F.aes_encrypt(F.col(c), F.col("_key"), F.lit("GCM"))) for c in columns}).drop("_key")
 
 
