@@ -323,10 +323,15 @@ def gold_unique_users(spark: SparkSession, sf: str) -> DataFrame:
     return per_user.groupBy("period", "event_type").agg(F.count("user_id").alias("users"), F.sum("n").alias("events"))
 
 
-@register("gold_unique_users_approx")
+@register("gold_unique_users_approx", """
+    SELECT date_trunc('day', ts)::TIMESTAMP AS period, event_type, count(DISTINCT user_id) AS users, true AS within
+    FROM events GROUP BY ALL
+""")
 def gold_unique_users_approx(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.rollup_time(table(spark, sf, "events"), "ts", "day",
-                            [F.approx_count_distinct("user_id", 0.02).alias("users")], ["event_type"])
+    """Users per day and type, and whether the approximate number lies within a tenth of it (or one user)."""
+    both = gold.rollup_time(table(spark, sf, "events"), "ts", "day", [
+        F.count_distinct("user_id").alias("users"), F.approx_count_distinct("user_id", 0.02).alias("near")], ["event_type"])
+    return both.withColumn("within", F.abs(F.col("near") - F.col("users")) <= 0.1 * F.col("users") + 1).drop("near")
 
 
 @register("gold_kpis", f"""

@@ -237,10 +237,19 @@ def sql_json_array_map(spark: SparkSession, sf: str) -> DataFrame:
     """, "events")
 
 
-@register("sql_approx")
+@register("sql_approx", """
+    SELECT l_returnflag, count(DISTINCT l_orderkey) AS orders, round(median(l_extendedprice), 2) AS median_price,
+           true AS orders_within, true AS median_within
+    FROM lineitem GROUP BY l_returnflag
+""")
 def sql_approx(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact answers, and whether the approximate ones lie within 5 % and 1 % of them."""
     return _sql(spark, sf, """
-        SELECT l_returnflag, approx_count_distinct(l_orderkey, 0.01) AS orders,
-               percentile_approx(l_extendedprice, 0.5, 10000) AS median_price
-        FROM {lineitem} GROUP BY l_returnflag
+        SELECT l_returnflag, orders, round(median_price, 2) AS median_price,
+               abs(near_orders - orders) <= 0.05 * orders AS orders_within,
+               abs(near_price - median_price) <= 0.01 * median_price AS median_within
+        FROM (SELECT l_returnflag, count(DISTINCT l_orderkey) AS orders, percentile(l_extendedprice, 0.5) AS median_price,
+                     approx_count_distinct(l_orderkey, 0.01) AS near_orders,
+                     percentile_approx(l_extendedprice, 0.5, 10000) AS near_price
+              FROM {lineitem} GROUP BY l_returnflag)
     """, "lineitem")
