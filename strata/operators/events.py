@@ -115,13 +115,14 @@ def trim_payload(payload: Column) -> Column:
 def trim_payload_json(payload: Column) -> Column:
     """Trim string values one level deep in payload text that holds a JSON object; other text is left alone.
 
-    Only values that are JSON strings change: numbers, nested objects and arrays are written back as they were.
+    Only values that are JSON strings change: numbers, nested objects and arrays are written back as they were. The
+    text is parsed once; what is no object comes out of that as NULL.
     """
     trimmed = F.transform_values(
         F.from_json(payload, "map<string,variant>"),
-        lambda _, v: F.when(F.to_json(v).startswith('"'),
+        lambda _, v: F.when(F.schema_of_variant(v) == "STRING",
                             trim_unicode(F.try_variant_get(v, "$", "string")).cast("variant")).otherwise(v))
-    return F.when(ev.is_json_object(payload), F.to_json(trimmed)).otherwise(payload)
+    return F.coalesce(F.to_json(trimmed), payload)
 
 
 def _quoted(text: Column) -> Column:

@@ -147,10 +147,13 @@ def commit_positions(processed: DataFrame, group: str) -> DataFrame:
         F.lit(group).alias("group_id"), "topic", "partition", "position")
 
 
-def consumer_lag(df: DataFrame, commits: DataFrame) -> DataFrame:
-    """Messages still to read, for every partition of the topics a group reads; no commit means position 0."""
+def consumer_lag(marks: DataFrame, commits: DataFrame) -> DataFrame:
+    """Messages still to read, for every partition of the topics a group reads; no commit means position 0.
+
+    ``marks`` are the log's ``watermarks``: a row per partition.
+    """
     subscribed = commits.select("group_id", "topic").distinct()
-    joined = watermarks(df).join(subscribed, "topic").join(commits, ["group_id", "topic", "partition"], "left")
+    joined = marks.join(subscribed, "topic").join(commits, ["group_id", "topic", "partition"], "left")
     position = F.coalesce("position", F.lit(0))
     return joined.select("group_id", "topic", "partition", position.alias("position"), "latest",
                          (F.col("latest") - position).alias("lag"))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from strata.cluster import checkpointed
 from strata.functions import events as ev
 from strata.operators import events, messages
 from strata.operators.plan import computed_once
@@ -267,12 +268,16 @@ def offset_commit_next(spark: SparkSession, sf: str) -> DataFrame:
 """)
 def consumer_lag(spark: SparkSession, sf: str) -> DataFrame:
     """Two groups: one behind on every topic, one that committed only two partitions of one topic."""
-    source = log(spark, sf)
-    loader = source.filter(F.col("timestamp") < F.lit("2024-01-15").cast("timestamp"))
-    monitor = source.filter((F.col("timestamp") < F.lit("2024-01-20").cast("timestamp"))
-                            & (F.col("topic") == "raw-events") & (F.col("partition") < 2))
-    commits = messages.commit_positions(loader, "loader").union(messages.commit_positions(monitor, "monitor"))
-    return messages.consumer_lag(source, commits)
+    def read_to(day: str) -> Column:
+        return (F.max(F.when(F.col("timestamp") < F.lit(day).cast("timestamp"), F.col("offset"))) + 1)
+
+    # One scan of the log gives everything that is asked of a partition.
+    seen = checkpointed(log(spark, sf).groupBy("topic", "partition").agg(
+        (F.max("offset") + 1).alias("latest"), read_to("2024-01-15").alias("loader"), read_to("2024-01-20").alias("monitor")))
+    loader = seen.filter("loader IS NOT NULL").select(F.lit("loader").alias("group_id"), "topic", "partition", F.col("loader").alias("position"))
+    monitor = seen.filter("monitor IS NOT NULL AND topic = 'raw-events' AND partition < 2").select(
+        F.lit("monitor").alias("group_id"), "topic", "partition", F.col("monitor").alias("position"))
+    return messages.consumer_lag(seen.select("topic", "partition", "latest"), loader.union(monitor))
 
 
 @register("topic_describe", f"""

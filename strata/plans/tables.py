@@ -178,18 +178,22 @@ def schema_evolve(spark: SparkSession, sf: str) -> DataFrame:
     SELECT event_id, ts FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20')
 """)
 def read_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    """Events after the mark the last run left; the mark is one value."""
+    """Events after the mark the last run left, read from a table by day: days before the mark are not opened."""
     events = table(spark, sf, "events").select("event_id", "ts")
     mark = layers.high_water_mark(events.filter(F.col("ts") < ntz("2024-01-20")), "ts").first()["high_water_mark"]
-    return layers.newer_than(events, "ts", mark)
+    path = scratch_path(spark, "incremental")
+    tables.write(events, path, [("ts", "day")])
+    return layers.newer_than(spark.read.parquet(path), "ts", mark, [("ts", "day")]).select("event_id", "ts")
 
 
 @register("retention_purge", """
     SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-04-10' - INTERVAL 90 DAY
 """)
 def retention_purge(spark: SparkSession, sf: str) -> DataFrame:
-    events = table(spark, sf, "events").select("event_id", "ts")
-    return layers.retained(events, "bronze", "ts", ntz("2024-04-10"))
+    """What is left after ninety days, from a table by day: days that are out are not opened."""
+    path = scratch_path(spark, "retention")
+    tables.write(table(spark, sf, "events").select("event_id", "ts"), path, [("ts", "day")])
+    return layers.retained(spark.read.parquet(path), "bronze", "ts", ntz("2024-04-10"), [("ts", "day")]).select("event_id", "ts")
 
 
 # ---- versions -----------------------------------------------------------------------------------------------

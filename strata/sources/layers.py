@@ -101,20 +101,31 @@ def write_layer(
     out.option("partitionOverwriteMode", "dynamic").partitionBy(*names).parquet(path)
 
 
-def retained(df: DataFrame, layer: str, time_column: str, as_of: Column) -> DataFrame:
-    """Rows within the layer's retention at ``as_of``."""
-    days = LAYERS[layer].retention_days
-    return df.filter(F.col(time_column) >= as_of - F.make_dt_interval(F.lit(days)))
+def _from(df: DataFrame, column: str, low: Column, spec: Sequence[tuple[str, str]]) -> DataFrame:
+    """Only the directories that can hold ``column >= low``."""
+    for name, transform in spec:
+        if name == column:
+            df = df.filter(F.col(partition_name(name, transform)) >= partition_value(low, transform))
+    return df
+
+
+def retained(df: DataFrame, layer: str, time_column: str, as_of: Column, spec: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """Rows within the layer's retention at ``as_of``; with the table's layout, directories that are out are skipped."""
+    oldest = as_of - F.make_dt_interval(F.lit(LAYERS[layer].retention_days))
+    return _from(df.filter(F.col(time_column) >= oldest), time_column, oldest, spec)
 
 
-def newer_than(df: DataFrame, column: str, high_water: Any) -> DataFrame:
-    """Rows above the mark of the last run; without a mark, all rows."""
+def newer_than(df: DataFrame, column: str, high_water: Any, spec: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """Rows above the mark of the last run; without a mark, all rows.
+
+    With the table's layout, directories below the mark are skipped: Spark does not derive that from the column.
+    """
     if high_water is None:
         return df
     if isinstance(df.schema[column].dataType, T.TimestampNTZType) and isinstance(high_water, datetime):
         # A Python time would be taken as a moment in the session's time zone.
         high_water = F.lit(high_water.isoformat(sep=" ")).cast("timestamp_ntz")
-    return df.filter(F.col(column) > high_water)
+    return _from(df.filter(F.col(column) > high_water), column, F.lit(high_water), spec)
 
 
 def high_water_mark(df: DataFrame, column: str) -> DataFrame:

@@ -157,7 +157,7 @@ def test_offsets_lag_and_replay(spark):
     assert rows(messages.watermarks(df)) == [("t", 0, 5, 10), ("t", 1, 5, 10), ("u", 0, 0, 1)]
     commits = messages.commit_positions(df.filter("topic = 't' AND `partition` = 0 AND offset < 8"), "g")
     assert rows(commits) == [("g", "t", 0, 8)]
-    assert rows(messages.consumer_lag(df, commits)) == [("g", "t", 0, 8, 10, 2), ("g", "t", 1, 0, 10, 10)]
+    assert rows(messages.consumer_lag(messages.watermarks(df), commits)) == [("g", "t", 0, 8, 10, 2), ("g", "t", 1, 0, 10, 10)]
     ranges = spark.createDataFrame([("t", 0, 6, 8), ("t", 1, None, 6)], "topic string, partition int, from_offset long, to_offset long")
     assert rows(messages.offset_range(df, ranges), "partition", "offset") == [(0, 6), (0, 7), (1, 5)]
     positions = commits.drop("group_id")

@@ -42,11 +42,30 @@ def test_scan_reads_and_filters_what_it_needs(spark, sf):
     assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double,l_discount:double,l_shipdate:timestamp_ntz>" in text
 
 
-def test_partition_filter_reaches_the_directories(spark, sf):
-    text = plan(QUERIES["partition_pruned_read"](spark, sf))
+@pytest.mark.parametrize("key", ["partition_pruned_read", "read_incremental", "retention_purge"])
+def test_partition_filter_reaches_the_directories(spark, sf, key):
+    text = plan(QUERIES[key](spark, sf))
     assert "PartitionFilters: [isnotnull(ts_day" in text
 
 
+def test_log_ranges_are_read_without_a_shuffle_of_the_log(spark, sf):
+    """The positions of partitions are few and go to the log, even where no join is broadcast by itself."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES["offset_range_read"](spark, sf))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_not_in_needs_no_broadcast(spark, sf):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Broadcast" not in plan(QUERIES["sql_semi_anti"](spark, sf))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_limit_is_part_of_the_plan(spark, sf):
     assert "TakeOrderedAndProject" in plan(QUERIES["sql_query"](spark, sf))
     assert "TakeOrderedAndProject" in plan(QUERIES["scan_limit"](spark, sf))
