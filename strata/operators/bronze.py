@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from strata.functions.text import record_hash
+from strata.sources import layers
 
 AUDIT_FIELDS = (
     T.StructField("ingestion_timestamp", T.TimestampType(), True),
@@ -52,3 +53,20 @@ def ingest(
     seen = Observation()
     audited = with_audit_columns(df, ingested_at, source_system, source_file)
     return audited.observe(seen, F.count(F.lit(1)).alias("records")), seen
+
+
+def land(
+    df: DataFrame,
+    path: str,
+    ingested_at: datetime | Column | None = None,
+    source_system: str | None = None,
+    source_file: str | Column | None = None,
+    time_column: str | None = None,
+    add_metadata: bool = True,
+) -> int:
+    """Append a batch to a bronze table and say how many rows it had; without ``add_metadata`` as it came."""
+    if add_metadata:
+        if ingested_at is None:
+            raise ValueError("give the time of the batch, or land it without audit columns")
+        df = with_audit_columns(df, ingested_at, source_system, source_file)
+    return layers.land(df, path, "bronze", time_column)

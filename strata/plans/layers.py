@@ -6,8 +6,10 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from strata.cluster import scratch_path
 from strata.operators import bronze, gold, silver
 from strata.plans.registry import ntz, register, table
+from strata.sources import layers
 
 # One batch has one landing time, and it is passed in.
 LANDED_AT = datetime(2024, 2, 1)
@@ -38,10 +40,15 @@ def _padded_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def three_layers(spark: SparkSession, sf: str) -> DataFrame:
-    """Land events with audit columns, keep one row per event, aggregate by type."""
-    landed = bronze.with_audit_columns(table(spark, sf, "events"), LANDED_AT, "app")
+    """Events landed with audit columns, one row kept per event, aggregated by type: each layer written and read."""
+    paths = {layer: scratch_path(spark, layer) for layer in ("bronze", "silver", "gold")}
+    bronze.land(table(spark, sf, "events"), paths["bronze"], LANDED_AT, "app", time_column="ts")
+    landed = spark.read.parquet(paths["bronze"]).drop("ts_day")
     cleansed, _ = silver.bronze_to_silver(landed, keys=["event_id"], order_by=["ts"])
-    return gold.aggregate(cleansed, ["event_type"], {"value": "sum", "event_id": "count"}, scale=2)
+    layers.land(cleansed, paths["silver"], "silver", "ts")
+    totals = gold.aggregate(spark.read.parquet(paths["silver"]), ["event_type"], {"value": "sum", "event_id": "count"}, scale=2)
+    layers.land(totals, paths["gold"], "gold")
+    return spark.read.parquet(paths["gold"])
 
 
 register("three_layers", """
@@ -78,9 +85,11 @@ def record_hash(spark: SparkSession, sf: str) -> DataFrame:
     FROM events
 """)
 def bronze_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    audited, _ = bronze.ingest(table(spark, sf, "events"), ntz(LANDED_TEXT), "app",
-                               F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
-    return audited
+    """Appended to a table by day and read back, if the write counted every row."""
+    path, events = scratch_path(spark, "bronze"), table(spark, sf, "events")
+    landed = bronze.land(events, path, ntz(LANDED_TEXT), "app",
+                         F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), "ts")
+    return spark.read.parquet(path).filter(F.lit(landed == events.count())).drop("ts_day")
 
 
 # ---- silver -------------------------------------------------------------------------------------------------
@@ -222,7 +231,10 @@ def bronze_to_silver(spark: SparkSession, sf: str) -> DataFrame:
         T.StructField("l_extendedprice", T.DoubleType(), False),
         T.StructField("l_shipdate", T.TimestampNTZType(), False),
     ])
-    return silver.bronze_to_silver(raw, schema, ["l_orderkey", "l_linenumber"], ["l_shipdate"])[0]
+    path = scratch_path(spark, "silver")
+    layers.land(silver.bronze_to_silver(raw, schema, ["l_orderkey", "l_linenumber"], ["l_shipdate"])[0], path, "silver",
+                "l_shipdate", transform="year")
+    return spark.read.parquet(path).drop("l_shipdate_year")
 
 
 # ---- gold ---------------------------------------------------------------------------------------------------
@@ -240,10 +252,12 @@ def _money(expression: str) -> str:
 """)
 def gold_aggregate(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").withColumn("l_returnflag", F.expr("nullif(l_returnflag, 'N')"))
-    return gold.aggregate(
+    path = scratch_path(spark, "gold")
+    layers.land(gold.aggregate(
         lines, ["l_returnflag", "l_linestatus"],
         {"l_quantity": "sum", "l_extendedprice": "avg", "l_discount": "min", "l_tax": "max", "l_orderkey": "count"},
-        scale=2)
+        scale=2), path, "gold")
+    return spark.read.parquet(path)
 
 
 @register("gold_metrics", """

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 CORRUPT = "_corrupt_record"
 
@@ -101,6 +101,17 @@ def write_layer(
     out.option("partitionOverwriteMode", "dynamic").partitionBy(*names).parquet(path)
 
 
+def land(df: DataFrame, path: str, layer: str, time_column: str | None = None, mode: str = "append",
+         transform: str | None = None) -> int:
+    """Write a table of a layer, see ``write_layer``, and say how many rows went in.
+
+    The write itself counts them, so nothing is read twice.
+    """
+    seen = Observation()
+    write_layer(df.observe(seen, F.count(F.lit(1)).alias("records")), path, layer, time_column, mode, transform)
+    return seen.get["records"]
+
+
 def _from(df: DataFrame, column: str, low: Column, spec: Sequence[tuple[str, str]]) -> DataFrame:
     """Only the directories that can hold ``column >= low``."""
     for name, transform in spec:

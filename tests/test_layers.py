@@ -90,6 +90,16 @@ def test_conform_rejects_casts_that_change_a_value(spark):
     assert errors[1.9] == ["n is not int", "t is not timestamp_ntz", "d is not decimal(10,2)", "day is not date"]
 
 
+def test_landing_appends_and_counts(spark, path):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id int, name string")
+    assert bronze.land(df, path, datetime(2024, 1, 1), "s") == 2 and bronze.land(df.limit(1), path, datetime(2024, 1, 2)) == 1
+    assert rows(spark.read.parquet(path), "id", "source_system") == [(1, "s"), (1, "unknown"), (2, "s")]
+    assert bronze.land(df, f"{path}-raw", add_metadata=False) == 2
+    assert spark.read.parquet(f"{path}-raw").columns == ["id", "name"]
+    with pytest.raises(ValueError):
+        bronze.land(df, path)
+
+
 def test_standardize(spark):
     df = spark.createDataFrame([(" ab ", "X y", "2024-01-31", 100.0), (None, None, "31.1.2024", None)],
                                "a string, b string, d string, cents double")

@@ -26,7 +26,7 @@ def test_plan_shape(spark, sf, key):
 
 
 @pytest.mark.parametrize("key", ["dedupe_last", "dedupe_first", "changelog_apply", "topic_compact", "batch_cap",
-                                 "bronze_to_silver", "sql_topk_per_group", "vector_search_batch"])
+                                 "sql_topk_per_group", "vector_search_batch"])
 def test_first_rows_are_kept_before_the_shuffle(spark, sf, key):
     """Hot keys: each map task keeps only the rows that can win."""
     assert plan(QUERIES[key](spark, sf)).count("WindowGroupLimit") >= 2
