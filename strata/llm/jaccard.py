@@ -35,8 +35,10 @@ MOST_MATCHES = 4
 # The order of shingles comes from counts of all shingles in a table of fixed size; any order gives right results.
 COUNTERS = 1 << 20
 _CHUNKS = 64
-# A token whose nodes make more pairs than this has them checked against its central node first; all pairs come last.
-_PAIRS_OF_TOKEN, _ROUNDS = 4096, 4
+# A token whose nodes make more pairs than this has them checked against its central node first, while that finds links;
+# all pairs come last.
+_PAIRS_OF_TOKEN, _ROUNDS = 1 << 16, 4
+_PAIRS_HELD = 1 << 21
 _FEW = 12
 # Parts of the range of hashes: the smallest hash in each is a key by which central nodes are found.
 _PARTS = 8
@@ -191,6 +193,19 @@ def _dealt(shards: int) -> Callable:
     return run
 
 
+def _counted(x: list[np.ndarray], y: list[np.ndarray], tried: bool) -> pa.Table:
+    """Pairs with how often they occur; what isn't a try has its smaller end first."""
+    x, y = np.concatenate(x), np.concatenate(y)
+    if not tried:
+        x, y = np.minimum(x, y), np.maximum(x, y)
+    order = np.lexsort((y, x))
+    x, y = x[order], y[order]
+    new = np.ones(len(x), bool)
+    new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+    at = np.flatnonzero(new)
+    return pa.table({"a": x[at], "b": y[at], "tried": np.full(len(at), tried), "shared": np.diff(np.append(at, len(x)))})
+
+
 def _candidates(last: bool) -> Callable:
     """Pairs of nodes with different labels that show the same tokens of a shard, and how many. Where a token has too
     many, and it isn't the last round, its nodes are paired with the most central one alone and counted as tries."""
@@ -209,6 +224,7 @@ def _candidates(last: bool) -> Callable:
         new = np.ones(len(tokens) + 1, bool)
         new[1:-1] = tokens[1:] != tokens[:-1]
         cuts = np.flatnonzero(new)
+        done: list[pa.Table] = []
         sides, tries = ([[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]] for _ in range(2))
         several = label[cuts[:-1]] != label[cuts[1:] - 1]
         size = np.diff(cuts)
@@ -218,6 +234,7 @@ def _candidates(last: bool) -> Callable:
             sides[0].append(node[at])
             sides[1].append(node[at + step])
         several &= size > _FEW
+        held = 0
         for a, b in zip(cuts[:-1][several], cuts[1:][several]):
             names, first, size = np.unique(label[a:b], return_index=True, return_counts=True)
             major = names[size.argmax()]
@@ -232,14 +249,14 @@ def _candidates(last: bool) -> Callable:
                 other = np.flatnonzero((label[a:b] != label[m]) & ((label[a:b] == major) | (node[a:b] > node[m]))) + a
                 sides[0].append(np.full(len(other), node[m]))
                 sides[1].append(node[other])
-        out = []
-        for (x, y), kind in ((sides, False), (tries, True)):
-            x, y = np.concatenate(x), np.concatenate(y)
-            if not kind:
-                x, y = np.minimum(x, y), np.maximum(x, y)
-            pairs, counts = np.unique(np.stack([x, y], axis=1), axis=0, return_counts=True) if len(x) else (np.zeros((0, 2), np.int64), np.zeros(0, np.int64))
-            out.append(pa.table({"a": pairs[:, 0], "b": pairs[:, 1], "shared": counts.astype(np.int64), "tried": np.full(len(counts), kind)}))
-        return pa.concat_tables(out)
+                held += len(other)
+            if held > _PAIRS_HELD:  # pairs repeat from token to token: keep each once, with its number
+                done.append(_counted(*sides, False))
+                sides, held = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]], 0
+                if len(done) > 3:
+                    done = [pa.concat_tables(done).group_by(["a", "b", "tried"]).aggregate([("shared", "sum")])
+                            .rename_columns(["a", "b", "tried", "shared"])]
+        return pa.concat_tables([*done, _counted(*sides, False), _counted(*tries, True)]).select(["a", "b", "shared", "tried"])
 
     return run
 
@@ -333,14 +350,16 @@ def links_between(texts: DataFrame) -> DataFrame:
     nodes, path = stored(nodes.groupBy("node").agg(*[F.first(c).alias(c) for c in (*_NODE[1:], "keys")]), "nodes")
     links = _verified(texts, _central(nodes))
     size = nodes.select("node", "n", "rest", "matches")
+    last = False
     for turn in range(_ROUNDS + 1):
+        last |= turn == _ROUNDS
         labels = components(links).withColumnRenamed("root", "label")
         tokens = texts.mapInArrow(_tokens(counts), "node long, tokens array<long>")
         tokens = (tokens.groupBy("node").agg(F.first("tokens").alias("tokens")).join(nodes.select("node", "central"), "node")
                   .join(labels, "node", "left").select("node", "tokens", "central", F.coalesce("label", F.lit(0)).alias("label")))
         found = checkpointed(
             tokens.mapInArrow(_dealt(shards), "shard int, tokens binary, times binary, nodes binary, labels binary, central binary")
-            .groupBy("shard").applyInArrow(_candidates(turn == _ROUNDS), "a long, b long, shared long, tried boolean")
+            .groupBy("shard").applyInArrow(_candidates(last), "a long, b long, shared long, tried boolean")
             .groupBy("a", "b", "tried").agg(F.sum("shared").alias("shared")))
         pairs = found.where("not tried")
         for end in ("a", "b"):
@@ -350,9 +369,11 @@ def links_between(texts: DataFrame) -> DataFrame:
                 F.col("n_a"), F.col("n_b"), F.col("rest_a"), F.col("rest_b"), F.col("matches_a"), F.col("matches_b"))))
         tries = found.where("tried").groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
         done = tries.isEmpty()
-        links = checkpointed(links.union(_verified(texts, pairs.select("a", "b").union(tries) if not done else pairs.select("a", "b"))))
+        more = _verified(texts, pairs.select("a", "b") if done else pairs.select("a", "b").union(tries))
+        links = checkpointed(links.union(more))
         if done:
             break
+        last = more.join(tries, ["a", "b"], "left_semi").isEmpty()
     drop(spark, path)
     return links
 
