@@ -77,3 +77,12 @@ def test_range_join(spark, salts):
     want = [(p["id"], b["b"]) for p in points.collect() for b in bands.collect() if b["lo"] <= p["x"] < b["hi"]]
     assert rows(got, "id", "b") == sorted(want)
     assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_wide_band_among_narrow_ones(spark):
+    points = [(i, i * 0.37 - 50) for i in range(400)]
+    bands = [(1, 0.0, 1.0), (2, -1e9, 1e9), (3, 10.0, 75.0), (4, 20.0, 2000.0), (5, 5.0, 5.0), (6, 9.0, 3.0), (7, -50.0, -49.9)]
+    for salts in (1, 3):
+        got = joins.range_join(spark.createDataFrame(points, "id int, v double"), spark.createDataFrame(bands, "band int, low double, high double"),
+                         "v", "low", "high", 1.0, salts)
+        assert rows(got, "id", "band") == sorted((i, b) for i, v in points for b, lo, hi in bands if lo <= v < hi)
