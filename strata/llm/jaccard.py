@@ -6,7 +6,8 @@ chooses its own ``l`` by the estimated cost of its candidates, and the sizes of
 
 Texts with equal sets are one node from the beginning. Groups of near copies aren't expanded into pairs: first, each
 node is checked against the most central node that it shares smallest hashes with; after that only pairs whose ends
-these links leave apart are counted and checked. So every link between nodes is either found or implied by others.
+these links leave apart are counted and checked. Where very many nodes show a token, their pairs aren't even counted:
+they are a family, and its sets are compared in blocks. So every link between nodes is found or implied by others.
 """
 
 from __future__ import annotations
@@ -35,10 +36,9 @@ MOST_MATCHES = 4
 # The order of shingles comes from counts of all shingles in a table of fixed size; any order gives right results.
 COUNTERS = 1 << 20
 _CHUNKS = 64
-# A token whose nodes make more pairs than this has them checked against its central node first, while that finds links;
-# all pairs come last.
-_PAIRS_OF_TOKEN, _ROUNDS = 1 << 16, 4
-_PAIRS_HELD = 1 << 21
+# Nodes of a token that makes more pairs than this are a family, whose whole sets are compared in blocks of nodes.
+_PAIRS_OF_TOKEN, _BLOCK = 4096, 256
+_TOKENS_AT_ONCE = 1 << 13
 _FEW = 12
 # Parts of the range of hashes: the smallest hash in each is a key by which central nodes are found.
 _PARTS = 8
@@ -193,72 +193,117 @@ def _dealt(shards: int) -> Callable:
     return run
 
 
-def _counted(x: list[np.ndarray], y: list[np.ndarray], tried: bool) -> pa.Table:
-    """Pairs with how often they occur; what isn't a try has its smaller end first."""
+def _candidates(rows: pa.Table) -> pa.Table:
+    """Pairs of nodes with different labels that show the same tokens of a shard, and how many; and for tokens that too
+    many of them show, the nodes and labels under the most central node's name."""
+    def read(name: str, kind: str) -> list[np.ndarray]:
+        return [_unpack(x, kind) for x in rows.column(name).to_pylist()]
+
+    times = np.concatenate(read("times", "<i4"))
+    tokens = np.concatenate(read("tokens", "<u8"))
+    node, label = (np.repeat(np.concatenate(read(c, "<i8")), times) for c in ("nodes", "labels"))
+    label = np.where(label == 0, node, label)
+    central = np.repeat(np.concatenate(read("central", "<f4")), times)
+    order = np.lexsort((node, label, tokens))
+    tokens, node, label, central = tokens[order], node[order], label[order], central[order]
+    new = np.ones(len(tokens) + 1, bool)
+    new[1:-1] = tokens[1:] != tokens[:-1]
+    cuts = np.flatnonzero(new)
+    size = np.diff(cuts)
+    several = label[cuts[:-1]] != label[cuts[1:] - 1]
+    few = np.repeat(size <= _FEW, size)
+    x, y = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for step in range(1, _FEW):  # short lists all at once
+        at = np.flatnonzero(few[:-step] & (tokens[:-step] == tokens[step:]) & (label[:-step] != label[step:]))
+        x.append(node[at])
+        y.append(node[at + step])
+    families: dict[int, list[np.ndarray]] = {}
+    for a, b in zip(cuts[:-1][several & (size > _FEW)], cuts[1:][several & (size > _FEW)]):
+        names, counts = np.unique(label[a:b], return_counts=True)
+        major = names[counts.argmax()]
+        minor = np.flatnonzero(label[a:b] != major) + a
+        if len(minor) * (b - a) > _PAIRS_OF_TOKEN:
+            top = a + np.lexsort((node[a:b], central[a:b]))[-1]
+            families.setdefault(int(node[top]), []).append(np.arange(a, b))
+            continue
+        for m in minor:  # each pair once: with the major ones, and with minor ones behind it
+            other = np.flatnonzero((label[a:b] != label[m]) & ((label[a:b] == major) | (node[a:b] > node[m]))) + a
+            x.append(np.full(len(other), node[m]))
+            y.append(node[other])
     x, y = np.concatenate(x), np.concatenate(y)
-    if not tried:
-        x, y = np.minimum(x, y), np.maximum(x, y)
+    x, y = np.minimum(x, y), np.maximum(x, y)
     order = np.lexsort((y, x))
     x, y = x[order], y[order]
     new = np.ones(len(x), bool)
     new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
     at = np.flatnonzero(new)
-    return pa.table({"a": x[at], "b": y[at], "tried": np.full(len(at), tried), "shared": np.diff(np.append(at, len(x)))})
-
-
-def _candidates(last: bool) -> Callable:
-    """Pairs of nodes with different labels that show the same tokens of a shard, and how many. Where a token has too
-    many, and it isn't the last round, its nodes are paired with the most central one alone and counted as tries."""
-
-    def run(rows: pa.Table) -> pa.Table:
-        def read(name: str, kind: str) -> list[np.ndarray]:
-            return [_unpack(x, kind) for x in rows.column(name).to_pylist()]
-
-        times = np.concatenate(read("times", "<i4"))
-        tokens = np.concatenate(read("tokens", "<u8"))
-        node, label = (np.repeat(np.concatenate(read(c, "<i8")), times) for c in ("nodes", "labels"))
-        label = np.where(label == 0, node, label)
-        central = np.repeat(np.concatenate(read("central", "<f4")), times)
-        order = np.lexsort((node, label, tokens))
-        tokens, node, label, central = tokens[order], node[order], label[order], central[order]
-        new = np.ones(len(tokens) + 1, bool)
-        new[1:-1] = tokens[1:] != tokens[:-1]
-        cuts = np.flatnonzero(new)
-        done: list[pa.Table] = []
-        sides, tries = ([[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]] for _ in range(2))
-        several = label[cuts[:-1]] != label[cuts[1:] - 1]
-        size = np.diff(cuts)
-        few = np.repeat(size <= _FEW, size)
-        for step in range(1, _FEW):  # short lists all at once
-            at = np.flatnonzero(few[:-step] & (tokens[:-step] == tokens[step:]) & (label[:-step] != label[step:]))
-            sides[0].append(node[at])
-            sides[1].append(node[at + step])
-        several &= size > _FEW
-        held = 0
-        for a, b in zip(cuts[:-1][several], cuts[1:][several]):
-            names, first, size = np.unique(label[a:b], return_index=True, return_counts=True)
-            major = names[size.argmax()]
-            minor = np.flatnonzero(label[a:b] != major) + a
-            if len(minor) * (b - a) > _PAIRS_OF_TOKEN and not last:
-                top = a + np.lexsort((node[a:b], central[a:b]))[-1]
-                other = np.flatnonzero(label[a:b] != label[top]) + a
-                tries[0].append(node[other])
-                tries[1].append(np.full(len(other), node[top]))
-                continue
-            for m in minor:  # each pair once: with the major ones, and with minor ones behind it
-                other = np.flatnonzero((label[a:b] != label[m]) & ((label[a:b] == major) | (node[a:b] > node[m]))) + a
-                sides[0].append(np.full(len(other), node[m]))
-                sides[1].append(node[other])
-                held += len(other)
-            if held > _PAIRS_HELD:  # pairs repeat from token to token: keep each once, with its number
-                done.append(_counted(*sides, False))
-                sides, held = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]], 0
-                if len(done) > 3:
-                    done = [pa.concat_tables(done).group_by(["a", "b", "tried"]).aggregate([("shared", "sum")])
-                            .rename_columns(["a", "b", "tried", "shared"])]
-        return pa.concat_tables([*done, _counted(*sides, False), _counted(*tries, True)]).select(["a", "b", "shared", "tried"])
-
-    return run
+    members = [(top, np.unique(np.stack([node[m], label[m]], axis=1), axis=0)) for top, m in
+               ((top, np.concatenate(lists)) for top, lists in families.items())]
+    none = [None] * len(members)
+    return pa.table({
+        "a": pa.array(x[at].tolist() + none, pa.int64()), "b": pa.array(y[at].tolist() + none, pa.int64()),
+        "shared": pa.array(np.diff(np.append(at, len(x))).tolist() + none, pa.int64()),
+        "family": pa.array([None] * len(at) + [t for t, _ in members], pa.int64()),
+        "members": pa.array([None] * len(at) + [_pack(m) for _, m in members], pa.binary())})
+
+
+def _block_pairs(rows: pa.Table) -> pa.Table:
+    """The pairs of blocks of a family that hold different labels: a row for each pair and each of its nodes."""
+    both = np.unique(np.concatenate([_unpack(m, "<i8").reshape(-1, 2) for m in rows.column("members").to_pylist()]), axis=0)
+    both = both[np.lexsort((both[:, 0], both[:, 1]))]
+    cuts = np.arange(0, len(both), _BLOCK)
+    low, high = both[cuts, 1], both[np.minimum(cuts + _BLOCK, len(both)) - 1, 1]
+    out = {"low": [], "high": [], "side": [], "node": [], "label": []}
+    for i in range(len(cuts)):
+        for j in range(i, len(cuts)):
+            if low[i] == high[i] == low[j] == high[j]:
+                continue  # one label: these links are known
+            for side, k in enumerate([i] if i == j else [i, j]):
+                part = both[cuts[k]:cuts[k] + _BLOCK]
+                out["low"].append(np.full(len(part), i))
+                out["high"].append(np.full(len(part), j))
+                out["side"].append(np.full(len(part), side))
+                out["node"].append(part[:, 0])
+                out["label"].append(part[:, 1])
+    flat = {k: np.concatenate(v) if v else np.zeros(0, np.int64) for k, v in out.items()}
+    return pa.table({"family": np.full(len(flat["low"]), rows.column("family")[0].as_py(), np.int64), **flat})
+
+
+def _compare_blocks(rows: pa.Table) -> pa.Table:
+    """Links between nodes of two blocks with different labels, as many as connect what they connect."""
+    side, node, label = (rows.column(c).to_numpy() for c in ("side", "node", "label"))
+    lists = rows.column("tokens").combine_chunks()
+    n = lists.value_lengths().to_numpy().astype(np.int64)
+    _, code = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+    owner = np.repeat(np.arange(len(node)), n)
+    often = np.bincount(code)
+    keep = often[code] > 1
+    number = np.cumsum(often > 1) - 1
+    code, owner = number[code[keep]], owner[keep]
+    order = np.argsort(code, kind="stable")
+    code, owner = code[order], owner[order]
+    first = np.flatnonzero(side == 0)
+    second = np.flatnonzero(side == 1) if (side == 1).any() else first
+    shared = np.zeros((len(first), len(second)), np.float32)
+    for begin in range(0, int(code[-1]) + 1 if len(code) else 0, _TOKENS_AT_ONCE):
+        a, b = np.searchsorted(code, [begin, begin + _TOKENS_AT_ONCE])
+        matrix = np.zeros((len(node), _TOKENS_AT_ONCE), np.float32)
+        matrix[owner[a:b], code[a:b] - begin] = 1
+        shared += matrix[first] @ matrix[second].T
+    union = n[first][:, None] + n[second][None, :] - shared
+    x, y = np.nonzero((100 * shared >= PERCENT * union) & (label[first][:, None] != label[second][None, :]))
+    parent = {int(v): int(v) for v in np.unique(label)}
+    out = []
+    for i, j in zip(first[x], second[y]):
+        a, b = int(label[i]), int(label[j])
+        while parent[a] != a:
+            a = parent[a]
+        while parent[b] != b:
+            b = parent[b]
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            out.append((node[i], node[j]))
+    return pa.table({"a": np.array([o[0] for o in out], np.int64), "b": np.array([o[1] for o in out], np.int64)})
 
 
 def _texts(docs: DataFrame, text_col: str) -> DataFrame:
@@ -311,12 +356,17 @@ def _bitmap(nodes: DataFrame) -> np.ndarray:
     return out
 
 
+def _sets_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The whole sets of the nodes that are asked for; only these are shuffled."""
+    wanted = checkpointed(wanted.select("node").distinct())
+    sets = texts.mapInArrow(_chosen_sets(_bitmap(wanted)), "node long, tokens array<long>")
+    return sets.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
+
+
 def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of the pairs ``a, b`` whose whole sets are similar enough. Sets are shuffled for these nodes alone."""
+    """Those of the pairs ``a, b`` whose whole sets are similar enough."""
     pairs = checkpointed(pairs)
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = texts.mapInArrow(_chosen_sets(_bitmap(wanted)), "node long, tokens array<long>")
-    sets = sets.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
+    sets = _sets_of(texts, pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))))
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b"))
     inside = F.size(F.array_intersect("ta", "tb"))
@@ -324,6 +374,14 @@ def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return checkpointed(both.where(100 * inside >= PERCENT * union).select("a", "b"))
 
 
+def _within_families(texts: DataFrame, families: DataFrame) -> DataFrame:
+    """Links inside families, found by comparing the blocks of nodes that hold different labels."""
+    blocks_of = checkpointed(families.groupBy("family").applyInArrow(
+        lambda t: _block_pairs(t), "family long, low long, high long, side long, node long, label long"))
+    return checkpointed(blocks_of.join(_sets_of(texts, blocks_of), "node").groupBy("family", "low", "high").applyInArrow(
+        lambda t: _compare_blocks(t), "a long, b long"))
+
+
 def _needed(n_a: Column, n_b: Column, rest_a: Column, rest_b: Column, l_a: Column, l_b: Column) -> Column:
     """Shown tokens that a similar pair shares at least: all its common tokens but those behind the shown ones."""
     common = F.ceil(F.lit(PERCENT) * (n_a + n_b) / (100 + PERCENT))
@@ -349,31 +407,22 @@ def links_between(texts: DataFrame) -> DataFrame:
         "node long, n int, rest int, matches int, central double, keys array<long>"))
     nodes, path = stored(nodes.groupBy("node").agg(*[F.first(c).alias(c) for c in (*_NODE[1:], "keys")]), "nodes")
     links = _verified(texts, _central(nodes))
+    labels = components(links).withColumnRenamed("root", "label")
+    tokens = texts.mapInArrow(_tokens(counts), "node long, tokens array<long>")
+    tokens = (tokens.groupBy("node").agg(F.first("tokens").alias("tokens")).join(nodes.select("node", "central"), "node")
+              .join(labels, "node", "left").select("node", "tokens", "central", F.coalesce("label", F.lit(0)).alias("label")))
+    found = checkpointed(
+        tokens.mapInArrow(_dealt(shards), "shard int, tokens binary, times binary, nodes binary, labels binary, central binary")
+        .groupBy("shard").applyInArrow(lambda t: _candidates(t), "a long, b long, shared long, family long, members binary"))
+    pairs = found.where("family is null").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
     size = nodes.select("node", "n", "rest", "matches")
-    last = False
-    for turn in range(_ROUNDS + 1):
-        last |= turn == _ROUNDS
-        labels = components(links).withColumnRenamed("root", "label")
-        tokens = texts.mapInArrow(_tokens(counts), "node long, tokens array<long>")
-        tokens = (tokens.groupBy("node").agg(F.first("tokens").alias("tokens")).join(nodes.select("node", "central"), "node")
-                  .join(labels, "node", "left").select("node", "tokens", "central", F.coalesce("label", F.lit(0)).alias("label")))
-        found = checkpointed(
-            tokens.mapInArrow(_dealt(shards), "shard int, tokens binary, times binary, nodes binary, labels binary, central binary")
-            .groupBy("shard").applyInArrow(_candidates(last), "a long, b long, shared long, tried boolean")
-            .groupBy("a", "b", "tried").agg(F.sum("shared").alias("shared")))
-        pairs = found.where("not tried")
-        for end in ("a", "b"):
-            pairs = pairs.join(size.select(F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("n", "rest", "matches")]), end)
-        pairs = pairs.where(
-            (100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")) & (F.col("shared") >= _needed(
-                F.col("n_a"), F.col("n_b"), F.col("rest_a"), F.col("rest_b"), F.col("matches_a"), F.col("matches_b"))))
-        tries = found.where("tried").groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
-        done = tries.isEmpty()
-        more = _verified(texts, pairs.select("a", "b") if done else pairs.select("a", "b").union(tries))
-        links = checkpointed(links.union(more))
-        if done:
-            break
-        last = more.join(tries, ["a", "b"], "left_semi").isEmpty()
+    for end in ("a", "b"):
+        pairs = pairs.join(size.select(F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("n", "rest", "matches")]), end)
+    pairs = pairs.where(
+        (100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")) & (F.col("shared") >= _needed(
+            F.col("n_a"), F.col("n_b"), F.col("rest_a"), F.col("rest_b"), F.col("matches_a"), F.col("matches_b"))))
+    links = links.union(_verified(texts, pairs.select("a", "b")))
+    links = links.union(_within_families(texts, found.where("family is not null").select("family", "members")))
     drop(spark, path)
     return links
 

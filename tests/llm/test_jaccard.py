@@ -64,6 +64,8 @@ def families(rng, sizes, edits):
 @pytest.mark.parametrize("pairs_of_token", [0, 4096])
 def test_families_equal_brute_force(spark, monkeypatch, pairs_of_token):
     monkeypatch.setattr(jaccard, "_PAIRS_OF_TOKEN", pairs_of_token)
+    monkeypatch.setattr(jaccard, "_FEW", 12 if pairs_of_token else 2)
+    monkeypatch.setattr(jaccard, "_BLOCK", 256 if pairs_of_token else 7)
     texts = families(random.Random(5), [40, 7, 2, 2, 1, 1, 30], 4)
     texts |= {1000: None, 1001: "", 1002: " \n", 1003: "a b", 1004: "A  b", 1005: "a b c d e", 1006: "x " * 60000,
               1007: "x x x x x x", 1008: "ö Ö"}
