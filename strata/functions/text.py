@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
-# Unicode white space at either end of a string.
+# Unicode white space at either end of a string.
 TRIM_PATTERN = r"(?U)^\s+|\s+\z"
 
-# Personal data inside running text.
+# Personal data inside running text.
 EMAIL_PATTERN = r"([A-Za-z0-9._%+-]{1,3}+)[A-Za-z0-9._%+-]*+@([A-Za-z0-9])[A-Za-z0-9.-]*\.[A-Za-z]{2,}"
 SSN_PATTERN = r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b"
 PHONE_PATTERN = r"(\+[0-9]{1,3}[ .-]?)?(\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}\b"

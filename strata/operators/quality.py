@@ -7,17 +7,20 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-CHECKS = ("not_null", "unique", "range", "pattern", "timestamp_range")
+from strata.operators.silver import conform_errors
 
-# Weight of a severity in a weighted score.
+CHECKS = ("not_null", "unique", "range", "pattern", "timestamp_range", "schema")
+
+# Weight of a severity in a weighted score.
 SEVERITY_WEIGHTS = {"critical": 4.0, "high": 3.0, "medium": 2.0, "low": 1.0}
 
 
 @dataclass(frozen=True)
 class Rule:
-    """One check on one column. Ranges take ``low`` and ``high`` (either may be left out), patterns ``regex``."""
+    """One check on one column. Ranges take ``low`` and ``high`` (either may be left out), patterns ``regex``; a
+    ``schema`` check is about whole rows (column ``*``) and takes the declared ``schema``."""
 
     check: str
     column: str
@@ -33,13 +36,54 @@ class Rule:
     def label(self) -> str:
         return self.name or f"{self.check}:{self.column}"
 
+    @classmethod
+    def parse(cls, text: str, severity: str = "high", name: str | None = None) -> Rule:
+        """A rule from text such as ``not_null:id``, ``range:age:0:120``, ``range:age::120`` or ``pattern:code:^[A-Z]+$``.
+
+        Bounds of ``timestamp_range`` are times; they hold colons, so they are divided by ``..``.
+        """
+        check, _, rest = text.partition(":")
+        column, _, given = rest.partition(":")
+        if not column or (check in ("not_null", "unique") and given):
+            raise ValueError(f"cannot read the rule {text!r}")
+        if check == "range":
+            low, _, high = given.partition(":")
+            params = {k: float(v) for k, v in (("low", low), ("high", high)) if v}
+        elif check == "timestamp_range":
+            low, _, high = given.partition("..")
+            params = {k: F.lit(v).cast("timestamp_ntz") for k, v in (("low", low), ("high", high)) if v}
+        else:
+            params = {"regex": given} if check == "pattern" and given else {}
+        if check in ("range", "timestamp_range", "pattern") and not params:
+            raise ValueError(f"the rule {text!r} needs a bound or a pattern")
+        return cls(check, column, severity, params, name)
+
+
+def rules_from(config: Sequence[Mapping[str, Any]], schema: T.StructType | None = None) -> list[Rule]:
+    """Rules from configuration entries with ``rule`` (text), ``name`` and ``severity``.
+
+    An entry named ``schema_conformance`` checks all rows against the table's declared schema.
+    """
+    out = []
+    for entry in config:
+        severity, name = entry.get("severity", "high"), entry.get("name")
+        if name == "schema_conformance" and "rule" not in entry:
+            if schema is None:
+                raise ValueError("schema_conformance needs the declared schema")
+            out.append(Rule("schema", "*", severity, {"schema": schema}, name))
+        else:
+            out.append(Rule.parse(entry["rule"], severity, name))
+    return out
+
 
 def _bound(value: Any) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
-def violates(rule: Rule) -> Column | None:
-    """Whether one row breaks the rule; None for rules about the whole table. NULLs break ``not_null`` only."""
+def violates(rule: Rule, df: DataFrame) -> Column | None:
+    """Whether one row breaks the rule; None for rules about the whole table. NULLs break ``not_null`` only, or a schema."""
+    if rule.check == "schema":
+        return F.size(conform_errors(df, rule.params["schema"])) > 0
     col = F.col(f"`{rule.column}`")
     if rule.check == "not_null":
         return col.isNull()
@@ -68,7 +112,7 @@ def run_suite(df: DataFrame, rules: Sequence[Rule], layer: str = "unknown", tabl
     total = F.col("_total")
     for i, rule in enumerate(rules):
         error, failed, unique = F.lit(None).cast("string"), F.lit(None).cast("bigint"), F.lit(None).cast("bigint")
-        if rule.column not in known:
+        if rule.column not in known and rule.check != "schema":
             passed = F.lit(False)
             error = F.lit(f"column {rule.column} not found")
         elif rule.check == "unique":
@@ -78,7 +122,7 @@ def run_suite(df: DataFrame, rules: Sequence[Rule], layer: str = "unknown", tabl
             failed = total - unique
             passed = failed == 0
         else:
-            counters.append(F.count_if(violates(rule)).alias(f"_c{i}"))
+            counters.append(F.count_if(violates(rule, df)).alias(f"_c{i}"))
             failed = F.col(f"_c{i}")
             passed = failed == 0
         results.append(F.struct(
@@ -106,11 +150,11 @@ def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
-def reasons(rules: Sequence[Rule]) -> Column:
+def reasons(rules: Sequence[Rule], df: DataFrame) -> Column:
     """Labels of the row-level rules a row breaks."""
     listed = []
     for rule in rules:
-        broken = violates(rule)
+        broken = violates(rule, df)
         if broken is None:
             raise ValueError(f"{rule.label} is about the whole table, not about a row")
         listed.append(F.when(broken, F.lit(rule.label)))
@@ -119,5 +163,5 @@ def reasons(rules: Sequence[Rule]) -> Column:
 
 def quarantine(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
     """Rows that keep every rule, and the rest with ``reasons``."""
-    checked = df.withColumn("reasons", reasons(rules))
+    checked = df.withColumn("reasons", reasons(rules, df))
     return checked.filter(F.size("reasons") == 0).drop("reasons"), checked.filter(F.size("reasons") > 0)

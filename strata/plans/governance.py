@@ -37,14 +37,11 @@ def _customers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _rules() -> list[Rule]:
-    return [
-        Rule("not_null", "o_orderkey", "critical"), Rule("not_null", "o_orderstatus", "high"),
-        Rule("unique", "o_orderkey", "critical"), Rule("unique", "o_custkey", "low"),
-        Rule("range", "o_totalprice", "medium", {"low": 1000.0, "high": 450000.0}),
-        Rule("pattern", "o_orderpriority", "low", {"regex": "^[1-5]-"}),
-        Rule("timestamp_range", "o_orderdate", "high", {"low": ntz("1995-01-01"), "high": ntz("2001-06-30")}),
-        Rule("not_null", "o_comment", "low"),
-    ]
+    """As they stand in a configuration file."""
+    return quality.rules_from([{"rule": rule, "severity": severity} for rule, severity in (
+        ("not_null:o_orderkey", "critical"), ("not_null:o_orderstatus", "high"), ("unique:o_orderkey", "critical"),
+        ("unique:o_custkey", "low"), ("range:o_totalprice:1000:450000", "medium"), ("pattern:o_orderpriority:^[1-5]-", "low"),
+        ("timestamp_range:o_orderdate:1995-01-01..2001-06-30", "high"), ("not_null:o_comment", "low"))])
 
 
 _SHORT = ["check_type", "column_name", "passed", "failed_rows"]

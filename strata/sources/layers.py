@@ -30,7 +30,7 @@ LAYERS = {
     "gold": Layer("gold", "zstd", "month", 2555, {"optimization": "analytics", "materialized": "true"}),
 }
 
-# How a partition transform is written in a directory name.
+# How a partition transform is written in a directory name.
 _TRANSFORM_FORMATS = {"year": "yyyy", "month": "yyyy-MM", "day": "yyyy-MM-dd", "hour": "yyyy-MM-dd-HH"}
 
 
@@ -157,7 +157,7 @@ def scan(
     return out.select(*columns) if columns is not None else out
 
 
-# Type changes every reader can follow.
+# Type changes every reader can follow.
 _WIDENINGS = {
     ("tinyint", "smallint"), ("tinyint", "int"), ("tinyint", "bigint"), ("smallint", "int"), ("smallint", "bigint"),
     ("int", "bigint"), ("float", "double"), ("int", "double"), ("date", "timestamp"), ("date", "timestamp_ntz"),

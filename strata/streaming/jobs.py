@@ -19,7 +19,7 @@ from strata.operators.silver import without_existing
 from strata.operators.windows import neighbours
 
 LATENESS = "10 minutes"
-# Fixed value: time between checkpoints of a running job.
+# Time between checkpoints of a running job.
 CHECKPOINT_INTERVAL = "60 seconds"
 WINDOW = "5 minutes"
 

@@ -6,7 +6,7 @@ import base64
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from strata.functions.text import mask_pii, mask_pii_in_text
 from strata.operators import bronze, lineage, opsmetrics, protect, quality
@@ -153,3 +153,20 @@ def test_sql_binds_parameters_and_caps_rows(spark, path):
     finally:
         spark.sql("DROP TABLE silver.people")
         spark.sql("DROP DATABASE silver")
+
+
+def test_rules_from_text_and_configuration(spark):
+    parsed = Rule.parse("range:age:0:120")
+    assert (parsed.check, parsed.column, parsed.params) == ("range", "age", {"low": 0.0, "high": 120.0})
+    assert Rule.parse("range:age::9").params == {"high": 9.0} and Rule.parse("pattern:c:^a:b$").params == {"regex": "^a:b$"}
+    for text in ("not_null", "range:age", "poke:age", "unique:a:b", "pattern:c"):
+        with pytest.raises(ValueError):
+            Rule.parse(text)
+    df = spark.createDataFrame([(1, 30.0), (None, 200.0), (1, 1.5)], "id int, age double")
+    schema = T.StructType([T.StructField("id", T.IntegerType(), False), T.StructField("age", T.IntegerType())])
+    rules = quality.rules_from([{"name": "no_null_ids", "rule": "not_null:id", "severity": "critical"}, {"rule": "unique:id"},
+                                {"rule": "range:age:0:120"}, {"name": "schema_conformance", "severity": "critical"}], schema)
+    got = {r.check_name: r.failed_rows for r in quality.run_suite(df, rules).collect()}
+    assert got == {"no_null_ids": 1, "unique:id": 1, "range:age": 1, "schema_conformance": 2}
+    with pytest.raises(ValueError):
+        quality.rules_from([{"name": "schema_conformance"}])
