@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from strata.cluster import checkpointed
 from strata.llm.components import components
 from strata.llm.storage import drop, stored
-from strata.llm.textblocks import blocks, distinct_per_text, mix, shingles_of, words_of
+from strata.llm.textblocks import blocks, distinct_per_text, mix, release, shingles_of, words_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -237,6 +237,7 @@ def _candidates(rows: pa.Table) -> pa.Table:
     new = np.ones(len(x), bool)
     new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
     at = np.flatnonzero(new)
+    release()
     members = [(top, np.unique(np.stack([node[m], label[m]], axis=1), axis=0)) for top, m in
                ((top, np.concatenate(lists)) for top, lists in families.items())]
     none = [None] * len(members)

@@ -17,7 +17,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strata.llm.sample import bounded_sample
-from strata.llm.textblocks import texts_of
+from strata.llm.textblocks import blocks, texts_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -234,7 +234,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     def label(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            yield _label(model, column)
+            batch = pa.RecordBatch.from_arrays([column], ["text"])
+            yield pa.concat_arrays([_label(model, part.column("text")) for part in blocks(batch, "text", 1 << 22)])
 
     label.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
     said = F.arrow_udf(label, _KINDS).asNondeterministic()(text_col)

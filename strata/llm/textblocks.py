@@ -6,6 +6,7 @@ corpus share one with a chance of about n * n / 2**65.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -82,6 +83,15 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(body, np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def release() -> None:
+    """Give freed memory back to the system: Python workers stay, and what they keep counts against their executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def blocks(batch: pa.RecordBatch, text_col: str, size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of whole rows with about ``size`` bytes of text each."""
     if not batch.num_rows:
@@ -92,6 +102,7 @@ def blocks(batch: pa.RecordBatch, text_col: str, size: int = BLOCK_BYTES) -> Ite
     for a, b in zip(cuts, cuts[1:]):
         if b > a:
             yield batch.slice(a, b - a)
+    release()
 
 
 def words_of(column: pa.Array, letters: bool = False) -> Words:
