@@ -41,7 +41,7 @@ def _digest(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-@register("op1_chat_formatting")
+@register("op1_chat_formatting", _SQL)
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(
