@@ -2,9 +2,11 @@
 
 A graph keeps the best neighbours of each vector. It begins with vectors on the same side of some random planes, and
 each round compares the neighbours of every vector, both those it has and those that have it, with one another: the
-neighbours of a neighbour are good candidates. Pairs at the threshold become links. A list that is full of links is
-saturated, so it may miss some: lists of linked vectors are enlarged to all vectors that the links reach, in blocks. An
-audit compares a sample of vectors with all others and asks for more rounds while recall is too low.
+neighbours of a neighbour are good candidates. Pairs at the threshold become links, whether or not the lists have room
+for them. A list that is full of links is saturated, so it may miss some: components that may hold such lists are compared
+with each other, unless their distance rules links out, and lists of linked vectors are enlarged to all vectors that the
+links reach, both in blocks. An audit compares a sample of vectors with all others and asks for more rounds while recall
+is too low.
 
 Equal vectors are one node from the beginning. All similarities are taken in double precision.
 """
@@ -32,7 +34,9 @@ TABLES, CELL, GROUP = 8, 16, 64
 ROUNDS, MOST_ROUNDS = 2, 6
 # The audit compares so many vectors with all others.
 AUDITED, RECALL = 512, 0.98
-_BLOCK = 512
+_BLOCK, _WIDE = 512, 2048
+# Vectors with a link are no further apart than this angle, with room for rounding.
+_REACH = float(np.arccos(THRESHOLD)) + 1e-6
 
 
 def usable(vector: Column) -> Column:
@@ -75,8 +79,25 @@ def _cells(bits: int, tables: int, seed: int) -> Callable:
     return run
 
 
+def _forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect all that the links of a matrix connect, fewer than its rows."""
+    left, a, b = near.any(axis=1), [], []
+    for first in np.flatnonzero(left):
+        reached = [first] if left[first] else []
+        left[first] = False
+        while reached:
+            i = reached.pop()
+            new = np.flatnonzero(near[i] & left)
+            left[new] = False
+            a += [i] * len(new)
+            b += new.tolist()
+            reached += new.tolist()
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
 def _compare(rows: pa.Table) -> pa.Table:
-    """The best partners of each member of a group, as far as they are better than the worst it has."""
+    """The best partners of each member of a group, as far as they are better than the worst it has; and links, whatever
+    the members have, that connect all that the links of the group connect."""
     nodes = rows.column("node").to_numpy()
     nodes, first = np.unique(nodes, return_index=True)
     x = _matrix(rows.column("vec").take(pa.array(first)))
@@ -89,8 +110,10 @@ def _compare(rows: pa.Table) -> pa.Table:
     best = np.argpartition(-scores, k - 1, axis=1)[:, :k]
     values = np.take_along_axis(scores, best, axis=1)
     keep = values > floor[:, None]
-    a = np.repeat(nodes, keep.sum(axis=1))
-    return pa.table({"a": a, "b": nodes[best[keep]], "score": values[keep]})
+    a, b = _forest(scores >= THRESHOLD)
+    return pa.table({"a": np.concatenate([np.repeat(nodes, keep.sum(axis=1)), nodes[a]]),
+                     "b": np.concatenate([nodes[best[keep]], nodes[b]]),
+                     "score": np.concatenate([values[keep], scores[a, b]])})
 
 
 def _grouped(members: DataFrame) -> DataFrame:
@@ -145,6 +168,87 @@ def _links_in_components(nodes: DataFrame, roots: DataFrame) -> DataFrame:
             .groupBy("node").agg(F.sum("links").alias("links")))
 
 
+def _angles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The angle of each vector with the centre beside it."""
+    for batch in batches:
+        for part in _by_length(batch):
+            cosine = (_matrix(part.column("vec")) * _matrix(part.column("centre"))).sum(axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("root"), pa.array(np.arccos(np.clip(cosine, -1, 1)))], ["root", "angle"])
+
+
+def _near_balls(rows: pa.Table) -> pa.Table:
+    """Pairs of components of two blocks whose balls leave room for a link."""
+    x, side = _matrix(rows.column("vec")), rows.column("block").to_numpy()
+    radius, root = rows.column("radius").to_numpy(), rows.column("root").to_numpy()
+    a, b = (np.flatnonzero(side == rows.column(c)[0].as_py()) for c in ("low", "high"))
+    angle = np.arccos(np.clip(x[a] @ x[b].T, -1, 1))
+    i, j = np.nonzero((angle <= radius[a][:, None] + radius[b][None, :] + _REACH) & (root[a][:, None] != root[b][None, :]))
+    return pa.table({"p": np.minimum(root[a[i]], root[b[j]]), "q": np.maximum(root[a[i]], root[b[j]])})
+
+
+def _bridges(rows: pa.Table) -> pa.Table:
+    """A link for each two components that members of two blocks link."""
+    x, side = _matrix(rows.column("vec")), rows.column("block").to_numpy()
+    node, root = rows.column("node").to_numpy(), rows.column("root").to_numpy()
+    a, b = (np.flatnonzero(side == rows.column(c)[0].as_py()) for c in ("low", "high"))
+    i, j = np.nonzero((x[a] @ x[b].T >= THRESHOLD) & (root[a][:, None] != root[b][None, :]))
+    i, j = a[i], b[j]
+    ends = np.stack([np.minimum(root[i], root[j]), np.maximum(root[i], root[j])], axis=1)
+    first = np.unique(ends, axis=0, return_index=True)[1] if len(i) else i
+    return pa.table({"a": node[i[first]], "b": node[j[first]]})
+
+
+def _in_blocks(members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Links between members of different components in the pairs ``low, high`` of blocks."""
+    ends = pairs.select(F.col("low").alias("block"), "low", "high").union(
+        pairs.where("low != high").select(F.col("high").alias("block"), "low", "high"))
+    return (members.join(ends, "block").groupBy("low", "high", F.size("vec").alias("length"))
+            .applyInArrow(lambda t: _bridges(t), "a long, b long"))
+
+
+def _links_between_components(nodes: DataFrame, roots: DataFrame) -> DataFrame | None:
+    """Links between components that may hold saturated lists, a link for each two that have any; none is missed.
+
+    Each component lies in a ball about one member. Balls too far apart for a link are left out, all members of the
+    others are compared.
+    """
+    sizes = checkpointed(roots.groupBy("root").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > NEIGHBOURS))
+    count = sizes.count()
+    if count < 2:
+        return None
+    members = roots.join(sizes, "root").join(nodes.select("node", "vec"), "node")
+    centres = members.where("node = root").select("root", F.col("vec").alias("centre"))
+    radius = (members.select("root", "vec").join(centres, "root").mapInArrow(_angles, "root long, angle double")
+              .groupBy("root").agg(F.max("angle").alias("radius")))
+    pieces = -(-count // _BLOCK)
+    balls = (centres.withColumnRenamed("centre", "vec").join(radius, "root")
+             .withColumn("block", F.pmod(F.hash("root"), F.lit(pieces)))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1)))))
+    pairs = checkpointed(
+        balls.select("root", "vec", "radius", "block", F.least("block", "other").alias("low"),
+                     F.greatest("block", "other").alias("high"))
+        .groupBy("low", "high", F.size("vec").alias("length")).applyInArrow(lambda t: _near_balls(t), "p long, q long")
+        .distinct())
+    met = sizes.join(pairs.select(F.col("p").alias("root")).union(pairs.select("q")).distinct(), "root")
+    small = met.where(F.col("size") < _WIDE).agg(F.sum("size")).first()[0] or 0
+    # Small components share blocks, large ones have several.
+    met = met.withColumn("parts", F.when(F.col("size") < _WIDE, 1).otherwise(F.ceil(F.col("size") / _WIDE)).cast("int"))
+
+    def block(part: Column) -> Column:
+        return F.when(F.col("size") < _WIDE, F.pmod(F.xxhash64("root"), F.lit(-(-small // _WIDE) or 1))).otherwise(
+            F.xxhash64("root", part))
+
+    homes = checkpointed(met.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).select(
+        "root", block(F.col("part")).alias("block")))
+    at_p, at_q = (homes.select(F.col("root").alias(c), F.col("block").alias(f"block_{c}")) for c in ("p", "q"))
+    blocks = pairs.join(at_p, "p").join(at_q, "q").select(
+        F.least("block_p", "block_q").alias("low"), F.greatest("block_p", "block_q").alias("high")).distinct()
+    placed = roots.join(met, "root").join(nodes.select("node", "vec"), "node").select(
+        "node", "root", "vec", block(F.pmod(F.hash("node"), F.col("parts"))).alias("block"))
+    return checkpointed(_in_blocks(placed, blocks))
+
+
 def audit(nodes: DataFrame, roots: DataFrame) -> float:
     """Share of the links of a sample of nodes, found by comparing it with all nodes, that components hold."""
     placed = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "vec")
@@ -200,6 +304,10 @@ def deduplicate(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
         links = near if links is None else links.union(near)
         if turn >= ROUNDS:
             roots = checkpointed(components(links))
+            between = _links_between_components(nodes, roots)
+            if between is not None and not between.isEmpty():
+                links = links.union(between)
+                roots = checkpointed(components(links))
             if audit(nodes, roots) >= RECALL:
                 break
     counted = _links_in_components(nodes, roots)

@@ -51,6 +51,40 @@ def test_groups_equal_all_pairs(spark, monkeypatch):
     check(spark, rows)
 
 
+def test_link_between_dense_groups(spark):
+    rng = np.random.default_rng(1)
+    u, v, w = np.linalg.qr(rng.normal(size=(24, 3)))[0].T
+
+    def copies(centre, toward, bridge, first):
+        """Two hundred copies near a centre, and one further towards the other group, linked with one there."""
+        far = [centre * math.cos(bridge) + toward * math.sin(bridge)]
+        return [(first + i, x.astype(np.float32).tolist())
+                for i, x in enumerate(far + [centre + rng.normal(size=24) * 0.005 for _ in range(200)])]
+
+    # Centres are 34 degrees apart, the two bridging vectors 25 degrees: the only link, at 0.906.
+    other = u * math.cos(math.radians(34)) + v * math.sin(math.radians(34))
+    back = (u - (u @ other) * other) / np.linalg.norm(u - (u @ other) * other)
+    rows = copies(u, v, math.radians(4.5), 0) + copies(other, back, math.radians(4.5), 1000)
+    rows += copies(w, u, math.radians(3), 2000)
+    rows += [(5000 + i, x.astype(np.float32).tolist()) for i, x in enumerate(rng.normal(size=(150, 24)))]
+    check(spark, rows)
+
+
+def test_links_between_components(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "_WIDE", 16)
+    monkeypatch.setattr(neardup, "_BLOCK", 2)
+    rng = np.random.default_rng(2)
+    angle = np.concatenate([rng.uniform(a, b, n) for a, b, n in ((0, 4, 40), (28, 32, 12), (55, 58, 30), (100, 104, 50), (190, 191, 11))])
+    root = np.repeat([0, 40, 52, 82, 132], [40, 12, 30, 50, 11])
+    angle[[3, 45, 60, 90]] = [4, 28.5, 54, 104]  # 0-40 and 40-52 are linked, the others too far apart
+    vecs = [[math.cos(math.radians(d)), math.sin(math.radians(d))] for d in angle]
+    nodes = spark.createDataFrame([(i, v) for i, v in enumerate(vecs)], "node long, vec array<double>")
+    roots = spark.createDataFrame([(i, int(r)) for i, r in enumerate(root)], "node long, root long")
+    got = neardup._links_between_components(nodes, roots).collect()
+    assert all(np.dot(vecs[r.a], vecs[r.b]) >= 0.9 for r in got)
+    assert {tuple(sorted((int(root[r.a]), int(root[r.b])))) for r in got} == {(0, 40), (40, 52)}
+
+
 def test_odd_vectors(spark):
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]),
             (7, [1.0, 0.0]), (8, [2.0, 0.0]), (8, [2.0, 0.0]), (9, [1.0]), (10, [1e300, 1e299]), (11, [1e-300, 0.0]), (12, [-1.0, 0.0])]
