@@ -13,6 +13,7 @@ Equal vectors are one node from the beginning. All similarities are taken in dou
 
 from __future__ import annotations
 
+import logging
 import sys
 from collections.abc import Callable, Iterator
 
@@ -27,6 +28,7 @@ from strata.llm.storage import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+_log = logging.getLogger(__name__)
 THRESHOLD = 0.9
 NEIGHBOURS = 10
 # The graph begins with so many tables of planes; cells hold about so many vectors, groups to compare no more than that.
@@ -250,27 +252,46 @@ def _links_between_components(nodes: DataFrame, roots: DataFrame) -> DataFrame |
 
 
 def audit(nodes: DataFrame, roots: DataFrame) -> float:
-    """Share of the links of a sample of nodes, found by comparing it with all nodes, that components hold."""
-    placed = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "vec")
+    """Share of its own links that a sampled node's component holds, found by comparing the sample with all nodes: the
+    mean over the nodes of small components or that over those of large ones, whichever is lower."""
+    sizes = roots.groupBy("root").agg((F.count(F.lit(1)) > NEIGHBOURS).alias("large"))
+    placed = nodes.join(roots.join(sizes, "root"), "node", "left").select(
+        "node", F.coalesce("root", "node").alias("root"), F.coalesce("large", F.lit(False)).alias("large"), "vec")
     sample = placed.orderBy(F.xxhash64("node")).limit(AUDITED).toArrow()
+    large = dict(zip(sample.column("node").to_pylist(), sample.column("large").to_pylist()))
     parts = {p.column("vec").value_lengths()[0].as_py(): (_matrix(p.column("vec")), p.column("node").to_numpy(),
                                                           p.column("root").to_numpy())
              for b in sample.combine_chunks().to_batches() for p in _by_length(b)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        real = found = 0
+        real, found = ({n: np.zeros(len(p[1]), np.int64) for n, p in parts.items()} for _ in range(2))
         for batch in batches:
             for part in _by_length(batch):
                 size = part.column("vec").value_lengths()[0].as_py()
                 if size in parts:
                     x, names, sides = parts[size]
                     near = (x @ _matrix(part.column("vec")).T >= THRESHOLD) & (names[:, None] != part.column("node").to_numpy())
-                    real += int(near.sum())
-                    found += int((near & (sides[:, None] == part.column("root").to_numpy())).sum())
-        yield pa.RecordBatch.from_arrays([pa.array([real]), pa.array([found])], ["real", "found"])
+                    real[size] += near.sum(axis=1)
+                    found[size] += (near & (sides[:, None] == part.column("root").to_numpy())).sum(axis=1)
+        for size, (_, names, _) in parts.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names), pa.array(real[size]), pa.array(found[size])], ["node", "real", "found"])
+
+    # At most AUDITED rows.
+    counts = (placed.select("node", "root", "vec").mapInArrow(run, "node long, real long, found long")
+              .groupBy("node").agg(F.sum("real").alias("real"), F.sum("found").alias("found")).where("real > 0").collect())
+    shares = [[r.found / r.real for r in counts if large[r.node] == kind] for kind in (False, True)]
+    return min((sum(s) / len(s) for s in shares if s), default=1.0)
+
 
-    real, found = placed.mapInArrow(run, "real long, found long").agg(F.sum("real"), F.sum("found")).first()
-    return found / real if real else 1.0
+def _links_of_all(nodes: DataFrame, count: int) -> DataFrame:
+    """Links that connect all that is linked, from comparing all nodes with each other in blocks."""
+    pieces = -(-count // _WIDE)
+    members = nodes.select("node", F.col("node").alias("root"), "vec").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.lit(pieces)))
+    side = nodes.sparkSession.range(pieces)
+    pairs = side.select(F.col("id").alias("low"), F.explode(F.sequence("id", F.lit(pieces - 1).cast("long"))).alias("high"))
+    return checkpointed(_in_blocks(members, pairs))
 
 
 def deduplicate(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -279,8 +300,8 @@ def deduplicate(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
 
     Vectors without a direction (NULL, empty, zero, or with a component that is NULL or not finite) link with nothing,
     and so do vectors of different lengths. Rows that repeat a vector are linked with each other, whatever their ids.
-    Other columns are ignored; an empty table gives no rows. Every link is a similarity of the threshold or more; the
-    links are those found, and ``audit`` says how many there are to find.
+    Other columns are ignored; an empty table gives no rows. Every link is a similarity of the threshold or more. The
+    search ends when ``audit`` finds the share of links asked for; if it never does, all vectors are compared.
     """
     rows = vectors.select(F.col(id_col), (F.col(vector_col)).alias("vec"), usable(F.col(vector_col)).alias("ok"))
     one = rows.where("ok").groupBy("vec").agg(F.min(id_col).alias("name"), F.count(F.lit(1)).alias("copies"))
@@ -288,10 +309,13 @@ def deduplicate(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
     nodes, _ = stored(one.select(F.xxhash64("vec").alias("node"), "name", "copies", "vec"), "vectors")
     count = nodes.count()
     bits = max(1, int(np.ceil(np.log2(max(2, count / CELL)))))
+    # More bits thin out the cells of a linked pair, so there are as many tables as it takes it to share one on average.
+    tables = max(TABLES, int(np.ceil((1 - np.arccos(THRESHOLD) / np.pi) ** -bits)))
     links, roots, graph = None, None, None
     for turn in range(MOST_ROUNDS):
-        if turn == 0 or turn > ROUNDS:  # where the audit isn't content, other planes bring new candidates too
-            cells = nodes.mapInArrow(_cells(bits, TABLES, turn), T.StructType(
+        # Where the audit isn't content, other planes bring new candidates, and rounds after them follow these up.
+        if turn == 0 or turn > ROUNDS and (turn - ROUNDS) % 2:
+            cells = nodes.mapInArrow(_cells(bits, tables, turn), T.StructType(
                 [T.StructField("centre", T.LongType()), T.StructField("node", T.LongType()), nodes.schema["vec"]]))
             fresh = _grouped(cells.withColumn("floor", F.lit(-2.0)))
         else:
@@ -308,8 +332,12 @@ def deduplicate(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
             if between is not None and not between.isEmpty():
                 links = links.union(between)
                 roots = checkpointed(components(links))
-            if audit(nodes, roots) >= RECALL:
+            recall = audit(nodes, roots)
+            if recall >= RECALL:
                 break
+    else:
+        _log.warning("recall of links is %.4f after %d rounds; comparing all %d vectors", recall, MOST_ROUNDS, count)
+        roots = checkpointed(components(_links_of_all(nodes, count)))
     counted = _links_in_components(nodes, roots)
     least = roots.join(nodes.select("node", "name"), "node").groupBy("root").agg(F.min("name").alias("least"))
     known = (nodes.join(counted, "node", "left").join(roots, "node", "left").join(least, "root", "left")

@@ -85,6 +85,34 @@ def test_links_between_components(spark, monkeypatch):
     assert {tuple(sorted((int(root[r.a]), int(root[r.b])))) for r in got} == {(0, 40), (40, 52)}
 
 
+def test_audit_counts_nodes_and_not_links(spark):
+    rng = np.random.default_rng(3)
+    axes = np.linalg.qr(rng.normal(size=(64, 64)))[0]
+    vecs = [axes[0] + rng.normal(size=64) * 0.002 for _ in range(200)]
+    vecs += [axes[1 + i // 2] + rng.normal(size=64) * 0.002 for i in range(100)]  # fifty pairs
+    nodes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)], "node long, vec array<double>")
+    hot = [(i, 0) for i in range(200)]
+    pairs = [(200 + i, 200 + i // 2 * 2) for i in range(100)]
+    kinds = "node long, root long"
+    assert neardup.audit(nodes, spark.createDataFrame(hot + pairs, kinds)) == 1.0
+    assert neardup.audit(nodes, spark.createDataFrame(hot, kinds)) == 0.0
+    assert abs(neardup.audit(nodes, spark.createDataFrame(hot + pairs[:80], kinds)) - 0.8) < 1e-9
+
+
+def test_search_that_fails_is_made_whole(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "_WIDE", 16)
+    monkeypatch.setattr(neardup, "MOST_ROUNDS", 3)
+    monkeypatch.setattr(neardup, "audit", lambda nodes, roots: 0.5)
+    grouped = neardup._grouped
+    monkeypatch.setattr(neardup, "_grouped", lambda members: grouped(members).where("pmod(xxhash64(least(a, b), greatest(a, b)), 3) = 0"))
+    rng = np.random.default_rng(4)
+    rows = []
+    for size in [20, 4, 3, 2, 2, 2] + [1] * 30:
+        base = rng.normal(size=24)
+        rows += [(len(rows) + i, (base + rng.normal(size=24) * 0.12).astype(np.float32).tolist()) for i in range(size)]
+    check(spark, rows)
+
+
 def test_odd_vectors(spark):
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]),
             (7, [1.0, 0.0]), (8, [2.0, 0.0]), (8, [2.0, 0.0]), (9, [1.0]), (10, [1e300, 1e299]), (11, [1e-300, 0.0]), (12, [-1.0, 0.0])]
