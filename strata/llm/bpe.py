@@ -198,6 +198,7 @@ def _encode_shard(text: str) -> Callable:
 
     def run(rows: pa.Table) -> pa.Table:
         tokenizer = _tokenizer(text)
+        rows = rows.take(pa.array(np.sort(np.unique(rows.column("block").to_numpy(), return_index=True)[1])))
         lists = [zstandard.ZstdDecompressor().decompress(w).decode("utf-8", "surrogatepass").split("\n")
                  for w in rows.column("words").to_pylist()]
         words = sorted({w for ws in lists for w in ws})
@@ -222,7 +223,8 @@ def _join_back(key_type: pa.DataType, names: list[str]) -> Callable:
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
         if not texts.num_rows:
             raise RuntimeError("the input gave other rows when it was read again; encode a stored table")
-        order = np.argsort(answers.column("shard").to_numpy())
+        # Equal blocks share their name, so each of them has brought the same answers: one for each shard is enough.
+        order = np.unique(answers.column("shard").to_numpy(), return_index=True)[1]
         at = [answers.column(c).to_pylist() for c in ("sizes", "tokens")]
         sizes = np.concatenate([_unsqueeze(at[0][i]) for i in order] or [np.zeros(0, np.uint32)]).astype(np.int64)
         tokens = np.concatenate([_unsqueeze(at[1][i]) for i in order] or [np.zeros(0, np.uint32)]).astype(np.int32)

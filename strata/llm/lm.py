@@ -239,7 +239,8 @@ def _scores(totals: Totals, shards: int, kind: pa.DataType, names: list[str]) ->
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
         if not texts.num_rows or not answers.num_rows:
             raise RuntimeError("the input gave other rows when it was read again; score a stored table")
-        order = np.argsort(answers.column("shard").to_numpy())
+        # Equal blocks share their name, and all of their answers are equal.
+        order = np.unique(answers.column("shard").to_numpy(), return_index=True)[1]
         by = {c: answers.column(c).to_pylist() for c in ("counts", "steps")}
         counts = np.concatenate([_unpack(by["counts"][i], 6) for i in order]).astype(np.float64)
         steps = np.concatenate([_unpack(by["steps"][i], 1) for i in order])

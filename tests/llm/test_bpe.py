@@ -30,6 +30,15 @@ def test_odd_texts_equal_the_library(spark, tmp_path):
     assert got == want
 
 
+def test_equal_blocks_stay_apart(spark, tmp_path):
+    texts = [f"word{i} the cat {i * i} sat on" for i in range(300)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(path)
+    docs = spark.read.parquet(path)
+    got = sorted((r.doc_id, list(r.ids)) for r in encode(docs.union(docs), tokenizer_path()).collect())
+    assert got == sorted(2 * [(i, e[0]) for i, e in enumerate(expected(texts))])
+
+
 def test_query_equals_the_library(spark):
     sf = "/root/testdata/sf0.001"
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}

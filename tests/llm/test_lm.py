@@ -39,6 +39,20 @@ def test_query_equals_brute_force_and_beats_unigrams(spark):
     assert sum(r.score for r in rows if r.held_out) > sum(r.base_score for r in rows if r.held_out)
 
 
+def test_equal_blocks_stay_apart(spark, tmp_path):
+    texts = {i: f"word{i} the cat {i * i} sat on" for i in range(300)}
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1).write.parquet(path)
+    docs = spark.read.parquet(path)
+    rows = lm.score(docs.union(docs), F.lit(False)).collect()
+    twice = brute(texts | {i + 1000: t for i, t in texts.items()}, dict.fromkeys([*texts, *(i + 1000 for i in texts)], False))
+    assert sorted(r.doc_id for r in rows) == sorted([*texts] * 2)
+    for r in rows:
+        held, n, known, total, base = twice[r.doc_id]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held, n, known, total)
+        assert r.base_score == pytest.approx(base, rel=1e-9)
+
+
 def test_filter_never_understates_and_seldom_overstates():
     rng = np.random.default_rng(0)
     hashes = rng.integers(0, 1 << 40, 20_000).astype(np.uint64)
