@@ -39,6 +39,8 @@ _CHUNKS = 64
 # Nodes of a token that makes more pairs than this are a family, whose whole sets are compared in blocks of nodes.
 _PAIRS_OF_TOKEN, _BLOCK = 4096, 256
 _TOKENS_AT_ONCE = 1 << 13
+# Tokens counted so often, and well above the mean counter, never meet in one shard: their nodes are a family at once.
+_HOT = 1 << 17
 _FEW = 12
 # Parts of the range of hashes: the smallest hash in each is a key by which central nodes are found.
 _PARTS = 8
@@ -167,7 +169,28 @@ def _tokens(counts: np.ndarray) -> Callable:
     return run
 
 
-def _dealt(shards: int) -> Callable:
+def _hot_counters(counts: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(counts > _HOT + 4 * counts.mean()).astype(np.uint64)
+
+
+def _hot(counters: np.ndarray) -> Callable:
+    """A row for each node and hot token that it shows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("tokens")
+            tokens = column.flatten().to_numpy()
+            owner = np.repeat(np.arange(batch.num_rows), column.value_lengths().to_numpy())
+            at = np.isin(tokens.view(np.uint64) % np.uint64(COUNTERS), counters)
+            node, label = (batch.column(c).to_numpy()[owner[at]] for c in ("node", "label"))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tokens[at]), pa.array(node), pa.array(np.where(label == 0, node, label)),
+                 pa.array(batch.column("central").to_numpy()[owner[at]])], ["token", "node", "label", "central"])
+
+    return run
+
+
+def _dealt(shards: int, hot: np.ndarray) -> Callable:
     """Blobs by shard of the tokens that nodes show, with the nodes and, where links gave them one, their labels."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,6 +198,9 @@ def _dealt(shards: int) -> Callable:
             column = batch.column("tokens")
             tokens = column.flatten().to_numpy().view(np.uint64)
             owner = np.repeat(np.arange(batch.num_rows), column.value_lengths().to_numpy())
+            if len(hot):
+                cool = ~np.isin(tokens % np.uint64(COUNTERS), hot)
+                tokens, owner = tokens[cool], owner[cool]
             nodes, labels = (batch.column(c).to_numpy() for c in ("node", "label"))
             central = batch.column("central").to_numpy().astype(np.float32)
             shard = (tokens >> np.uint64(40)).astype(np.int64) % shards
@@ -248,26 +274,39 @@ def _candidates(rows: pa.Table) -> pa.Table:
         "members": pa.array([None] * len(at) + [_pack(m) for _, m in members], pa.binary())})
 
 
-def _block_pairs(rows: pa.Table) -> pa.Table:
-    """The pairs of blocks of a family that hold different labels: a row for each pair and each of its nodes."""
-    both = np.unique(np.concatenate([_unpack(m, "<i8").reshape(-1, 2) for m in rows.column("members").to_pylist()]), axis=0)
-    both = both[np.lexsort((both[:, 0], both[:, 1]))]
-    cuts = np.arange(0, len(both), _BLOCK)
-    low, high = both[cuts, 1], both[np.minimum(cuts + _BLOCK, len(both)) - 1, 1]
-    out = {"low": [], "high": [], "side": [], "node": [], "label": []}
-    for i in range(len(cuts)):
-        for j in range(i, len(cuts)):
-            if low[i] == high[i] == low[j] == high[j]:
-                continue  # one label: these links are known
-            for side, k in enumerate([i] if i == j else [i, j]):
-                part = both[cuts[k]:cuts[k] + _BLOCK]
-                out["low"].append(np.full(len(part), i))
-                out["high"].append(np.full(len(part), j))
-                out["side"].append(np.full(len(part), side))
-                out["node"].append(part[:, 0])
-                out["label"].append(part[:, 1])
-    flat = {k: np.concatenate(v) if v else np.zeros(0, np.int64) for k, v in out.items()}
-    return pa.table({"family": np.full(len(flat["low"]), rows.column("family")[0].as_py(), np.int64), **flat})
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each node of the families that a shard found."""
+    for batch in batches:
+        for family, members in zip(batch.column("family").to_pylist(), batch.column("members").to_pylist()):
+            both = _unpack(members, "<i8").reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(both), family)), pa.array(both[:, 0]), pa.array(both[:, 1])], ["family", "node", "label"])
+
+
+def _in_blocks(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The members ``family, node, label`` with their blocks, and the pairs of blocks that hold different labels.
+
+    Labels with many nodes have blocks of their own, those with few share blocks.
+    """
+    sizes = members.groupBy("family", "label").agg(F.count(F.lit(1)).alias("size"))
+    packs = sizes.where(F.col("size") < _BLOCK).groupBy("family").agg(F.ceil(F.sum("size") / _BLOCK).alias("packs"))
+    sizes = checkpointed(sizes.join(packs, "family", "left").withColumn(
+        "parts", F.when(F.col("size") < _BLOCK, 1).otherwise(F.ceil(F.col("size") / _BLOCK)).cast("int")))
+
+    def block(part: Column) -> Column:
+        return F.when(F.col("size") < _BLOCK, F.pmod(F.xxhash64("label"), F.col("packs"))).otherwise(F.xxhash64("label", part))
+
+    homes = checkpointed(sizes.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
+                         .select("family", block(F.col("part")).alias("block"), "label")
+                         .groupBy("family", "block").agg(F.min("label").alias("first"), F.max("label").alias("last")))
+    low, high = (homes.select("family", *[F.col(c).alias(f"{side}_{c}") for c in ("block", "first", "last")])
+                 for side in ("low", "high"))
+    pairs = low.join(high, "family").where("low_block <= high_block").where(  # one label: these links are known
+        "least(low_first, high_first) != greatest(low_last, high_last)").select(
+        "family", F.col("low_block").alias("low"), F.col("high_block").alias("high"))
+    placed = members.join(sizes, ["family", "label"]).select(
+        "family", "node", "label", block(F.pmod(F.hash("node"), F.col("parts"))).alias("block"))
+    return placed, pairs
 
 
 def _compare_blocks(rows: pa.Table) -> pa.Table:
@@ -375,12 +414,15 @@ def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return checkpointed(both.where(100 * inside >= PERCENT * union).select("a", "b"))
 
 
-def _within_families(texts: DataFrame, families: DataFrame) -> DataFrame:
+def _within_families(texts: DataFrame, members: DataFrame) -> DataFrame:
     """Links inside families, found by comparing the blocks of nodes that hold different labels."""
-    blocks_of = checkpointed(families.groupBy("family").applyInArrow(
-        lambda t: _block_pairs(t), "family long, low long, high long, side long, node long, label long"))
-    return checkpointed(blocks_of.join(_sets_of(texts, blocks_of), "node").groupBy("family", "low", "high").applyInArrow(
-        lambda t: _compare_blocks(t), "a long, b long"))
+    placed, pairs = _in_blocks(checkpointed(members.distinct()))
+    pairs = checkpointed(pairs)
+    ends = pairs.select("family", F.col("low").alias("block"), "low", "high", F.lit(0).alias("side")).union(
+        pairs.where("low != high").select("family", F.col("high").alias("block"), "low", "high", F.lit(1).alias("side")))
+    met = checkpointed(placed.join(ends.select("family", "block").distinct(), ["family", "block"], "left_semi"))
+    return checkpointed(met.join(_sets_of(texts, met), "node").join(ends, ["family", "block"])
+                        .groupBy("family", "low", "high").applyInArrow(lambda t: _compare_blocks(t), "a long, b long"))
 
 
 def _needed(n_a: Column, n_b: Column, rest_a: Column, rest_b: Column, l_a: Column, l_b: Column) -> Column:
@@ -412,8 +454,9 @@ def links_between(texts: DataFrame) -> DataFrame:
     tokens = texts.mapInArrow(_tokens(counts), "node long, tokens array<long>")
     tokens = (tokens.groupBy("node").agg(F.first("tokens").alias("tokens")).join(nodes.select("node", "central"), "node")
               .join(labels, "node", "left").select("node", "tokens", "central", F.coalesce("label", F.lit(0)).alias("label")))
+    hot = _hot_counters(counts)
     found = checkpointed(
-        tokens.mapInArrow(_dealt(shards), "shard int, tokens binary, times binary, nodes binary, labels binary, central binary")
+        tokens.mapInArrow(_dealt(shards, hot), "shard int, tokens binary, times binary, nodes binary, labels binary, central binary")
         .groupBy("shard").applyInArrow(lambda t: _candidates(t), "a long, b long, shared long, family long, members binary"))
     pairs = found.where("family is null").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
     size = nodes.select("node", "n", "rest", "matches")
@@ -423,7 +466,14 @@ def links_between(texts: DataFrame) -> DataFrame:
         (100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")) & (F.col("shared") >= _needed(
             F.col("n_a"), F.col("n_b"), F.col("rest_a"), F.col("rest_b"), F.col("matches_a"), F.col("matches_b"))))
     links = links.union(_verified(texts, pairs.select("a", "b")))
-    links = links.union(_within_families(texts, found.where("family is not null").select("family", "members")))
+    members = found.where("family is not null").select("family", "members").mapInArrow(
+        _members, "family long, node long, label long")
+    if len(hot):
+        shown = checkpointed(tokens.mapInArrow(_hot(hot), "token long, node long, label long, central double"))
+        first = shown.groupBy("token").agg(F.max_by("node", F.struct("central", "node")).alias("family"),
+                                           F.count(F.lit(1)).alias("size")).where("size > 1")
+        members = members.union(shown.join(first, "token").select("family", "node", "label"))
+    links = links.union(_within_families(texts, members))
     drop(spark, path)
     return links
 

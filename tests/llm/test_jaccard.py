@@ -72,6 +72,40 @@ def test_families_equal_brute_force(spark, monkeypatch, pairs_of_token):
     check(spark, texts)
 
 
+def test_hot_tokens_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "_HOT", 3)
+    monkeypatch.setattr(jaccard, "_BLOCK", 7)
+    # A family that reaches one Python call whole would have more nodes than its two blocks may hold.
+    compare = jaccard._compare_blocks
+
+    def bounded(rows):
+        assert rows.num_rows <= 60
+        return compare(rows)
+
+    monkeypatch.setattr(jaccard, "_compare_blocks", bounded)
+    shared = " ".join(f"s{i}" for i in range(40))  # three quarters of a text, and a unique rest
+    texts = {500 + i: shared + " " + " ".join(f"u{i}x{j}" for j in range(14)) for i in range(150)}
+    texts |= families(random.Random(6), [30, 7, 2, 1], 4)
+    texts |= {700: texts[500] + " end", 701: texts[510] + " end"}
+    check(spark, texts)
+
+
+def test_families_are_cut_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "_BLOCK", 16)
+    label = {n: n for n in range(600)} | {n: -1 for n in range(600, 900)} | {n: -2 - n % 7 for n in range(900, 950)}
+    members = spark.createDataFrame([(5, n, k) for n, k in label.items()] + [(6, n, 1) for n in range(40)],
+                                    "family long, node long, label long")
+    placed, pairs = jaccard._in_blocks(members)
+    blocks = {}
+    for r in placed.collect():
+        blocks.setdefault((r.family, r.block), []).append(r.node)
+    assert max(map(len, blocks.values())) <= 64 and sum(map(len, blocks.values())) == 990
+    pairs = [tuple(r) for r in pairs.collect()]
+    assert len(set(pairs)) == len(pairs) and all(f == 5 for f, _, _ in pairs)
+    met = {frozenset((a, b)) for f, low, high in pairs for a in blocks[f, low] for b in blocks[f, high] if a != b}
+    assert all(frozenset((a, b)) in met for a in label for b in label if label[a] != label[b])
+
+
 def test_query_equals_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
