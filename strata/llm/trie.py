@@ -59,11 +59,12 @@ def standard_heads(conv_col: str = "conv_id") -> Heads:
 
 
 def _power(base: int, n: Column) -> Column:
-    """``base ** n`` modulo the prime for 0 <= n < 2**32, by the bits of ``n``."""
-    out = F.lit(1).cast("long")
-    for bit in range(32):
-        factor = F.when(n.bitwiseAND(1 << bit) != 0, F.lit(pow(base, 1 << bit, PRIME)).cast("long")).otherwise(1)
-        out = out * factor % PRIME
+    """``base ** n`` modulo the prime for 0 <= n < 2**32: a power is looked up for each half byte of ``n``."""
+    out = None
+    for digit in range(8):
+        powers = ",".join(f"{pow(base, k << 4 * digit, PRIME)}L" for k in range(16))
+        factor = F.get(F.expr(f"array({powers})"), F.shiftrightunsigned(n, 4 * digit).bitwiseAND(15).cast("int"))
+        out = factor if out is None else out * factor % PRIME
     return out
 
 

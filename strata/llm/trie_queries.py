@@ -16,7 +16,7 @@ with recursive steps as (
 crc as (select list(c order by i) as t from steps where k = 8),
 ids as (
   select conv_id, conv_id - conv_id % 5 as base, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(
-           string_split(conv_id::varchar, ''), d -> ascii(d)::bigint)), (c, b) -> xor(c >> 8, t[(xor(c, b) & 255) + 1])),
+           string_split(conv_id::varchar, ''), lambda d: ascii(d)::bigint)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])),
          4294967295::bigint) % 9 as h
   from (select distinct conv_id from conversations where conv_id is not null), crc),
 own as (
