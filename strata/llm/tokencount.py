@@ -10,6 +10,7 @@ the sums above them.
 from __future__ import annotations
 
 import base64
+import hashlib
 import sys
 from collections.abc import Callable, Iterator
 
@@ -27,7 +28,7 @@ _made: dict = {}
 
 def _counter(ranks: bytes, pattern: str) -> Callable[[str], int]:
     """Number of tokens of a string, by a rank file's text and the pattern that splits into pre-tokens."""
-    key = (len(ranks), pattern)
+    key = (hashlib.sha256(ranks).digest(), pattern)
     if key not in _made:
         import tiktoken
 

@@ -73,3 +73,16 @@ def test_odd_rows_and_joined_edits(spark, count):
     assert got == [(i, t, count(t)) for i, t in texts]
     assert build(docs.limit(0), ranks, pattern).collect() == []
     assert len(INSERTED) == 5
+
+
+def test_rank_files_of_one_length_have_counters_of_their_own():
+    import base64
+
+    def ranks(*more):
+        tokens = [bytes([i]) for i in range(256)] + list(more)
+        return b"\n".join(base64.b64encode(t) + b" %d" % i for i, t in enumerate(tokens))
+
+    first, second = ranks(b"ab"), ranks(b"cd")
+    assert len(first) == len(second)
+    assert [_counter(r, r"\w+")("abcd") for r in (first, second, ranks(b"ab", b"cd"))] == [3, 3, 2]
+    assert [_counter(r, r"\w+")("abab") for r in (first, second)] == [2, 4]
