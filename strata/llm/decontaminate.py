@@ -195,7 +195,8 @@ def _looker(index: Index) -> Callable:
     def look(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
             batch = pa.RecordBatch.from_arrays([column], ["text"])
-            yield pa.concat_arrays([_lists(index, p.column("text")) for p in blocks(batch, "text")])
+            parts = [_lists(index, p.column("text")) for p in blocks(batch, "text")]
+            yield pa.concat_arrays(parts or [_lists(index, column)])
 
     look.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return look
@@ -214,11 +215,12 @@ def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
 
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text")).where("text is not null")
     kind = items.schema["item"].dataType
+    # All texts of an id go to one pass, so that it is found once however many passes there are.
     passes = max(1, -(-items.count() // ITEMS_PER_PASS))
     name = kind.simpleString()
     found = F.array().cast(f"array<struct<item:{name},similarity:double,start:int,end:int>>")
     for turn in range(passes):
-        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == turn).orderBy("item", "text").toPandas()
+        rows = items.where(F.pmod(F.xxhash64("item"), F.lit(passes)) == turn).orderBy("item", "text").toPandas()
         index = build(list(rows["item"]), list(rows["text"]), to_arrow_type(kind))
 
         kind_of = f"array<struct<item:{name},similarity:double,start:int,end:int>>"

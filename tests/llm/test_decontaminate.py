@@ -75,3 +75,16 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.clean(docs, none).count() == 1
     assert decontaminate.find(docs.limit(0), docs.withColumnRenamed("doc_id", "item_id")).collect() == []
+
+
+def test_an_id_with_several_texts_is_found_once_in_any_number_of_passes(spark, monkeypatch):
+    one, two = ("alpha beta gamma delta epsilon zeta eta theta", "ein zwei drei vier sechs sieben acht neun")
+    docs = spark.createDataFrame([(1, f"x {one} y {two} z"), (2, two)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, one), (7, two), (8, two)], "item_id long, text string")
+    said = []
+    for per_pass in (1, 2, 20_000):
+        monkeypatch.setattr(decontaminate, "ITEMS_PER_PASS", per_pass)
+        out = decontaminate.find(docs, bench).collect()
+        said.append(sorted((r.doc_id, sorted((h.item, h.start, h.end) for h in r.leaks)) for r in out))
+        assert [len(x) for _, x in said[-1]] == [2, 2]
+    assert said[0] == said[1] == said[2]
