@@ -34,8 +34,9 @@ NEIGHBOURS = 10
 # The graph begins with so many tables of planes; cells hold about so many vectors, groups to compare no more than that.
 TABLES, CELL, GROUP = 8, 16, 64
 ROUNDS, MOST_ROUNDS = 2, 6
-# The audit compares so many vectors with all others.
+# The audit compares so many vectors, and as many that are known to have links, with all others.
 AUDITED, RECALL = 512, 0.98
+_AUDIT_SEED = 1 << 20
 _BLOCK, _WIDE = 512, 2048
 # Vectors with a link are no further apart than this angle, with room for rounding.
 _REACH = float(np.arccos(THRESHOLD)) + 1e-6
@@ -251,13 +252,38 @@ def _links_between_components(nodes: DataFrame, roots: DataFrame) -> DataFrame |
     return checkpointed(_in_blocks(placed, blocks))
 
 
+def _planes(count: int) -> tuple[int, int]:
+    """Bits of a cell's name and number of tables. More bits thin out the cells of a linked pair, so there are as many
+    tables as it takes it to share one on average."""
+    bits = max(1, int(np.ceil(np.log2(max(2, count / CELL)))))
+    return bits, max(TABLES, int(np.ceil((1 - np.arccos(THRESHOLD) / np.pi) ** -bits)))
+
+
+def _by_planes(nodes: DataFrame, count: int, seed: int) -> DataFrame:
+    """Pairs of vectors that share a cell of the tables with this seed."""
+    bits, tables = _planes(count)
+    cells = nodes.mapInArrow(_cells(bits, tables, seed), T.StructType(
+        [T.StructField("centre", T.LongType()), T.StructField("node", T.LongType()), nodes.schema["vec"]]))
+    return _grouped(cells.withColumn("floor", F.lit(-2.0)))
+
+
 def audit(nodes: DataFrame, roots: DataFrame) -> float:
-    """Share of its own links that a sampled node's component holds, found by comparing the sample with all nodes: the
-    mean over the nodes of small components or that over those of large ones, whichever is lower."""
+    """Share of its own links that a node's component holds, found by comparing sampled nodes with all nodes: the mean
+    over the nodes of small components or that over those of large ones, whichever is lower.
+
+    Links may be so rare that no node of a plain sample has any. So half of the sample are nodes that planes of the
+    audit's own, which the search has not used, show with a link. Only if neither these planes nor the plain sample
+    have any link is there nothing to miss.
+    """
+    count = nodes.count()
+    linked = _by_planes(nodes, count, _AUDIT_SEED).where(F.col("score") >= THRESHOLD)
+    linked = checkpointed(linked.select(F.col("a").alias("node")).union(linked.select("b")).distinct()
+                          .orderBy(F.xxhash64("node")).limit(AUDITED))
     sizes = roots.groupBy("root").agg((F.count(F.lit(1)) > NEIGHBOURS).alias("large"))
     placed = nodes.join(roots.join(sizes, "root"), "node", "left").select(
         "node", F.coalesce("root", "node").alias("root"), F.coalesce("large", F.lit(False)).alias("large"), "vec")
-    sample = placed.orderBy(F.xxhash64("node")).limit(AUDITED).toArrow()
+    chosen = placed.orderBy(F.xxhash64("node")).limit(AUDITED).union(placed.join(linked, "node", "left_semi"))
+    sample = chosen.dropDuplicates(["node"]).toArrow()
     large = dict(zip(sample.column("node").to_pylist(), sample.column("large").to_pylist()))
     parts = {p.column("vec").value_lengths()[0].as_py(): (_matrix(p.column("vec")), p.column("node").to_numpy(),
                                                           p.column("root").to_numpy())
@@ -277,9 +303,10 @@ def audit(nodes: DataFrame, roots: DataFrame) -> float:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names), pa.array(real[size]), pa.array(found[size])], ["node", "real", "found"])
 
-    # At most AUDITED rows.
+    # At most twice AUDITED rows.
     counts = (placed.select("node", "root", "vec").mapInArrow(run, "node long, real long, found long")
               .groupBy("node").agg(F.sum("real").alias("real"), F.sum("found").alias("found")).where("real > 0").collect())
+    _log.info("audit: %d of %d sampled vectors have links", len(counts), sample.num_rows)
     shares = [[r.found / r.real for r in counts if large[r.node] == kind] for kind in (False, True)]
     return min((sum(s) / len(s) for s in shares if s), default=1.0)
 
@@ -308,16 +335,11 @@ def deduplicate(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
     # Nodes are numbered by what they are, so that repeated ids and NULL ids stay apart.
     nodes, _ = stored(one.select(F.xxhash64("vec").alias("node"), "name", "copies", "vec"), "vectors")
     count = nodes.count()
-    bits = max(1, int(np.ceil(np.log2(max(2, count / CELL)))))
-    # More bits thin out the cells of a linked pair, so there are as many tables as it takes it to share one on average.
-    tables = max(TABLES, int(np.ceil((1 - np.arccos(THRESHOLD) / np.pi) ** -bits)))
     links, roots, graph = None, None, None
     for turn in range(MOST_ROUNDS):
         # Where the audit isn't content, other planes bring new candidates, and rounds after them follow these up.
         if turn == 0 or turn > ROUNDS and (turn - ROUNDS) % 2:
-            cells = nodes.mapInArrow(_cells(bits, tables, turn), T.StructType(
-                [T.StructField("centre", T.LongType()), T.StructField("node", T.LongType()), nodes.schema["vec"]]))
-            fresh = _grouped(cells.withColumn("floor", F.lit(-2.0)))
+            fresh = _by_planes(nodes, count, turn)
         else:
             fresh = _refine(graph, nodes)
         fresh = checkpointed(fresh)

@@ -131,3 +131,14 @@ def test_query_and_audit(spark):
     nodes = spark.createDataFrame([(1, [1.0, 0.0], 1), (2, [1.0, 0.1], 1), (3, [0.0, 1.0], 1)], "node long, vec array<double>, copies long")
     assert neardup.audit(nodes, spark.createDataFrame([], "node long, root long")) == 0.0
     assert neardup.audit(nodes, spark.createDataFrame([(1, 1), (2, 1)], "node long, root long")) == 1.0
+
+
+def test_audit_has_evidence_where_links_are_rare(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    vecs = rng.normal(size=(400, 16))
+    vecs[399] = vecs[7] + 0.01
+    nodes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)], "node long, vec array<double>")
+    monkeypatch.setattr(neardup, "AUDITED", 8)
+    assert neardup.audit(nodes, spark.createDataFrame([], "node long, root long")) == 0.0
+    assert neardup.audit(nodes, spark.createDataFrame([(7, 7), (399, 7)], "node long, root long")) == 1.0
+    assert neardup.audit(nodes.where("node < 399"), spark.createDataFrame([], "node long, root long")) == 1.0
