@@ -49,12 +49,19 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies; rows that repeat an id are one document."""
-    joined = jaccard.join(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = joined.select(F.col("doc_id").alias("_id")).distinct()
-    one = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).orderBy("text")
-    rows = _rows(docs, "doc_id")
-    return (rows.join(first, rows["doc_id"].eqNullSafe(first["_id"]), "left_semi")
+    """Keeps one document of each group of near copies: that with the smallest id, NULL last; of equal ids that with the
+    lowest hash of the text.
+
+    A document is an id with a text, so rows that repeat an id with other texts are judged by their texts, and rows that
+    repeat both are one.
+    """
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.xxhash64("text").alias("text_hash"))
+    rows = _rows(docs, "doc_id").withColumn("_key", key)
+    joined = jaccard.join(docs.select(key.alias("_key"), "text"), "_key").where(F.col("_key") == F.col("component_id"))
+    one = Window.partitionBy("_key").orderBy("text")
+    # The key holds NULL ids, so it is compared as a whole.
+    first = joined.select(F.col("_key").alias("_first")).distinct()
+    return (rows.join(first, rows["_key"].eqNullSafe(first["_first"]), "left_semi")
             .withColumn("_n", F.row_number().over(one)).where("_n = 1").select("_row.*"))
 
 
