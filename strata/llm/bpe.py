@@ -29,7 +29,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from strata.llm.textblocks import blocks
+from strata.llm.textblocks import blocks, release
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -211,14 +211,19 @@ def _encode_shard(text: str) -> Callable:
             mine = [table[w] for w in ws]
             sizes.append(_squeeze(np.fromiter(map(len, mine), np.uint32, len(mine))))
             flat.append(_squeeze(np.fromiter((i for m in mine for i in m), np.uint32)))
+        del words, ids, table, lists
+        release()
         return pa.table({"block": rows.column("block"), "shard": rows.column("shard"),
                          "sizes": pa.array(sizes, pa.binary()), "tokens": pa.array(flat, pa.binary())})
 
     return run
 
 
-def _join_back(key_type: pa.DataType, names: list[str]) -> Callable:
-    """Puts the ids of a block's words at the words' positions: rows (key, ids)."""
+def _join_back(key_type: pa.DataType, names: list[str], pieces: list[str | None] | None) -> Callable:
+    """Puts the ids of a block's words at the words' positions: rows (key, ids), and decoded texts if pieces are given.
+
+    Texts are decoded here, so that a task has one Python worker and its ids don't travel to another one.
+    """
 
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
         if not texts.num_rows:
@@ -229,6 +234,7 @@ def _join_back(key_type: pa.DataType, names: list[str]) -> Callable:
         sizes = np.concatenate([_unsqueeze(at[0][i]) for i in order] or [np.zeros(0, np.uint32)]).astype(np.int64)
         tokens = np.concatenate([_unsqueeze(at[1][i]) for i in order] or [np.zeros(0, np.uint32)]).astype(np.int32)
         starts = np.cumsum(sizes) - sizes
+        lookup = None if pieces is None else _piece_lookup(pieces)
         out = []
         for keys, counts, codes in zip(*(texts.column(c).to_pylist() for c in ("keys", "counts", "codes"))):
             codes, counts = _unsqueeze(codes), _unsqueeze(counts).astype(np.int64)
@@ -239,14 +245,18 @@ def _join_back(key_type: pa.DataType, names: list[str]) -> Callable:
             flat = tokens[np.repeat(starts[codes] - (ends - n), n) + np.arange(n.sum())]
             cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
             lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat, pa.int32()))
-            out.append(pa.table([pa.array(keys, key_type), lists], names=names))
+            decoded = [] if lookup is None else [_decoded(lookup, lists)]
+            out.append(pa.table([pa.array(keys, key_type), lists, *decoded], names=names))
+        release()
         return pa.concat_tables(out)
 
     return run
 
 
-def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows ``id_col, ids`` with the ids of each whole text, one row for each row of ``docs``.
+def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
+           decoded_col: str | None = None) -> DataFrame:
+    """Rows ``id_col, ids`` with the ids of each whole text, one row for each row of ``docs``; with ``decoded_col`` also
+    what ``decode`` gives for the ids.
 
     ``tokenizer`` is the path of a tokenizer file on the driver. Ids equal those of the tokenizers library without added
     special tokens, truncation and padding; strings of special tokens inside a text become these tokens. NULL and empty
@@ -268,8 +278,10 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
         T.StructField("block", T.StringType()), T.StructField("keys", T.ArrayType(kind)),
         T.StructField("counts", T.BinaryType()), T.StructField("codes", T.BinaryType())]))
     out = T.StructType([T.StructField(id_col, kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    if decoded_col:
+        out = out.add(decoded_col, T.StringType())
     return numbered.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _join_back(key_type, [id_col, "ids"]), out)
+        _join_back(key_type, out.names, piece_table(tokenizer) if decoded_col else None), out)
 
 
 def piece_table(tokenizer: str) -> list[str | None]:
@@ -280,30 +292,40 @@ def piece_table(tokenizer: str) -> list[str | None]:
     return [made.id_to_token(i) for i in range(max(made.get_vocab().values()) + 1)]
 
 
+def _piece_lookup(pieces: list[str | None]) -> pa.Array:
+    """Pieces by id; the last entry is that of ids without one."""
+    return pa.array([*pieces, None], pa.string())
+
+
+def _decoded(lookup: pa.Array, column: pa.Array) -> pa.Array:
+    """Texts of lists of ids, some of them at a time."""
+
+    def texts(part: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.list_value_length(part), 0).to_numpy()
+        ids = pc.fill_null(part.flatten(), -1).to_numpy()
+        ids = np.where((ids >= 0) & (ids < len(lookup) - 1), ids, len(lookup) - 1)
+        found = lookup.take(pa.array(ids))
+        known = np.asarray(found.is_valid())
+        ends = np.concatenate([[0], np.cumsum(known)])[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])]
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found.drop_null()), " ")
+
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+    group = np.cumsum(sizes, dtype=np.int64) // _IDS_AT_ONCE
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), len(column)]
+    return pa.concat_arrays([texts(column.slice(a, b - a)) for a, b in zip(cuts, cuts[1:])])
+
+
 def decode(rows: DataFrame, tokenizer: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """All rows plus ``out_col``: the pieces of the ids with a space between them, as the library joins them.
 
     Special tokens stay. Ids outside the vocabulary and NULL ids have no piece and are left out, as by the library; a
     NULL list gives an empty text. ``out_col`` replaces a column of that name.
     """
-    table = pa.array([*piece_table(tokenizer), None], pa.string())
-
-    def texts(column: pa.Array) -> pa.Array:
-        sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
-        ids = pc.fill_null(column.flatten(), -1).to_numpy()
-        ids = np.where((ids >= 0) & (ids < len(table) - 1), ids, len(table) - 1)
-        pieces = table.take(pa.array(ids))
-        known = np.asarray(pieces.is_valid())
-        ends = np.concatenate([[0], np.cumsum(known)])[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])]
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pieces.drop_null())
-        return pc.binary_join(lists, " ")
+    lookup = _piece_lookup(piece_table(tokenizer))
 
     def look_up(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
-            group = np.cumsum(sizes, dtype=np.int64) // _IDS_AT_ONCE
-            cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), len(column)]
-            yield pa.concat_arrays([texts(column.slice(a, b - a)) for a, b in zip(cuts, cuts[1:])])
+            yield _decoded(lookup, column)
 
     look_up.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return rows.withColumn(out_col, F.arrow_udf(look_up, "string")(F.col(ids_col)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from strata.llm.bpe import decode, encode
+from strata.llm.bpe import encode
 from strata.llm.registry import register, table
 
 
@@ -20,7 +20,7 @@ def _digest(text: Column) -> Column:
 
 def digests(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame:
     """Number and digests of the ids and of the decoded text of each document, and the ids if asked for."""
-    out = decode(encode(docs, tokenizer), tokenizer)
+    out = encode(docs, tokenizer, decoded_col="decoded")
     return out.select(
         "doc_id", *["ids"] * with_ids, F.size("ids").cast("long").alias("n_tokens"),
         _digest(F.concat_ws(" ", F.col("ids").cast("array<string>"))).alias("ids_sha256"),

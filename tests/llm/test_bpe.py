@@ -26,6 +26,10 @@ def test_odd_texts_equal_the_library(spark, tmp_path):
                           "doc_id long, text string, ids string, block int").write.parquet(path)
     out = decode(encode(spark.read.parquet(path), tokenizer_path()), tokenizer_path()).collect()
     got = sorted((r.doc_id, list(r.ids), r.decoded) for r in out)
+    at_once = encode(spark.read.parquet(path), tokenizer_path(), decoded_col="decoded")
+    assert sorted((r.doc_id, list(r.ids), r.decoded) for r in at_once.collect()) == got
+    plan = at_once._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan  # decoding has no Python worker of its own
     want = sorted([(i, *e) for i, e in enumerate(expected(ODD))] + [(0, *expected(["again"])[0])])
     assert got == want
 

@@ -63,3 +63,15 @@ def test_empty_documents_and_clashing_columns(spark):
         out = stage(spark, clash, SF)
         assert out.columns == clash.columns
         assert {(r.score, r.lang_pred, r.keep, r.node, r._n) for r in out.collect()} <= {(1, "x", 2, 3, 4)}, name
+
+
+def test_repeated_ids_keep_one_row_of_each_group_of_copies(spark):
+    real = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = [f"{i} " + " ".join(f"w{i}x{k}" for k in range(30)) for i in range(4)]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[1] + " more"), (2, texts[2]), (None, texts[3]), (None, texts[3] + " end"),
+            (3, texts[0]), (1, texts[0]), (None, texts[2]), (5, ""), (6, ""), (5, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], real.schema)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, SF).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept if r.doc_id is not None) == sorted(
+        [(1, texts[0]), (1, texts[1]), (2, texts[2]), (5, ""), (6, "")])
+    assert [r.text[:1] for r in kept if r.doc_id is None] == ["3"]
