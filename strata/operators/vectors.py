@@ -9,7 +9,6 @@ from __future__ import annotations
 import math
 import sys
 from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -19,7 +18,6 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 
-from strata.cluster import checkpointed, scratch_path
 from strata.operators.silver import deduplicate
 
 # Tasks receive the scan functions of this module by value, so executors need not have the package installed.
@@ -27,10 +25,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 METRICS = ("cosine", "dot", "euclid")
 
-# A block of queries travels to every task: 512 queries of 1536 doubles are 6 MB.
-QUERY_BLOCK = 512
+# A cell of a batch search holds about so many queries and vectors: 4,096 vectors of 1536 doubles are 50 MB.
+QUERY_BLOCK, VECTOR_BLOCK = 4096, 4096
+_QUERIES_AT_ONCE = 256
 _ROW_BLOCK = 4096
-_PASSES_PER_CHECKPOINT = 16
 
 
 def metric_name(metric: str) -> str:
@@ -46,28 +44,42 @@ def checked_vector(vector: Column, dim: int) -> Column:
         F.raise_error(F.concat(F.lit(f"expected {dim} dimensions, got "), F.size(vector).cast("string"))))
 
 
-def upsert(collection: DataFrame, updates: DataFrame, dim: int, order_by: Sequence[str] = (), id_col: str = "id",
-           vector_col: str = "vector") -> DataFrame:
-    """Replace rows by id and add new ones; of several updates with one id the last by ``order_by`` wins.
-
-    Where ids are text, rows without one get the md5 of all their columns; other id types must be given.
-    """
-    id_type = collection.schema[id_col].dataType
+def with_ids(rows: DataFrame, id_type: T.DataType, id_col: str = "id") -> DataFrame:
+    """Rows with an id each. Where ids are text, rows without one get the md5 of all their columns; other ids must be given."""
     given = F.col(id_col).cast(id_type)
     if isinstance(id_type, T.StringType):
-        new_id = F.coalesce(given, F.md5(F.to_json(F.struct("*"))))
-    else:
-        new_id = F.when(given.isNotNull(), given).otherwise(F.raise_error(F.lit(f"{id_col} is missing")))
-    named = updates.withColumns({vector_col: checked_vector(F.col(vector_col), dim), id_col: new_id})
+        return rows.withColumn(id_col, F.coalesce(given, F.md5(F.to_json(F.struct("*")))))
+    return rows.withColumn(id_col, F.when(given.isNotNull(), given).otherwise(F.raise_error(F.lit(f"{id_col} is missing"))))
+
+
+def upsert(collection: DataFrame, updates: DataFrame, dim: int, order_by: Sequence[str] = (), id_col: str = "id",
+           vector_col: str = "vector") -> DataFrame:
+    """Replace rows by id and add new ones; of several updates with one id the last by ``order_by`` wins."""
+    named = with_ids(updates, collection.schema[id_col].dataType, id_col)
+    named = named.withColumn(vector_col, checked_vector(F.col(vector_col), dim))
     latest = deduplicate(named, [id_col], order_by).select(*collection.columns)
     replaced = named.select(id_col).distinct()
     return collection.join(replaced, id_col, "left_anti").select(*collection.columns).union(latest)
 
 
+def usable(vector: Column) -> Column:
+    """Whether there is a vector, without an element that is NULL or not finite."""
+    bad = F.exists(vector.cast("array<double>"), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return vector.isNotNull() & ~F.coalesce(bad, F.lit(False))
+
+
 def unusable(df: DataFrame, vector_col: str = "vector") -> DataFrame:
-    """Rows that searches set aside: no vector, or one with an element that is NULL or not finite."""
-    bad = F.exists(F.col(vector_col).cast("array<double>"), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return df.filter(F.col(vector_col).isNull() | bad)
+    """Rows that searches set aside."""
+    return df.filter(~usable(F.col(vector_col)))
+
+
+def cosine(a: Column, b: Column) -> Column:
+    """Cosine of two arrays of one length; 0 if one has no direction."""
+    def dot(x: Column, y: Column) -> Column:
+        return F.aggregate(F.zip_with(x, y, lambda s, t: s * t), F.lit(0.0), lambda acc, v: acc + v)
+
+    sizes = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
+    return F.when(sizes > 0, dot(a, b) / sizes).otherwise(0.0)
 
 
 def _scores(block: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
@@ -189,93 +201,64 @@ def search(
 def search_many(
     df: DataFrame, queries: DataFrame, limit: int = 10, metric: str = "cosine", id_col: str = "id",
     vector_col: str = "vector", query_id: str = "query_id", query_vector: str = "vector",
-    block: int = QUERY_BLOCK,
+    query_block: int = QUERY_BLOCK, vector_block: int = VECTOR_BLOCK,
 ) -> DataFrame:
-    """The ``limit`` best vectors for every query, with ``rank``.
+    """The ``limit`` best vectors for every query, with ``rank``; ties go to the smaller id.
 
-    Queries travel to the scan tasks in blocks of at most about ``block``; more queries than that mean more passes
-    over the vectors, each for its own share of the queries, and never a larger block or a pairing shuffle. After
-    every few passes the finished shares are checkpointed, so the plan stays short however many queries there are.
+    Spark deals queries and vectors into blocks by hash; each pair of blocks is one cell, met by equality of both block
+    numbers, and keeps its best ``limit`` per query; the cells of a query are merged by rank. So all pairs are scored,
+    but only vectors, once per block of queries, and a few rows per cell and query are shuffled. Nothing passes through
+    the driver but two counts. Queries that share an id count once; vectors that share an id stay apart and are dealt by
+    what they hold, so an id with many vectors is no hot cell. Broken queries and vectors are set aside, see ``unusable``.
     """
     name = metric_name(metric)
-    id_type = queries.schema[query_id].dataType
-    # Queries that share an id count once, so a share holds about as many queries as planned.
-    broken = F.exists(F.col(query_vector).cast("array<double>"), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    wanted = queries.filter(F.col(query_vector).isNotNull() & ~F.coalesce(broken, F.lit(False))).groupBy(F.col(query_id).alias("_query")).agg(
+    id_type, match_type = queries.schema[query_id].dataType, df.schema[id_col].dataType
+    asked = queries.filter(usable(F.col(query_vector))).groupBy(F.col(query_id).alias("_query")).agg(
         F.min(F.col(query_vector).cast("array<double>")).alias("_vector"))
-    passes = max(1, math.ceil(wanted.count() / block))
-    if passes > 1:
-        # One directory per share: each pass reads its own queries only.
-        path = scratch_path(df.sparkSession, "queries")
-        dealt = wanted.withColumn("_share", F.pmod(F.xxhash64("_query"), F.lit(passes)).cast("int"))
-        dealt.repartition("_share").write.partitionBy("_share").parquet(path)
-        wanted = df.sparkSession.read.parquet(path)
-    window = Window.partitionBy("_query").orderBy(F.desc("_score"), id_col)
-    shares: list[DataFrame] = []
-    finished: list[DataFrame] = []
-    for start in range(0, passes, _PASSES_PER_CHECKPOINT):
-        end = min(start + _PASSES_PER_CHECKPOINT, passes)
-        # A few times ``block`` rows by construction: the queries of the next passes.
-        group = (wanted.filter(F.col("_share").between(start, end - 1)) if passes > 1 else wanted).toArrow()
-        for i in range(start, end):
-            rows = (group.filter(pc.equal(group.column("_share"), i)) if passes > 1 else group).combine_chunks()
-            if not rows.num_rows:
-                continue
-            asked = rows.column("_vector").chunk(0)
-            tops = _task_tops(df, rows.column("_query").to_pylist(), id_type, _matrix(asked, len(asked[0])), name, limit,
-                              id_col, vector_col, [], None)
-            shares.append(tops.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= limit))
-        if end < passes and shares:
-            finished.append(checkpointed(reduce(DataFrame.union, shares)))
-            shares = []
-    shares = [*finished, *shares]
-    if not shares:
-        shares.append(df.limit(0).select(id_col, F.lit(0.0).alias("_score"), F.lit(None).cast(id_type).alias("_query"), F.lit(0).alias("rank")))
+    held = df.filter(usable(F.col(vector_col))).select(F.col(id_col).alias("_id"), F.col(vector_col).cast("array<double>").alias("_vector"))
+    query_blocks = max(1, math.ceil(asked.count() / query_block))
+    vector_blocks = max(1, math.ceil(held.count() / vector_block))
+
+    def block(count: int, *by: str) -> Column:
+        return F.pmod(F.xxhash64(*by), F.lit(count)).cast("int")
+
+    def every(count: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+    left = asked.withColumn("_i", block(query_blocks, "_query")).withColumn("_j", every(vector_blocks))
+    right = held.withColumn("_j", block(vector_blocks, "_id", "_vector")).withColumn("_i", every(query_blocks))
+    cells = left.groupBy("_i", "_j").cogroup(right.groupBy("_i", "_j")).applyInArrow(
+        _cell_tops(name, limit, to_arrow_type(id_type), to_arrow_type(match_type)), T.StructType([
+            T.StructField("_query", id_type), T.StructField("_id", match_type), T.StructField("_score", T.DoubleType())]))
+    window = Window.partitionBy("_query").orderBy(F.desc("_score"), "_id")
     score = -F.col("_score") if name == "euclid" else F.col("_score")
-    return reduce(DataFrame.union, shares).select(
-        F.col("_query").alias(query_id), F.col(id_col).alias(f"match_{id_col}"), score.alias("score"), "rank")
-
-
-class BucketIndex:
-    """Approximate search: vectors in k-means buckets, a query looks at the nearest few and ranks those exactly."""
-
-    def __init__(self, centers: np.ndarray, bucketed: DataFrame, id_col: str, vector_col: str) -> None:
-        self.centers = centers
-        self.bucketed = bucketed
-        self.id_col = id_col
-        self.vector_col = vector_col
-
-    @classmethod
-    def build(cls, df: DataFrame, buckets: int, id_col: str = "id", vector_col: str = "vector",
-              training: DataFrame | None = None, seed: int = 7) -> BucketIndex:
-        """Train on ``training`` (or all vectors) and give every vector its bucket. Directions only: for cosine."""
-        from pyspark.ml.clustering import KMeans
-        from pyspark.ml.feature import Normalizer
-        from pyspark.ml.functions import array_to_vector
-
-        def features(frame: DataFrame) -> DataFrame:
-            vectors = frame.withColumn("_raw", array_to_vector(F.col(vector_col).cast("array<double>")))
-            return Normalizer(inputCol="_raw", outputCol="_unit").transform(vectors)
-
-        model = KMeans(k=buckets, seed=seed, featuresCol="_unit", predictionCol="bucket", maxIter=10).fit(
-            features(training if training is not None else df))
-        bucketed = model.transform(features(df)).drop("_raw", "_unit")
-        return cls(np.asarray(model.clusterCenters()), bucketed, id_col, vector_col)
-
-    def write(self, path: str) -> None:
-        """One directory per bucket, so that a search reads the probed buckets only."""
-        self.bucketed.hint("rebalance", "bucket").write.mode("overwrite").option("compression", "zstd").partitionBy(
-            "bucket").parquet(path)
-
-    def stored(self, path: str) -> BucketIndex:
-        return BucketIndex(self.centers, self.bucketed.sparkSession.read.parquet(path), self.id_col, self.vector_col)
-
-    def search(self, query: Sequence[float], limit: int = 10, probes: int = 4, payload: Sequence[str] = ()) -> DataFrame:
-        q = np.asarray(query, dtype=np.float64)
-        q = q / (np.linalg.norm(q) or 1.0)
-        nearest = np.argsort(((self.centers - q) ** 2).sum(1), kind="stable")[:probes]
-        probed = self.bucketed.filter(F.col("bucket").isin([int(b) for b in nearest]))
-        return search(probed, query, limit, "cosine", None, self.id_col, self.vector_col, payload)
+    return cells.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= limit).select(
+        F.col("_query").alias(query_id), F.col("_id").alias(f"match_{id_col}"), score.alias("score"), "rank")
+
+
+def _cell_tops(metric: str, limit: int, query_type: pa.DataType, id_type: pa.DataType) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Best ``limit`` vectors of a block for each query of a block."""
+
+    def run(asked: pa.Table, held: pa.Table) -> pa.Table:
+        if not asked.num_rows or not held.num_rows or limit < 1:
+            return pa.table({"_query": pa.array([], query_type), "_id": pa.array([], id_type), "_score": pa.array([], pa.float64())})
+        held = held.take(pc.sort_indices(held.column("_id")))
+        first = asked.column("_vector").combine_chunks()
+        queries, block = (_matrix(c.column("_vector").combine_chunks(), len(first[0])) for c in (asked, held))
+        q, row, found = [], [], []
+        for start in range(0, len(queries), _QUERIES_AT_ONCE):
+            scores = _scores(block, queries[start:start + _QUERIES_AT_ONCE], metric)
+            take = min(limit, scores.shape[1])
+            # Rows are in id order, so a stable sort gives ties to the smaller id.
+            at = np.argsort(-scores, axis=1, kind="stable")[:, :take]
+            q.append(np.repeat(np.arange(start, start + len(scores)), take))
+            row.append(at.ravel())
+            found.append(np.take_along_axis(scores, at, axis=1).ravel())
+        return pa.table({"_query": asked.column("_query").take(pa.array(np.concatenate(q))).cast(query_type),
+                         "_id": held.column("_id").take(pa.array(np.concatenate(row))).cast(id_type),
+                         "_score": pa.array(np.concatenate(found))})
+
+    return run
 
 
 def embed(

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from strata.cluster import scratch_path
-from strata.operators import bronze, gold, silver
+from strata.operators import bronze, gold, silver, sketches
 from strata.plans.registry import ntz, register, table
 from strata.sources import layers
 
@@ -342,10 +342,34 @@ def gold_unique_users(spark: SparkSession, sf: str) -> DataFrame:
     FROM events GROUP BY ALL
 """)
 def gold_unique_users_approx(spark: SparkSession, sf: str) -> DataFrame:
-    """Users per day and type, and whether the approximate number lies within a tenth of it (or one user)."""
-    both = gold.rollup_time(table(spark, sf, "events"), "ts", "day", [
-        F.count_distinct("user_id").alias("users"), F.approx_count_distinct("user_id", 0.02).alias("near")], ["event_type"])
-    return both.withColumn("within", F.abs(F.col("near") - F.col("users")) <= 0.1 * F.col("users") + 1).drop("near")
+    """Users per day and type, and whether the stored sketch's number lies within a tenth of it (or one user)."""
+    near = _stored_users(spark, sf).select("period", "event_type", sketches.distinct_count("users").alias("near"))
+    exact = gold_unique_users(spark, sf).select("period", "event_type", "users")
+    return exact.join(near, ["period", "event_type"]).select("period", "event_type", "users", (
+        F.abs(F.col("near") - F.col("users")) <= 0.1 * F.col("users") + 1).alias("within"))
+
+
+@register("gold_unique_users_range", """
+    SELECT event_type, count(DISTINCT user_id) AS users, count(*) AS events, true AS within
+    FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-02-20' GROUP BY event_type
+""")
+def gold_unique_users_range(spark: SparkSession, sf: str) -> DataFrame:
+    """Users and events per type over a range of days, from the stored daily sketches alone; beside the exact number of
+    users whether theirs is within a twentieth (or one user)."""
+    first, end = ntz("2024-01-05"), ntz("2024-02-20")
+    some = _stored_users(spark, sf).where((F.col("period") >= first) & (F.col("period") < end))
+    near = sketches.merged(some, ["event_type"], ["users"]).select(
+        "event_type", F.col("rows").alias("events"), sketches.distinct_count("users").alias("near"))
+    exact = (table(spark, sf, "events").where((F.col("ts") >= first) & (F.col("ts") < end))
+             .groupBy("event_type").agg(F.count_distinct("user_id").alias("users")))
+    return exact.join(near, "event_type").select("event_type", "users", "events", (
+        F.abs(F.col("near") - F.col("users")) <= 0.05 * F.col("users") + 1).alias("within"))
+
+
+def _stored_users(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "users")
+    sketches.daily(table(spark, sf, "events"), "ts", {"users": F.col("user_id")}, by=["event_type"]).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 @register("gold_kpis", f"""

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.cluster import scratch_path
-from strata.operators import vectors
+from strata.operators import vector_index, vector_store, vectors
 from strata.plans.registry import register, table
 
 # The query vector: the collection's own vector 0 with its sign pattern shifted, so that no row equals it.
@@ -94,47 +94,57 @@ def vector_search_batch(spark: SparkSession, sf: str) -> DataFrame:
         FROM embeddings WHERE label = 4)
 """)
 def vector_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """Vectors of one label are replaced, and those of another come in under new ids; each update is sent twice."""
-    collection = table(spark, sf, "embeddings")
+    """A stored collection filled and then updated: vectors of one label are replaced, and those of another come in under
+    new ids; each update is sent twice, and the later version counts."""
+    given = table(spark, sf, "embeddings").select("vec_id", "embedding", "label")
+    dim = given.select(F.max(F.size("embedding"))).first()[0]
+    collection = vector_store.create(spark, scratch_path(spark, "collection"), given.schema.simpleString()[7:-1], dim,
+                                     "cosine", 16, "vec_id", "embedding")
+    collection.upsert(given)
 
     def update(version: int) -> DataFrame:
         moved = F.expr(f"transform(embedding, x -> CAST(x * {version + 1} AS FLOAT))")
         new_id = F.expr("CASE WHEN label = 4 THEN vec_id + 1000000000 ELSE vec_id END")
-        return collection.filter("label IN (3, 4)").select(
+        return given.filter("label IN (3, 4)").select(
             new_id.alias("vec_id"), moved.alias("embedding"), (F.col("label") + 100 * version).alias("label"),
             F.lit(version).alias("version"))
 
-    merged = vectors.upsert(collection, update(1).union(update(2)), 64, ["version"], "vec_id", "embedding")
+    collection.upsert(update(1).union(update(2)), ["version"])
     total = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double"))
-    return merged.select("vec_id", "label", F.round(total, 6).alias("total"))
+    return collection.read().select("vec_id", "label", F.round(total, 6).alias("total"))
+
+
+@register("vector_store_search", _sql(_EUCLID, "ASC", extra="WHERE label <> 3"))
+def vector_store_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Search of what was inserted into a stored collection, by its own metric and with a condition on the payload."""
+    given = table(spark, sf, "embeddings").select("vec_id", "embedding", "label")
+    query = _query(spark, sf)
+    collection = vector_store.create(spark, scratch_path(spark, "collection"), given.schema.simpleString()[7:-1], len(query),
+                                     "euclid", 16, "vec_id", "embedding")
+    collection.upsert(given)
+    return collection.search(query, 10, payload=["label"], where=F.col("label") != 3).withColumn("score", F.round("score", 6))
 
 
-@register("vector_search_ann", _sql(_COSINE, "DESC"))
+@register("vector_search_ann")
 def vector_search_ann(spark: SparkSession, sf: str) -> DataFrame:
-    """Search in a stored index with all of its buckets probed, which is exact; tests measure recall with fewer."""
-    path = scratch_path(spark, "buckets")
-    built = vectors.BucketIndex.build(table(spark, sf, "embeddings"), 16, "vec_id", "embedding")
-    built.write(path)
-    return built.stored(path).search(_query(spark, sf), 10, 16, ["label"]).withColumn("score", F.round("score", 6))
+    """Ten neighbours of every twentieth vector from a stored index that is probed in part; tests measure the recall."""
+    given = table(spark, sf, "embeddings")
+    path = scratch_path(spark, "index")
+    vector_index.build(given, path, id_col="vec_id", vector_col="embedding")
+    asked = given.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    return vector_index.Index(spark, path).search_many(asked, 10).withColumn("score", F.round("score", 6))
 
 
-@register("embed_batch", r"""
-    SELECT doc_id, 256 AS dims, CASE WHEN regexp_matches(text, '[\p{L}\p{N}]') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS norm
-    FROM documents
-""")
+@register("embed_batch")
 def embed_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Every document as a vector of 256 dimensions and length one (zero without words)."""
-    out = vectors.embed(table(spark, sf, "documents"), "text")
-    squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
-    return out.select("doc_id", F.size("vector").alias("dims"), F.round(F.sqrt(squares), 6).alias("norm"))
+    return vectors.embed(table(spark, sf, "documents"), "text").select("doc_id", "vector")
 
 
-@register("semantic_search", """
-    SELECT doc_id, 1.0::DOUBLE AS score, lang, source FROM documents WHERE doc_id = (SELECT min(doc_id) FROM documents)
-""")
+@register("semantic_search")
 def semantic_search(spark: SparkSession, sf: str) -> DataFrame:
-    """The document nearest to the text of the first one is that document."""
+    """The ten documents nearest to the text of the first one."""
     documents = table(spark, sf, "documents")
     text = documents.agg(F.min_by("text", "doc_id")).first()[0]
-    out = vectors.semantic_search(documents, "text", text, 1, 256, "doc_id", ["lang", "source"])
+    out = vectors.semantic_search(documents, "text", text, 10, 256, "doc_id", ["lang", "source"])
     return out.withColumn("score", F.round("score", 6))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
-from strata.operators import vectors
+from strata.operators import vector_index, vector_store, vectors
+from strata.plans import QUERIES
 from tests.conftest import rows
 
 
@@ -66,17 +70,29 @@ def test_search_ignores_missing_vectors_and_empty_tables(spark, frame, data):
     assert vectors.search(frame.limit(0), list(data[7])).count() == 0
 
 
-@pytest.mark.parametrize("block", [512, 3])
-def test_search_many_in_blocks(spark, frame, data, block):
-    """Few queries at a time (more passes than are put in one plan) and all at once give the same answer."""
-    picked = [0, 5, 17, 399, 401] + list(range(410, 440 if block == 512 else 460))
-    queries = spark.createDataFrame([(f"q{i}", [float(x) for x in data[i] + 0.02]) for i in picked], "query_id string, vector array<double>")
-    got = vectors.search_many(frame, queries, 4, block=block)
+@pytest.mark.parametrize("metric,query_block,vector_block", [("cosine", 4096, 4096), ("euclid", 7, 100), ("dot", 1000, 33)])
+def test_search_many_in_blocks(spark, frame, data, metric, query_block, vector_block):
+    """However queries and vectors are cut, the answer is that of comparing all of them; ties go to the smaller id."""
+    picked = [0, 5, 17, 399, 401] + list(range(410, 440))
+    asked = [(f"q{i}", [float(x) for x in data[i] + 0.02]) for i in picked] + [("none", None), ("nan", [float("nan")] * len(data[0]))]
+    queries = spark.createDataFrame(asked + asked[:3], "query_id string, vector array<double>")
+    twice = frame.unionByName(frame.withColumn("id", F.col("id") + 100000))
+    got = vectors.search_many(twice, queries, 4, metric, query_block=query_block, vector_block=vector_block).collect()
+    assert len(got) == 4 * len(picked)
     for i in picked[:8]:
-        mine = sorted((r["rank"], r["match_id"]) for r in got.filter(F.col("query_id") == f"q{i}").collect())
-        assert [m for _, m in mine] == [m for m, _ in brute(data, data[i] + 0.02, "cosine", 4)]
-    assert got.count() == 4 * len(picked)
+        mine = [m for _, m in sorted((r["rank"], r["match_id"]) for r in got if r["query_id"] == f"q{i}")]
+        best = brute(np.concatenate([data, data]), data[i] + 0.02, metric, 4)
+        assert mine == [m if m < len(data) else m - len(data) + 100000 for m, _ in best]
     assert vectors.search_many(frame, queries.limit(0), 4).count() == 0
+    assert vectors.search_many(frame.limit(0), queries, 4).count() == 0
+    assert vectors.search_many(frame, queries, 0).count() == 0
+
+
+def test_batch_search_is_a_join_of_blocks(spark, frame):
+    queries = frame.withColumnRenamed("id", "query_id")
+    plan = vectors.search_many(frame, queries, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    assert plan.index("WindowGroupLimit") < plan.rindex("WindowGroupLimit")  # cut before the shuffle too
 
 
 def test_upsert(spark):
@@ -92,19 +108,65 @@ def test_upsert(spark):
         vectors.upsert(old, new, 3, ["seq"]).collect()
 
 
-def test_approximate_search_recall(spark, sf, tmp_path):
-    collection = spark.read.parquet(f"{sf}/embeddings.parquet")
-    points = np.asarray([r["embedding"] for r in collection.orderBy("vec_id").collect()], dtype=np.float64)
-    index = vectors.BucketIndex.build(collection, 8, "vec_id", "embedding")
-    index.write(str(tmp_path / "index"))
-    stored = index.stored(str(tmp_path / "index"))
-    hits = 0
-    for i in range(0, 100, 10):
-        got = {r["vec_id"] for r in stored.search(list(points[i]), 10, probes=6).collect()}
-        hits += len(got & {m for m, _ in brute(points, points[i], "cosine", 10)})
-    assert hits / 100 >= 0.9
-    assert rows(stored.search(list(points[0]), 10, probes=8), "vec_id") == rows(
-        vectors.search(collection, list(points[0]), 10, id_col="vec_id", vector_col="embedding"), "vec_id")
+def test_collection_touches_only_its_directories(spark, tmp_path):
+    path = str(tmp_path / "c")
+    collection = vector_store.create(spark, path, "id string, vector array<float>, tag string", 2, "Euclid", 8)
+    assert collection.read().count() == 0 and collection.upsert(collection.read()) == 0
+    first = spark.createDataFrame([(f"k{i}", [float(i), 1.0], "old") for i in range(200)], "id string, vector array<float>, tag string")
+    assert collection.upsert(first) == 8
+
+    def files():
+        return {os.path.join(d, f): os.path.basename(d) for d, _, fs in os.walk(f"{path}/rows") for f in fs if f.endswith(".parquet")}
+
+    before = files()
+    update = spark.createDataFrame([("k5", [0.0, 0.0], "a", 1), ("k5", [5.0, 1.5], "b", 2), (None, [9.0, 9.0], "made", 1)],
+                                   "id string, vector array<float>, tag string, seq int")
+    touched = vector_store.Collection(spark, path).upsert(update, ["seq"])
+    after = files()
+    kept = {f: d for f, d in before.items() if f in after}
+    assert len(set(before.values()) - set(kept.values())) == touched <= 2 and len(set(kept.values())) == 8 - touched
+    stored = vector_store.Collection(spark, path)
+    assert (stored.dim, stored.metric, stored.buckets) == (2, "euclid", 8) and stored.read().count() == 201
+    assert [(r.tag, r.vector) for r in stored.get(["k5"]).collect()] == [("b", [5.0, 1.5])]
+    assert [r.id for r in stored.search([5.0, 1.5], 1, payload=["tag"], where=F.col("tag") != "made").collect()] == ["k5"]
+    assert {r.tag: len(r.id) for r in stored.read().where("tag = 'made'").collect()} == {"made": 32}
+    scan = stored.read([3])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in scan or "bucket" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    with pytest.raises(ValueError):
+        stored.search([1.0, 2.0, 3.0])
+    with pytest.raises(Exception, match="expected 2 dimensions"):
+        stored.upsert(spark.createDataFrame([("z", [1.0], "t")], first.schema))
+    with pytest.raises(ValueError):
+        vector_store.create(spark, str(tmp_path / "d"), "id string, v array<float>", 2)
+
+
+@pytest.mark.parametrize("blocks", [None, (20, 5)])
+def test_index_finds_nine_of_ten_and_probes_few(spark, tmp_path, monkeypatch, blocks):
+    """Every twentieth vector against all of them."""
+    if blocks:
+        monkeypatch.setattr(vector_index, "LIST_BLOCK", blocks[0])
+        monkeypatch.setattr(vector_index, "QUERY_BLOCK", blocks[1])
+    collection = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    holes = collection.unionByName(collection.limit(3).withColumns({"vec_id": F.col("vec_id") + 10 ** 6, "embedding": F.lit(None)}))
+    path = str(tmp_path / "index")
+    vector_index.build(holes, path, id_col="vec_id", vector_col="embedding", payload=["label"])
+    index = vector_index.Index(spark, path)
+    assert index.model.probes <= 32 and index.lists.select("vec_id").distinct().count() == collection.count()
+    asked = collection.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    exact = {(r.query_id, r.match_vec_id): r.score for r in vectors.search_many(
+        collection, asked, 10, id_col="vec_id", vector_col="embedding").collect()}
+    near = index.search_many(asked, 10).collect()
+    assert len(near) == len(exact) and len({(r.query_id, r.match_vec_id) for r in near}) == len(near)
+    found = [exact[r.query_id, r.match_vec_id] for r in near if (r.query_id, r.match_vec_id) in exact]
+    assert len(found) >= 0.9 * len(exact)
+    assert all(abs(exact.get((r.query_id, r.match_vec_id), r.score) - r.score) < 1e-9 for r in near)
+    if not blocks:
+        one = collection.where("vec_id = 20").first().embedding
+        got = index.search(one, 10)
+        assert [r.match_vec_id for r in got.collect()] == [r.match_vec_id for r in sorted(near, key=lambda r: r["rank"]) if r.query_id == 20]
+        assert "list" in got._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+        with pytest.raises(ValueError):
+            vector_index.build(collection, str(tmp_path / "no"), parts=7, id_col="vec_id", vector_col="embedding")
 
 
 def test_embeddings(spark):
@@ -134,3 +196,38 @@ def test_broken_vectors_do_not_push_out_good_ones(spark, metric):
     assert sorted(r.id for r in vectors.unusable(df).collect()) == [500, 501, 502, 503]
     with pytest.raises(ValueError):
         vectors.search(df, [float("nan"), 1.0, 1.0])
+
+
+def murmur3(data: bytes) -> int:
+    """The 32-bit hash by its published definition, seed 42, as a signed number."""
+    h, mask = 42, 0xFFFFFFFF
+
+    def scrambled(k: int) -> int:
+        k = k * 0xCC9E2D51 & mask
+        return (k << 15 | k >> 17) * 0x1B873593 & mask
+
+    for i in range(0, len(data) - 3, 4):
+        h ^= scrambled(int.from_bytes(data[i:i + 4], "little"))
+        h = (h << 13 | h >> 19) * 5 + 0xE6546B64 & mask
+    h ^= scrambled(int.from_bytes(data[len(data) // 4 * 4:], "little")) if len(data) % 4 else 0
+    h ^= len(data)
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        h = (h ^ h >> shift) * factor & mask
+    h ^= h >> 16
+    return h - (1 << 32) if h >> 31 else h
+
+
+def test_embeddings_and_neighbours_of_documents_equal_brute_force(spark, sf):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    want = {}
+    for i, text in texts.items():
+        v = np.zeros(256)
+        for w in regex.findall(r"[\p{L}\p{N}]+", (text or "").lower()):
+            v[murmur3(w.encode()) % 256] += 1
+        want[i] = v / (np.linalg.norm(v) or 1.0)
+    got = {r.doc_id: np.asarray(r.vector) for r in QUERIES["embed_batch"](spark, sf).collect()}
+    assert got.keys() == want.keys() and all(np.allclose(got[i], want[i]) for i in want)
+    first = min(texts)
+    best = sorted(((-round(float(want[first] @ v), 6), i) for i, v in want.items()))[:10]
+    near = QUERIES["semantic_search"](spark, sf).collect()
+    assert [(-r.score, r.doc_id) for r in near] == best
