@@ -48,7 +48,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _nearest(x: np.ndarray, to: np.ndarray, count: int) -> np.ndarray:
-    return np.argsort((to ** 2).sum(1) - 2 * x @ to.T, axis=1, kind="stable")[:, :count]
+    far = (to ** 2).sum(1) - 2 * x @ to.T
+    return far.argmin(axis=1)[:, None] if count == 1 else np.argsort(far, axis=1, kind="stable")[:, :count]
 
 
 def _centres(x: np.ndarray, count: int, rng: np.random.Generator, rounds: int = 12) -> np.ndarray:

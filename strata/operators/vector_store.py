@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from strata.cluster import scratch_path
@@ -26,7 +25,9 @@ def create(spark: SparkSession, path: str, schema: str, dim: int, metric: str =
         raise ValueError(f"the schema lacks {', '.join(sorted(missing))}")
     row = (dim, vectors.metric_name(metric), buckets, id_col, vector_col)
     spark.createDataFrame([row], _SETTINGS).coalesce(1).write.mode("errorifexists").parquet(f"{path}/settings")
-    spark.createDataFrame([], schema).coalesce(1).write.parquet(f"{path}/schema")
+    none = spark.createDataFrame([], schema).coalesce(1)
+    none.write.parquet(f"{path}/schema")
+    none.withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(f"{path}/rows")
     return Collection(spark, path)
 
 
@@ -42,12 +43,8 @@ class Collection:
 
     def read(self, buckets: Sequence[int] | None = None) -> DataFrame:
         """Rows as stored, all or those of some buckets; other directories are not listed."""
-        try:
-            rows = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField("bucket", T.IntegerType())])).parquet(f"{self.path}/rows")
-        except AnalysisException as error:  # nothing has been written yet
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            rows = self.spark.createDataFrame([], self.schema).withColumn("bucket", F.lit(None).cast("int"))
+        kinds = T.StructType([*self.schema.fields, T.StructField("bucket", T.IntegerType())])
+        rows = self.spark.read.schema(kinds).parquet(f"{self.path}/rows")
         if buckets is not None:
             rows = rows.where(F.col("bucket").isin(list(buckets)))
         return rows.select(*self.schema.names)

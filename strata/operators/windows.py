@@ -1,13 +1,14 @@
 """Window results for groups too large for one task.
 
 A plain window sends a whole group to one task. Here a group is cut into buckets by ``split``, a column expression
-that never decreases along the order (a day of a timestamp, a band of a price). Each bucket is one window
-partition, and what it needs from the earlier buckets is computed from one summary row per bucket: that summary
+that never decreases along the order (a day of a timestamp, a band of a price, or, where the data is uneven, the
+pieces of ``with_pieces``). Each bucket is one window partition, and what it needs from the earlier buckets is computed from one summary row per bucket: that summary
 is small, and so is the window over it. Results equal those of the plain window.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
@@ -37,6 +38,32 @@ def _with_carry(
     return both, window, F.first("_carry").over(window.rowsBetween(_FIRST, 0))
 
 
+def with_pieces(df: DataFrame, keys: Sequence[str], order: str, rows_per_piece: int = 1_000_000, column: str = "_piece",
+                most: int = 4096) -> DataFrame:
+    """The rows with a bucket number that follows the data: each group is cut at quantiles of ``order``, so a hot day or
+    price band is many buckets. Use ``F.col(column)`` as the ``split``.
+
+    Pieces are about equal, but equal values share one, as ranks need them to. A NULL order value is a piece before the
+    others. One scan counts, one sketches the quantiles of all groups; both are combined before they are shuffled.
+    """
+    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    pieces = min(most, -(-largest // rows_per_piece))
+    if pieces < 2:
+        return df.withColumn(column, F.when(F.col(order).isNotNull(), 0))
+    shares = F.array(*[F.lit(k / pieces) for k in range(1, pieces)])
+    cuts = df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(
+        F.array_sort(F.array_distinct(F.percentile_approx(order, shares, 10 * pieces))).alias("_cuts"))
+    step = math.isqrt(pieces)
+    cuts = cuts.withColumn("_steps", F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("_cuts") - 1) / step).cast("int")), lambda i: F.get("_cuts", i * step)))
+    joined = df.join(cuts, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys], "left")
+    # Cuts below the value, found in two steps: among every so many of them, and then between two of those.
+    whole = F.size(F.filter("_steps", lambda c: c < F.col(order)))
+    first = F.greatest(whole - 1, F.lit(0)) * step
+    piece = first + F.size(F.filter(F.slice("_cuts", first + 1, step), lambda c: c < F.col(order)))
+    return joined.withColumn(column, F.when(F.col(order).isNotNull(), F.coalesce(piece, F.lit(0)))).select(*df.columns, column)
+
+
 def _finish(df: DataFrame) -> DataFrame:
     return df.filter("_row = 1").drop("_row", "_split", "_carry", "_carried")
 

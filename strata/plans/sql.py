@@ -9,6 +9,9 @@ from strata.operators import gold, joins, sketches, windows
 from strata.operators.query import sql_query as run_sql
 from strata.plans.registry import register, table
 
+# Windows over large groups are cut into pieces of about so many rows.
+_PIECE_ROWS = 2_000
+
 
 def _sql(spark: SparkSession, sf: str, text: str, *names: str, **params) -> DataFrame:
     """Run text in which ``{orders}`` stands for the orders table."""
@@ -142,11 +145,11 @@ _same("sql_grouping_sets", """
     FROM orders WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey)
 """)
 def sql_window_rank(spark: SparkSession, sf: str) -> DataFrame:
-    """Ranks within five huge groups, each group cut by price band."""
+    """Ranks within five huge groups, each group cut at quantiles of its prices."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
-    out = windows.ranks(orders, ["o_orderpriority"], "o_totalprice", F.floor(F.col("o_totalprice") / 5000),
-                        ["o_orderkey"], descending=True, tiles=10)
-    return out.drop("o_totalprice")
+    pieces = windows.with_pieces(orders, ["o_orderpriority"], "o_totalprice", _PIECE_ROWS)
+    out = windows.ranks(pieces, ["o_orderpriority"], "o_totalprice", F.col("_piece"), ["o_orderkey"], descending=True, tiles=10)
+    return out.drop("o_totalprice", "_piece")
 
 
 _same("sql_topk_per_group", """
@@ -165,17 +168,18 @@ _same("sql_topk_per_group", """
     FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)
 """)
 def sql_window_frames(spark: SparkSession, sf: str) -> DataFrame:
-    """Neighbours, a moving and a running frame within five huge groups, each group cut by day."""
+    """Neighbours, a moving and a running frame within five huge groups, each group cut at quantiles of its times."""
     events = table(spark, sf, "events").select("event_id", "event_type", "ts",
                                                F.col("value").cast("decimal(18,2)").alias("value"))
-    day, order = F.to_date("ts"), ["ts", "event_id"]
+    events = windows.with_pieces(events, ["event_type"], "ts", _PIECE_ROWS)
+    piece, order = F.col("_piece"), ["ts", "event_id"]
     near = windows.neighbours(
-        events, ["event_type"], order, day, before=2, after=2, columns={
+        events, ["event_type"], order, piece, before=2, after=2, columns={
             "previous": lambda w: F.lag("value").over(w).cast("double"),
             "second_next": lambda w: F.lead("event_id", 2).over(w),
             "last_three": lambda w: F.sum("value").over(w.rowsBetween(-2, 0)).cast("double")})
-    out = windows.running(near, ["event_type"], order, day, {"seen": F.lit(1).cast("bigint"), "running": F.col("value")})
-    return out.withColumn("running", F.col("running").cast("double")).drop("ts", "value")
+    out = windows.running(near, ["event_type"], order, piece, {"seen": F.lit(1).cast("bigint"), "running": F.col("value")})
+    return out.withColumn("running", F.col("running").cast("double")).drop("ts", "value", "_piece")
 
 
 _same("sql_set_ops", """

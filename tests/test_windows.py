@@ -86,3 +86,30 @@ def test_one_wide_band_among_narrow_ones(spark):
         got = joins.range_join(spark.createDataFrame(points, "id int, v double"), spark.createDataFrame(bands, "band int, low double, high double"),
                          "v", "low", "high", 1.0, salts)
         assert rows(got, "id", "band") == sorted((i, b) for i, v in points for b, lo, hi in bands if lo <= v < hi)
+
+
+def test_pieces_follow_the_data(spark):
+    """Nine tenths of a group lie within one day, a twentieth has one value, one group is tiny and one key is NULL."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        n = 20_000
+        day = F.when(F.col("id") % 10 == 0, F.col("id") * 86400).otherwise(F.col("id"))
+        rows = spark.range(n).select("id", F.lit("hot").alias("k"), F.when(F.col("id") % 20 != 7, day).otherwise(5000).alias("v"))
+        rows = rows.union(spark.range(3).selectExpr("id + 100000", "'small'", "id")).union(
+            spark.range(50).selectExpr("id + 200000", "CAST(NULL AS STRING)", "IF(id < 9, NULL, id)"))
+        cut = windows.with_pieces(rows, ["k"], "v", 500).cache()
+        sizes = {r[0]: r[1] for r in cut.where("k = 'hot' and v <> 5000").groupBy("_piece").count().collect()}
+        assert len(sizes) >= 35 and max(sizes.values()) <= 2 * n / 40
+        assert cut.groupBy("k", "v").agg(F.count_distinct("_piece").alias("n")).where("n > 1").count() == 0
+        order = Window.partitionBy("k").orderBy(F.asc_nulls_first("v"), "id")
+        plain = rows.select("id", F.row_number().over(order).cast("bigint").alias("row_number"),
+                            F.rank().over(Window.partitionBy("k").orderBy(F.asc_nulls_first("v"))).cast("bigint").alias("rank"),
+                            F.sum("v").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("total"))
+        ranked = windows.ranks(cut, ["k"], "v", F.col("_piece"), ["id"]).select("id", "row_number", "rank")
+        assert sorted(ranked.collect()) == sorted(plain.select("id", "row_number", "rank").collect())
+        total = windows.running(cut, ["k"], ["v", "id"], F.col("_piece"), {"total": F.col("v")}).select("id", "total")
+        assert sorted(total.collect()) == sorted(plain.select("id", "total").collect())
+        assert windows.with_pieces(rows.limit(0), ["k"], "v").collect() == []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
