@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from strata.cluster import scratch_path
 from strata.functions.text import record_hash
 from strata.plans.registry import ntz, register, table
-from strata.sources import layers, tables, versions
+from strata.sources import layers, maintenance, tables, versions
 from strata.sources.versions import History
 
 # ---- scans --------------------------------------------------------------------------------------------------
@@ -54,6 +54,7 @@ def ingest_files(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- tables on storage --------------------------------------------------------------------------------------
 
+_BY_YEAR = [("o_orderdate", "year")]
 _EARLY = "o_orderdate < TIMESTAMP_NTZ '1998-01-01 00:00:00'"
 
 
@@ -86,20 +87,20 @@ def table_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     SELECT * FROM orders WHERE (nullif(o_orderpriority, '5-LOW') = '1-URGENT' AND o_totalprice > 100000) IS NOT TRUE
 """)
 def table_delete_where(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows for which the condition is NULL stay."""
+    """Rows for which the condition is NULL stay; only years with a matching row are rewritten."""
     path, orders = _orders_table(spark, sf, "delete")
-    new = scratch_path(spark, "deleted")
-    tables.delete_where(spark, path, "nullif(o_orderpriority, '5-LOW') = '1-URGENT' AND o_totalprice > 100000", new)
-    return spark.read.parquet(new).select(orders.columns)
+    maintenance.delete_where(
+        spark, path, "nullif(o_orderpriority, '5-LOW') = '1-URGENT' AND o_totalprice > 100000", _BY_YEAR)
+    return spark.read.parquet(path).select(orders.columns)
 
 
 @register("table_compact", "SELECT * FROM orders WHERE o_orderstatus <> 'P'")
 def table_compact(spark: SparkSession, sf: str) -> DataFrame:
+    """Small files of each year are packed along a curve through date and customer; the layout stays."""
     path, orders = _orders_table(spark, sf, "compact")
-    kept, new = scratch_path(spark, "kept"), scratch_path(spark, "compacted")
-    tables.delete_where(spark, path, "o_orderstatus = 'P'", kept)
-    tables.compact(spark, kept, ["o_orderdate", "o_custkey"], new)
-    return spark.read.parquet(new).select(orders.columns)
+    maintenance.delete_where(spark, path, "o_orderstatus = 'P'", _BY_YEAR)
+    maintenance.compact(spark, path, _BY_YEAR, ["o_orderdate", "o_custkey"])
+    return spark.read.parquet(path).select(orders.columns)
 
 
 @register("table_stats", """
@@ -190,10 +191,12 @@ def read_incremental(spark: SparkSession, sf: str) -> DataFrame:
     SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-04-10' - INTERVAL 90 DAY
 """)
 def retention_purge(spark: SparkSession, sf: str) -> DataFrame:
-    """What is left after ninety days, from a table by day: days that are out are not opened."""
-    path = scratch_path(spark, "retention")
-    tables.write(table(spark, sf, "events").select("event_id", "ts"), path, [("ts", "day")])
-    return layers.retained(spark.read.parquet(path), "bronze", "ts", ntz("2024-04-10"), [("ts", "day")]).select("event_id", "ts")
+    """What is left of a table by day after ninety days: days that are out are dropped whole, without being read."""
+    path, days = scratch_path(spark, "retention"), [("ts", "day")]
+    tables.write(table(spark, sf, "events").select("event_id", "ts"), path, days)
+    oldest = layers.oldest_kept("bronze", ntz("2024-04-10"))
+    maintenance.purge_before(spark, path, "ts", oldest, days)
+    return spark.read.parquet(path).select("event_id", "ts")
 
 
 # ---- versions -----------------------------------------------------------------------------------------------

@@ -120,9 +120,14 @@ def _from(df: DataFrame, column: str, low: Column, spec: Sequence[tuple[str, str
     return df
 
 
+def oldest_kept(layer: str, as_of: Column) -> Column:
+    """The time before which the layer's rows are out."""
+    return as_of - F.make_dt_interval(F.lit(LAYERS[layer].retention_days))
+
+
 def retained(df: DataFrame, layer: str, time_column: str, as_of: Column, spec: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """Rows within the layer's retention at ``as_of``; with the table's layout, directories that are out are skipped."""
-    oldest = as_of - F.make_dt_interval(F.lit(LAYERS[layer].retention_days))
+    oldest = oldest_kept(layer, as_of)
     return _from(df.filter(F.col(time_column) >= oldest), time_column, oldest, spec)
 
 
