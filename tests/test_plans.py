@@ -9,7 +9,7 @@ from strata.plans import QUERIES
 # Streams and table queries write when they are built; their read plans are covered by the rest.
 BUILT_BY_WRITING = {k for k, f in QUERIES.items() if k.startswith(("stream_", "table_", "partition_add"))}
 PYTHON = {"vector_search_cosine", "vector_search_dot", "vector_search_euclid", "vector_search_threshold",
-          "vector_search_filtered", "vector_search_batch", "vector_search_ann", "semantic_search"}
+          "vector_search_filtered", "vector_store_search", "vector_search_ann", "semantic_search"}
 
 
 def plan(df) -> str:
@@ -42,7 +42,7 @@ def test_scan_reads_and_filters_what_it_needs(spark, sf):
     assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double,l_discount:double,l_shipdate:timestamp_ntz>" in text
 
 
-@pytest.mark.parametrize("key", ["partition_pruned_read", "read_incremental", "retention_purge"])
+@pytest.mark.parametrize("key", ["partition_pruned_read", "read_incremental"])
 def test_partition_filter_reaches_the_directories(spark, sf, key):
     text = plan(QUERIES[key](spark, sf))
     assert "PartitionFilters: [isnotnull(ts_day" in text
