@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -37,17 +38,62 @@ def deduplicate(
     return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
 
 
-def without_existing(df: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+# A target is pruned by so many single values of a column; beyond, by their range.
+_VALUES = 1000
+
+
+def portable(name: str, kind: T.DataType) -> Column:
+    """A value as the driver can hold it without loss, whatever the time zones of session and driver."""
+    return F.unix_micros(name) if isinstance(kind, T.TimestampType) else F.col(name).cast("string")
+
+
+def literal(value: int | str | None, kind: T.DataType) -> Column:
+    """The value that ``portable`` gave, as a constant."""
+    return F.timestamp_micros(F.lit(value)) if isinstance(kind, T.TimestampType) else F.lit(value).cast(kind)
+
+
+def may_hold(df: DataFrame, columns: Sequence[str]) -> Column:
+    """A condition on another table with these columns: whether a row can have an equal in all of them here.
+
+    Constants only, so that Spark prunes directories and row groups with it. It takes a pass over ``df`` for each column,
+    and a bounded number of values reaches the driver.
+    """
+    condition = F.lit(True)
+    for name in columns:
+        kind = df.schema[name].dataType
+        found = df.select(name).distinct().select(portable(name, kind).alias("v")).limit(_VALUES + 1).collect()
+        if len(found) <= _VALUES:
+            values = [literal(r.v, kind) for r in found if r.v is not None]
+            own = F.col(name).isin(values) if values else F.lit(False)
+            nulls = len(values) < len(found)
+        else:
+            ends = df.agg(F.min(name).alias(name), F.max(name).alias("_high"), F.bool_or(F.col(name).isNull()).alias("nulls"))
+            low, high, nulls = ends.select(portable(name, kind), portable("_high", kind), "nulls").first()
+            own = F.col(name).between(literal(low, kind), literal(high, kind))
+        condition = condition & (own | F.col(name).isNull() if nulls else own)
+    return condition
+
+
+def without_existing(df: DataFrame, target: DataFrame, keys: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
     """Rows whose key is not in the target yet. NULL keys are compared as equal.
 
     The target's keys are made distinct first: a key it holds very often is one row per map task in the shuffle.
+
+    ``within`` names further columns of the key by which the target is laid out, such as its partition. What of the
+    target can't hold a row of ``df`` is then not read, and of the rest only keys that ``df`` has go on to the anti join:
+    the cost follows ``df``, not the age of the target. ``df`` is read several times.
     """
-    existing = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys]).distinct()
-    match = [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys]
-    condition = match[0]
-    for m in match[1:]:
-        condition = condition & m
-    return df.join(existing, condition, "left_anti")
+    keys = list(dict.fromkeys([*keys, *within]))
+
+    def equal(other: str) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{other}{k}")) for k in keys])
+
+    existing = target.where(may_hold(df, within)) if within else target
+    if within:
+        asked = df.select(*[F.col(k).alias(f"_a_{k}") for k in keys]).distinct()
+        existing = existing.select(*keys).join(asked, equal("_a_"), "left_semi")
+    existing = existing.select(*[F.col(k).alias(f"_t_{k}") for k in keys]).distinct()
+    return df.join(existing, equal("_t_"), "left_anti")
 
 
 _DATE = r"^\s*\d{4,6}-\d{1,2}-\d{1,2}"

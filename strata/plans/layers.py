@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from strata.cluster import scratch_path
 from strata.operators import bronze, gold, silver, sketches
 from strata.plans.registry import ntz, register, table
-from strata.sources import layers
+from strata.sources import layers, tables
 
 # One batch has one landing time, and it is passed in.
 LANDED_AT = datetime(2024, 2, 1)
@@ -138,6 +138,22 @@ def dedupe_against_target(spark: SparkSession, sf: str) -> DataFrame:
     return silver.without_existing(lines, target, ["l_orderkey", "l_linenumber"])
 
 
+@register("dedupe_against_partitions", """
+    SELECT * FROM lineitem l WHERE NOT EXISTS (
+        SELECT 1 FROM lineitem t WHERE t.l_shipdate < TIMESTAMP '1999-01-01'
+          AND t.l_orderkey IS NOT DISTINCT FROM l.l_orderkey AND t.l_linenumber IS NOT DISTINCT FROM l.l_linenumber
+          AND strftime(t.l_shipdate, '%Y-%m') IS NOT DISTINCT FROM strftime(l.l_shipdate, '%Y-%m'))
+""")
+def dedupe_against_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """The same against a landed table, by key and month: only directories of months that come in are read."""
+    lines, path, spec = table(spark, sf, "lineitem"), scratch_path(spark, "lines"), [("l_shipdate", "month")]
+    tables.write(lines.filter(F.col("l_shipdate") < ntz("1999-01-01")), path, spec)
+    fresh = layers.with_partitions(lines, spec)
+    month = layers.partition_name(*spec[0])
+    return silver.without_existing(
+        fresh, spark.read.parquet(path), ["l_orderkey", "l_linenumber"], [month]).drop(month)
+
+
 _CUSTOMER_SCHEMA = T.StructType([
     T.StructField("c_custkey", T.LongType(), False),
     T.StructField("balance", T.DoubleType(), True),

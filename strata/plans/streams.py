@@ -10,6 +10,7 @@ from strata.operators.quality import Rule
 from strata.plans.inputs import ENVELOPES_SQL, envelopes, envelopes_of, log_of
 from strata.plans.registry import ntz, register, table
 from strata.streaming import jobs
+from strata.streaming.metrics import RunMetrics
 
 STAMP = "2024-02-01T00:00:00.000000Z"
 
@@ -113,7 +114,7 @@ def stream_exactly_once_sink(spark: SparkSession, sf: str) -> DataFrame:
     for attempt in (1, 2):
         checkpoint = scratch_path(spark, f"exactly-once-checkpoint-{attempt}")
         stream = jobs.read_stream(spark, source, schema, attempt)
-        jobs.run_available(jobs.commit_batches(stream, path, checkpoint, lambda batch: {"events": batch}, ["event_id"]))
+        jobs.run_available(jobs.commit_batches(stream, path, checkpoint, lambda batch: {"events": batch}, ["event_id"], "ts"))
     return jobs.read_committed(spark, path, "events")
 
 
@@ -157,16 +158,55 @@ def stream_quality_monitor(spark: SparkSession, sf: str) -> DataFrame:
     return results.union(alerts)
 
 
-@register("anomaly_flags", """
+def _anomalies_sql(closed: str = "true") -> str:
+    return f"""
     SELECT event_type, window_start, total, round(z, 6) AS z, coalesce(abs(z) > 2, false) AS anomaly FROM (
         SELECT *, CASE WHEN count(*) OVER h = 12 AND stddev_samp(total) OVER h > 0
                        THEN (total - avg(total) OVER h) / stddev_samp(total) OVER h END AS z
-        FROM (SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+        FROM (SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, window_start + INTERVAL 1 HOUR AS window_end,
                      CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY ALL)
+        WHERE {closed}
         WINDOW h AS (PARTITION BY event_type ORDER BY window_start ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING))
-""")
+    """
+
+
+@register("anomaly_flags", _anomalies_sql())
 def anomaly_flags(spark: SparkSession, sf: str) -> DataFrame:
     """Hours whose total is far from the twelve before."""
     hourly = jobs.window_metrics(table(spark, sf, "events"), length="1 hour", scale=2)
     flagged = jobs.anomaly_flags(hourly, ["event_type"], "window_start", "total", F.to_date("window_start"), bound=2.0)
     return flagged.select("event_type", "window_start", "total", F.round("z", 6).alias("z"), "anomaly")
+
+
+@register("anomaly_stream", _anomalies_sql(_CLOSED))
+def anomaly_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by running jobs: one lands the hours as the watermark closes them, the other flags what is landed."""
+    hourly = jobs.window_metrics(_timed(spark, sf), length="1 hour", scale=2).select("event_type", "window_start", "total")
+    path = scratch_path(spark, "hourly")
+    jobs.run_available(hourly.writeStream.format("parquet").option("path", path)
+                       .option("checkpointLocation", scratch_path(spark, "hourly-checkpoint")))
+    closed = jobs.read_stream(spark, path, hourly.schema)
+    flagged = jobs.anomaly_stream(closed, ["event_type"], "window_start", "total", bound=2.0)
+    return _to_parquet(spark, flagged, "anomalies").select(
+        "event_type", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "total",
+        F.round("z", 6).alias("z"), "anomaly")
+
+
+@register("stream_run_metrics", """
+    SELECT 2 AS triggers, count(*) + count(*) FILTER (event_id % 10 = 0) AS input_rows,
+           count(*) FILTER (event_id % 10 = 0 AND ts <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE) AS late_rows
+    FROM events
+""")
+def stream_run_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """All events, then a tenth of them again: those behind the watermark are late, and the landed metrics count them."""
+    source, path, check, landed = (scratch_path(spark, f"run-metrics-{n}") for n in ("files", "out", "check", "landed"))
+    found = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    with RunMetrics(spark, landed) as metrics:
+        for part in (found, found.filter("event_id % 10 = 0")):
+            part.write.mode("append").parquet(source)
+            # Each run ends with a trigger without rows, which moves the watermark for the next.
+            stream = jobs.read_stream(spark, source, found.schema).withWatermark("ts", jobs.LATENESS)
+            metrics.landed(jobs.run_available(stream.dropDuplicatesWithinWatermark(["event_id"]).writeStream.format("parquet")
+                                              .option("path", path).option("checkpointLocation", check)))
+    return spark.read.parquet(landed).filter("input_rows > 0").agg(
+        F.count(F.lit(1)).cast("int").alias("triggers"), F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime
 
 import pytest
@@ -156,3 +157,26 @@ def test_exact_sums_do_not_depend_on_order(spark):
     df = spark.range(20000).select((F.col("id") % 100 / 100).alias("v"))
     totals = {df.repartition(n).agg(gold.exact_sum("v", 2)).first()[0] for n in (1, 3, 7)}
     assert totals == {9900.0}
+
+
+@pytest.mark.parametrize("most", [1000, 1])
+def test_dedupe_within_partitions_reads_only_those_that_come_in(spark, path, monkeypatch, most):
+    monkeypatch.setattr(silver, "_VALUES", most)
+    held = [(i, f"d{i % 5}") for i in range(20)] + [(None, "d1"), (7, None)]
+    spark.createDataFrame(held, "id long, day string").write.partitionBy("day").parquet(path)
+    fresh = spark.createDataFrame([(1, "d1"), (1, "d2"), (None, "d1"), (7, None), (8, None), (50, "d2")], "id long, day string")
+    out = silver.without_existing(fresh, spark.read.parquet(path), ["id"], ["day"])
+    assert rows(out) == [(1, "d2"), (8, None), (50, "d2")]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*d1", plan)
+    few = silver.without_existing(fresh.filter("day = 'd2'"), spark.read.parquet(path), ["id"], ["day"])
+    assert rows(few) == [(1, "d2"), (50, "d2")]
+    assert rows(silver.without_existing(fresh.limit(0), spark.read.parquet(path), ["id"], ["day"])) == []
+
+
+def test_dedupe_within_times_holds_in_any_zone(spark):
+    frame = spark.createDataFrame([(1, datetime(2024, 3, 31, 2, 30)), (2, None)], "id long, at timestamp")
+    plain = frame.withColumn("at", F.col("at").cast("timestamp_ntz"))
+    for held in (frame, plain):
+        assert silver.without_existing(held, held, ["id"], ["at"]).isEmpty()
+        assert held.where(silver.may_hold(held, ["at"])).count() == 2

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.quality import Rule
 from strata.streaming import jobs
+from strata.streaming.metrics import RunMetrics
 from tests.conftest import rows
 
 START = datetime(2024, 1, 1)
@@ -108,6 +109,38 @@ def test_a_lost_checkpoint_with_other_cuts_repeats_nothing(spark, tmp_path):
         assert rows(jobs.read_committed(spark, out, "t")) == [(i,) for i in range(30)]
 
 
+def test_a_new_checkpoint_reads_only_batches_in_its_range(spark, tmp_path, monkeypatch):
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    for hour in range(4):
+        put(spark, src, *[(hour * 10 + i, at(hour * 60 + i), "a", 1.0) for i in range(3)])
+    put(spark, src, (90, None, "a", 1.0))
+
+    def run(check):
+        return jobs.run_available(jobs.commit_batches(
+            stream(spark, src), out, str(tmp_path / check), lambda b: {"t": b, "by": b.select("id")}, ["id"], "ts"))
+
+    run("first")
+    asked, real = [], jobs.overlapping
+
+    def counting(*args):
+        found = real(*args)
+        asked.append(found.count())
+        return found
+
+    monkeypatch.setattr(jobs, "overlapping", counting)
+    put(spark, src, (11, at(61), "a", 1.0), (12, at(500), "a", 1.0))
+    run("second")
+    # Five batches meet themselves, the sixth reaches from the second hour to the end.
+    assert asked == [1, 1, 1, 1, 1, 3]
+    want = [(h * 10 + i,) for h in range(4) for i in range(3)]
+    # The key is id and time, so an id at another time is another row; the table without times has just the ids.
+    assert rows(jobs.read_committed(spark, out, "t"), "id") == sorted([*want, (12,), (90,)])
+    assert rows(jobs.read_committed(spark, out, "by"), "id") == sorted([*want, (90,)])
+    monkeypatch.setattr(jobs, "_DIRECTORIES", 0)
+    run("third")
+    assert jobs.read_committed(spark, out, "t").count() == len(want) + 2
+
+
 def test_window_metrics_keep_small_values_and_missing_ones(spark):
     data = [(datetime(2024, 1, 1), v, "k") for v in (0.004, 0.004, None, 1e17)] + [(datetime(2024, 1, 1), None, "none")]
     df = spark.createDataFrame(data, "ts timestamp, value double, event_type string")
@@ -141,3 +174,38 @@ def test_anomalies(spark):
     out = jobs.anomaly_flags(df, ["k"], "i", "v", F.floor(F.col("i") / 2), history=5, bound=3.0)
     assert rows(out.filter("anomaly"), "k", "i") == [("a", 7)]
     assert out.filter("i < 5 AND z IS NOT NULL").count() == 0 and out.count() == 18
+
+
+@pytest.mark.parametrize("cuts", [1, 4])
+def test_anomalies_of_a_stream_are_those_of_the_batch(spark, tmp_path, cuts):
+    src, out, check = (str(tmp_path / n) for n in ("src", "out", "check"))
+    values = [10.0, 11.0, 9.0, None, 11.0, 9.0, 10.0, 11.0, 50.0, 10.0, 0.1, 0.1, 0.1, 0.1, 0.1, 7.0]
+    data = [(i, at(5 * i), k, v) for i, v in enumerate(values) for k in "ab" if (k, i) != ("b", 2)]
+    size = -(-len(data) // cuts)
+    for first in range(0, len(data), size):
+        put(spark, src, *data[first:first + size][::-1])
+    flagged = jobs.anomaly_stream(stream(spark, src), ["k"], "ts", "value", history=4, bound=2.0)
+    query = jobs.run_available(flagged.writeStream.format("parquet").option("path", out).option("checkpointLocation", check))
+    assert sum(p.numInputRows > 0 for p in query.recentProgress) == cuts
+    batch = spark.createDataFrame(data, SCHEMA)
+    want = jobs.anomaly_flags(batch, ["k"], "ts", "value", F.hour("ts"), history=4, bound=2.0)
+    columns = ["k", "ts", "value", "history", F.round("expected", 9), F.round("spread", 9), F.round("z", 9), "anomaly"]
+    got = rows(spark.read.parquet(out), *columns)
+    assert got == rows(want, *columns) and sum(r[-1] for r in got) > 0
+
+
+def test_run_metrics_are_landed_and_count_late_rows(spark, tmp_path):
+    src, out, check, landed = (str(tmp_path / n) for n in ("src", "out", "check", "landed"))
+    with RunMetrics(spark, landed, every=1) as metrics:
+        for data in ([(1, at(0), "a", 1.0), (2, at(60), "a", 1.0)],
+                     [(3, at(1), "a", 1.0), (4, at(2), "a", 1.0), (5, at(59), "a", 1.0)]):
+            put(spark, src, *data)
+            distinct = stream(spark, src).withWatermark("ts", jobs.LATENESS).dropDuplicatesWithinWatermark(["id"])
+            query = jobs.run_available(distinct.writeStream.queryName("late").format("parquet").option("path", out)
+                                       .option("checkpointLocation", check))
+            metrics.landed(query)
+    got = spark.read.parquet(landed).filter("input_rows > 0")
+    assert rows(got, "query", "input_rows", "late_rows") == [("late", 2, 0), ("late", 3, 2)]
+    assert got.filter("duration_ms > 0 AND add_batch_ms <= duration_ms").count() == 2
+    with RunMetrics(spark, landed) as metrics, pytest.raises(TimeoutError):
+        metrics.landed(query, seconds=0.1)
