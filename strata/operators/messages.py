@@ -10,6 +10,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from strata.cluster import checkpointed
+
 FORMATS = ("json", "string", "bytes")
 
 
@@ -95,6 +97,7 @@ _PARTITIONS = 100_000
 
 def _per_partition(rows: DataFrame) -> DataFrame:
     """Broadcast where there are few enough, so that the log is not shuffled on its few partitions."""
+    rows = checkpointed(rows)  # often made by a scan of a log: once for the count and the join
     return F.broadcast(rows) if rows.limit(_PARTITIONS + 1).count() <= _PARTITIONS else rows
 
 
