@@ -36,15 +36,13 @@ def _to_parquet(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     SELECT eid AS event_id, etype AS event_type, stamp AS event_timestamp, source AS source_system,
            CASE WHEN etype = 'system_event' THEN 'code ' || k END AS message,
            CASE WHEN etype = 'transaction' THEN value END AS amount, '{STAMP}' AS validation_timestamp
-    FROM ({ENVELOPES_SQL}) WHERE errors = ''
+    FROM ({ENVELOPES_SQL}) WHERE errors = '' AND NOT broken
 """)
 def stream_bronze_to_silver(spark: SparkSession, sf: str) -> DataFrame:
-    """Every event is delivered twice; invalid ones are dropped, the rest comes out once."""
-    source = _stream(spark, sf).select("*", F.col("_metadata.file_path").alias("file"),
-                                       F.col("_metadata.row_index").alias("row"))
-    delivered = source.union(source)
-    shaped = envelopes_of(delivered, "file", "row").withColumn("ts", F.col("ts").cast("timestamp"))
-    clean = jobs.clean_events(shaped, F.lit(STAMP), ["file", "row"])
+    """Every message of the log is delivered twice; unreadable and invalid ones are dropped, the rest comes out once."""
+    delivered = log_of(_stream(spark, sf))
+    arrived = jobs.topic_events(delivered.union(delivered))
+    clean = jobs.clean_events(arrived, F.lit(STAMP), ["topic", "partition", "offset"])
     path, checkpoint = scratch_path(spark, "silver"), scratch_path(spark, "silver-checkpoint")
     jobs.run_available(jobs.commit_batches(clean, path, checkpoint, lambda batch: {"events": batch}))
     stored = jobs.read_committed(spark, path, "events")

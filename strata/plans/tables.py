@@ -34,22 +34,24 @@ def scan_limit(spark: SparkSession, sf: str) -> DataFrame:
 @register("ingest_files", """
     SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, 'csv' AS kind FROM orders
     UNION ALL SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS DATE), 'json' FROM orders
+    UNION ALL SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS DATE), 'parquet' FROM orders
 """)
 def ingest_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders out to CSV and JSON files, and back in with a declared schema."""
+    """Orders out to CSV, JSON and Parquet files, loaded with a declared schema into raw tables, and read from those."""
     schema = T.StructType([
         T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
         T.StructField("o_totalprice", T.DoubleType()), T.StructField("o_orderdate", T.DateType())])
     orders = table(spark, sf, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", F.col("o_orderdate").cast("date").alias("o_orderdate"))
     out = []
-    for kind in ("csv", "json"):
+    for kind in ("csv", "json", "parquet"):
         path = scratch_path(spark, f"files-{kind}")
         writer = orders.write.option("header", "true") if kind == "csv" else orders.write
         writer.format(kind).save(path)
-        loaded = layers.read_files(spark, path, kind, schema)
-        out.append(loaded.filter(F.col(layers.CORRUPT).isNull()).drop(layers.CORRUPT).withColumn("kind", F.lit(kind)))
-    return out[0].union(out[1])
+        target = scratch_path(spark, f"raw-{kind}")
+        layers.ingest_files(spark, path, kind, schema, target, "bronze", "o_orderdate", "year")
+        out.append(spark.read.parquet(target).select(*schema.names, F.lit(kind).alias("kind")))
+    return out[0].union(out[1]).union(out[2])
 
 
 # ---- tables on storage --------------------------------------------------------------------------------------

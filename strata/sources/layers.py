@@ -81,6 +81,28 @@ def read_files(spark: SparkSession, path: str, file_format: str, schema: T.Struc
     return reader.options(**options).format(file_format).load(path)
 
 
+def ingest_files(
+    spark: SparkSession, source: str, file_format: str, schema: T.StructType, target: str, layer: str = "bronze",
+    time_column: str | None = None, transform: str | None = None, rejected: str | None = None, **options: str,
+) -> tuple[int, int]:
+    """Load files into a table of a layer; how many rows went in, and how many lines did not fit ``schema``.
+
+    The load counts both while it writes. With ``rejected``, a path, lines that do not fit are added there: their text,
+    what could be read of them, and their file. The files are read a second time only if there are such lines.
+    """
+    loaded = read_files(spark, source, file_format, schema, **options)
+    if CORRUPT not in loaded.columns:
+        loaded = loaded.withColumn(CORRUPT, F.lit(None).cast("string"))
+    bad = F.col(CORRUPT).isNotNull()
+    seen = Observation()
+    counted = loaded.observe(seen, F.count_if(~bad).alias("landed"), F.count_if(bad).alias("rejected"))
+    write_layer(counted.filter(~bad).drop(CORRUPT), target, layer, time_column, transform=transform)
+    counts = seen.get
+    if rejected is not None and counts["rejected"]:
+        loaded.withColumn("source_file", F.col("_metadata.file_path")).filter(bad).write.mode("append").parquet(rejected)
+    return counts["landed"], counts["rejected"]
+
+
 def write_layer(
     df: DataFrame, path: str, layer: str, time_column: str | None = None, mode: str = "append",
     transform: str | None = None,

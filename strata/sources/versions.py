@@ -141,12 +141,17 @@ class History:
         """Rows of a version, or those of ``rows`` that the version has not closed."""
         ranges = _ranges(commit)
         rows = self.rows.filter(_in_ranges("commit_id", ranges)) if rows is None else rows
-        touched = [r for c in self.log if any(a <= c["commit_id"] <= b for a, b in ranges) for r in _ranges(c, "touched")]
+        touched = self._touched(ranges)
         if not touched:
             return rows
-        affected = _in_ranges("commit_id", _merge(touched))
+        affected = _in_ranges("commit_id", touched)
         return rows.filter(~affected).unionByName(self._without_closed(rows.filter(affected), ranges))
 
+    def _touched(self, ranges: Ranges) -> list[tuple[int, int]]:
+        """Commits that lost rows to the commits in ``ranges``."""
+        return _merge([r for c in self.log if any(a <= c["commit_id"] <= b for a, b in ranges)
+                       for r in _ranges(c, "touched")])
+
     def _without_closed(self, rows: DataFrame, ranges: Ranges) -> DataFrame:
         # One row per closed hash: a hash closed many times must not multiply the join.
         closed = self.closes.filter(_in_ranges("commit_id", ranges)).groupBy(
@@ -175,20 +180,22 @@ class History:
     def changes(self, first: int, last: int) -> DataFrame:
         """Rows added and removed between two versions, by content; ``change`` is 'added' or 'removed'.
 
-        Commits both versions see are read only for rows that one of them has closed since. What is left is
-        counted per row hash before the two sides meet, so rows that occur often cost one entry.
+        Of the commits both versions see, only those that one of them has closed rows of since are read, and of those
+        only the rows with a closed hash. What is left is counted per row hash before the two sides meet, so rows that
+        occur often cost one entry.
         """
         data = [c for c in self.rows.columns if c not in ("commit_id", "record_hash")]
         old, new = self.version(first), self.version(last)
         common = _intersect(_ranges(old), _ranges(new))
+        recent = _subtract(_ranges(old), common) + _subtract(_ranges(new), common)
+        reached = _intersect(common, self._touched(recent))
         sides = []
         for commit, sign in ((old, -1), (new, 1)):
             own = _subtract(_ranges(commit), common)
             parts = [self.rows.filter(_in_ranges("commit_id", own))]
-            if common:
-                recent = _subtract(_ranges(old), common) + _subtract(_ranges(new), common)
+            if reached:
                 touched = self.closes.filter(_in_ranges("commit_id", recent)).select("record_hash").distinct()
-                shared = self.rows.filter(_in_ranges("commit_id", common))
+                shared = self.rows.filter(_in_ranges("commit_id", reached))
                 parts.append(shared.join(touched, "record_hash", "left_semi").select(*self.rows.columns))
             state = self._state(commit, reduce(DataFrame.union, parts))
             sides.append(state.withColumn("_sign", F.lit(sign)))
@@ -210,8 +217,10 @@ class History:
         anywhere = _merge([r for ranges in seen for r in ranges])
         rows = self.rows.filter(_in_ranges("commit_id", anywhere))
         closes = self.closes.filter(_in_ranges("commit_id", anywhere))
-        if common:
-            settled = _in_ranges("commit_id", common)
+        # Commits that never lost a row are not compared with the closes.
+        lossy = _intersect(common, self._touched([(c["commit_id"], c["commit_id"]) for c in self.log]))
+        if lossy:
+            settled = _in_ranges("commit_id", lossy)
             rows = rows.filter(~settled).unionByName(self._without_closed(rows.filter(settled), common))
         # What forgotten commits touched is noted on the kept ones.
         noted = ranges_column(_merge([r for c in forgotten for r in _ranges(c, "touched")]))

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from strata.cluster import checkpointed
-from strata.operators import events, quality
+from strata.operators import events, messages, quality
 from strata.operators.gold import exact_sum
 from strata.operators.silver import literal, portable, without_existing
 from strata.operators.windows import neighbours
@@ -36,6 +36,14 @@ def read_stream(
     return reader.parquet(path)
 
 
+def topic_events(log: DataFrame) -> DataFrame:
+    """Envelopes of the messages of a log: values decoded and parsed, the message's time as event time ``ts``.
+
+    A value that can't be decoded or parsed keeps its row, with NULL in the envelope, which validation rejects.
+    """
+    return events.parse(messages.decode(log, "string")).withColumn("ts", F.col("timestamp"))
+
+
 def clean_events(
     stream: DataFrame, validated_at: Column, position: Sequence[str | Column] = (), spread: int = 16,
     lateness: str = LATENESS,

@@ -40,6 +40,23 @@ def test_bad_lines_are_kept(spark, tmp_path):
         layers.read_files(spark, "x", "orc", schema)
 
 
+def test_files_land_in_a_layer_and_count(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("d", T.DateType())])
+    (tmp_path / "a.csv").write_text("id,d\n1,2024-01-02\nnope,2024-01-02\n2,\n")
+    (tmp_path / "a.json").write_text('{"id":3,"d":"2023-05-06"}\n{broken\n')
+    spark.createDataFrame([(4, None)], schema).write.parquet(str(tmp_path / "p"))
+    target, bad = str(tmp_path / "raw"), str(tmp_path / "bad")
+    counts = [layers.ingest_files(spark, str(tmp_path / name), kind, schema, target, "bronze", "d", "year", bad)
+              for name, kind in (("a.csv", "csv"), ("a.json", "json"), ("p", "parquet"))]
+    assert counts == [(2, 1), (1, 1), (1, 0)] and all("snappy" in f for f in files(target))
+    assert rows(spark.read.parquet(target), "id") == [(1,), (2,), (3,), (4,)] and "d_year=2023" in os.listdir(target)
+    kept = spark.read.parquet(bad)
+    assert rows(kept, layers.CORRUPT) == [("nope,2024-01-02",), ("{broken",)]
+    assert {r[0].rsplit("/", 1)[1] for r in kept.select("source_file").collect()} == {"a.csv", "a.json"}
+    (tmp_path / "none.csv").write_text("id,d\n")
+    assert layers.ingest_files(spark, str(tmp_path / "none.csv"), "csv", schema, str(tmp_path / "r2")) == (0, 0)
+
+
 @pytest.mark.parametrize("layer, codec, part", [("bronze", "snappy", "ts_day=2024-01-31"),
                                                 ("silver", "zstd", "ts_day=2024-01-31"), ("gold", "zstd", "ts_month=2024-01")])
 def test_layer_writes_in_its_codec_and_layout(spark, path, layer, codec, part):
@@ -175,6 +192,21 @@ def test_changes_between_versions(spark, history):
     assert history.changes(2, 2).count() == 0 and history.changes(2, 5).count() == 0
 
 
+def unreadable(history, commit):
+    """The history with rows of one commit that can't be read."""
+    value = F.when(F.col("commit_id") == commit, F.raise_error(F.lit("was read"))).otherwise(F.col("v"))
+    return History(history.rows.withColumn("v", value), history.closes, history.commits)
+
+
+def test_changes_leave_unchanged_history_unread(spark, history):
+    assert rows(unreadable(history, 2).changes(2, 4), "change", "copies", "id", "v") == [("removed", 1, 1, "a")]
+    with pytest.raises(Exception, match="was read"):
+        unreadable(history, 2).changes(1, 4).collect()
+    # What a forgotten commit closed is known from the commits that are left.
+    short = unreadable(history.expired(D[4]), 2)
+    assert rows(short.changes(4, 5), "change", "copies", "id", "v") == rows(history.changes(4, 5), "change", "copies", "id", "v")
+
+
 def test_expiry_keeps_reads(spark, history):
     kept = history.expired(D[4])
     assert data_of(kept.at(4)) == [(1, "a"), (2, "b"), (3, "c")] and data_of(kept.current()) == data_of(history.at(2))
