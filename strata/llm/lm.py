@@ -1,15 +1,18 @@
 """Language-model scores of whole texts from a log-frequency Bloom filter of word pairs.
 
 A pair counted ``c`` times is in the filter once for each step of its quantised count ``1 + floor(log2 c)``; how many
-steps are found says how often the pair occurs. The filter grows with the corpus, so it is cut into segments by the
-pairs' hashes, and each segment goes to the worker that answers the probes of its pairs instead of all segments to all
-workers. Counts of single words are exact. Texts are read in blocks of whole rows; what is shuffled are the distinct
-words and pairs of a block, so that a frequent word is one entry per block.
+steps are found says how often the pair occurs, and stands for the mean of the counts quantised alike. The filter grows
+with the corpus, so it can't go to all workers: it is cut into segments by the pairs' hashes, built from the texts to
+learn from and stored. To score, each block of texts probes the segments for its pairs: probes meet their segment by an
+equality join, and the filter is all that is known of pairs. Counts of single words are exact and lie with the segments.
+Texts are read in blocks of whole rows; what is shuffled are the distinct words and pairs of a block, so that a frequent
+word is one entry per block.
 
 Words are runs of bytes that are not white space, A-Z in lower case, and each text has one end more. A token after the
 context ``u`` has the chance ``(c(u,w) + T(u) P(w)) / (c(u) + T(u))``, where ``P(w)`` is the add-one chance of the word
 and ``T(u) = c(u) ** g`` stands for the different words seen after ``u``; ``g`` is chosen so that all ``T`` add up to
-the number of different pairs.
+the number of different pairs. As the counts of the steps are means, the chances after a context add up to one on average,
+not for each context, but for what the filter finds falsely.
 """
 
 from __future__ import annotations
@@ -32,9 +35,11 @@ from strata.llm.textblocks import blocks, mix, words_of
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_BYTES = 4 << 20
-# Bits of the filter for each entry, and probes of each entry: about one probe in sixty finds what isn't there.
-BITS_PER_ENTRY, PROBES = 9, 6
+# Bits of the filter for each entry, and probes of each entry: about one probe in 300 finds what isn't there.
+BITS_PER_ENTRY, PROBES = 12, 8
 _PAIR_BITS = 40
+# Steps that counts can take: a count is below 2 ** 47, and a false step may follow the last.
+_STEPS = 64
 _POWERS = np.round(np.arange(0.0, 1.001, 0.02), 2)
 _END, _START = np.uint64(0x5DEECE66D1234567), np.uint64(0x2545F4914F6CDD1D)
 
@@ -43,11 +48,16 @@ class Totals(NamedTuple):
     tokens: int
     words: int
     power: float
+    counts: np.ndarray  # the count that each number of steps stands for
+
+
+def _steps_of(counts: np.ndarray) -> np.ndarray:
+    return np.where(counts > 0, 1 + np.floor(np.log2(np.maximum(counts, 1))), 0).astype(np.int64)
 
 
 def build_filter(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Bits that hold the quantised counts of pairs."""
-    steps = np.where(counts > 0, 1 + np.floor(np.log2(np.maximum(counts, 1))), 0).astype(np.int64)
+    steps = _steps_of(counts)
     bits = np.zeros(max(64, BITS_PER_ENTRY * int(steps.sum())), bool)
     for step in range(1, int(steps.max(initial=0)) + 1):
         for at in _places(hashes[steps >= step], step, len(bits)):
@@ -56,7 +66,7 @@ def build_filter(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _places(hashes: np.ndarray, step: int, size: int) -> Iterator[np.ndarray]:
-    h = mix(hashes + np.uint64(step) * np.uint64(0x9E3779B97F4A7C15))
+    h = mix(hashes + np.uint64(step * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
     jump = mix(h + np.uint64(1)) | np.uint64(1)
     for k in range(PROBES):
         yield ((h + np.uint64(k) * jump) % np.uint64(size)).astype(np.int64)
@@ -77,7 +87,7 @@ def probe(bits: np.ndarray, size: int, hashes: np.ndarray) -> np.ndarray:
 
 
 def count_of(steps: np.ndarray) -> np.ndarray:
-    """The count that a number of steps stands for: the middle of those quantised alike."""
+    """The count that a number of steps stands for where none was learnt: the middle of those quantised alike."""
     low = np.exp2(np.maximum(steps.astype(np.float64) - 1, 0))
     return np.where(steps > 0, (3 * low - 1) / 2, 0.0)
 
@@ -162,60 +172,107 @@ def _by_shard(hashes: np.ndarray, shards: int, bits: int) -> tuple[np.ndarray, n
     return order, np.searchsorted(shard[order], np.arange(shards + 1, dtype=np.uint64)), value[order]
 
 
-def _asked(shards: int) -> Callable:
-    """Rows (block, shard, words, pairs and their counts in texts to learn from) for each block."""
+def _parts(sides: list[tuple[np.ndarray, int]], shards: int) -> tuple[list[int], list[list[tuple]]]:
+    """Shards that get any of the sorted-by-shard values, and for each side, per shard, values and their places."""
+    cut = []
+    for values, bits in sides:
+        order, cuts, value = _by_shard(values, shards, bits)
+        cut.append([(value[cuts[s]:cuts[s + 1]], order[cuts[s]:cuts[s + 1]]) for s in range(shards)])
+    return [s for s in range(shards) if any(len(c[s][0]) for c in cut)], cut
+
+
+def _taught(shards: int) -> Callable:
+    """Rows (shard, words, pairs and their counts) for each block of texts to learn from."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _each_block(batches):
-            learn = np.repeat(~block.held, block.counts)
             hashes, _ = _pairs(block.words, block.codes, block.counts)
-            pairs, codes = np.unique(hashes, return_inverse=True)
-            sides = []
-            for values, numbers, bits in ((block.words, block.codes, 64), (pairs, codes, _PAIR_BITS)):
-                times = np.bincount(numbers[learn], minlength=len(values)).astype(np.uint64)
-                order, cuts, value = _by_shard(values, shards, bits)
-                sides.append((times[order], cuts, value, bits // 8))
-            full = [s for s in range(shards) if any(c[s] < c[s + 1] for _, c, _, _ in sides)]
-            columns = [pa.array([block.name] * len(full)), pa.array(full, pa.int32())]
-            for times, cuts, value, width in sides:
-                columns.append(pa.array([_pack(_steps_up(value[cuts[s]:cuts[s + 1]]), width) for s in full], pa.binary()))
-                columns.append(pa.array([_pack(times[cuts[s]:cuts[s + 1]], 4) for s in full], pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, ["block", "shard", "words", "word_counts", "pairs", "pair_counts"])
+            pairs, pair_counts = np.unique(hashes, return_counts=True)
+            times = np.bincount(block.codes, minlength=len(block.words)), pair_counts
+            full, (words, found) = _parts([(block.words, 64), (pairs, _PAIR_BITS)], shards)
+            columns = [pa.array(full, pa.int32())]
+            for side, n, width in ((words, times[0], 8), (found, times[1], _PAIR_BITS // 8)):
+                columns.append(pa.array([_pack(_steps_up(side[s][0]), width) for s in full], pa.binary()))
+                columns.append(pa.array([_pack(n[side[s][1]].astype(np.uint64), 4) for s in full], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "words", "word_counts", "pairs", "pair_counts"])
+
+    return run
+
+
+def _asked(shards: int) -> Callable:
+    """Rows (block, shard, words, pairs): what each block of texts asks of each segment."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _each_block(batches):
+            pairs = np.unique(_pairs(block.words, block.codes, block.counts)[0])
+            full, (words, found) = _parts([(block.words, 64), (pairs, _PAIR_BITS)], shards)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block.name] * len(full)), pa.array(full, pa.int32()),
+                 pa.array([_pack(_steps_up(words[s][0]), 8) for s in full], pa.binary()),
+                 pa.array([_pack(_steps_up(found[s][0]), _PAIR_BITS // 8) for s in full], pa.binary())],
+                ["block", "shard", "words", "pairs"])
 
     return run
 
 
-def _totals(values: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Distinct values, their counts added up, and the number of each value of each list."""
-    sizes = [len(v) for v in values]
+def _read(rows: pa.Table, name: str, width: int) -> Iterator[np.ndarray]:
+    return (_unpack(x.as_py(), width) for x in rows.column(name))
+
+
+def _totals(values: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values (sorted) and their counts added up."""
     distinct, codes = np.unique(np.concatenate(values), return_inverse=True)
-    total = np.bincount(codes, np.concatenate(counts).astype(np.float64), len(distinct))
-    return distinct, total.astype(np.int64), np.split(codes, np.cumsum(sizes)[:-1])
-
-
-def _answer(rows: pa.Table) -> pa.Table:
-    """Counts of the words and filter steps of the pairs of one shard, for each block that asks; and sums of the shard."""
-    def read(name: str, width: int) -> list[np.ndarray]:
-        return [_unpack(x, width) for x in rows.column(name).to_pylist()]
-
-    words = [np.cumsum(x, dtype=np.uint64) for x in read("words", 8)]
-    _, word_total, at_word = _totals(words, read("word_counts", 4))
-    pairs = [np.cumsum(x, dtype=np.uint64) for x in read("pairs", 5)]
-    distinct, pair_total, at_pair = _totals(pairs, read("pair_counts", 4))
-    bits = build_filter(distinct, pair_total)
-    steps = probe(bits, max(64, BITS_PER_ENTRY * int(_entries(pair_total))), distinct)
-    known = word_total[word_total > 0].astype(np.float64)
-    sums = [float(known.sum()), float(len(known)), float((pair_total > 0).sum()), *[(known ** g).sum() for g in _POWERS]]
-    n = rows.num_rows
+    return distinct, np.bincount(codes, np.concatenate(counts).astype(np.float64), len(distinct)).astype(np.int64)
+
+
+def _segment(rows: pa.Table) -> pa.Table:
+    """One segment of the model: words with their counts, the filter of its pairs, and sums over both."""
+    words, word_total = _totals([np.cumsum(x, dtype=np.uint64) for x in _read(rows, "words", 8)],
+                                list(_read(rows, "word_counts", 4)))
+    pairs, pair_total = _totals([np.cumsum(x, dtype=np.uint64) for x in _read(rows, "pairs", _PAIR_BITS // 8)],
+                                list(_read(rows, "pair_counts", 4)))
+    known, steps = word_total.astype(np.float64), _steps_of(pair_total)
+    sums = [known.sum(), len(known), len(pairs), *[(known ** g).sum() for g in _POWERS],
+            *np.bincount(steps, minlength=_STEPS), *np.bincount(steps, pair_total, _STEPS)]
     return pa.table({
-        "block": rows.column("block"), "shard": rows.column("shard"),
-        "counts": pa.array([_pack(word_total[a].astype(np.uint64), 6) for a in at_word], pa.binary()),
-        "steps": pa.array([_pack(steps[a].astype(np.uint64), 1) for a in at_pair], pa.binary()),
-        "sums": pa.array([sums] + [None] * (n - 1), pa.list_(pa.float64()))})
+        "shard": rows.column("shard").slice(0, 1), "words": pa.array([_pack(_steps_up(words), 8)], pa.binary()),
+        "word_counts": pa.array([_pack(word_total.astype(np.uint64), 6)], pa.binary()),
+        "filter": pa.array([build_filter(pairs, pair_total).tobytes()], pa.binary()),
+        "size": pa.array([max(64, BITS_PER_ENTRY * int(_entries(pair_total)))], pa.int64()),
+        "sums": pa.array([[float(x) for x in sums]], pa.list_(pa.float64()))})
+
+
+def _answer(asked: pa.Table, segment: pa.Table) -> pa.Table:
+    """Counts of the words and filter steps of the pairs that each block asks a segment for; 0 where there is none."""
+    counts, steps = [], []
+    if segment.num_rows:
+        known = np.cumsum(next(_read(segment, "words", 8)), dtype=np.uint64)
+        total = next(_read(segment, "word_counts", 6))
+        bits = np.frombuffer(segment.column("filter")[0].as_py(), np.uint8)
+        size = segment.column("size")[0].as_py()
+    for words, pairs in zip(_read(asked, "words", 8), _read(asked, "pairs", _PAIR_BITS // 8)) if asked.num_rows else ():
+        words, pairs = np.cumsum(words, dtype=np.uint64), np.cumsum(pairs, dtype=np.uint64)
+        if segment.num_rows and len(known):
+            at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+            counts.append(_pack(np.where(known[at] == words, total[at], 0).astype(np.uint64), 6))
+        else:
+            counts.append(_pack(np.zeros(len(words), np.uint64), 6))
+        found = probe(bits, size, pairs) if segment.num_rows else np.zeros(len(pairs), np.uint8)
+        steps.append(_pack(found.astype(np.uint64), 1))
+    keys = [asked.column(c) if asked.num_rows else pa.array([], k) for c, k in (("block", pa.string()), ("shard", pa.int32()))]
+    return pa.table([*keys, pa.array(counts, pa.binary()), pa.array(steps, pa.binary())],
+                    names=["block", "shard", "counts", "steps"])
+
+
+def chances(totals: Totals, steps: np.ndarray, own: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Chance of each token by the steps found for it and its context, and by the counts of both."""
+    both = np.minimum(totals.counts[steps], np.minimum(own, before))
+    kinds = np.where(before > 0, before ** totals.power, 1.0)
+    return (both + kinds * (own + 1) / (totals.tokens + totals.words + 1)) / (before + kinds)
 
 
 def _entries(counts: np.ndarray) -> int:
-    return np.where(counts > 0, 1 + np.floor(np.log2(np.maximum(counts, 1))), 0).sum()
+    return _steps_of(counts).sum()
 
 
 def _numbered(kind: pa.DataType) -> Callable:
@@ -259,9 +316,7 @@ def _scores(totals: Totals, shards: int, kind: pa.DataType, names: list[str]) ->
             c[-1] = c[end]  # every text that has an end has a beginning
             own, before = c[codes], c[context]
             alone = (own + 1) / base_of
-            both = np.minimum(count_of(found[at]), np.minimum(own, before))
-            kinds = np.where(before > 0, before ** totals.power, 1.0)
-            chance = (both + kinds * alone) / (before + kinds)
+            chance = chances(totals, found[at], own, before)
             docs = np.repeat(np.arange(len(sizes)), sizes)
             n = len(sizes)
             out.append(pa.table([
@@ -279,27 +334,34 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
 
     The model learns from all rows where ``held_out`` is false; NULL counts as false. NULL and empty texts are one token,
     the end. Repeated ids and texts stay apart, other columns are ignored, an empty table gives no rows. With nothing to
-    learn from, every token has the same chance. The input is read twice and must give the same rows in the same order,
-    as a stored table does; other input raises.
+    learn from, every token has the same chance. The input is read three times and must give the same rows in the same
+    order, as a stored table does; other input raises. The segments of the model stay stored until the scratch folder is
+    cleared.
     """
     shards = max(16, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).alias("key"), F.coalesce(held_out, F.lit(False)).alias("held"),
                        F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["key"].dataType
     arrow = to_arrow_type(kind)
-    asked = rows.mapInArrow(_asked(shards), (
-        "block string, shard int, words binary, word_counts binary, pairs binary, pair_counts binary"))
-    answers, _ = stored(asked.groupBy("shard").applyInArrow(
-        lambda t: _answer(t), "block string, shard int, counts binary, steps binary, sums array<double>"), "counts")
-    sums = answers.where("sums is not null").select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col").alias("s"))
-    sums = np.array([r.s for r in sums.orderBy("pos").collect()] or [0.0] * (3 + len(_POWERS)))
-    power = float(_POWERS[np.abs(sums[3:] - sums[2]).argmin()])
-    totals = Totals(int(sums[0]), int(sums[1]), power)
+    taught = rows.where("not held").mapInArrow(
+        _taught(shards), "shard int, words binary, word_counts binary, pairs binary, pair_counts binary")
+    segments, _ = stored(taught.groupBy("shard").applyInArrow(
+        lambda t: _segment(t), "shard int, words binary, word_counts binary, filter binary, size long, sums array<double>"),
+        "segments")
+    sums = segments.select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col").alias("s"))
+    sums = np.array([r.s for r in sums.orderBy("pos").collect()] or [0.0] * (3 + len(_POWERS) + 2 * _STEPS))
+    powers, known, total = np.split(sums[3:], [len(_POWERS), len(_POWERS) + _STEPS])
+    power = float(_POWERS[np.abs(powers - sums[2]).argmin()])
+    counts = np.where(known > 0, total / np.maximum(known, 1), count_of(np.arange(_STEPS)))
+    totals = Totals(int(sums[0]), int(sums[1]), power, counts)
+    asked = rows.mapInArrow(_asked(shards), "block string, shard int, words binary, pairs binary")
+    answers = asked.groupBy("shard").cogroup(segments.drop("sums").groupBy("shard")).applyInArrow(
+        lambda a, b: _answer(a, b), "block string, shard int, counts binary, steps binary")
     numbered = rows.mapInArrow(_numbered(arrow), T.StructType([
         T.StructField("block", T.StringType()), T.StructField("keys", T.ArrayType(kind)),
         T.StructField("held", T.ArrayType(T.BooleanType())), T.StructField("counts", T.BinaryType()),
         T.StructField("words", T.BinaryType()), T.StructField("codes", T.BinaryType())]))
     names = [id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     kinds = [kind, T.BooleanType(), T.LongType(), T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType()]
-    return numbered.groupBy("block").cogroup(answers.drop("sums").groupBy("block")).applyInArrow(
+    return numbered.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _scores(totals, shards, arrow, names), T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)]))

@@ -67,6 +67,35 @@ def test_filter_never_understates_and_seldom_overstates():
     assert (lm.probe(lm.build_filter(hashes[:0], counts[:0]), 64, hashes) == 0).all()
 
 
+def test_segments_learn_only_from_texts_to_learn_from(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    rows = [(i, "red fox ran") for i in range(20)] + [(100 + i, "blue owl slept") for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(path)
+    docs = spark.read.parquet(path)
+    got = {r.doc_id: r for r in lm.score(docs, F.col("doc_id") >= 100).collect()}
+    assert got[0].n_known == 4 and got[0].train_tokens == 80
+    # Nothing of the held-out texts but their end is known, and no pair of theirs is found.
+    assert got[100].n_known == 1 and got[100].score <= got[100].base_score + 1
+
+
+def test_chances_after_contexts_add_up_on_average():
+    rng = np.random.default_rng(1)
+    words = 150
+    pairs = np.minimum(rng.zipf(1.4, (words, words)), 3000) * (rng.random((words, words)) < 0.3)
+    hashes = lm.mix(np.arange(words * words, dtype=np.uint64)) & np.uint64((1 << 40) - 1)
+    flat = pairs.ravel()
+    bits = lm.build_filter(hashes[flat > 0], flat[flat > 0])
+    steps = lm.probe(bits, max(64, lm.BITS_PER_ENTRY * int(lm._entries(flat))), hashes)
+    own, before = pairs.sum(axis=0).astype(float), pairs.sum(axis=1).astype(float)
+    real = lm._steps_of(flat)
+    known, total = np.bincount(real, minlength=64), np.bincount(real, flat, 64)
+    counts = np.where(known > 0, total / np.maximum(known, 1), 0.0)
+    totals = lm.Totals(int(own.sum()), words, 0.7, counts)
+    sums = lm.chances(totals, steps, np.tile(own, words), np.repeat(before, words)).reshape(words, words).sum(axis=1)
+    assert np.average(sums, weights=before) == pytest.approx(1, abs=0.02)
+    assert np.abs(sums - 1).max() < 0.5 and (sums > 0).all()
+
+
 def test_seen_pairs_are_likelier_and_odd_rows(spark, tmp_path):
     rows = [(i, "the cat sat on the mat") for i in range(50)] + [(100, "mat the on sat cat the"), (101, "the cat sat on the mat")]
     rows += [(102, None), (103, ""), (104, "Q " * 120_000), (105, "Q"), (105, "Q"), (None, "the")]
