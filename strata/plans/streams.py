@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from strata.cluster import scratch_path
 from strata.operators import events, messages
 from strata.operators.quality import Rule
-from strata.plans.inputs import ENVELOPES_SQL, envelopes, envelopes_of, log_of
+from strata.plans.inputs import ENVELOPES_SQL, envelopes, log_of
 from strata.plans.registry import ntz, register, table
 from strata.streaming import jobs
 from strata.streaming.metrics import RunMetrics
