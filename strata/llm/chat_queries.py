@@ -31,10 +31,36 @@ from joined
 
 
 def as_events(conversations: DataFrame) -> DataFrame:
-    """Each row of a conversation as one event with a turn of its own, in the order of turns."""
+    """The log of chats that end in the given rows: each row is a turn of its own, in the order of turns.
+
+    Turns take their place modulo four as follows: one whole message; a message streamed in three parts; a draft that is
+    edited to the beginning, with the rest streamed; a draft with a first part and an answer to it, both dropped when
+    the turn is regenerated and streamed anew. NULL role and text are empty.
+    """
     order = Window.partitionBy("conv_id").orderBy(*[F.col(c).asc_nulls_first() for c in ("turn", "role", "text")])
-    n = F.row_number().over(order).cast("long")
-    return conversations.select("conv_id", n.alias("seq"), n.alias("turn"), F.lit("message").alias("kind"), "role", "text")
+    rows = conversations.select(
+        "conv_id", F.row_number().over(order).cast("long").alias("n"), F.coalesce("role", F.lit("")).alias("role"),
+        F.coalesce("text", F.lit("")).alias("text"))
+    size = F.char_length("text")
+    third = F.ceil(size / 3).cast("int")
+    one, two, three = (F.substring(F.col("text"), 1 + k * third, third) for k in range(3))
+    draft = F.concat(F.reverse("text"), F.lit(" (draft)"))
+
+    def event(kind: str, text: Column, ahead: int = 0, role: Column | None = None) -> Column:
+        return F.struct(F.lit(ahead).alias("ahead"), F.lit(kind).alias("kind"),
+                        (F.lit(None).cast("string") if role is None else role).alias("role"), text.alias("text"))
+
+    role = F.col("role")
+    streamed = F.array(event("message", one, role=role), event("delta", two), event("delta", three))
+    edited = F.array(event("message", draft, role=F.lit("drafter")), event("edit", one, role=role), event("delta", two),
+                     event("delta", three))
+    anew = F.array(event("message", draft, role=role), event("delta", one), event("message", draft, 1, F.lit("drafter")),
+                   event("regenerate", one), event("delta", two), event("delta", three))
+    log = F.when(F.col("n") % 4 == 1, F.array(event("message", F.col("text"), role=role))).when(
+        F.col("n") % 4 == 2, streamed).when(F.col("n") % 4 == 3, edited).otherwise(anew)
+    events = rows.select("conv_id", "n", F.posexplode(log).alias("place", "event"))
+    return events.select("conv_id", (F.col("n") * 8 + F.col("place")).alias("seq"),
+                         (F.col("n") + F.col("event.ahead")).alias("turn"), "event.kind", "event.role", "event.text")
 
 
 def _digest(text: Column) -> Column:

@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.llm.chat import escape, fold, read_back, render, unescape
+from strata.llm.chat_queries import _SQL, as_events, op1_chat_formatting
+from tests.oracle import duck
 
 SCHEMA = "conv_id long, seq long, turn long, kind string, role string, text string"
 
@@ -34,6 +36,21 @@ def test_fold_equals_replay(spark):
     assert got == replay(events)
 
 
+def test_logs_of_the_query_end_in_its_rows(spark):
+    rng = random.Random(3)
+    rows = [(conv, rng.choice([None, *range(9)]), rng.choice([None, "user", "assistant"]),
+             rng.choice([None, "", "a", "hello <s> wörld", "y" * 50])) for conv in range(5) for _ in range(conv * 3)]
+    log = [tuple(r) for r in as_events(spark.createDataFrame(
+        rows, "conv_id long, turn long, role string, text string")).collect()]
+    assert {e[3] for e in log} == {"message", "delta", "edit", "regenerate"}
+    want = {}
+    for conv, _, role, text in sorted(rows, key=lambda r: tuple((v is not None, v) for v in r)):
+        want[conv, sum(c == conv for c, _ in want) + 1] = (role or "", text or "")
+    assert replay(log) == want
+    got = fold(spark.createDataFrame(log, SCHEMA).orderBy(F.rand(1))).collect()
+    assert {(r.conv_id, r.turn): (r.role, r.text) for r in got} == want
+
+
 def test_unknown_kind_raises(spark):
     with pytest.raises(Exception, match="unknown kind"):
         fold(spark.createDataFrame([(1, 1, 1, "poke", "user", "x")], SCHEMA)).collect()
@@ -72,3 +89,10 @@ def test_render_round_trip_and_spans(spark):
             cut = r.formatted[span.start:span.start + span.length]
             assert span.loss == (turn.role == "assistant")
             assert cut.replace("<\\s>", "<s>").replace("<\\|", "<|") == turn.text or "\\" in turn.text
+
+
+def test_query_equals_its_sql(spark):
+    sf = "/root/testdata/sf0.01"
+    got = op1_chat_formatting(spark, sf)
+    want = duck(sf).sql(_SQL)
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall())
