@@ -119,18 +119,39 @@ def offset_range(df: DataFrame, ranges: DataFrame) -> DataFrame:
 
 
 _SHARES = 16
+# Up to this rank Spark keeps the first rows of a window before it shuffles.
+_KEPT_EARLY = 1000
+
+
+def _first_blocks(log: DataFrame, limit: int) -> DataFrame:
+    """Messages of each partition up to the block of ``limit`` offsets that holds its ``limit``-th message.
+
+    Blocks are counted before anything is shuffled, so what is left are less than twice ``limit`` messages of each.
+    """
+    place = Window.partitionBy("topic", "partition").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    block = F.coalesce(F.col("offset") - F.pmod("offset", F.lit(limit)), F.lit(-(1 << 63)))
+    counts = log.groupBy("topic", "partition", block.alias("_block")).agg(F.count(F.lit(1)).alias("_n"))
+    needed = counts.withColumn("_before", F.coalesce(F.sum("_n").over(place), F.lit(0))).filter(F.col("_before") < limit)
+    last = needed.groupBy(F.col("topic").alias("_topic"), F.col("partition").alias("_partition")).agg(
+        F.max("_block").alias("_last"))
+    return log.join(_per_partition(last), F.col("topic").eqNullSafe(F.col("_topic"))
+                    & F.col("partition").eqNullSafe(F.col("_partition")) & (block <= F.col("_last"))).drop(
+        "_topic", "_partition", "_last")
 
 
 def next_batch(df: DataFrame, positions: DataFrame | None = None, limit: int = 500) -> DataFrame:
     """The next ``limit`` messages of each partition, from ``position`` (0 when a partition has none).
 
     A partition is cut to ``limit`` rows in shares of its offsets first, so the task that picks the batch never sees
-    more than ``_SHARES`` times that many.
+    more than ``_SHARES`` times that many. Above a limit of ``_KEPT_EARLY``, where Spark would shuffle all messages for
+    that, offsets are counted in blocks first, and only the blocks of the batch are read on.
     """
     log = df
     if positions is not None:
         log = df.join(_per_partition(positions), ["topic", "partition"], "left").filter(
             F.col("offset") >= F.coalesce("position", F.lit(0))).drop("position")
+    if limit > _KEPT_EARLY:
+        log = _first_blocks(log, limit)
     log = log.withColumn("_share", F.pmod(F.xxhash64("offset"), F.lit(_SHARES)))
     for by in (["topic", "partition", "_share"], ["topic", "partition"]):
         place = F.row_number().over(Window.partitionBy(*by).orderBy("offset"))

@@ -226,3 +226,21 @@ def test_kafka_options():
     assert kafka.source_options("h:1", pattern="raw-.*")["subscribePattern"] == "raw-.*"
     with pytest.raises(ValueError):
         kafka.source_options("h:1")
+
+
+@pytest.mark.parametrize("limit", [1000, 1001, 2500])
+def test_large_batches_equal_small_ones_by_rule(spark, limit):
+    """Gaps, a partition with most of the log, one with less than a batch, one without a key, and positions."""
+    log = spark.range(9000).select(
+        F.lit("t").alias("topic"), F.when(F.col("id") < 7000, 0).when(F.col("id") < 8900, 1).when(F.col("id") < 8990, 2).alias("partition"),
+        (F.col("id") * F.when(F.col("id") % 3 == 0, 7).otherwise(1) + F.col("id")).alias("offset"), F.col("id").alias("n"))
+    positions = spark.createDataFrame([("t", 0, 5000)], "topic string, partition int, position long")
+    for start in (None, positions):
+        held = [r for r in log.collect() if start is None or r.partition != 0 or r.offset >= 5000]
+        want = set()
+        for part in (0, 1, 2, None):
+            mine = sorted((r.offset, r.n) for r in held if r.partition == part)
+            want |= {(part, o) for o, _ in mine[:limit]}
+        got = messages.next_batch(log, start, limit).collect()
+        assert {(r.partition, r.offset) for r in got} == want and all(
+            sum(r.partition == p for r in got) == min(limit, sum(r.partition == p for r in held)) for p in (0, 1, 2, None))
