@@ -25,10 +25,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 METRICS = ("cosine", "dot", "euclid")
 
-# A cell of a batch search holds about so many queries and vectors: 4,096 vectors of 1536 doubles are 50 MB.
-QUERY_BLOCK, VECTOR_BLOCK = 4096, 4096
+# A cell of a batch search holds so many queries and vectors at least: 4,096 vectors of 1536 doubles are 50 MB. Large
+# tables have larger blocks, as far as their numbers fit this room, so that fewer copies of each vector are shuffled.
+LEAST_BLOCK, _BLOCK_NUMBERS, _BLOCKS = 4096, 1 << 21, 24
 _QUERIES_AT_ONCE = 256
 _ROW_BLOCK = 4096
+# Cosines of vectors whose lengths lie between these can be looked through in single precision first.
+_SHORT, _LONG = 1e-100, 1e100
 
 
 def metric_name(metric: str) -> str:
@@ -97,7 +100,11 @@ def _scores(block: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
         if metric == "cosine":
             norms = np.linalg.norm(queries, axis=1)[:, None] * np.linalg.norm(block, axis=1)[None, :]
             scores = np.divide(scores, norms, out=np.zeros_like(scores), where=norms > 0)
-    # Equal vectors may differ in the last bits by their place in a block; 40 bits are kept so that they tie.
+    return _rounded(scores)
+
+
+def _rounded(scores: np.ndarray) -> np.ndarray:
+    """Equal vectors may differ in the last bits by their place in a block; 40 bits are kept so that they tie."""
     bits = np.ascontiguousarray(scores).view(np.int64)
     return ((bits + (1 << 11)) & ~np.int64((1 << 12) - 1)).view(np.float64)
 
@@ -201,23 +208,35 @@ def search(
 def search_many(
     df: DataFrame, queries: DataFrame, limit: int = 10, metric: str = "cosine", id_col: str = "id",
     vector_col: str = "vector", query_id: str = "query_id", query_vector: str = "vector",
-    query_block: int = QUERY_BLOCK, vector_block: int = VECTOR_BLOCK,
+    query_block: int | None = None, vector_block: int | None = None,
 ) -> DataFrame:
     """The ``limit`` best vectors for every query, with ``rank``; ties go to the smaller id.
 
     Spark deals queries and vectors into blocks by hash; each pair of blocks is one cell, met by equality of both block
     numbers, and keeps its best ``limit`` per query; the cells of a query are merged by rank. So all pairs are scored,
-    but only vectors, once per block of queries, and a few rows per cell and query are shuffled. Nothing passes through
-    the driver but two counts. Queries that share an id count once; vectors that share an id stay apart and are dealt by
-    what they hold, so an id with many vectors is no hot cell. Broken queries and vectors are set aside, see ``unusable``.
+    but only vectors, once per block of queries, and a few rows per cell and query are shuffled. Blocks grow with the
+    tables up to a fixed room, unless ``query_block`` and ``vector_block`` say how many rows they hold. Nothing passes
+    through the driver but counts. Queries that share an id count once; vectors that share an id stay apart and are dealt
+    by what they hold, so an id with many vectors is no hot cell. Broken queries and vectors are set aside, see
+    ``unusable``.
     """
     name = metric_name(metric)
     id_type, match_type = queries.schema[query_id].dataType, df.schema[id_col].dataType
+
+    def numbers(rows: DataFrame, vector: str) -> Column:
+        """The vectors as they are if they are floats, which take half the room of doubles."""
+        narrow = getattr(rows.schema[vector].dataType, "elementType", None) == T.FloatType()
+        return F.col(vector) if narrow else F.col(vector).cast("array<double>")
+
+    def blocks(rows: DataFrame, given: int | None) -> int:
+        count, dim = rows.agg(F.count(F.lit(1)), F.max(F.size("_vector"))).first()
+        size = given or max(LEAST_BLOCK, min(_BLOCK_NUMBERS // max(1, dim or 1), math.ceil(count / _BLOCKS)))
+        return max(1, math.ceil(count / size))
+
     asked = queries.filter(usable(F.col(query_vector))).groupBy(F.col(query_id).alias("_query")).agg(
-        F.min(F.col(query_vector).cast("array<double>")).alias("_vector"))
-    held = df.filter(usable(F.col(vector_col))).select(F.col(id_col).alias("_id"), F.col(vector_col).cast("array<double>").alias("_vector"))
-    query_blocks = max(1, math.ceil(asked.count() / query_block))
-    vector_blocks = max(1, math.ceil(held.count() / vector_block))
+        F.min(numbers(queries, query_vector)).alias("_vector"))
+    held = df.filter(usable(F.col(vector_col))).select(F.col(id_col).alias("_id"), numbers(df, vector_col).alias("_vector"))
+    query_blocks, vector_blocks = blocks(asked, query_block), blocks(held, vector_block)
 
     def block(count: int, *by: str) -> Column:
         return F.pmod(F.xxhash64(*by), F.lit(count)).cast("int")
@@ -245,22 +264,72 @@ def _cell_tops(metric: str, limit: int, query_type: pa.DataType, id_type: pa.Dat
         held = held.take(pc.sort_indices(held.column("_id")))
         first = asked.column("_vector").combine_chunks()
         queries, block = (_matrix(c.column("_vector").combine_chunks(), len(first[0])) for c in (asked, held))
-        q, row, found = [], [], []
-        for start in range(0, len(queries), _QUERIES_AT_ONCE):
-            scores = _scores(block, queries[start:start + _QUERIES_AT_ONCE], metric)
-            take = min(limit, scores.shape[1])
-            # Rows are in id order, so a stable sort gives ties to the smaller id.
-            at = np.argsort(-scores, axis=1, kind="stable")[:, :take]
-            q.append(np.repeat(np.arange(start, start + len(scores)), take))
-            row.append(at.ravel())
-            found.append(np.take_along_axis(scores, at, axis=1).ravel())
-        return pa.table({"_query": asked.column("_query").take(pa.array(np.concatenate(q))).cast(query_type),
-                         "_id": held.column("_id").take(pa.array(np.concatenate(row))).cast(id_type),
-                         "_score": pa.array(np.concatenate(found))})
+        q, row, found = _best_pairs(queries, block, metric, limit)
+        return pa.table({"_query": asked.column("_query").take(pa.array(q)).cast(query_type),
+                         "_id": held.column("_id").take(pa.array(row)).cast(id_type),
+                         "_score": pa.array(found)})
 
     return run
 
 
+def _best_pairs(queries: np.ndarray, block: np.ndarray, metric: str, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of queries and rows of the best ``limit`` rows for each query, and their scores; ties go to the first row.
+
+    Each query has a floor, the least that its ``limit``-th best row so far scores, and only pairs that reach it are
+    looked at. Cosines are looked through in single precision with twice the most that rounding can take, and pairs that
+    may reach the floor are scored in double precision.
+    """
+    lengths = [np.linalg.norm(x, axis=1) for x in (queries, block)]
+    screened = metric == "cosine" and all(((x == 0) | ((x > _SHORT) & (x < _LONG))).all() for x in lengths)
+    margin, at_once = 0.0, max(1, _BLOCK_NUMBERS // max(1, queries.shape[1]))
+    if screened:
+        margin = (queries.shape[1] + 16) * 2.0 ** -23
+        units = [np.divide(x, n[:, None], out=np.zeros_like(x), where=n[:, None] > 0).astype(np.float32)
+                 for x, n in zip((queries, block), lengths)]
+
+    def exact(q: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """Cosines of pairs, each computed alike wherever its vectors stand."""
+        out = np.zeros(len(q))
+        for a in range(0, len(q), at_once):
+            some, other = q[a:a + at_once], row[a:a + at_once]
+            sizes = lengths[0][some] * lengths[1][other]
+            np.divide(np.einsum("ij,ij->i", queries[some], block[other]), sizes, out=out[a:a + at_once], where=sizes > 0)
+        return _rounded(out)
+
+    best = []
+    for start in range(0, len(queries), _QUERIES_AT_ONCE):
+        stop = min(start + _QUERIES_AT_ONCE, len(queries))
+        floor = np.full(stop - start, -np.inf)
+        q, row, found = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        for first in range(0, len(block), _ROW_BLOCK):
+            part = slice(first, first + _ROW_BLOCK)
+            seen = units[0][start:stop] @ units[1][part].T if screened else _scores(block[part], queries[start:stop], metric)
+            if first == 0 and seen.shape[1] >= limit:
+                tops, fold = seen, seen.shape[1] // max(256, limit)
+                if fold > 1:  # the best of each of many groups: of these, the last to count is no better than of all
+                    width = seen.shape[1] // fold
+                    tops = seen[:, :fold * width].reshape(len(seen), fold, width).max(axis=1)
+                floor = np.partition(tops, -limit, axis=1)[:, -limit] - margin
+            # The least single number may round up past the bound, so it is taken one step lower.
+            bound = (floor - margin).astype(seen.dtype)
+            if screened:
+                bound = np.nextafter(bound, np.float32(-np.inf))
+            at = np.flatnonzero(~(seen < bound[:, None]))  # numbers too large to compare stay in, and come last
+            if not len(at):
+                continue
+            new_q, new_row = np.divmod(at, seen.shape[1])
+            scores = exact(new_q + start, new_row + first) if screened else seen[new_q, new_row]
+            q, row, found = (np.concatenate(x) for x in ((q, new_q), (row, new_row + first), (found, scores)))
+            order = np.lexsort((row, -found, q))
+            q, row, found = q[order], row[order], found[order]
+            place = np.arange(len(q)) - np.searchsorted(q, q)
+            q, row, found, place = (x[place < limit] for x in (q, row, found, place))
+            last = place == limit - 1
+            floor[q[last]] = np.maximum(floor[q[last]], found[last])
+        best.append((q + start, row, found))
+    return tuple(np.concatenate(x) for x in zip(*best))
+
+
 def embed(
     df: DataFrame, text_col: str, dim: int = 256, model: Callable[[list[str]], Sequence[Sequence[float]]] | None = None,
     output: str = "vector",

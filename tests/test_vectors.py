@@ -231,3 +231,38 @@ def test_embeddings_and_neighbours_of_documents_equal_brute_force(spark, sf):
     best = sorted(((-round(float(want[first] @ v), 6), i) for i, v in want.items()))[:10]
     near = QUERIES["semantic_search"](spark, sf).collect()
     assert [(-r.score, r.doc_id) for r in near] == best
+
+
+@pytest.mark.parametrize("metric", vectors.METRICS)
+def test_batch_search_looks_closely_at_few_pairs(metric, monkeypatch):
+    """Pairs below a query's floor are neither sorted nor, for cosines, scored in double precision; results stay exact."""
+    rng = np.random.default_rng(5)
+    block = rng.normal(size=(3000, 16)) * rng.choice([1e-30, 1.0, 1e20] if metric == "cosine" else [1.0], size=(3000, 1))
+    block[100:130], block[2000] = block[7], 0.0
+    queries = np.concatenate([block[::10], np.zeros((1, 16))])
+    looked, sort = [], np.lexsort
+    monkeypatch.setattr(vectors, "_ROW_BLOCK", 512)
+    monkeypatch.setattr(np, "lexsort", lambda keys: looked.append(len(keys[0])) or sort(keys))
+    monkeypatch.setattr(np, "argsort", None)
+    q, row, score = vectors._best_pairs(queries, block, metric, 5)
+    monkeypatch.undo()
+    assert sum(looked) < 0.1 * len(queries) * len(block)
+    whole = vectors._scores(block, queries, metric)
+    at = np.argsort(-whole, axis=1, kind="stable")[:, :5]
+    assert q.tolist() == np.repeat(np.arange(len(queries)), 5).tolist()
+    assert np.allclose(score.reshape(-1, 5), np.take_along_axis(whole, at, axis=1), rtol=1e-9, atol=1e-12)
+    if metric == "cosine":
+        assert row.reshape(-1, 5).tolist() == at.tolist()
+
+
+def test_batch_search_blocks_grow_with_the_tables(spark, frame, data, monkeypatch):
+    monkeypatch.setattr(vectors, "LEAST_BLOCK", 10)
+    monkeypatch.setattr(vectors, "_BLOCKS", 3)
+    queries = frame.withColumnRenamed("id", "query_id").withColumn("vector", F.col("vector").cast("array<float>"))
+    found = vectors.search_many(frame, queries, 4)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    dealt = regex.findall(r"pmod\(xxhash64\([^)]*\), (\d+)\)", plan)
+    assert dealt == ["3", "3"], plan
+    near = {(r.query_id, r["rank"]): r.match_id for r in found.collect()}
+    for i in range(410, 430):
+        assert [near[i, k] for k in (1, 2, 3, 4)] == [m for m, _ in brute(data, data[i].astype(np.float32), "cosine", 4)]
