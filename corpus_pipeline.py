@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from strata.cluster import checkpointed
 from strata.llm import bpe_queries, decontaminate, jaccard, langid, quality
 from strata.llm.registry import fold, register, table
 from strata.llm.storage import stored
@@ -60,7 +61,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     joined = jaccard.join(docs.select(key.alias("_key"), "text"), "_key").where(F.col("_key") == F.col("component_id"))
     one = Window.partitionBy("_key").orderBy("text")
     # The key holds NULL ids, so it is compared as a whole.
-    first = joined.select(F.col("_key").alias("_first")).distinct()
+    first = checkpointed(joined.select(F.col("_key").alias("_first")).distinct())
     return (rows.join(first, rows["_key"].eqNullSafe(first["_first"]), "left_semi")
             .withColumn("_n", F.row_number().over(one)).where("_n = 1").select("_row.*"))
 

@@ -11,17 +11,17 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Rows ``node, root`` for each node of the links; ``root`` is the smallest node that links lead to.
 
     Alternating large and small stars: each round points nodes at smaller neighbours, and the rounds needed grow with
-    the logarithm of the longest path. Only minima and counts are taken of a node's links, in part before the shuffle,
-    so a node may have any number of links. Each round is checkpointed. Links to itself, repeated links and links in
-    both directions are allowed, NULL ends are ignored; no links give no rows.
+    the logarithm of the longest path; they end as soon as each node has one link, to a node that has none. Only minima
+    and counts are taken of a node's links, in part before the shuffle, so a node may have any number of links. Each
+    round is checkpointed. Links to itself, repeated links and links in both directions are allowed, NULL ends are
+    ignored; no links give no rows.
     """
     low, high = F.least(a, b), F.greatest(a, b)
     stars = checkpointed(links.where(F.col(a).isNotNull() & F.col(b).isNotNull())
                          .select(high.alias("u"), low.alias("v")).distinct())
     nodes = stars.select(F.col("u").alias("node")).union(stars.select(F.col("v").alias("node"))).distinct()
     stars = stars.where("u != v")
-    seen = None
-    while True:
+    while not _are_stars(stars):
         # Large star: larger neighbours of a node point at the smallest node around it.
         around = stars.union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -33,9 +33,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v"))))
             .alias("e")).select("e.u", "e.v").where("u != v").distinct())
         stars = checkpointed(small)
-        now = tuple(stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == seen or not now[0]:
-            break
-        seen = now
     return nodes.join(stars.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").select(
         "node", F.coalesce("root", "node").alias("root"))
+
+
+def _are_stars(links: DataFrame) -> bool:
+    """Whether distinct links ``u, v`` (``v`` the smaller) lead from each node straight to the smallest one it reaches."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        links.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    each = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    # No links: NULL.
+    return (each.agg(F.max(F.col("up") + F.least("up", "down"))).first()[0] or 1) == 1

@@ -99,6 +99,7 @@ def shingle_counts(texts: DataFrame) -> np.ndarray:
     out = np.zeros((_CHUNKS, COUNTERS // _CHUNKS), np.int64)
     for r in rows.collect():
         out[r.chunk] = _unpack(bytes(r.counts), "<i8")
+    release()
     return out.ravel()
 
 
@@ -143,8 +144,9 @@ class _Shown:
         return out
 
 
-def _nodes(counts: np.ndarray) -> Callable:
+def _nodes(packed: bytes) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = _unpack(packed, "<i8")
         for batch in batches:
             for part in blocks(batch, "text"):
                 x = _Shown(counts, part)
@@ -156,8 +158,9 @@ def _nodes(counts: np.ndarray) -> Callable:
     return run
 
 
-def _tokens(counts: np.ndarray) -> Callable:
+def _tokens(packed: bytes) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = _unpack(packed, "<i8")
         for batch in batches:
             for part in blocks(batch, "text"):
                 x = _Shown(counts, part)
@@ -446,12 +449,13 @@ def links_between(texts: DataFrame) -> DataFrame:
     spark = texts.sparkSession
     shards = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     counts = shingle_counts(texts)
-    nodes = texts.mapInArrow(_nodes(counts), (
+    packed = _pack(counts)  # goes to tasks with each function
+    nodes = texts.mapInArrow(_nodes(packed), (
         "node long, n int, rest int, matches int, central double, keys array<long>"))
     nodes, path = stored(nodes.groupBy("node").agg(*[F.first(c).alias(c) for c in (*_NODE[1:], "keys")]), "nodes")
     links = _verified(texts, _central(nodes))
-    labels = components(links).withColumnRenamed("root", "label")
-    tokens = texts.mapInArrow(_tokens(counts), "node long, tokens array<long>")
+    labels = checkpointed(components(links)).withColumnRenamed("root", "label")
+    tokens = texts.mapInArrow(_tokens(packed), "node long, tokens array<long>")
     tokens = (tokens.groupBy("node").agg(F.first("tokens").alias("tokens")).join(nodes.select("node", "central"), "node")
               .join(labels, "node", "left").select("node", "tokens", "central", F.coalesce("label", F.lit(0)).alias("label")))
     hot = _hot_counters(counts)
@@ -490,7 +494,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     kind = keyed.schema[id_col].dataType.simpleString()
     sized = checkpointed(keyed.mapInArrow(_sizes(id_col), f"`{id_col}` {kind}, n_shingles long, node long"))
     roots = components(links_between(_texts(docs, text_col)))
-    placed = sized.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = checkpointed(sized.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     least = placed.where("root is not null").groupBy("root").agg(F.min(id_col).alias("component_id"))
     return placed.join(least, "root", "left").select(
         id_col, "n_shingles", F.coalesce("component_id", F.col(id_col)).alias("component_id"), "node")

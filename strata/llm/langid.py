@@ -17,7 +17,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strata.llm.sample import bounded_sample
-from strata.llm.textblocks import blocks, texts_of
+from strata.llm.textblocks import blocks, release, texts_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -223,7 +223,10 @@ def train(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str
     sample = bounded_sample(rows, "lang", "id", SAMPLE_PER_LANGUAGE).select("text", "lang").toPandas()
     if not len(sample):
         raise ValueError("no text with a language to learn from")
-    return fit(list(sample["text"]), list(sample["lang"]))
+    model = fit(list(sample["text"]), list(sample["lang"]))
+    del sample
+    release()  # the driver keeps no room for the sample
+    return model
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

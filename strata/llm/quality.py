@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strata.llm.sample import bounded_sample
-from strata.llm.textblocks import blocks, texts_of, words_of
+from strata.llm.textblocks import blocks, release, texts_of, words_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -237,7 +237,10 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, text_col: str = "te
     sample = (docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), row.alias("row")).join(chosen, "id")
               .groupBy("id", "label").agg(F.min("row").alias("row")).orderBy("id").select("label", "row.*").toPandas())
     names = [list(sample[f"page{i}"]) for i in range(len(page_cols))]
-    return fit(list(sample["text"]), names, sample["label"].to_numpy(), (ones or 0) / total)
+    model = fit(list(sample["text"]), names, sample["label"].to_numpy(), (ones or 0) / total)
+    del sample, names
+    release()  # the driver keeps no room for the sample
+    return model
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", page_cols: tuple[str, ...] = ("lang", "source")) -> DataFrame:

@@ -7,7 +7,9 @@ import re
 
 import pytest
 
-from strata.llm import jaccard
+import corpus_pipeline
+from strata.cluster import checkpointed
+from strata.llm import components as rounds, jaccard
 from strata.llm.components import components
 from strata.llm.jaccard_queries import op10_ngram_jaccard_join
 
@@ -127,3 +129,27 @@ def test_components_equal_union_find(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert got == roots(sorted({n for p in pairs for n in p}), pairs)
     assert components(spark.createDataFrame([(None, 1)], "a long, b long")).collect() == []
+
+
+def test_components_end_with_the_round_that_finds_them(spark, monkeypatch):
+    """A round more, to see that nothing changes, costs the driver as many stages as any other."""
+    made = []
+    monkeypatch.setattr(rounds, "checkpointed", lambda df: made.append(1) or checkpointed(df))
+    path = [(i, i + 1) for i in range(40)] + [(100, 100), (200, 201), (201, 200), (None, 3), (300, 299)]
+    stars = [(1, i) for i in range(2, 9)] + [(20, 21)]
+    for links, most in ((path, 8), (stars, 1), ([], 1)):
+        made.clear()
+        got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+        ends = [(a, b) for a, b in links if a is not None]
+        root = {n: n for pair in ends for n in pair}
+        for _ in root:
+            for a, b in ends:
+                root[a] = root[b] = min(root[a], root[b])
+        assert got == root and len(made) <= most, (len(made), most)
+
+
+def test_last_plan_of_near_copies_is_small(spark):
+    """What is known of the components is stored first: the driver watches over few stages at once."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(50)
+    plan = corpus_pipeline.drop_near_copies(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 4, plan.count("Exchange")
